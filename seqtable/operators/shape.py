@@ -18,9 +18,10 @@ from seqtable.schema import ACTION_COLUMNS, ACTION_TYPES_BY_COLUMN, FLAT_HEADER
 PART_LENGTH = 1000
 
 
-def time_us(timestamp: str = "timestamp") -> Column:
+def time_us(timestamp: Column | str = "timestamp") -> Column:
     """Millisecond floats as whole microseconds, so sums do not depend on order."""
-    return F.round(F.col(timestamp) * 1000).cast("bigint")
+    at = F.col(timestamp) if isinstance(timestamp, str) else timestamp
+    return F.round(at * 1000).cast("bigint")
 
 
 def is_backtrack() -> Column:
@@ -118,7 +119,7 @@ def nest(
     becoming one huge value.
     """
     return (
-        actions.withColumn("part", F.expr(f"pos div {part_length}"))
+        actions.withColumn("part", F.expr(f"cast(pos div {part_length} as int)"))
         .groupBy("trajectory_id", *header, "part")
         .agg(F.array_sort(F.collect_list(F.struct("pos", _action_struct().alias("action")))).alias("_sorted"))
         .withColumn("actions", F.col("_sorted.action"))
@@ -150,7 +151,8 @@ def to_records(valid_actions: DataFrame) -> DataFrame:
         start, end = F.col("start_time"), F.col("end_time")
     else:
         start, end = F.array_min("actions.timestamp"), F.array_max("actions.timestamp")
-    gap_ms = F.element_at("actions", -1)["timestamp"] - F.element_at("actions", 1)["timestamp"]
+    last, first = (time_us(F.element_at("actions", i)["timestamp"]) for i in (-1, 1))
+    mean_us = (last - first) / F.greatest(n - 1, F.lit(1))
     bad = F.filter("actions", lambda a: ~a["element_visible"] | ~a["element_clickable"])
     back = F.filter("actions", lambda a: a["action_type"].isin(K.BACKTRACK_TYPES))
     return (
@@ -164,7 +166,7 @@ def to_records(valid_actions: DataFrame) -> DataFrame:
             "domain",
             start.alias("start_time"),
             end.alias("end_time"),
-            ((end - start) / 1000).alias("duration"),
+            ((time_us(end) - time_us(start)) / F.lit(1e6)).alias("duration"),
             "user_type",
             "device_type",
             "browser_type",
@@ -172,7 +174,7 @@ def to_records(valid_actions: DataFrame) -> DataFrame:
             "goal_achieved",
             F.array().cast("array<string>").alias("success_indicators"),
             n.alias("action_count"),
-            F.when(n < 2, 0.0).otherwise(gap_ms / F.greatest(n - 1, F.lit(1)) / 1000).alias("avg_action_interval"),
+            F.when(n < 2, 0.0).otherwise(mean_us / F.lit(1e6)).alias("avg_action_interval"),
             F.size(back).alias("backtrack_count"),
             F.size(bad).alias("error_count"),
         )
