@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from seqtable import constants as K
 
-# The same white space as K.WHITESPACE, as a regex class for runs inside a text.
+# The same white space as K.WHITESPACE as a regex class, and its ASCII part.
+ASCII_WHITESPACE_CLASS = r"[\t-\r\x1c-\x20]"
 WHITESPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -42,11 +43,21 @@ def url_path(url: Column) -> Column:
     return F.when(slash > 0, F.rtrim(F.substr(bare, slash), F.lit("/"))).otherwise(F.lit(""))
 
 
+def fold_whitespace(text: Column) -> Column:
+    """Every run of white space as one space.
+
+    Rare characters are mapped to spaces by plain replacement, which is a byte
+    search; a regex over the full class takes several times as long.
+    """
+    for char in K.WHITESPACE:
+        if ord(char) > 127:
+            text = F.replace(text, F.lit(char), F.lit(" "))
+    return F.regexp_replace(text, ASCII_WHITESPACE_CLASS + "+", " ")
+
+
 def normalize_selector(selector: Column) -> Column:
     """Lower case with every run of white space folded to one space."""
-    return or_empty(
-        F.regexp_replace(strip(F.lower(selector)), F.lit(WHITESPACE_CLASS + "+"), F.lit(" "))
-    )
+    return or_empty(fold_whitespace(strip(F.lower(selector))))
 
 
 def slug(text: Column, separator: str = "-") -> Column:
@@ -65,10 +76,9 @@ def unquote(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words."""
-    folded = F.regexp_replace(strip(text), F.lit(WHITESPACE_CLASS + "+"), F.lit(" "))
-    return F.when(F.length(folded) == 0, F.lit(0)).otherwise(
-        F.length(folded) - F.length(F.replace(folded, F.lit(" "), F.lit(""))) + 1
-    )
+    folded = fold_whitespace(strip(text))
+    spaces = F.length(folded) - F.length(F.replace(folded, F.lit(" "), F.lit("")))
+    return spaces + (folded != "").cast("int")
 
 
 def is_web_url(url: Column) -> Column:

@@ -32,6 +32,12 @@ def _nth_of(key: Column, i: Column, choices: dict[str, list[str]]) -> Column:
     return found
 
 
+def _utc_micros(name: str) -> Column:
+    """Microseconds of a zoneless time read as UTC, whatever the session's zone."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(name))
+    return F.unix_micros(local.cast("timestamp"))
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Events with time in microseconds, the number in ``props`` and the type's index."""
     kind = F.col("event_type")
@@ -40,7 +46,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         "user_id",
         "event_type",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+        _utc_micros("ts").alias("ts_us"),
         F.regexp_extract("props", r"[0-9]+", 0).cast("int").alias("k"),
         tix.cast("int").alias("tix"),
     )
@@ -120,7 +126,9 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
     The unprefixed helper columns user_id, sess, k, tix and event_type stay
     available to queries; unused ones are pruned from the plan.
     """
-    rows = with_sessions(event_actions(spark, folder), "user_id", "ts_us", "event_id", SESSION_GAP_US)
+    # Derived columns come after the shuffle, which then carries six narrow columns.
+    rows = with_sessions(events(spark, folder), "user_id", "ts_us", "event_id", SESSION_GAP_US)
+    rows = rows.withColumn("action_type", action_type()).withColumns(_target_columns())
     rows = rows.withColumn("page_id", F.col("tix") + len(EVENT_TYPES) * (F.col("user_id") % SITE_GROUPS))
     rows = rows.join(F.broadcast(_site_pages(spark, folder)), "page_id", "left")
     k, kind, act = F.col("k"), F.col("event_type"), F.col("action_type")
@@ -164,60 +172,40 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _json(value: Column) -> Column:
-    """A text as a JSON string with its quotes; null stays null."""
-    array = F.to_json(F.array(value))
-    return F.when(value.isNotNull(), F.substring(array, F.lit(2), F.length(array) - 2))
-
-
-def _member(name: str, json: Column) -> Column:
-    """``"name":json``; null (so left out of the object) when the value is null."""
-    return F.concat(F.lit(f'"{name}":'), json)
-
-
-def _object(*members: Column) -> Column:
-    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
-
+def raw_action_fields() -> list[Column]:
+    """The loosely typed fields of one raw action; null means the key is missing.
 
-def raw_action_columns() -> dict[str, Column]:
-    """The loosely typed fields of one raw action; null means the key is missing."""
+    Fields whose JSON type varies from row to row are variants.
+    """
     k, act, kind = F.col("k"), F.col("action_type"), F.col("event_type")
-    number = lambda c: c.cast("string")
-    flag = lambda c: F.when(c, "true").otherwise("false")
-    clicked = act == "click"
-    return {
-        "action_type": _json(F.when(k % 6 == 0, F.upper(act)).otherwise(act)),
-        "url": F.when(k % 11 != 0, _json(F.col("url"))),
-        "page_title": F.when(k % 13 != 0, _json(F.col("page_title"))),
-        "element_type": F.when(F.col("element_type") != "", _json(F.col("element_type"))),
-        "context": _json(
-            F.when(k % 4 == 0, F.concat(F.lit("Add to Cart "), F.col("tix"))).otherwise(
-                F.concat(F.lit("step "), F.col("tix"))
-            )
-        ),
-        "user_intent": _json(kind),
-        "is_intentional": F.when(k % 19 == 0, F.lit('"false"')).otherwise(flag(k % 4 != 0)),
+    clicked, failed = act == "click", kind == "error"
+    loose = lambda c: c.cast("variant")
+    fields = {
+        "action_type": F.when(k % 6 == 0, F.upper(act)).otherwise(act),
+        "url": F.when(k % 11 != 0, F.col("url")),
+        "page_title": F.when(k % 13 != 0, F.col("page_title")),
+        "element_type": F.when(F.col("element_type") != "", F.col("element_type")),
+        "context": F.concat(F.when(k % 4 == 0, "Add to Cart ").otherwise("step "), F.col("tix")),
+        "user_intent": kind,
+        "is_intentional": F.when(k % 19 == 0, loose(F.lit("false"))).otherwise(loose(k % 4 != 0)),
         "element_selector": F.when(
-            (k % 3 != 0) & (F.col("element_selector") != ""), _json(F.col("element_selector"))
+            (k % 3 != 0) & (F.col("element_selector") != ""), F.col("element_selector")
         ),
-        "element_id": F.when(clicked & (k % 2 == 0), _json(F.concat(F.lit("el-"), F.col("tix")))),
+        "element_id": F.when(clicked & (k % 2 == 0), F.concat(F.lit("el-"), F.col("tix"))),
         "element_classes": F.when(
-            clicked,
-            F.when(k % 2 == 1, F.lit('"btn"')).otherwise(F.concat(F.lit('["btn",'), _json(kind), F.lit("]"))),
-        ),
-        "value": F.when((act == "type") & (k % 4 == 0), _json(F.col("value"))),
-        "field_type": F.when((act == "type") & (k % 8 == 0), F.lit('"email"')),
-        "option_index": F.when(
-            F.col("option_index").isNotNull(),
-            F.when(k % 7 == 0, _json(number(F.col("option_index")))).otherwise(number(F.col("option_index"))),
+            clicked, F.when(k % 2 == 1, loose(F.lit("btn"))).otherwise(loose(F.array(F.lit("btn"), kind)))
         ),
-        "coordinates": F.when(
-            F.col("coordinates").isNotNull(), F.to_json("coordinates")
+        "value": F.when((act == "type") & (k % 4 == 0), F.col("value")),
+        "field_type": F.when((act == "type") & (k % 8 == 0), "email"),
+        "option_index": F.when(k % 7 == 0, loose(F.col("option_index").cast("string"))).otherwise(
+            loose(F.col("option_index"))
         ),
-        "duration": F.when((act == "wait") & (k % 4 == 0), number(k)),
-        "element_visible": F.when(kind == "error", flag(F.col("element_visible"))),
-        "element_clickable": F.when(kind == "error", flag(F.col("element_clickable"))),
+        "coordinates": F.col("coordinates"),
+        "duration": F.when((act == "wait") & (k % 4 == 0), k),
+        "element_visible": F.when(failed, F.col("element_visible")),
+        "element_clickable": F.when(failed, F.col("element_clickable")),
     }
+    return [c.alias(n) for n, c in fields.items()]
 
 
 RAW_PART = 1000
@@ -230,12 +218,9 @@ def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
     wrong case, missing or malformed URLs, numbers as text, flags as text.
     """
     rows = actions(spark, folder)
-    text = _object(*[_member(n, c) for n, c in raw_action_columns().items()])
+    text = F.to_json(F.struct(*raw_action_fields()))
     user, sess = F.col("user_id"), F.col("sess")
     broken = (user + sess) % 23 == 0
-    reached = F.when(user % 11 == 0, F.lit('"false"')).otherwise(
-        F.when((user + sess) % 3 != 0, "true").otherwise("false")
-    )
     keys = ["trajectory_id", "user_id", "sess", "workflow_type", "goal", "user_type", "device_type", "browser_type"]
     grouped = (
         rows.select(*keys, "domain", "pos", "ts_us", F.expr(f"pos div {RAW_PART}").alias("part"), text.alias("text"))
@@ -245,11 +230,21 @@ def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
             F.min("ts_us").alias("base_us"),
         )
     )
-    body = _object(
-        _member("domain", F.when(user % 7 != 0, _json(F.col("domain")))),
-        _member("goal", _json(F.col("goal"))),
-        _member("goal_achieved", reached),
-        _member("actions", F.concat(F.lit("["), F.array_join(F.col("_items.text"), ","), F.lit("]"))),
+    reached = (user + sess) % 3 != 0
+    head = F.to_json(
+        F.struct(
+            F.when(user % 7 != 0, F.col("domain")).alias("domain"),
+            F.col("goal"),
+            F.when(user % 11 == 0, F.lit("false").cast("variant"))
+            .otherwise(reached.cast("variant"))
+            .alias("goal_achieved"),
+        )
+    )
+    body = F.concat(
+        F.substring(head, F.lit(1), F.length(head) - 1),
+        F.lit(',"actions":['),
+        F.array_join(F.col("_items.text"), ","),
+        F.lit("]}"),
     )
     whole = F.col("body")
     raw = (
