@@ -1,4 +1,8 @@
-"""Analysis of stored datasets: broken actions, failed goals, shortened runs."""
+"""Analysis of stored datasets: broken actions, failed goals, shortened runs.
+
+Input is flat action rows; a trajectory without actions may come as one row with
+null ``pos``, which counts as a trajectory but not as an action.
+"""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +18,7 @@ def _flag(name: str):
 def error_totals(actions: DataFrame) -> DataFrame:
     hidden, blocked = ~_flag("element_visible"), ~_flag("element_clickable")
     return actions.agg(
-        F.count("*").alias("total_actions"),
+        F.count("pos").alias("total_actions"),
         F.count_if(hidden).alias("actions_with_element_visible_false"),
         F.count_if(blocked).alias("actions_with_element_clickable_false"),
         F.count_if(hidden & blocked).alias("actions_with_both_false"),
@@ -42,7 +46,7 @@ def error_trajectories(actions: DataFrame) -> DataFrame:
         actions.groupBy("trajectory_id", "goal", "goal_achieved")
         .agg(
             F.count_if(hidden | blocked).alias("error_count"),
-            F.count("*").alias("action_count"),
+            F.count("pos").alias("action_count"),
             (F.count_if(hidden) + F.count_if(blocked)).alias("listed_actions"),
         )
         .where("error_count > 0")
@@ -55,7 +59,7 @@ def failed_goals(actions: DataFrame) -> DataFrame:
         actions.where(~_flag("goal_achieved"))
         .groupBy("trajectory_id", "goal")
         .agg(
-            F.count("*").alias("action_count"),
+            F.count("pos").alias("action_count"),
             F.max_by("action_type", "pos").alias("last_action_type"),
         )
     )
@@ -70,7 +74,7 @@ def skipped_steps(actions: DataFrame, limit: int = K.SHORTCUT_MAX_ACTIONS) -> Da
     return (
         actions.where(_flag("goal_achieved"))
         .groupBy("trajectory_id", "goal")
-        .agg(F.count("*").alias("action_count"), F.collect_list(early).alias("_steps"))
+        .agg(F.count("pos").alias("action_count"), F.collect_list(early).alias("_steps"))
         .where(F.col("action_count") <= limit)
         .select(
             "trajectory_id",

@@ -19,9 +19,9 @@ PART_LENGTH = 1000
 
 
 def time_us(timestamp: Column | str = "timestamp") -> Column:
-    """Millisecond floats as whole microseconds, so sums do not depend on order."""
+    """Millisecond floats as whole microseconds, so sums do not depend on order; NaN becomes null."""
     at = F.col(timestamp) if isinstance(timestamp, str) else timestamp
-    return F.round(at * 1000).cast("bigint")
+    return F.round(at * 1000).try_cast("bigint")
 
 
 def is_backtrack() -> Column:

@@ -429,7 +429,7 @@ def analyze_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The analysis over stored files, read so that missing and null flags differ."""
     path = new_folder(spark, "stored")
     sinks.write_jsonl(shape.to_records(_valid_actions(spark, folder)), path)
-    return analysis.error_totals(jsonl.read_for_analysis(spark, path).where("pos is not null"))
+    return analysis.error_totals(jsonl.read_for_analysis(spark, path))
 
 
 def _two_runs(spark: SparkSession, folder: str) -> str:

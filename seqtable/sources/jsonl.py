@@ -35,7 +35,7 @@ def read_for_analysis(spark: SparkSession, path: str) -> DataFrame:
     Trajectories without actions keep one row with null ``pos``.
     """
     line = spark.read.text(path).where(F.trim("value") != "")
-    record = F.try_parse_json("value")
+    record = F.parse_json("value")  # a line that is not JSON ends the job
     head = line.select(record.alias("r")).select(
         F.variant_get("r", "$.trajectory_id", "string").alias("trajectory_id"),
         F.variant_get("r", "$.goal", "string").alias("goal"),
