@@ -11,7 +11,7 @@ from seqtable.plans.registry import QUERIES
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 ONLY = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
 

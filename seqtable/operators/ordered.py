@@ -16,6 +16,20 @@ def _chunk_of(pos: str, chunk: int) -> Column:
     return F.expr(f"{pos} div {chunk}")
 
 
+def keep_sequences(
+    df: DataFrame, key: str, pos: str, kept: DataFrame, length: str, chunk: int = CHUNK
+) -> DataFrame:
+    """Rows of the sequences listed in ``kept`` (one row per key, with the sequence's length).
+
+    The join is on key and chunk: the listed key is repeated once per chunk of its
+    sequence, so a long sequence is filtered by many tasks.
+    """
+    last = F.expr(f"cast(({length} - 1) div {chunk} as int)")
+    wanted = kept.select(key, F.explode(F.sequence(F.lit(0), last)).alias("_chunk"))
+    rows = df.withColumn("_chunk", _chunk_of(pos, chunk).cast("int"))
+    return rows.join(wanted, [key, "_chunk"], "left_semi").drop("_chunk")
+
+
 def with_previous(
     df: DataFrame, key: str, pos: str, columns: dict[str, str], chunk: int = CHUNK
 ) -> DataFrame:
@@ -117,9 +131,10 @@ def with_sessions(
     are cut into (user, time bucket) pieces no wider than the gap, so a session
     can only end between two pieces. That makes the per-piece summary (first
     time, last time, count) enough to find all session borders, and one user's
-    events are spread over as many tasks as they have busy buckets.
+    events are spread over as many tasks as they have busy buckets. The default
+    width of five minutes keeps the pieces of a user with billions of events small.
     """
-    width_us = min(gap_us, 3_600_000_000) if width_us is None else width_us
+    width_us = min(gap_us, 300_000_000) if width_us is None else width_us
     if width_us > gap_us:
         raise ValueError("a bucket wider than the gap could hide a session border")
     pieces = events.withColumn("_bucket", _time_bucket(time_us, width_us))

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import math
 import tempfile
 import uuid
 
@@ -24,6 +25,21 @@ def build(master: str | None = None, app: str = "seqtable", **settings: str) ->
     return builder.getOrCreate()
 
 
+def size_shuffles(
+    spark: SparkSession, input_bytes: int, shuffled_share: float = 0.1, partition_bytes: int = 200_000_000
+) -> int:
+    """Set the number of shuffle partitions from the size of the input.
+
+    The jobs shuffle a few narrow columns, about a tenth of the input or less.
+    100 TB then gives 50,000 partitions; adaptive execution merges those that
+    turn out small. Never below two per core.
+    """
+    needed = math.ceil(input_bytes * shuffled_share / partition_bytes)
+    partitions = max(needed, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster's spark.checkpoint.dir.
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from seqtable import session
 from seqtable.operators import ordered
 
 
@@ -76,3 +77,20 @@ def test_dataset_position(spark, width):
     got = ordered.with_dataset_position(frame, "t", "id", "place", width).collect()
     expected = {i: n for n, (t, i) in enumerate(sorted((t, i) for i, t in rows))}
     assert {r.id: r.place for r in got} == expected
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 5, 1000])
+def test_keep_sequences(spark, sequences, chunk):
+    frame, rows = sequences
+    kept = spark.createDataFrame([("hot", 200), ("b", 5)], "key string, n bigint")
+    got = ordered.keep_sequences(frame, "key", "pos", kept, "n", chunk).collect()
+    assert sorted((r.key, r.pos) for r in got) == sorted((k, p) for k, p, _, _ in rows if k in ("hot", "b"))
+
+
+def test_shuffles_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 100 * 10**12) == 50_000
+        assert session.size_shuffles(spark, 10) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
