@@ -164,7 +164,7 @@ def text_normal_forms(spark: SparkSession, folder: str) -> DataFrame:
         F.length(plain).alias("text_length"),
         F.sha2(folded, 256).alias("folded_sha256"),
         F.length(folded).alias("folded_length"),
-        text.word_count(body).alias("words"),
+        text.words_in_folded(folded).alias("words"),
         text.slug(F.col("source")).alias("source_slug"),
         text.unquote(F.concat(F.lit(' "'), F.col("lang"), F.lit('" '))).alias("lang"),
     )
