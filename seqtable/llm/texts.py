@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text handled at once in a task; a longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -23,12 +24,6 @@ def slices(batch: pa.RecordBatch, text: int, most: int = SLICE_BYTES) -> Iterato
         start = stop
 
 
-def to_arrow(field: T.StructField) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(field.dataType, timezone="UTC")
-
-
 def map_texts(
     frame: DataFrame, keep: list[str], text: str, made: str, prepare: Callable[[], Callable[[pa.Array], list]]
 ) -> DataFrame:
@@ -41,7 +36,7 @@ def map_texts(
     chosen = frame.select(*[frame[c] for c in keep], frame[text].alias("__text"))
     added = T._parse_datatype_string(made)
     out = T.StructType(chosen.schema.fields[:-1] + added.fields)
-    kinds = [to_arrow(f) for f in added.fields]
+    kinds = [to_arrow_type(f.dataType) for f in added.fields]
     at = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
