@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.llm import byte_bpe
+from seqtable.llm import byte_bpe, credentials
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents: counts and digest of the base spans, and the list of all spans."""
+    found = credentials.scan(table(spark, folder, "documents"), ["doc_id"])
+    spans, of_kind = F.col("spans"), credentials.of_kind
+    return found.select(
+        "doc_id",
+        *[F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in credentials.BASE],
+        F.sha2(credentials.listed(of_kind(spans, *credentials.BASE)), 256).alias("base_sha256"),
+        credentials.listed(spans).alias("spans"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE of all documents: number of tokens, digests of the ids and of the decoded bytes."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +37,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
