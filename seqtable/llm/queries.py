@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.llm import byte_bpe, credentials
+from seqtable.llm import byte_bpe, credentials, language
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from those whose checksum leaves another remainder than 0."""
+    documents = table(spark, folder, "documents")
+    held_out = language.held_out(F.col("doc_id"), 5, 0)
+    model = language.fit(documents.filter(~held_out), public_tokenizers.path("piece_bpe_32k.model"))
+    found = language.predict(documents, model, ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents: counts and digest of the base spans, and the list of all spans."""
     found = credentials.scan(table(spark, folder, "documents"), ["doc_id"])
@@ -37,6 +46,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_language": op6_language,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
