@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.llm import byte_bpe, credentials, language
+from seqtable.llm import byte_bpe, contamination, credentials, language
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,49 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents that stand in 13-word windows of the benchmark."""
+    found = contamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+    hits, items = F.col("hits"), F.col("items")
+    return found.select(
+        "doc_id",
+        "n_words",
+        contamination.n_hit(hits).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        contamination.contaminated(hits, F.col("n_words")).alias("contaminated"),
+    )
+
+
+OP7_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+    FROM benchmark
+), wins AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i + 1:i + 13], ' ') AS win
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+    SELECT doc_id, i, n, array_to_string(w[i + 1:i + n], ' ') AS win
+    FROM (SELECT doc_id, w, n, unnest(range(greatest(len(w) - n + 1, 0))) AS i FROM d, (SELECT DISTINCT n FROM wins))
+), hits AS (
+    SELECT doc_id, item_id, i, n FROM dw JOIN wins USING (n, win)
+), n_hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), n_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)
+"""
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents: counts and digest of the base spans, and the list of all spans."""
     found = credentials.scan(table(spark, folder, "documents"), ["doc_id"])
@@ -47,7 +90,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op6_language": op6_language,
+    "op7_contamination": op7_contamination,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_contamination": OP7_SQL,
+}

@@ -33,7 +33,7 @@ def map_texts(
     array of texts into the made columns (lists, numpy or Arrow arrays). One row
     comes out for each row that goes in.
     """
-    chosen = frame.select(*[frame[c] for c in keep], frame[text].alias("__text"))
+    chosen = frame.select(*[frame[c] for c in keep], frame[text].alias("_".join(["_", *keep])))
     added = T._parse_datatype_string(made)
     out = T.StructType(chosen.schema.fields[:-1] + added.fields)
     kinds = [to_arrow_type(f.dataType) for f in added.fields]
