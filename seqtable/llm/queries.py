@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.llm import byte_bpe, contamination, credentials, language
+from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,38 @@ FROM d LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)
 """
 
 
+def op8_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles have a similarity of 0.85 or more."""
+    found = near_dups.groups(table(spark, folder, "documents"), size=3, part=85, whole=100)
+    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", same.alias("kept"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^ \t\n\x0B\f\r]+'), []) AS w
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 3], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT a, b
+    FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL) l
+    JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * l.n >= 85 * (p.n + q.n - l.n)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM d
+    UNION
+    SELECT doc_id, b FROM reach JOIN links ON a = other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents: counts and digest of the base spans, and the list of all spans."""
     found = credentials.scan(table(spark, folder, "documents"), ["doc_id"])
@@ -91,9 +123,11 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op6_language": op6_language,
     "op7_contamination": op7_contamination,
+    "op8_near_dups": op8_near_dups,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op7_contamination": OP7_SQL,
+    "op8_near_dups": OP8_SQL,
 }
