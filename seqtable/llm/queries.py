@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups
+from seqtable import session
+from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents written to coded files in order of doc_id, and what is read back from them."""
+    files = session.new_folder(spark, "tokens")
+    token_files.write(table(spark, folder, "documents"), files, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    found = token_files.read(spark, files, token_files.checksum, "ids_crc32 bigint")
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of all documents, learned from those whose checksum leaves another remainder than 0."""
     documents = table(spark, folder, "documents")
@@ -121,6 +130,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
     "op6_language": op6_language,
     "op7_contamination": op7_contamination,
     "op8_near_dups": op8_near_dups,
