@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable import session
-from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, token_files
+from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,14 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learned from labels whose checksum leaves another remainder than 1."""
+    documents, held_out = table(spark, folder, "documents"), language.held_out(F.col("doc_id"), 3, 1)
+    network = quality.fit(documents, table(spark, folder, "labels").filter(~held_out))
+    found = quality.score(documents, network, ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of all documents, learned from those whose checksum leaves another remainder than 0."""
     documents = table(spark, folder, "documents")
@@ -131,6 +139,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
+    "op3_quality": op3_quality,
     "op6_language": op6_language,
     "op7_contamination": op7_contamination,
     "op8_near_dups": op8_near_dups,
