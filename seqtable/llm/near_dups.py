@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from seqtable import session
 from seqtable.llm.graph import components
 from seqtable.llm.tables import mixed
-from seqtable.llm.texts import map_texts
+from seqtable.llm.texts import groups_of, map_texts
 from seqtable.llm.words import SOLID, runs, words
 
 ROWS, MISS = 6, 1e-6
@@ -189,31 +189,13 @@ def compare_cells(cells: DataFrame, part: int, whole: int) -> DataFrame:
     """Links (a, b) from rows (cluster, i, j, side, row, bands, shingles), sorted by cell within partitions."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        current = None
-
-        def compared():
-            rows = pa.Table.from_batches(held).combine_chunks()
+        for rows in groups_of(batches, 3):
+            rows = rows.combine_chunks()
             name = rows["row"].to_numpy()
             bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(name), -1)
-            i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-            cell = Cell(rows["side"].to_numpy(), bands, rows["shingles"].to_pylist(), i == j, part, whole)
+            cell = Cell(rows["side"].to_numpy(), bands, rows["shingles"].to_pylist(), rows["i"][0] == rows["j"][0], part, whole)
             pairs = np.array(list(cell.links()), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(name[pairs[:, 0]]), pa.array(name[pairs[:, 1]])], names=["a", "b"])
-
-        for batch in batches:
-            names = zip(batch["cluster"].to_pylist(), batch["i"].to_pylist(), batch["j"].to_pylist(), strict=True)
-            start = 0
-            for at, name in enumerate(names):
-                if name != current:
-                    if at > start:
-                        held.append(batch.slice(start, at - start))
-                    if held:
-                        yield compared()
-                    held, current, start = [], name, at
-            held.append(batch.slice(start))
-        if held:
-            yield compared()
+            yield pa.RecordBatch.from_arrays([pa.array(name[pairs[:, 0]]), pa.array(name[pairs[:, 1]])], names=["a", "b"])
 
     return cells.mapInArrow(run, "a bigint, b bigint")
 

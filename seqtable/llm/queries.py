@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable import session
-from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, quality, token_files
+from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, neighbours, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors found of each vector whose id is divisible by 100."""
+    return neighbours.search(table(spark, folder, "embeddings"), every=100, k=10)
+
+
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents written to coded files in order of doc_id, and what is read back from them."""
     files = session.new_folder(spark, "tokens")
@@ -138,6 +143,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
     "op6_language": op6_language,

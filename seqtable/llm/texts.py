@@ -68,6 +68,24 @@ def map_rows(
     return frame.mapInArrow(run, frame.schema)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows with equal values in the first `keys` columns; rows come sorted by these."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        start = 0
+        for at, name in enumerate(zip(*(batch.column(k).to_pylist() for k in range(keys)), strict=True)):
+            if name != current:
+                if at > start:
+                    held.append(batch.slice(start, at - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, current, start = [], name, at
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts in one array, and the offsets of the texts in it; null counts as empty."""
     texts = pc.fill_null(texts, "")
