@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable import session
-from seqtable.llm import byte_bpe, contamination, credentials, language, near_dups, neighbours, quality, token_counts, token_files
+from seqtable.llm import byte_bpe, contamination, credentials, language, licences, near_dups, neighbours, quality, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Known licences and notices in all documents."""
+    return licences.scan(table(spark, folder, "documents"), "doc_id")
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of all documents under a unigram model over a public vocabulary."""
     return token_counts.count(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
@@ -151,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
+    "op4_licences": op4_licences,
     "op5_token_counts": op5_token_counts,
     "op6_language": op6_language,
     "op7_contamination": op7_contamination,
