@@ -163,7 +163,8 @@ class Join:
         return np.concatenate([*windows, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*places, np.zeros(0, np.int64)]).astype(np.int64)
 
 
-FOUND = "__n_words bigint, __hits array<struct<start:int,end:int>>, __items array<string>"
+STATE = ["__n_words", "__hits", "__items"]
+MADE = "__n_words bigint, __hits array<struct<start:int,end:int>>, __items array<string>"
 
 
 def find(
@@ -171,26 +172,38 @@ def find(
     window: int = WINDOW, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Columns `keep`, then n_words, hits (runs of hit words: start, end) and items (ids as text, sorted) of each document."""
+    found = _search(documents, benchmark, keep, text, item_key, item_text, window, block_words)
+    return found.select(
+        *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(s).alias(s.removeprefix("__")) for s in STATE],
+    )
+
+
+def keep_clean(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows, all columns, that are not contaminated."""
+    found = _search(documents, benchmark, documents.columns, text, item_key, item_text, WINDOW, BLOCK_WORDS)
+    clean = found.filter(~contaminated(F.col("__hits"), F.col("__n_words")))
+    return clean.select(*[F.col(f"__keep{i}").alias(c) for i, c in enumerate(documents.columns)])
+
+
+def _search(documents: DataFrame, benchmark: DataFrame, keep: list[str], text: str, item_key: str, item_text: str, window: int, block_words: int) -> DataFrame:
+    """Columns `keep` as __keep0 and so on, and what was found; the text goes along only as long as it is needed."""
     kept = [f"__keep{i}" for i in range(len(keep))]
-    frame = documents.select(*[documents[c].alias(k) for c, k in zip(keep, kept, strict=True)], documents[text].alias("__text"))
-    state = ["__n_words", "__hits", "__items"]
-    scanned = False
+    frame = documents.select(*[documents[c].alias(k) for c, k in zip(keep, kept, strict=True)], *([] if text in keep else [documents[text].alias("__text")]))
+    column = kept[keep.index(text)] if text in keep else "__text"
+    found: list[str] = []
+    waiting: Block | None = None
     for block in blocks(benchmark, item_key, item_text, window, block_words):
         count_shingles(documents, block, text)
-        frame = _scan(frame, [*kept, "__text", *(state if scanned else [])], block)
-        scanned = True
-    if not scanned:
-        frame = _scan(frame, [*kept, "__text"], None)
-    return frame.select(
-        *[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)],
-        *[F.col(s).alias(s.removeprefix("__")) for s in state],
-    )
+        if waiting:
+            frame = _scan(frame, list(dict.fromkeys([*kept, column])), column, found, waiting)
+            found = STATE
+        waiting = block
+    return _scan(frame, kept, column, found, waiting)
 
 
-def _scan(frame: DataFrame, columns: list[str], block: Block | None) -> DataFrame:
-    """Add what the windows of one block find to what the blocks before have found."""
-    again = "__hits" in columns
-    carried = [c for c in columns if c not in ("__n_words", "__hits", "__items")]
+def _scan(frame: DataFrame, kept: list[str], text: str, found: list[str], block: Block | None) -> DataFrame:
+    """Columns `kept`, and what the windows of one block find joined to what the blocks before have `found`."""
 
     def prepare():
         join = Join(block) if block else None
@@ -211,12 +224,11 @@ def _scan(frame: DataFrame, columns: list[str], block: Block | None) -> DataFram
 
         return work
 
-    if not again:
-        return map_texts(frame, carried, "__text", FOUND, prepare)
-    names = FOUND.replace("__", "__new_")
-    frame = map_texts(frame, columns, "__text", names, prepare)
+    if not found:
+        return map_texts(frame, kept, text, MADE, prepare)
+    frame = map_texts(frame, [*kept, *found], text, MADE.replace("__", "__new_"), prepare)
     return frame.select(
-        *carried,
+        *kept,
         "__n_words",
         _union(F.concat("__hits", "__new_hits")).alias("__hits"),
         F.array_sort(F.array_union("__items", "__new_items")).alias("__items"),

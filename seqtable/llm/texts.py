@@ -33,18 +33,19 @@ def map_texts(
     array of texts into the made columns (lists, numpy or Arrow arrays). One row
     comes out for each row that goes in.
     """
-    chosen = frame.select(*[frame[c] for c in keep], frame[text].alias("_".join(["_", *keep])))
+    n = len(keep)
+    at = keep.index(text) if text in keep else n
+    chosen = frame.select(*[frame[c] for c in keep], *([frame[text].alias("_".join(["_", *keep]))] if at == n else []))
     added = T._parse_datatype_string(made)
-    out = T.StructType(chosen.schema.fields[:-1] + added.fields)
+    out = T.StructType(chosen.schema.fields[:n] + added.fields)
     kinds = [to_arrow_type(f.dataType) for f in added.fields]
-    at = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
             for part in slices(batch, at):
                 columns = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(work(part.column(at)), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(part.columns[:at] + columns, names=out.names)
+                yield pa.RecordBatch.from_arrays(part.columns[:n] + columns, names=out.names)
 
     return chosen.mapInArrow(run, out)
 
