@@ -7,7 +7,9 @@ import sys
 import time
 
 from seqtable import session
-from seqtable.plans.registry import QUERIES
+from seqtable.plans import registry, second
+
+QUERIES = registry.QUERIES | second.QUERIES
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

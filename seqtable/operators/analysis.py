@@ -68,20 +68,18 @@ def failed_goals(actions: DataFrame) -> DataFrame:
 def skipped_steps(actions: DataFrame, limit: int = K.SHORTCUT_MAX_ACTIONS) -> DataFrame:
     """Trajectories that reached their goal in few actions, with the sequence of types.
 
-    Only the first ``limit`` positions are collected, which is all of a short one.
+    Trajectories are counted first; only the rows of short ones are collected,
+    whatever their positions are.
     """
-    early = F.when(F.col("pos") < limit, F.struct("pos", "action_type"))
-    return (
-        actions.where(_flag("goal_achieved"))
-        .groupBy("trajectory_id", "goal")
-        .agg(F.count("pos").alias("action_count"), F.collect_list(early).alias("_steps"))
-        .where(F.col("action_count") <= limit)
-        .select(
-            "trajectory_id",
-            "goal",
-            "action_count",
-            F.array_join(F.array_sort("_steps")["action_type"], " -> ").alias("actions"),
-        )
+    reached = actions.where(_flag("goal_achieved"))
+    short = reached.groupBy("trajectory_id", "goal").agg(F.count("pos").alias("action_count")).where(F.col("action_count") <= limit)
+    steps = (
+        reached.join(short.select("trajectory_id"), "trajectory_id", "left_semi")
+        .groupBy("trajectory_id")
+        .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "action_type")))).alias("_steps"))
+    )
+    return short.join(steps, "trajectory_id").select(
+        "trajectory_id", "goal", "action_count", F.array_join(F.col("_steps")["action_type"], " -> ").alias("actions")
     )
 
 

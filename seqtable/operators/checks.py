@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from seqtable import constants as K
 from seqtable.functions import text
-from seqtable.operators.ordered import with_dataset_position, with_last_known, with_previous
+from seqtable.operators.ordered import with_last_known, with_previous
 from seqtable.operators.shape import time_us
 
 ActionRules = Mapping[str, Callable[[], Column]]
@@ -136,13 +136,13 @@ def validate(actions: DataFrame, rules: ActionRules = ACTION_RULES) -> DataFrame
 
 
 def keep_valid(actions: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Action rows of the valid trajectories.
+    """Action rows of the valid trajectories, at whatever positions.
 
-    A valid trajectory has at most ten actions, so rows at later positions need
-    not enter the join, which leaves no key with more than ten rows.
+    Adaptive execution splits the partitions of a long (hence invalid) trajectory
+    in this join; what comes out has ten rows per trajectory at most.
     """
     valid = verdicts.where("valid").select("trajectory_id")
-    return actions.where(F.col("pos") < K.MAX_ACTIONS).join(valid, "trajectory_id", "left_semi")
+    return actions.join(valid, "trajectory_id", "left_semi")
 
 
 def rejected(verdicts: DataFrame) -> DataFrame:
@@ -168,14 +168,19 @@ def reason_counts(verdicts: DataFrame) -> DataFrame:
 
 
 def first_errors(verdicts: DataFrame, n: int = K.REPORT_ERRORS) -> DataFrame:
-    """The first failing trajectories with their position in the dataset."""
-    placed = with_dataset_position(verdicts, "start_us", "trajectory_id", "index")
-    return (
-        placed.where("not valid")
-        .orderBy("index")
-        .limit(n)
-        .select("index", "trajectory_id", F.array_join("reasons", ",").alias("reasons"))
-    )
+    """The first failing trajectories with their position in the dataset, unknown times first.
+
+    Only the n chosen rows are placed (they pass the driver): each by counting the
+    rows before it, in one aggregate over all verdicts that numbers nothing.
+    """
+    spark = verdicts.sparkSession
+    at = F.coalesce("start_us", F.lit(-(2**63)))
+    first = verdicts.where("not valid").select(at.alias("at"), "trajectory_id", F.array_join("reasons", ",").alias("reasons"))
+    rows = first.orderBy("at", "trajectory_id").limit(n).collect()
+    before = [F.count_if((at < r["at"]) | ((at == r["at"]) & (F.col("trajectory_id") < r.trajectory_id))) for r in rows]
+    index = verdicts.agg(*[c.alias(f"n{i}") for i, c in enumerate(before)]).first() if rows else []
+    found = [(i, r.trajectory_id, r.reasons) for i, r in zip(index, rows)]
+    return spark.createDataFrame(found, "index bigint, trajectory_id string, reasons string")
 
 
 def warnings(actions: DataFrame) -> DataFrame:

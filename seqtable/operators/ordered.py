@@ -3,7 +3,9 @@
 A window over ``key`` sends all rows of one key to one task, so a single
 sequence that holds a large share of the table would stop the job. These
 helpers window over (key, chunk of positions) instead and carry the little that
-crosses a chunk border separately. Positions count from 0 without gaps.
+crosses a chunk border separately. Positions count from 0 without gaps, as the
+readers, the conversion and the session view number them; ``close_gaps``
+establishes that for other input.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,33 +19,66 @@ def _chunk_of(pos: str, chunk: int) -> Column:
 
 
 def keep_sequences(
-    df: DataFrame, key: str, pos: str, kept: DataFrame, length: str, chunk: int = CHUNK
+    df: DataFrame, key: str, pos: str, kept: DataFrame, last_pos: str, chunk: int = CHUNK
 ) -> DataFrame:
-    """Rows of the sequences listed in ``kept`` (one row per key, with the sequence's length).
+    """Rows of the sequences listed in ``kept`` (one row per key, with the sequence's last position).
 
     The join is on key and chunk: the listed key is repeated once per chunk of its
-    sequence, so a long sequence is filtered by many tasks.
+    sequence, so a long sequence is filtered by many tasks. Gaps do no harm.
     """
-    last = F.expr(f"cast(({length} - 1) div {chunk} as int)")
+    last = F.expr(f"cast({last_pos} div {chunk} as int)")
     wanted = kept.select(key, F.explode(F.sequence(F.lit(0), last)).alias("_chunk"))
     rows = df.withColumn("_chunk", _chunk_of(pos, chunk).cast("int"))
     return rows.join(wanted, [key, "_chunk"], "left_semi").drop("_chunk")
 
 
+def close_gaps(df: DataFrame, key: str, pos: str, chunk: int = CHUNK) -> DataFrame:
+    """Number the rows of each sequence from 0 without gaps, in the order they had.
+
+    The helpers below rely on such positions; use this on input that may lack some.
+    """
+    parts = df.withColumn("_chunk", _chunk_of(pos, chunk))
+    totals = parts.groupBy(key, "_chunk").agg(F.count("*").alias("_total"))
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(key, "_chunk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(key, "_chunk").orderBy(pos)
+    number = F.row_number().over(inside) - 1 + F.col("_before")
+    return parts.join(carried, [key, "_chunk"]).withColumn(pos, number.cast(df.schema[pos].dataType)).drop("_chunk", "_before")
+
+
 def with_previous(
     df: DataFrame, key: str, pos: str, columns: dict[str, str], chunk: int = CHUNK
 ) -> DataFrame:
-    """Add the previous row's value of each column, as {column: new name}.
+    """Add the previous row's value of each column, as {column: new name}."""
+    return with_recent(df, key, pos, {old: [new] for old, new in columns.items()}, chunk)
 
-    The last row of a chunk is sent to the next chunk as well, where it serves
-    as predecessor and is then removed: one shuffle, 1/chunk extra rows.
+
+def with_recent(
+    df: DataFrame, key: str, pos: str, columns: dict[str, list[str]], chunk: int = CHUNK
+) -> DataFrame:
+    """Add the values that the rows before have, nearest first, as {column: new names}.
+
+    The last rows of a chunk are sent to the next chunk as well, where they serve
+    as predecessors and are then removed: one shuffle, few extra rows.
     """
+    n = max(map(len, columns.values()))
+    own = _chunk_of(pos, chunk)
+    late = F.expr(f"{pos} % {chunk} >= {chunk - n}")
+    targets = F.when(late, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = df.select("*", F.explode(targets).alias("_chunk"))
+    order = Window.partitionBy(key, "_chunk").orderBy(pos)
+    added = {new: F.lag(old, i).over(order) for old, names in columns.items() for i, new in enumerate(names, 1)}
+    return spread.withColumns(added).where(F.col("_chunk") == own).drop("_chunk")
+
+
+def with_next(df: DataFrame, key: str, pos: str, columns: dict[str, str], chunk: int = CHUNK) -> DataFrame:
+    """Add the next row's value of each column, as {column: new name}; mirrors :func:`with_previous`."""
     own = _chunk_of(pos, chunk)
-    last_in_chunk = F.expr(f"{pos} % {chunk} = {chunk - 1}")
-    targets = F.when(last_in_chunk, F.array(own, own + 1)).otherwise(F.array(own))
+    first = F.expr(f"{pos} % {chunk} = 0")
+    targets = F.when(first, F.array(own, own - 1)).otherwise(F.array(own))
     spread = df.select("*", F.explode(targets).alias("_chunk"))
     order = Window.partitionBy(key, "_chunk").orderBy(pos)
-    added = {new: F.lag(old).over(order) for old, new in columns.items()}
+    added = {new: F.lead(old).over(order) for old, new in columns.items()}
     return spread.withColumns(added).where(F.col("_chunk") == own).drop("_chunk")
 
 
@@ -94,29 +129,6 @@ def _time_bucket(time_us: str, width_us: int) -> Column:
     return F.expr(f"({time_us} - pmod({time_us}, {width_us})) div {width_us}")
 
 
-def with_dataset_position(
-    df: DataFrame, time_us: str, tie: str, name: str, width_us: int = 60_000_000
-) -> DataFrame:
-    """0-based position of each row in the order (time, tie) of the whole table.
-
-    Rows are counted per time bucket; only these counts pass through one sorted
-    window, and there are never more of them than minutes in the data's span.
-    """
-    parts = df.withColumn("_bucket", _time_bucket(time_us, width_us))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        parts.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(time_us, tie)
-    return (
-        parts.join(offsets, "_bucket")
-        .withColumn(name, (F.row_number().over(inside) - 1 + F.col("_before")).cast("bigint"))
-        .drop("_bucket", "_before")
-    )
-
-
 def with_sessions(
     events: DataFrame,
     user: str,

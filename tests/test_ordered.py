@@ -69,16 +69,6 @@ def test_session_bucket_wider_than_gap_is_refused(spark):
         ordered.with_sessions(frame, "u", "t", "id", gap_us=5, width_us=6)
 
 
-@pytest.mark.parametrize("width", [1, 7, 10_000])
-def test_dataset_position(spark, width):
-    rng = random.Random(5)
-    rows = [(f"x{i}", rng.randint(-30, 30)) for i in range(100)]
-    frame = spark.createDataFrame(rows, "id string, t bigint")
-    got = ordered.with_dataset_position(frame, "t", "id", "place", width).collect()
-    expected = {i: n for n, (t, i) in enumerate(sorted((t, i) for i, t in rows))}
-    assert {r.id: r.place for r in got} == expected
-
-
 @pytest.mark.parametrize("chunk", [1, 4, 5, 1000])
 def test_keep_sequences(spark, sequences, chunk):
     frame, rows = sequences
