@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from seqtable import constants as K
 from seqtable.schema import ACTION_COLUMNS, ACTION_TYPES_BY_COLUMN, FLAT_HEADER
 
-# Longest array put into one nested row; longer sequences get several rows.
-PART_LENGTH = 1000
+PART_LENGTH = 1000  # of the layout that cuts long trajectories into numbered parts
 
 
 def time_us(timestamp: Column | str = "timestamp") -> Column:
@@ -29,10 +28,8 @@ def is_backtrack() -> Column:
 
 
 def is_error() -> Column:
-    """Target not visible or not clickable; scroll and wait are never clickable."""
-    return ~F.coalesce("element_visible", F.lit(False)) | ~F.coalesce(
-        "element_clickable", F.lit(False)
-    )
+    """Target not visible or not clickable; scroll and wait are never clickable. An unknown flag is no error."""
+    return ~F.coalesce("element_visible", F.lit(True)) | ~F.coalesce("element_clickable", F.lit(True))
 
 
 def _count_if(condition: Column) -> Column:
@@ -43,16 +40,24 @@ def measure(actions: DataFrame, header: Sequence[str] = ()) -> DataFrame:
     """One row per trajectory: counts and first/last times.
 
     Header columns are grouping keys: they are constant within a trajectory, and
-    text in an aggregation buffer would force a sort-based aggregate.
+    text in an aggregation buffer would force a sort-based aggregate. Stored start,
+    end and duration are used where rows carry them; else they follow from the actions.
     """
     at = time_us()
+    if "start_time" in actions.columns:
+        start, end = F.max(time_us("start_time")), F.max(time_us("end_time"))
+        duration = F.max(F.round(F.col("duration") * 1e6).try_cast("bigint"))
+    else:
+        start, end = F.min(at), F.max(at)
+        duration = end - start
     targeted = is_error() & ~F.col("action_type").isin("scroll", "wait")
     return actions.groupBy("trajectory_id", *header).agg(
         F.count("*").alias("action_count"),
         F.min_by(at, "pos").alias("first_us"),
         F.max_by(at, "pos").alias("last_us"),
-        F.min(at).alias("start_us"),
-        F.max(at).alias("end_us"),
+        start.alias("start_us"),
+        end.alias("end_us"),
+        duration.alias("duration_us"),
         _count_if(is_backtrack()).alias("backtrack_count"),
         _count_if(is_error()).alias("error_count"),
         _count_if(targeted).alias("error_count_targeted"),
@@ -78,19 +83,21 @@ def trajectory_metrics(actions: DataFrame, header: Sequence[str] = ()) -> DataFr
         "backtrack_count",
         "error_count",
         "error_count_targeted",
-        ((F.col("end_us") - F.col("start_us")) / F.lit(1e6)).alias("duration"),
+        (F.col("duration_us") / F.lit(1e6)).alias("duration"),
     )
 
 
 def flatten(trajectories: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Nested trajectories to flat rows; ``pos`` keeps the list order.
 
-    Trajectories without actions vanish unless ``keep_empty`` is set.
+    Trajectories without actions vanish unless ``keep_empty`` is set. Their own
+    session becomes ``trajectory_session_id``, beside that of each action.
     """
     header = [c for c in trajectories.columns if c not in ("actions", "session_id")]
+    own = [F.col("session_id").alias("trajectory_session_id")] if "session_id" in trajectories.columns else []
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    rows = trajectories.select(*header, explode("actions").alias("pos", "_action"))
-    return rows.select(*header, "pos", "_action.*")
+    rows = trajectories.select(*header, *own, explode("actions").alias("pos", "_action"))
+    return rows.select(*[c for c in rows.columns if c != "_action"], "_action.*")
 
 
 def flat_table(actions: DataFrame) -> DataFrame:
@@ -110,17 +117,17 @@ def _action_struct() -> Column:
 
 
 def nest(
-    actions: DataFrame, header: Sequence[str] = (), part_length: int = PART_LENGTH
+    actions: DataFrame, header: Sequence[str] = (), part_length: int | None = PART_LENGTH
 ) -> DataFrame:
     """Flat rows to arrays of actions in ``pos`` order.
 
-    Each row holds at most ``part_length`` actions and ``part`` numbers the rows
-    of one trajectory, so a trajectory of any length stays whole without ever
-    becoming one huge value.
+    The key of the result is (trajectory_id, part): a row holds the actions at
+    ``part_length`` positions, so a trajectory of any length stays whole without
+    becoming one huge value. With None a trajectory is one row, and has no ``part``.
     """
+    rows = actions if part_length is None else actions.withColumn("part", F.expr(f"cast(pos div {part_length} as int)"))
     return (
-        actions.withColumn("part", F.expr(f"cast(pos div {part_length} as int)"))
-        .groupBy("trajectory_id", *header, "part")
+        rows.groupBy("trajectory_id", *header, *([] if part_length is None else ["part"]))
         .agg(F.array_sort(F.collect_list(F.struct("pos", _action_struct().alias("action")))).alias("_sorted"))
         .withColumn("actions", F.col("_sorted.action"))
         .drop("_sorted")
@@ -138,8 +145,8 @@ def unnest(parts: DataFrame, part_length: int = PART_LENGTH) -> DataFrame:
 def to_records(valid_actions: DataFrame) -> DataFrame:
     """Complete 18-column trajectory records, one row each.
 
-    For validated trajectories only: these have at most ten actions, which is
-    what bounds the arrays built here.
+    Meant for validated trajectories, which have at most ten actions; a longer one
+    is one record as well. Stored times, session and success indicators are kept.
     """
     header = [
         "workflow_type", "domain", "user_type", "device_type", "browser_type",
@@ -151,28 +158,39 @@ def to_records(valid_actions: DataFrame) -> DataFrame:
         start, end = F.col("start_time"), F.col("end_time")
     else:
         start, end = F.array_min("actions.timestamp"), F.array_max("actions.timestamp")
+    span = time_us(end) - time_us(start)
+    if "duration" in valid_actions.columns:
+        header.append("duration")
+        span = F.round(F.col("duration") * 1e6).try_cast("bigint")
+    session, indicators = F.element_at("actions", 1)["session_id"], F.array().cast("array<string>")
+    if "trajectory_session_id" in valid_actions.columns:
+        header.append("trajectory_session_id")
+        session = F.coalesce("trajectory_session_id", session)
+    if "success_indicators" in valid_actions.columns:
+        header.append("success_indicators")
+        indicators = F.coalesce("success_indicators", indicators)
     last, first = (time_us(F.element_at("actions", i)["timestamp"]) for i in (-1, 1))
     mean_us = (last - first) / F.greatest(n - 1, F.lit(1))
-    bad = F.filter("actions", lambda a: ~a["element_visible"] | ~a["element_clickable"])
+    known = lambda flag: F.coalesce(flag, F.lit(True))
+    bad = F.filter("actions", lambda a: ~known(a["element_visible"]) | ~known(a["element_clickable"]))
     back = F.filter("actions", lambda a: a["action_type"].isin(K.BACKTRACK_TYPES))
     return (
-        nest(valid_actions, header)
-        .withColumn("session_id", F.element_at("actions", 1)["session_id"])
+        nest(valid_actions, header, None)
         .select(
             "trajectory_id",
-            "session_id",
+            session.alias("session_id"),
             "actions",
             "workflow_type",
             "domain",
             start.alias("start_time"),
             end.alias("end_time"),
-            ((time_us(end) - time_us(start)) / F.lit(1e6)).alias("duration"),
+            (span / F.lit(1e6)).alias("duration"),
             "user_type",
             "device_type",
             "browser_type",
             "goal",
             "goal_achieved",
-            F.array().cast("array<string>").alias("success_indicators"),
+            indicators.alias("success_indicators"),
             n.alias("action_count"),
             F.when(n < 2, 0.0).otherwise(mean_us / F.lit(1e6)).alias("avg_action_interval"),
             F.size(back).alias("backtrack_count"),

@@ -25,7 +25,7 @@ def dataset_statistics(measures: DataFrame) -> DataFrame:
         actions.alias("n_actions"),
         _ratio(actions, n).alias("avg_trajectory_length"),
         _ratio(F.sum(F.col("goal_achieved").cast("bigint")), n).alias("goal_achievement_rate"),
-        (_ratio(F.sum(F.col("end_us") - F.col("start_us")), n) / 1e6).alias("avg_trajectory_duration_seconds"),
+        (_ratio(F.sum("duration_us"), n) / 1e6).alias("avg_trajectory_duration_seconds"),
         (_ratio(gap_us, gaps) / 1e6).alias("avg_action_interval_seconds"),
         _ratio(F.sum("intentional_count"), actions).alias("intentional_action_ratio"),
         _ratio(F.sum("error_count"), actions).alias("error_rate"),

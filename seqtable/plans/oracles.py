@@ -99,7 +99,7 @@ EVENTS = """WITH ev AS (
   FROM events),
 act AS (
   SELECT *, CASE
-    WHEN k = 99 THEN 'tap'
+    WHEN k = 99 THEN 'tap' WHEN k = 89 THEN 'forward' WHEN k = 79 THEN 'hover' WHEN k = 69 THEN 'refresh' WHEN k = 59 THEN 'drag_drop'
     WHEN event_type = 'view' THEN CASE k % 10 WHEN 0 THEN 'back' WHEN 1 THEN 'scroll' WHEN 2 THEN 'wait' ELSE 'navigate' END
     WHEN event_type = 'signup' THEN CASE k % 2 WHEN 0 THEN 'type' ELSE 'submit' END
     WHEN event_type = 'purchase' THEN 'select'
@@ -132,9 +132,9 @@ fx AS (
     {_GOALS} AS goal,
     (user_id + sess) % 3 <> 0 AS goal_achieved,
     ts_us / 1000.0::DOUBLE AS "timestamp",
-    CASE WHEN k = 97 THEN 'action_001' WHEN pos < 999 THEN 'action_' || lpad((pos + 1)::VARCHAR, 3, '0')
+    CASE WHEN k = 97 THEN 'action_001' WHEN k = 98 THEN '' WHEN pos < 999 THEN 'action_' || lpad((pos + 1)::VARCHAR, 3, '0')
       ELSE 'action_' || (pos + 1) END AS action_id,
-    CASE WHEN k = 96 THEN 'a[href="javascript:void(0)"]' WHEN action_type IN ('navigate', 'back', 'wait') THEN ''
+    CASE WHEN k = 96 THEN 'a[href="javascript:void(0)"]' WHEN k = 88 THEN repeat('x', 501) WHEN action_type IN ('navigate', 'back', 'wait') THEN ''
       WHEN action_type = 'scroll' THEN 'body' WHEN action_type = 'submit' THEN 'form' ELSE '#el-' || tix END AS element_selector,
     CASE WHEN k = 95 THEN 'ftp://bad' ELSE p.url END AS url,
     'Page ' || tix AS page_title,
@@ -150,7 +150,7 @@ fx AS (
     NOT (action_type IN ('scroll', 'wait') OR (event_type = 'error' AND k % 3 = 0)) AS element_clickable,
     'session_' || user_id || '_' || sess AS session_id,
     'tab_' || user_id AS tab_id
-  FROM placed LEFT JOIN pages p ON p.page_id = tix + 5 * (user_id % 3)),
+  FROM placed LEFT JOIN (SELECT page_id % 15 AS page_id, min(url) AS url FROM pages GROUP BY 1) p ON p.page_id = tix + 5 * (user_id % 3)),
 traj AS (
   SELECT trajectory_id, user_id, sess, workflow_type, domain, user_type, device_type, browser_type, goal, goal_achieved,
     count(*) AS n, min(ts_us) AS start_us, max(ts_us) AS end_us,
@@ -432,7 +432,7 @@ def _errors(kind: str, url: str, option_is_text: str, flag_is_text: str) -> str:
 
 _top = "CASE WHEN user_id % 11 = 0 THEN '" + K.RECORD_ERRORS["goal_achieved"].replace("'", "''") + "' END"
 RAW = ACTIONS + f""", raw AS (
-  SELECT *, trajectory_id || '#' || (pos // 1000) AS record_id, pos % 1000 AS i,
+  SELECT *, 'record_' || trajectory_id AS record_id, pos AS i,
     CASE WHEN k % 6 = 0 THEN upper(action_type) ELSE action_type END AS raw_type,
     CASE WHEN k % 11 <> 0 THEN url END AS raw_url,
     CASE WHEN k % 13 <> 0 THEN page_title END AS raw_title,

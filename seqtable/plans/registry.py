@@ -444,11 +444,9 @@ def _two_runs(spark: SparkSession, folder: str) -> str:
 @query
 def latest_run(spark: SparkSession, folder: str) -> DataFrame:
     root = _two_runs(spark, folder)
-    newest = jsonl.latest_run(jsonl.list_runs(spark, root))
-    stored = jsonl.read_trajectories(spark, f"{root}/run_id=*/main/part-*.json")
-    run = F.regexp_extract(F.col("_metadata.file_path"), r"/run_id=([^/]+)/main/", 1)
-    per_run = stored.groupBy(run.alias("run_id")).agg(F.count("*").alias("n_trajectories"))
-    return newest.join(per_run, "run_id").select("run_id", "n_trajectories")
+    newest = jsonl.latest_run(jsonl.list_runs(spark, root)).first()  # one row of the listing
+    rows = jsonl.read_run(spark, f"{root}/run_id={newest.run_id}")
+    return rows.agg(F.lit(newest.run_id).alias("run_id"), F.count_distinct("trajectory_id").alias("n_trajectories"))
 
 
 @query

@@ -74,6 +74,10 @@ def action_type() -> Column:
     )
     return (
         F.when(k == 99, "tap")
+        .when(k == 89, "forward")
+        .when(k == 79, "hover")
+        .when(k == 69, "refresh")
+        .when(k == 59, "drag_drop")
         .when(kind == "view", view)
         .when(kind == "signup", F.when(k % 2 == 0, "type").otherwise("submit"))
         .when(kind == "purchase", "select")
@@ -94,6 +98,7 @@ def _target_columns() -> dict[str, Column]:
     )
     selector = (
         F.when(k == 96, 'a[href="javascript:void(0)"]')
+        .when(k == 88, F.repeat(F.lit("x"), F.lit(501)))
         .when(act.isin("navigate", "back", "wait"), "")
         .when(act == "scroll", "body")
         .when(act == "submit", "form")
@@ -110,12 +115,11 @@ def event_actions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _site_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The URL per (site group, event type): at most 15 rows, whatever the size of ``pages``."""
+    """The URL per (site group, event type), from all pages: 15 rows, whatever the size of ``pages``."""
     n = len(EVENT_TYPES) * SITE_GROUPS
     return (
         table(spark, folder, "pages")
-        .where(F.col("page_id").between(0, n - 1))
-        .groupBy("page_id")
+        .groupBy(F.pmod("page_id", F.lit(n)).alias("page_id"))
         .agg(F.min("url").alias("page_url"))
     )
 
@@ -159,6 +163,7 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("ts_us") / 1000.0).alias("timestamp"),
         "action_type",
         F.when(k == 97, "action_001")
+        .when(k == 98, "")
         .when(F.col("pos") < 999, numbered)
         .otherwise(long_numbered)
         .alias("action_id"),
@@ -223,11 +228,8 @@ def raw_action_fields() -> list[Column]:
     return [c.alias(n) for n, c in fields.items()]
 
 
-RAW_PART = 1000
-
-
 def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored model responses: one text per session (per 1000 actions of a longer one).
+    """Stored model responses: one text per session.
 
     Some are fenced, some cut short, and the actions carry the usual defects:
     wrong case, missing or malformed URLs, numbers as text, flags as text.
@@ -238,8 +240,8 @@ def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
     broken = (user + sess) % 23 == 0
     keys = ["trajectory_id", "user_id", "sess", "workflow_type", "goal", "user_type", "device_type", "browser_type"]
     grouped = (
-        rows.select(*keys, "domain", "pos", "ts_us", F.expr(f"pos div {RAW_PART}").alias("part"), text.alias("text"))
-        .groupBy(*keys, "domain", "part")
+        rows.select(*keys, "domain", "pos", "ts_us", text.alias("text"))
+        .groupBy(*keys, "domain")
         .agg(
             F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("_items"),
             F.min("ts_us").alias("base_us"),
@@ -268,7 +270,7 @@ def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(whole)
     )
     return grouped.withColumn("body", body).select(
-        F.concat_ws("#", "trajectory_id", "part").alias("record_id"),
+        F.concat(F.lit("record_"), F.col("trajectory_id")).alias("record_id"),
         "workflow_type", "goal", "user_type", "device_type", "browser_type",
         (F.lit(K.MIN_ACTIONS) + (user + sess) % 8).cast("int").alias("num_actions"),
         F.floor(F.col("base_us") / 1000).cast("bigint").alias("base_ms"),

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable.functions import fields as fl
+from seqtable.functions import text
 from seqtable.schema import TRAJECTORY
 
 
@@ -34,7 +35,7 @@ def read_for_analysis(spark: SparkSession, path: str) -> DataFrame:
     A typed reader turns both into null, so lines are read as VARIANT here.
     Trajectories without actions keep one row with null ``pos``.
     """
-    line = spark.read.text(path).where(F.trim("value") != "")
+    line = spark.read.text(path).where(text.strip(F.col("value")) != "")
     record = F.parse_json("value")  # a line that is not JSON ends the job
     head = line.select(record.alias("r")).select(
         F.variant_get("r", "$.trajectory_id", "string").alias("trajectory_id"),
@@ -84,3 +85,11 @@ def list_runs(spark: SparkSession, root: str) -> DataFrame:
 def latest_run(runs: DataFrame) -> DataFrame:
     """The run changed last; equal times are decided by the later name."""
     return runs.orderBy(F.desc("changed"), F.desc("run_id")).limit(1)
+
+
+def read_run(spark: SparkSession, base: str) -> DataFrame:
+    """The main file of one run, of either format; trajectories or flat rows as they were stored."""
+    names = spark.read.format("binaryFile").load(f"{base}/main").select("path").where("path like '%.parquet'")
+    if names.limit(1).count():
+        return spark.read.parquet(f"{base}/main")
+    return read_trajectories(spark, f"{base}/main")

@@ -41,16 +41,16 @@ def write_flat(actions: DataFrame, path: str) -> None:
 def head(actions: DataFrame, n: int = K.SAMPLE_SIZE) -> DataFrame:
     """Action rows of the first n trajectories by start time, then id.
 
-    The ids are a top-n result, so the broadcast side has n rows at most.
+    Spark picks the join for the n ids.
     """
     first = shape.measure(actions).orderBy("start_us", "trajectory_id").limit(n)
-    return actions.join(F.broadcast(first.select("trajectory_id")), "trajectory_id", "left_semi")
+    return actions.join(first.select("trajectory_id"), "trajectory_id", "left_semi")
 
 
 def metadata(measures: DataFrame, config: dict) -> DataFrame:
     return measures.agg(
         F.lit(K.DATASET_VERSION).alias("dataset_version"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generation_date"),
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generation_date"),
         F.lit(json.dumps(config, sort_keys=True)).alias("generator_config"),
         F.count("*").alias("total_trajectories"),
         F.coalesce(F.sum("action_count"), F.lit(0)).alias("total_actions"),

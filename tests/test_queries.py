@@ -59,12 +59,12 @@ def test_known_profile(spark):
     assert reasons == {
         "ACTION_COUNT": 187, "START_NOT_BEFORE_END": 106, "UNKNOWN_ACTION_TYPE": 8, "BAD_URL": 9,
         "UNSAFE_SELECTOR": 4, "SELECT_WITHOUT_OPTION": 3, "COORDINATES_TOO_LARGE": 1,
-        "BAD_CONFIDENCE": 11, "DUPLICATE_ACTION_ID": 5,
+        "BAD_CONFIDENCE": 11, "DUPLICATE_ACTION_ID": 5, "NO_ACTION_ID": 7, "LONG_SELECTOR": 11,
     }
     report = registry.QUERIES["validation_report"](spark, FOLDER).first()
-    assert (report.valid, report.total_trajectories) == (115, 329)
+    assert (report.valid, report.total_trajectories) == (103, 329)
     stats = registry.QUERIES["dedup_stats"](spark, FOLDER).where("enabled").first()
-    assert (stats.final_count, stats.exact_duplicates_count) == (289, 40)
+    assert (stats.final_count, stats.exact_duplicates_count) == (293, 36)
 
 
 def test_partition_count_does_not_matter(spark):
