@@ -1,7 +1,9 @@
 """Analysis of stored datasets: broken actions, failed goals, shortened runs.
 
 Input is flat action rows; a trajectory without actions may come as one row with
-null ``pos``, which counts as a trajectory but not as an action.
+null ``pos``, which counts as a trajectory but not as an action. Where rows carry a
+``record_key`` (each stored line has its own), it tells trajectories with the same
+id apart.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +17,10 @@ def _flag(name: str):
     return F.coalesce(F.col(name), F.lit(True))
 
 
+def _keys(actions: DataFrame, *names: str) -> list[str]:
+    return [*(["record_key"] if "record_key" in actions.columns else []), *names]
+
+
 def error_totals(actions: DataFrame) -> DataFrame:
     hidden, blocked = ~_flag("element_visible"), ~_flag("element_clickable")
     return actions.agg(
@@ -43,7 +49,7 @@ def error_trajectories(actions: DataFrame) -> DataFrame:
     """Trajectories with at least one failing action."""
     hidden, blocked = ~_flag("element_visible"), ~_flag("element_clickable")
     return (
-        actions.groupBy("trajectory_id", "goal", "goal_achieved")
+        actions.groupBy(*_keys(actions, "trajectory_id", "goal", "goal_achieved"))
         .agg(
             F.count_if(hidden | blocked).alias("error_count"),
             F.count("pos").alias("action_count"),
@@ -57,7 +63,7 @@ def failed_goals(actions: DataFrame) -> DataFrame:
     """Trajectories that missed their goal, with the type of their last action."""
     return (
         actions.where(~_flag("goal_achieved"))
-        .groupBy("trajectory_id", "goal")
+        .groupBy(*_keys(actions, "trajectory_id", "goal"))
         .agg(
             F.count("pos").alias("action_count"),
             F.max_by("action_type", "pos").alias("last_action_type"),
@@ -72,14 +78,15 @@ def skipped_steps(actions: DataFrame, limit: int = K.SHORTCUT_MAX_ACTIONS) -> Da
     whatever their positions are.
     """
     reached = actions.where(_flag("goal_achieved"))
-    short = reached.groupBy("trajectory_id", "goal").agg(F.count("pos").alias("action_count")).where(F.col("action_count") <= limit)
+    key = _keys(actions, "trajectory_id")[0]
+    short = reached.groupBy(*_keys(actions, "trajectory_id", "goal")).agg(F.count("pos").alias("action_count")).where(F.col("action_count") <= limit)
     steps = (
-        reached.join(short.select("trajectory_id"), "trajectory_id", "left_semi")
-        .groupBy("trajectory_id")
+        reached.join(short.select(key), key, "left_semi")
+        .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "action_type")))).alias("_steps"))
     )
-    return short.join(steps, "trajectory_id").select(
-        "trajectory_id", "goal", "action_count", F.array_join(F.col("_steps")["action_type"], " -> ").alias("actions")
+    return short.join(steps, key).select(
+        *_keys(actions, "trajectory_id", "goal"), "action_count", F.array_join(F.col("_steps")["action_type"], " -> ").alias("actions")
     )
 
 

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable.functions import privacy
-from seqtable.operators import repair, rules, shape, similar, training
+from seqtable.operators import analysis, checks, dedup, repair, rules, shape, similar, statistics, training
 from seqtable.plans import views
-from seqtable.plans.oracles import ACTIONS, _u
+from seqtable.plans.oracles import ACTIONS, GOOD, RAW, _content, _u, _WEB
 from seqtable.plans.oracles import ORACLES as FIRST
-from seqtable.plans.registry import Query, _planned, convert
+from seqtable.plans.registry import Query, _planned, _valid_actions, convert, rounded
+from seqtable.session import new_folder
+from seqtable.sources import jsonl, sinks
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -284,3 +286,86 @@ SELECT a, b, members_a, members_b, c::DOUBLE / (na + nb - c) AS similarity FROM
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """At 0.6 here: the derived sessions are short, so 0.9 finds few."""
     return similar.near_duplicates(views.actions(spark, folder), percent=60)
+
+
+# --- the whole chain ----------------------------------------------------------------
+
+
+@query(
+    ACTIONS
+    + f""", conv AS ({FIRST["convert_raw_actions"]}),
+heads AS (SELECT 'record_' || trajectory_id AS record_id, workflow_type, goal FROM traj),
+marked AS (
+  SELECT c.trajectory_id, workflow_type, goal, min("timestamp") AS began, string_agg({_content(True)}, chr(2) ORDER BY pos) AS content
+  FROM conv c JOIN heads USING (record_id) GROUP BY c.trajectory_id, workflow_type, goal),
+kept AS (SELECT arg_min(trajectory_id, (began, trajectory_id)) AS trajectory_id FROM marked GROUP BY workflow_type, goal, content),
+good AS (
+  SELECT trajectory_id, count(*) AS n, max(duration) AS duration, bool_and(goal_achieved) AS reached,
+    (max("timestamp") - min("timestamp")) / 1000 AS gap, count(*) FILTER (is_intentional) AS intended,
+    count(*) FILTER (NOT element_visible OR NOT element_clickable) AS errors,
+    count(*) FILTER (action_type IN ('back', 'forward')) AS backs
+  FROM conv WHERE trajectory_id IN (SELECT trajectory_id FROM kept) GROUP BY trajectory_id
+  HAVING count(*) BETWEEN 3 AND 10 AND max(start_time) < max(end_time) AND count(DISTINCT action_id) = count(*)
+    AND bool_and("timestamp" > 0 AND action_type <> 'tap' AND coalesce({_WEB}, false) AND coalesce(element_selector, '') NOT ILIKE '%javascript:%'
+      AND length(coalesce(element_selector, '')) <= 500 AND (action_type <> 'select' OR option_index IS NOT NULL)
+      AND (action_type <> 'scroll' OR (x BETWEEN 0 AND 10000 AND y BETWEEN 0 AND 10000))))
+SELECT count(*) AS n_trajectories, sum(n)::BIGINT AS n_actions, round(sum(n)::DOUBLE / count(*), 6) AS avg_trajectory_length,
+  round((count(*) FILTER (reached))::DOUBLE / count(*), 6) AS goal_achievement_rate,
+  round(avg(duration), 6) AS avg_trajectory_duration_seconds, round(sum(gap) / sum(n - 1), 6) AS avg_action_interval_seconds,
+  round(sum(intended)::DOUBLE / sum(n), 6) AS intentional_action_ratio, round(sum(errors)::DOUBLE / sum(n), 6) AS error_rate,
+  1.0::DOUBLE AS avg_confidence, round(sum(backs)::DOUBLE / count(*), 6) AS avg_backtrack_per_trajectory,
+  round(sum(n)::DOUBLE / count(*), 6) AS avg_action_count, round(avg(gap / (n - 1)), 6) AS avg_action_interval_across_trajectories,
+  round(sum(errors)::DOUBLE / count(*), 6) AS avg_error_count_per_trajectory FROM good"""
+)
+def pipeline_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw responses to statistics: parse, fix, convert, drop copies, validate, measure."""
+    scratch = new_folder(spark, "converted")
+    convert.convert(_planned(spark, folder), "record_id", "base_ms").write.parquet(scratch)  # evaluated once
+    rows = spark.read.parquet(scratch)
+    rows = dedup.keep_first(rows, dedup.fingerprints(rows))
+    rows = checks.keep_valid(rows, checks.validate(rows))
+    stats = statistics.dataset_statistics(shape.measure(rows, [*statistics.PROFILE_COLUMNS, "goal_achieved"]))
+    return rounded(stats, *[c for c in stats.columns if c not in ("n_trajectories", "n_actions")])
+
+
+@query(
+    RAW
+    + """, sizes AS (
+  SELECT record_id, (user_id + sess) % 23 = 0 AS broken, count(*) FILTER (i < 3 + (user_id + sess) % 8) AS kept
+  FROM raw GROUP BY record_id, user_id, sess)
+SELECT record_id, CASE WHEN broken THEN 'unparsable' ELSE 'too_few_actions' END AS reject_reason, NOT broken AS looked_into
+FROM sizes WHERE broken OR kept < 3"""
+)
+def pipeline_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What the chain leaves out at conversion, as its side table has it."""
+    found = convert.rejects(_planned(spark, folder), "record_id")
+    return found.select("record_id", "reject_reason", (F.col("reject_reason") != "unparsable").alias("looked_into"))
+
+
+@query(
+    GOOD
+    + """, lines AS (
+  SELECT 'traj_' || user_id AS trajectory_id, trajectory_id AS line, goal, goal_achieved, count(*) AS action_count,
+    count(*) FILTER (NOT element_visible OR NOT element_clickable) AS errors, arg_max(action_type, pos) AS last_type,
+    string_agg(action_type, ' -> ' ORDER BY pos) AS steps FROM good GROUP BY user_id, trajectory_id, goal, goal_achieved)
+SELECT 'failed_goals' AS list, trajectory_id, goal, action_count, last_type AS detail FROM lines WHERE NOT goal_achieved
+UNION ALL SELECT 'skipped_steps', trajectory_id, goal, action_count, steps FROM lines WHERE goal_achieved AND action_count <= 5
+UNION ALL SELECT 'errors', trajectory_id, goal, action_count, errors::VARCHAR FROM lines WHERE errors > 0"""
+)
+def analyze_stored_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists of the analysis, from stored lines whose ids collide (one id per user)."""
+    path = new_folder(spark, "colliding")
+    records = shape.to_records(_valid_actions(spark, folder))
+    user = F.regexp_extract("trajectory_id", r"^(traj_[0-9]+)_", 1)
+    sinks.write_jsonl(records.withColumn("trajectory_id", user), path)
+    rows = jsonl.read_for_analysis(spark, path)
+    parts = {
+        "failed_goals": analysis.failed_goals(rows).withColumn("detail", F.col("last_action_type")),
+        "skipped_steps": analysis.skipped_steps(rows).withColumn("detail", F.col("actions")),
+        "errors": analysis.error_trajectories(rows).withColumn("detail", F.col("error_count").cast("string")),
+    }
+    out = None
+    for name, part in parts.items():
+        part = part.select(F.lit(name).alias("list"), "trajectory_id", "goal", "action_count", "detail")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -32,12 +32,14 @@ def _flag(f: Column) -> Column:
 def read_for_analysis(spark: SparkSession, path: str) -> DataFrame:
     """Flat rows for the analysis, with missing and null flags told apart.
 
-    A typed reader turns both into null, so lines are read as VARIANT here.
+    A typed reader turns both into null, so lines are read as VARIANT here. Stored
+    ids can collide; ``record_key`` numbers the lines, in no particular order.
     Trajectories without actions keep one row with null ``pos``.
     """
     line = spark.read.text(path).where(text.strip(F.col("value")) != "")
     record = F.parse_json("value")  # a line that is not JSON ends the job
-    head = line.select(record.alias("r")).select(
+    head = line.select(record.alias("r"), F.monotonically_increasing_id().alias("record_key")).select(
+        "record_key",
         F.variant_get("r", "$.trajectory_id", "string").alias("trajectory_id"),
         F.variant_get("r", "$.goal", "string").alias("goal"),
         _flag(fl.field(F.col("r"), "goal_achieved")).alias("goal_achieved"),
@@ -45,6 +47,7 @@ def read_for_analysis(spark: SparkSession, path: str) -> DataFrame:
     )
     action = F.col("a")
     return head.select(
+        "record_key",
         "trajectory_id",
         "goal",
         "goal_achieved",

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.operators.convert import convert, plan_conversion
+from seqtable.operators.convert import convert, plan_conversion, rejects
 from seqtable.operators.records import check_and_fix, outline
 from seqtable.sources.raw import parse_responses
 
@@ -18,9 +18,17 @@ def responses_to_actions(responses: DataFrame) -> DataFrame:
 
     Everything happens within a row, so a stream keeps no state for it.
     """
+    return convert(_planned(responses), "record_id", "base_ms")
+
+
+def responses_to_rejects(responses: DataFrame) -> DataFrame:
+    """What does not convert, with text, reason and errors."""
+    return rejects(_planned(responses), "record_id")
+
+
+def _planned(responses: DataFrame) -> DataFrame:
     checked = check_and_fix(outline(parse_responses(responses)))
-    planned = plan_conversion(checked, "record_id", "num_actions", "user_type")
-    return convert(planned, "record_id", "base_ms")
+    return plan_conversion(checked, "record_id", "num_actions", "user_type")
 
 
 def read_response_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -29,19 +37,22 @@ def read_response_stream(spark: SparkSession, path: str, files_per_batch: int =
     )
 
 
-def ingest_available(responses: DataFrame, target: str, checkpoint: str) -> None:
-    """Append everything not yet ingested to ``target`` and stop.
+def ingest_available(responses: DataFrame, target: str, checkpoint: str, rejected: str | None = None) -> None:
+    """Append everything not yet ingested to ``target``, rejects to ``rejected``, and stop.
 
-    The file sink commits each batch once, so a restarted run neither loses nor
+    The file sinks commit each batch once, so a restarted run neither loses nor
     repeats records.
     """
-    query = (
-        responses_to_actions(responses)
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    outputs = [(responses_to_actions(responses), target, checkpoint)]
+    if rejected:
+        outputs.append((responses_to_rejects(responses), rejected, checkpoint + "-rejects"))
+    for rows, path, progress in outputs:
+        query = (
+            rows.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", progress)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
