@@ -167,11 +167,13 @@ def with_sessions(
         .withColumn("_starts", F.coalesce((silence > gap_us).cast("bigint"), F.lit(1)))
         .withColumn("sess", F.sum("_starts").over(by_user))
         .withColumn("_before", F.coalesce(F.sum("_n").over(in_session), F.lit(0)))
-        .select(user, "_bucket", "sess", "_before")
+        .select(F.col(user).alias("_user"), F.col("_bucket").alias("_piece"), "sess", "_before")
     )
+    # Events without a user or a time are kept: null keys count as equal here.
+    same = F.col(user).eqNullSafe(F.col("_user")) & F.col("_bucket").eqNullSafe(F.col("_piece"))
     inside = Window.partitionBy(user, "_bucket").orderBy(time_us, tie)
     return (
-        pieces.join(borders, [user, "_bucket"])
+        pieces.join(borders, same)
         .withColumn("pos", (F.row_number().over(inside) - 1 + F.col("_before")).cast("int"))
-        .drop("_bucket", "_before")
+        .drop("_bucket", "_before", "_user", "_piece")
     )
