@@ -29,7 +29,7 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 #: Longer pre-tokens are merged with a heap: a matrix would need the square of the length.
 MATRIX_BYTES = 256
 #: Matrix cells at once, and known pieces of text a task keeps.
-CELLS, KNOWN = 1 << 18, 200_000
+CELLS, KNOWN = 1 << 18, 80_000
 _NONE = np.int32(2**31 - 1)
 
 

@@ -34,7 +34,7 @@ SMOOTHING = 0.1
 #: Longer runs of letters are scored in sections of this length, so that products stay in the range of doubles.
 SECTION = 40
 #: Words a task keeps the scores of.
-KNOWN = 200_000
+KNOWN = 100_000
 BEGIN = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 

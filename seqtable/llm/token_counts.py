@@ -30,7 +30,7 @@ from seqtable.llm.texts import map_texts
 
 SECTION = 256
 #: Pre-tokens a worker keeps the counts of.
-KNOWN = 400_000
+KNOWN = 150_000
 BEGIN = "▁"
 _BASE = np.uint64(1000003)
 _SPLIT = re.compile(r"[^ \t\n\v\f\r]+").findall

@@ -32,7 +32,7 @@ from seqtable.llm.mixing import BLOCK, decode_blocks, encode_blocks
 from seqtable.llm.texts import slices
 
 #: Ids in a container, but for a longer document; and pieces of text a worker keeps the ids of.
-CONTAINER, KNOWN = 1 << 22, 200_000
+CONTAINER, KNOWN = 1 << 22, 100_000
 BLOCKS = "array<struct<n:int,crc:bigint,payload:binary>>"
 _KINDS = pa.list_(pa.struct([("n", pa.int32()), ("crc", pa.int64()), ("payload", pa.binary())]))
 
