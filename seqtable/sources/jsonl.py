@@ -24,6 +24,16 @@ def read_trajectories(spark: SparkSession, path: str, fail_fast: bool = False) -
     )
 
 
+def unique_ids(trajectories: DataFrame) -> DataFrame:
+    """Every stored line as a trajectory of its own, though ids collide.
+
+    ``trajectory_id`` gets the line's number (in no particular order) behind it, so
+    that all later steps tell lines apart; ``stored_id`` keeps what was read.
+    """
+    numbered = F.concat_ws("~", "trajectory_id", F.monotonically_increasing_id())
+    return trajectories.withColumn("stored_id", F.col("trajectory_id")).withColumn("trajectory_id", numbered)
+
+
 def _flag(f: Column) -> Column:
     """Missing counts as true, an explicit null as false."""
     return fl.is_missing(f) | fl.truthy(f)

@@ -146,3 +146,22 @@ def test_near_duplicates_against_all_pairs(spark, percent):
     reps = {min(ts): s for s, ts in classes.items()}
     want = {(a, b) for a in reps for b in reps if a < b and 100 * len(reps[a] & reps[b]) >= percent * len(reps[a] | reps[b])}
     assert {(r.a, r.b) for r in similar.near_duplicates(frame_, percent).collect()} == want
+
+
+def test_lines_with_one_id_stay_apart(spark, tmp_path):
+    lines = [flat(spark, *[("same", p, {"timestamp": 1e12 + 1000.0 * (p + n)}) for p in range(n)]) for n in (3, 4)]
+    for n, rows in enumerate(lines):
+        sinks.write_jsonl(shape.to_records(rows), str(tmp_path / str(n)))
+    stored = jsonl.unique_ids(jsonl.read_trajectories(spark, str(tmp_path / "*"), fail_fast=True))
+    rows = shape.flatten(stored)
+    verdicts = checks.validate(rows)
+    assert sorted(r.action_count for r in verdicts.collect()) == [3, 4] and verdicts.where("valid").count() == 2
+    assert checks.keep_valid(rows, verdicts).count() == 7 and {r.stored_id for r in rows.collect()} == {"same"}
+    assert sorted(r.action_count for r in shape.measure(rows).collect()) == [3, 4]
+    found = analysis.skipped_steps(jsonl.read_for_analysis(spark, str(tmp_path / "*"))).collect()
+    assert sorted(r.action_count for r in found) == [3, 4]
+
+
+def test_lines_of_white_space_are_skipped(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"trajectory_id": "x", "actions": []}\n\t \n\n')
+    assert jsonl.read_for_analysis(spark, str(tmp_path / "a.json")).count() == 1
