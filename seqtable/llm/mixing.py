@@ -19,7 +19,7 @@ BLOCK, CONTEXTS = 2048, 11
 #: Counts are halved when one reaches MOST.
 MOST, STEP = 255, 24
 _FIRST = np.array([0, 1, 17, 273])  # where the counts of the four steps begin
-_TOP, _LOW, _WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
+_TOP, _LOW, _WORD = np.uint64(1 << 32), np.uint64(1 << 16), np.uint64(32)
 _UPPER = np.triu(np.ones((16, 16), np.float32))
 _ORDER2, _ORDER1, _ORDER0 = 0, 1, 2
 
@@ -30,7 +30,7 @@ def sums(counts: np.ndarray) -> np.ndarray:
 
 
 class Range:
-    """64-bit range coders, one for each lane, with 16-bit words."""
+    """64-bit range coders, one for each lane, with 32-bit words."""
 
     def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
@@ -44,7 +44,7 @@ class Range:
             a, b = low[left], width[left]
             small = ((a ^ (a + b)) >= _TOP) & (b < _LOW)
             b[small] = (~a[small] + np.uint64(1)) & (_LOW - np.uint64(1))
-            self.word(at[left], a >> np.uint64(48))
+            self.word(at[left], a >> _WORD)
             a <<= _WORD
             b <<= _WORD
             low[left], width[left] = a, b
@@ -58,13 +58,17 @@ class Range:
 class Writer(Range):
     def __init__(self, lanes: int):
         super().__init__(lanes)
-        self.out, self.used = np.zeros((lanes, 256), np.uint16), np.zeros(lanes, np.int64)
+        self.out, self.used, self.most = np.zeros((lanes, 256), np.uint32), np.zeros(lanes, np.int64), 0
 
     def word(self, at: np.ndarray, words: np.ndarray) -> None:
-        if self.used.max(initial=0) + 4 >= self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[at, self.used[at]] = words
-        self.used[at] += 1
+        if self.most + 1 >= self.out.shape[1]:  # a bound that is seldom made exact
+            self.most = int(self.used.max(initial=0))
+            if self.most + 256 >= self.out.shape[1]:
+                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
+        place = self.used.take(at)
+        self.out[at, place] = words
+        self.used[at] = place + 1
+        self.most += 1
 
     def step(self, at: np.ndarray, counts: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         ends = sums(counts)
@@ -75,34 +79,33 @@ class Writer(Range):
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
-        for shift in (48, 32, 16, 0):
-            self.word(every, (self.low >> np.uint64(shift)) & np.uint64(0xFFFF))
-        words = self.out.astype("<u2")
+        for part in (self.low >> _WORD, self.low & np.uint64(0xFFFFFFFF)):
+            self.word(every, part)
+        words = self.out.astype("<u4")
         return [words[k, :n].tobytes() for k, n in enumerate(self.used.tolist())]
 
 
 class Reader(Range):
     def __init__(self, payloads: list[bytes]):
         super().__init__(len(payloads))
-        self.data = np.zeros((len(payloads), max(map(len, payloads), default=0) // 2 + 4), np.uint16)
+        self.data = np.zeros((len(payloads), max(map(len, payloads), default=0) // 4 + 2), np.uint32)
         for k, raw in enumerate(payloads):
-            self.data[k, : len(raw) // 2] = np.frombuffer(raw, "<u2")
-        self.code = np.zeros(len(payloads), np.uint64)
-        for k in range(4):
-            self.code = (self.code << _WORD) | self.data[:, k]
-        self.used = np.full(len(payloads), 4)
+            self.data[k, : len(raw) // 4] = np.frombuffer(raw, "<u4")
+        self.code = (self.data[:, 0].astype(np.uint64) << _WORD) | self.data[:, 1]
+        self.used = np.full(len(payloads), 2)
 
     def word(self, at: np.ndarray, words: np.ndarray) -> None:
-        place = np.minimum(self.used[at], self.data.shape[1] - 1)  # damaged data may end early; the checksum tells
-        self.code[at] = (self.code[at] << _WORD) | self.data[at, place]
-        self.used[at] += 1
+        used = self.used.take(at)
+        place = np.minimum(used, self.data.shape[1] - 1)  # damaged data may end early; the checksum tells
+        self.code[at] = (self.code.take(at) << _WORD) | self.data[at, place]
+        self.used[at] = used + 1
 
     def step(self, at: np.ndarray, counts: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
         ends = sums(counts)
         unit = self.range.take(at) // ends[:, -1].astype(np.uint64)
         value = (self.code.take(at) - self.low.take(at)) // np.maximum(unit, np.uint64(1))
         value = np.minimum(value, (ends[:, -1] - 1).astype(np.uint64)).astype(np.uint16)
-        symbol = np.add.reduce(ends <= value[:, None], axis=1, dtype=np.int64)
+        symbol = (ends > value[:, None]).argmax(axis=1)  # the last end is greater
         place = np.arange(len(at)) * counts.shape[1] + symbol
         size = counts.ravel().take(place)
         self.narrow(at, ends.ravel().take(place) - size, size, unit)

@@ -49,13 +49,32 @@ class Tokens:
         # White space and these borders separate words under every tokenizer that splits letters from marks.
         latin, mark = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
         self.pieces = re.compile(rf"[{latin}]+(?=[\n\r {mark}]|\Z)|[{mark}]+(?=[\n\r A-Za-z0-9]|\Z)|[^ \t\n\r]+").findall
+        closes = [str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(self.tokenizer.get_vocab_size())]
+        self.closes = np.array(closes) if any(closes) else None
         self.special = [t for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def learn(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(pieces, found, strict=True))
+        """Encode pieces: words in lines of 64 where tokens show the ends of words, all else one by one."""
+        single = pieces
+        if self.closes is not None:
+            words = [p for p in pieces if p.isalpha()]
+            single = [p for p in pieces if not p.isalpha()]
+            lines = [words[i : i + 64] for i in range(0, len(words), 64)]
+            found = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+            for line, encoded in zip(lines, found, strict=True):
+                ids = np.array(encoded.ids, "<u2")
+                ends = np.flatnonzero(self.closes[ids]) + 1
+                if len(ends) != len(line):  # some piece is more than one word after all
+                    single += line
+                    continue
+                raw, start = ids.tobytes(), 0
+                for piece, end in zip(line, (2 * ends).tolist(), strict=True):
+                    self.known[piece] = raw[start:end]
+                    start = end
+        found = self.tokenizer.encode_batch_fast(single, add_special_tokens=False)
+        self.known.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(single, found, strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian 16-bit numbers."""
