@@ -176,13 +176,13 @@ def text_normal_forms(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def trajectory_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     """The classes of equal content, with and without normalisation."""
-    rows = views.actions(spark, folder)
-    out = None
-    for normalized in (True, False):
-        classes = dedup.first_copies(dedup.fingerprints(rows, normalized))
-        part = classes.select(F.lit(normalized).alias("normalized"), "trajectory_id", "copies")
-        out = part if out is None else out.unionByName(part)
-    return out
+    marked = dedup.fingerprints(views.actions(spark, folder), also_plain=True)
+    both = F.array(
+        F.struct(F.lit(True).alias("normalized"), F.col("fingerprint")),
+        F.struct(F.lit(False).alias("normalized"), F.col("plain_fingerprint").alias("fingerprint")),
+    )
+    rows = marked.select("trajectory_id", "start_us", "last_pos", F.inline(both))
+    return dedup.first_copies(rows, ("normalized", "fingerprint")).select("normalized", "trajectory_id", "copies")
 
 
 @query
@@ -200,8 +200,11 @@ def duplicate_pairs(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dedup_stats(spark: SparkSession, folder: str) -> DataFrame:
     marked = dedup.fingerprints(views.actions(spark, folder))
-    on = dedup.dedup_stats(marked).withColumn("enabled", F.lit(True))
-    return on.unionByName(dedup.dedup_stats(marked, enabled=False).withColumn("enabled", F.lit(False)))
+    on = dedup.dedup_stats(marked)
+    none = F.lit(0).cast("bigint")
+    off = {"exact_duplicates_count": none, "final_count": F.col("original_count")}
+    row = lambda enabled: F.struct(F.lit(enabled).alias("enabled"), *[(F.col(c) if enabled else off.get(c, F.col(c))).alias(c) for c in on.columns])
+    return on.select(F.inline(F.array(row(True), row(False))))
 
 
 @query
