@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable.functions import privacy
-from seqtable.operators import analysis, checks, dedup, repair, rules, shape, similar, statistics, training
+from seqtable.operators import analysis, checks, dedup, records, repair, rules, shape, similar, statistics, training
 from seqtable.plans import views
 from seqtable.plans.oracles import ACTIONS, GOOD, RAW, _content, _u, _WEB
 from seqtable.plans.oracles import ORACLES as FIRST
 from seqtable.plans.registry import Query, _planned, _valid_actions, convert, rounded
 from seqtable.session import new_folder
-from seqtable.sources import jsonl, sinks
+from seqtable.sources import jsonl, raw, sinks
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -75,6 +75,23 @@ def repair_action_ids(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_action_ids(views.actions(spark, folder))
 
 
+@query(
+    RAW
+    + """, named AS (
+  SELECT record_id, i::INTEGER AS "index", concat_ws(',', CASE WHEN coalesce(raw_url, '') = '' THEN 'url' END,
+    CASE WHEN coalesce(raw_title, '') = '' THEN 'page_title' END,
+    CASE WHEN action_type = 'select' AND option_index IS NULL THEN 'option_index' END) AS inferred_fields
+  FROM raw WHERE (user_id + sess) % 23 <> 0)
+SELECT * FROM named WHERE inferred_fields <> ''"""
+)
+def inferred_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of raw actions that conversion fills with defaults."""
+    outlined = records.outline(raw.parse_responses(views.raw_responses(spark, folder)))
+    rows = outlined.select("record_id", F.posexplode("outline.actions").alias("index", "a"))
+    named = rows.select("record_id", "index", F.array_join(records.inferred_fields(F.col("a")), ",").alias("inferred_fields"))
+    return named.where("inferred_fields <> ''")
+
+
 @query(
     """SELECT doc_id, CASE WHEN length(text) > 10000 THEN 'text:' || length(text) ELSE '' END AS reasons,
   coalesce(length(text), 0) <= 10000 AS accepted FROM documents"""
