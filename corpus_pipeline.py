@@ -43,9 +43,8 @@ def as_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = docs.select("doc_id", "lang", "source", "n_chars", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     keep = ["doc_id", "lang", "source", "n_chars", "text_sha256"]
-    encoded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, keep)
-    decoded = byte_bpe.decode(encoded, path, [*keep, "n_tokens", "ids"])
-    return decoded.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("exact"))
+    found = byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep)
+    return found.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("exact"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

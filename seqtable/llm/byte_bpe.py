@@ -4,7 +4,7 @@ Pre-tokens are grouped by length into padded numpy matrices, one row each. In
 every round each row merges its leftmost pair of least rank; pair ranks come from
 a hash table, merged rows close up and finished rows leave the matrix.
 
-Only distinct pieces of text between white space are encoded; a task keeps those
+Only distinct pieces of text between borders are encoded; a task keeps those
 it has met, up to a bound, after which those not met lately go.
 
 Results for odd input: null and empty texts give no ids; repeated rows, null ids
@@ -185,17 +185,11 @@ class Encoder:
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 
-@functools.lru_cache(maxsize=1)
-def encoder(ranks_path: str, pattern: str) -> Encoder:
-    """One for each worker process, so that later tasks find what earlier ones met."""
-    return Encoder(load(ranks_path), pattern)
-
-
 def encode(documents: DataFrame, ranks_path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep`, `ids` (binary: ids as little-endian unsigned 32-bit integers) and `n_tokens`."""
 
     def prepare():
-        own = encoder(ranks_path, pattern)
+        own = Encoder(load(ranks_path), pattern)
 
         def work(texts: pa.Array) -> list:
             ids = own.encode(texts.to_pylist())
@@ -206,15 +200,33 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str, keep: list[str],
     return map_texts(documents, keep, text, "ids binary, n_tokens bigint", prepare)
 
 
-def decode(encoded: DataFrame, ranks_path: str, keep: list[str], ids: str = "ids") -> DataFrame:
-    """Columns `keep` and `decoded` (binary: the bytes of the tokens); unknown ids are an error."""
+def round_trip(documents: DataFrame, ranks_path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns `keep`, `ids`, `n_tokens` and `decoded`: encoded and decoded again in one step of one worker."""
 
     def prepare():
-        tokens = load(ranks_path).tokens
+        ranks = load(ranks_path)
+        own = Encoder(ranks, pattern)
 
-        def work(column: pa.Array) -> list:
-            return [[b"".join([tokens[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in column.to_pylist()]]
+        def work(texts: pa.Array) -> list:
+            ids = own.encode(texts.to_pylist())
+            return [ids, [len(i) // 4 for i in ids], [spelled(ranks, i) for i in ids]]
 
         return work
 
+    return map_texts(documents, keep, text, "ids binary, n_tokens bigint, decoded binary", prepare)
+
+
+def spelled(ranks: Ranks, ids: bytes | None) -> bytes:
+    """The bytes of ids (little-endian 32-bit numbers)."""
+    tokens = ranks.tokens
+    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+
+
+def decode(encoded: DataFrame, ranks_path: str, keep: list[str], ids: str = "ids") -> DataFrame:
+    """Columns `keep` and `decoded` (binary: the bytes of the tokens); unknown ids are an error."""
+
+    def prepare():
+        ranks = load(ranks_path)
+        return lambda column: [[spelled(ranks, x) for x in column.to_pylist()]]
+
     return map_texts(encoded, keep, ids, "decoded binary", prepare)

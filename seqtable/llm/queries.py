@@ -146,10 +146,8 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE of all documents: number of tokens, digests of the ids and of the decoded bytes."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
-    encoded = encoded.withColumn("ids_sha256", F.sha2("ids", 256))
-    decoded = byte_bpe.decode(encoded, path, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Query] = {
