@@ -55,3 +55,18 @@ def test_query_recall(spark):
     found = queries.op1_neighbours(spark, folder)
     frame = spark.read.parquet(f"{folder}/embeddings.parquet")
     assert N.recall(found, N.brute_force(frame, 1000, every=100)) >= 0.9
+
+
+def test_window_grows_with_the_table(spark):
+    draw = np.random.default_rng(3)
+    frame = spark.createDataFrame([(i, draw.standard_normal(16).tolist()) for i in range(4000)], "vec_id long, embedding array<double>")
+    found = N.search(frame, every=20, curves=4, dimensions=8, window=30)
+    assert N.recall(found, N.brute_force(frame, 200, every=20)) >= 0.9
+
+
+def test_pieces_smaller_than_the_window(spark, monkeypatch):
+    monkeypatch.setattr(N, "PIECE", 16)
+    draw = np.random.default_rng(4)
+    frame = spark.createDataFrame([(i, draw.standard_normal(4).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    found = N.search(frame, every=10, curves=1, dimensions=4, window=300)
+    assert found.count() == 300 and N.recall(found, N.brute_force(frame, 30, every=10)) == 1
