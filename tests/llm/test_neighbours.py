@@ -70,3 +70,16 @@ def test_pieces_smaller_than_the_window(spark, monkeypatch):
     frame = spark.createDataFrame([(i, draw.standard_normal(4).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
     found = N.search(frame, every=10, curves=1, dimensions=4, window=300)
     assert found.count() == 300 and N.recall(found, N.brute_force(frame, 30, every=10)) == 1
+
+
+def test_copies_beyond_the_window(spark):
+    draw = np.random.default_rng(6)
+    rows = draw.standard_normal((1200, 4))
+    rows[draw.permutation(1200)[:500]] = rows[0]
+    rows[7] = rows[0] + 0.001
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    copies = {i for i, v in enumerate(rows) if (v == rows[0]).all()}
+    found, true = N.search(frame, every=7, curves=12, dimensions=4, bits=6, window=100, asked=0), N.brute_force(frame, 200, every=7)
+    of = lambda f: sorted(tuple(r)[:3] for r in f.collect() if r.query_id in copies | {7})
+    assert len(of(found)) > 500 and of(found) == of(true)
+    assert N.recall(found, true) > 0.95
