@@ -5,8 +5,9 @@ digits as one blank, and equivalent spellings alike. The whole text, each
 paragraph and each line of a document are looked up: the SHA-256 of their
 canonical form is joined with those of known licences and notices. The list of
 known texts is fixed and small, so that side of the join is sent to all tasks.
-Of the units of a document only those as long as some known text are hashed;
-that excludes none that could match.
+Of the units of a document only those as long as some known text are hashed, by
+their length with single blanks and the most that spellings can change it; that
+excludes none that could match.
 
 A document is `whole` if its entire text is a licence; `found` lists all licences
 whose notice, or whose every paragraph, it holds.
@@ -64,8 +65,8 @@ SPELLINGS: list[tuple[str, str]] = [
     ("merchantibility", "merchantability"),
 ]
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(copyright\b|©|\(c\))[^\n]*$"
-#: A spelling changes the length of a canonical text by so much at most, as known texts hold few of them.
-SLACK = 24
+#: Words kept in SPELLINGS that others of more letters become, and those that come from fewer: "v3" has 7 fewer than "version 3", "version 2" 2 fewer than "version 2 0", "version 3 0" 2 more than "version 3".
+LONGER, SHORTER = r"(?:license|noncommercial|sublicense|favor|honor)", r"version (?:2 0|3)"
 
 
 def _blank(text: Column) -> Column:
@@ -86,8 +87,14 @@ def _joined(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def _lengths(canonical: Column) -> list[Column]:
+    """Least and greatest length of the units that _spelled turns into this text."""
+    longer, shorter = (F.regexp_count(canonical, F.lit(rf"\b{words}\b")) for words in (LONGER, SHORTER))
+    return [(F.length(canonical) - 7 * shorter).alias("low"), (F.length(canonical) + 2 * (longer + shorter)).alias("high")]
+
+
 def known_units(spark: SparkSession) -> DataFrame:
-    """(digest, licence, unit, parts, length): whole texts, their paragraphs, and notices."""
+    """(digest, licence, unit, parts, low, high): whole texts, their paragraphs, and notices; lengths that other spellings of them may have."""
     rows = []
     for licence, kind, text in KNOWN:
         paragraphs = text.split("\n\n")
@@ -96,18 +103,18 @@ def known_units(spark: SparkSession) -> DataFrame:
             rows += [(licence, f"part {i}", p, len(paragraphs)) for i, p in enumerate(paragraphs)]
     known = spark.createDataFrame(rows, "licence string, unit string, text string, parts int")
     canonical = _spelled(_joined(_blank(F.col("text"))))
-    return known.select(F.sha2(canonical, 256).alias("digest"), "licence", "unit", "parts", F.length(canonical).alias("length"))
+    return known.select(F.sha2(canonical, 256).alias("digest"), "licence", "unit", "parts", *_lengths(canonical))
 
 
 def scan(documents: DataFrame, keep: str, text: str = "text") -> DataFrame:
     """The column `keep`, whole (a licence or null), found (licences, sorted) and n_units (lines and paragraphs that match)."""
     known = known_units(documents.sparkSession)
     spans: list[list[int]] = []
-    for n in sorted({r.length for r in known.select("length").collect()}):  # as many as KNOWN has entries
-        if spans and n - SLACK <= spans[-1][1]:
-            spans[-1][1] = n + SLACK
+    for low, high in sorted({(r.low, r.high) for r in known.select("low", "high").collect()}):  # as many as KNOWN has units
+        if spans and low <= spans[-1][1] + 1:
+            spans[-1][1] = max(spans[-1][1], high)
         else:
-            spans.append([n - SLACK, n + SLACK])
+            spans.append([low, high])
 
     def fits(unit: Column) -> Column:
         size = F.length(unit)
@@ -117,10 +124,11 @@ def scan(documents: DataFrame, keep: str, text: str = "text") -> DataFrame:
         return out
 
     rows = documents.select(F.monotonically_increasing_id().alias("__row"), documents[keep].alias("__keep"), _blank(documents[text]).alias("__text"))
-    lines = F.transform(F.filter(F.split("__text", "\n"), fits), lambda u: F.struct(F.lit("line").alias("of"), _joined(u).alias("unit")))
-    blocks = F.filter(F.split("__text", "\n\n+"), lambda u: u.contains("\n") & fits(u))
-    blocks = F.transform(blocks, lambda u: F.struct(F.lit("paragraph").alias("of"), _joined(u).alias("unit")))
-    whole = F.when(fits(F.trim("__text")), F.array(F.struct(F.lit("whole").alias("of"), _joined(F.col("__text")).alias("unit"))))
+    unit = lambda of: lambda u: F.struct(F.lit(of).alias("of"), u.alias("unit"))
+    lines = F.transform(F.filter(F.transform(F.split("__text", "\n"), lambda u: F.trim(u)), fits), unit("line"))
+    blocks = F.filter(F.split("__text", "\n\n+"), lambda u: u.contains("\n"))
+    blocks = F.transform(F.filter(F.transform(blocks, _joined), fits), unit("paragraph"))
+    whole = F.transform(F.filter(F.array(_joined(F.col("__text"))), fits), unit("whole"))
     none = F.array().cast("array<struct<of:string,unit:string>>")
     units = F.concat(F.coalesce(lines, none), F.coalesce(blocks, none), F.coalesce(whole, none))
     named = rows.select("__row", "__keep", F.explode_outer(units).alias("u"))

@@ -73,3 +73,23 @@ def test_query(spark):
     documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
     assert found == {d.doc_id: brute(d.text) for d in documents}
     assert len({f for _, f in found.values()}) > 3
+
+
+def test_line_breaks_do_not_count(spark):
+    texts = [
+        "".join(f"Copyright (c) {1990 + i} Holder {i}\n" for i in range(30)) + "\n" + TEXT["MIT"],
+        TEXT["ISC"].replace("and", "\n\nand") + "\n" * 40,
+        "\n" * 60 + TEXT["0BSD"].replace(" ", "\n"),
+        "before\n\n" + "\n\n".join("\n* * *\n".join(p.split(" ")).replace("\n\n", "\n") for p in TEXT["MIT"].split("\n\n")) + "\n\nafter",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((r.doc_id, r.whole, r.found) for r in L.scan(frame, "doc_id").collect())
+    assert found == [(i, *brute(t)) for i, t in enumerate(texts)]
+    assert [f[1] for f in found] == ["MIT", "ISC", "0BSD", None]
+
+
+def test_spellings_change_lengths_within_bounds(spark):
+    texts = [(x,) for x in ("licences " * 60, "v 2 0 v2 version 2 v3 version 3 0 v2 0 " * 9, "sub licences non commercial honour favour " * 30)]
+    rows = spark.createDataFrame(texts, "text string").select(L._joined(L._blank(L.F.col("text"))).alias("unit"))
+    for r in rows.select("unit", *L._lengths(L._spelled(L.F.col("unit")))).collect():
+        assert r.low <= len(r.unit) <= r.high
