@@ -3,8 +3,9 @@
 Canonical form: lower case, without copyright lines, everything but letters and
 digits as one blank, and equivalent spellings alike. The whole text, each
 paragraph and each line of a document are looked up: the SHA-256 of their
-canonical form is joined with those of known licences and notices. The list of
-known texts is fixed and small, so that side of the join is sent to all tasks.
+canonical form is joined with those of known licences and notices. The shipped list
+(KNOWN, and DIGESTS of full licences) is small, so that side of the join is sent to
+all tasks; a table of the caller's own is joined as Spark sees fit.
 Of the units of a document only those as long as some known text are hashed, by
 their length with single blanks and the most that spellings can change it; that
 excludes none that could match.
@@ -17,9 +18,11 @@ counts once in `found` and each time in `n_units`; repeated rows and rows with
 null ids get a row each; an empty table gives an empty one.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqtable.llm.licence_digests import DIGESTS
+
 # Short public licences and usual notices. Kind "text" is a licence's entire wording.
 KNOWN: list[tuple[str, str, str]] = [
     ("ISC", "text", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
@@ -64,6 +67,8 @@ SPELLINGS: list[tuple[str, str]] = [
     ("v 3|v3|version 3 0|version 3", "version 3"),
     ("merchantibility", "merchantability"),
 ]
+#: Ranges of lengths that a unit is tried for.
+SPANS = 32
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(copyright\b|©|\(c\))[^\n]*$"
 #: Words kept in SPELLINGS that others of more letters become, and those that come from fewer: "v3" has 7 fewer than "version 3", "version 2" 2 fewer than "version 2 0", "version 3 0" 2 more than "version 3".
 LONGER, SHORTER = r"(?:license|noncommercial|sublicense|favor|honor)", r"version (?:2 0|3)"
@@ -93,8 +98,22 @@ def _lengths(canonical: Column) -> list[Column]:
     return [(F.length(canonical) - 7 * shorter).alias("low"), (F.length(canonical) + 2 * (longer + shorter)).alias("high")]
 
 
+UNITS = "digest string, licence string, unit string, parts int, low int, high int"
+
+
+def units(texts: DataFrame) -> DataFrame:
+    """(digest, licence, unit, parts, low, high) of whole texts (licence, text) and their paragraphs; lengths that other spellings of them may have."""
+    blank = texts.select("licence", _blank(F.col("text")).alias("text"))
+    parts = F.filter(F.transform(F.split("text", "\n\n+"), lambda p: _spelled(_joined(p))), lambda p: p != "")
+    blank = blank.select("licence", _spelled(_joined(F.col("text"))).alias("text"), parts.alias("paragraphs"), F.size(parts).alias("parts")).filter("text <> ''")
+    whole = blank.select("licence", F.lit("text").alias("unit"), "text", "parts")
+    each = blank.filter("parts > 1").select("licence", "parts", F.posexplode("paragraphs").alias("at", "text"))
+    every = whole.unionByName(each.select("licence", F.concat(F.lit("part "), "at").alias("unit"), "text", "parts"))
+    return every.select(F.sha2("text", 256).alias("digest"), "licence", "unit", "parts", *_lengths(F.col("text")))
+
+
 def known_units(spark: SparkSession) -> DataFrame:
-    """(digest, licence, unit, parts, low, high): whole texts, their paragraphs, and notices; lengths that other spellings of them may have."""
+    """The units of KNOWN and of the full licences in DIGESTS."""
     rows = []
     for licence, kind, text in KNOWN:
         paragraphs = text.split("\n\n")
@@ -103,18 +122,26 @@ def known_units(spark: SparkSession) -> DataFrame:
             rows += [(licence, f"part {i}", p, len(paragraphs)) for i, p in enumerate(paragraphs)]
     known = spark.createDataFrame(rows, "licence string, unit string, text string, parts int")
     canonical = _spelled(_joined(_blank(F.col("text"))))
-    return known.select(F.sha2(canonical, 256).alias("digest"), "licence", "unit", "parts", *_lengths(canonical))
+    known = known.select(F.sha2(canonical, 256).alias("digest"), "licence", "unit", "parts", *_lengths(canonical))
+    return known.unionByName(spark.createDataFrame(DIGESTS, UNITS))
+
 
+def scan(documents: DataFrame, keep: str, text: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """The column `keep`, whole (a licence or null), found (licences, sorted) and n_units (lines and paragraphs that match).
 
-def scan(documents: DataFrame, keep: str, text: str = "text") -> DataFrame:
-    """The column `keep`, whole (a licence or null), found (licences, sorted) and n_units (lines and paragraphs that match)."""
-    known = known_units(documents.sparkSession)
+    `known` is a table of known units, as `units` makes it of texts; `known_units` if it is left out.
+    """
+    own, once = known is None, F.row_number().over(Window.partitionBy("digest").orderBy("licence", "unit")) == 1
+    known = known_units(documents.sparkSession) if own else known
     spans: list[list[int]] = []
-    for low, high in sorted({(r.low, r.high) for r in known.select("low", "high").collect()}):  # as many as KNOWN has units
+    for low, high in sorted({(r.low, r.high) for r in known.select("low", "high").collect()}):  # different lengths
         if spans and low <= spans[-1][1] + 1:
             spans[-1][1] = max(spans[-1][1], high)
         else:
             spans.append([low, high])
+    while len(spans) > SPANS:  # the narrowest gap goes: more is hashed, nothing is lost
+        i = min(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1])
+        spans[i - 1 : i + 1] = [[spans[i - 1][0], spans[i][1]]]
 
     def fits(unit: Column) -> Column:
         size = F.length(unit)
@@ -133,22 +160,23 @@ def scan(documents: DataFrame, keep: str, text: str = "text") -> DataFrame:
     units = F.concat(F.coalesce(lines, none), F.coalesce(blocks, none), F.coalesce(whole, none))
     named = rows.select("__row", "__keep", F.explode_outer(units).alias("u"))
     named = named.withColumn("digest", F.sha2(_spelled(F.col("u.unit")), 256))
-    hits = named.join(F.broadcast(known), "digest", "left")
+    known = known.withColumn("counted", once)  # a paragraph that several texts share is one unit
+    hits = named.join(F.broadcast(known) if own else known, "digest", "left")
     is_whole = F.col("u.of") == "whole"
     part = F.col("unit").startswith("part")
-    each = hits.groupBy("__row", "__keep", "licence").agg(
+    # A licence may be known in several wordings (`parts` apart); each must be whole by itself.
+    each = hits.groupBy("__row", "__keep", "licence", "parts").agg(
         F.max(is_whole & F.col("unit").isin("text", "notice")).alias("whole"),
         F.max(~part).alias("direct"),
-        F.count_if(~is_whole).alias("n_units"),
+        F.count_if(~is_whole & F.col("counted")).alias("n_units"),
         F.count_distinct(F.when(part, F.col("unit"))).alias("seen"),
-        F.max("parts").alias("parts"),
     )
     is_found = F.col("licence").isNotNull() & (F.col("direct") | (F.col("seen") == F.col("parts")))
     return (
         each.groupBy("__row", "__keep")
         .agg(
             F.min(F.when(F.col("whole"), F.col("licence"))).alias("whole"),
-            F.array_join(F.array_sort(F.collect_list(F.when(is_found, F.col("licence")))), ",").alias("found"),
+            F.array_join(F.array_sort(F.collect_set(F.when(is_found, F.col("licence")))), ",").alias("found"),
             F.sum(F.when(F.col("licence").isNotNull(), F.col("n_units")).otherwise(0)).alias("n_units"),
         )
         .select(F.col("__keep").alias(keep), "whole", "found", "n_units")

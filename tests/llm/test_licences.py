@@ -1,6 +1,7 @@
 """Canonical forms, whole texts and notices; the query against a plain Python version."""
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -93,3 +94,23 @@ def test_spellings_change_lengths_within_bounds(spark):
     rows = spark.createDataFrame(texts, "text string").select(L._joined(L._blank(L.F.col("text"))).alias("unit"))
     for r in rows.select("unit", *L._lengths(L._spelled(L.F.col("unit")))).collect():
         assert r.low <= len(r.unit) <= r.high
+
+
+def test_full_licences(spark):
+    own = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if not all((own / f).exists() for f in names):
+        pytest.skip("no licence files here")
+    texts = [(n, (own / f).read_text()) for f, n in names.items()]
+    texts += [(n, "before\n\n" + t + "\n\nafter") for n, t in texts]
+    found = L.scan(spark.createDataFrame(texts, "name string, text string"), "name").collect()
+    assert sorted((r.name, r.whole or "") for r in found) == sorted((n, n * (i < 4)) for i, (n, _) in enumerate(texts))
+    assert all(r.name in r.found.split(",") for r in found)
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Unlicense"} <= {r.licence for r in L.known_units(spark).filter("unit = 'text'").collect()}
+
+
+def test_known_texts_of_the_caller(spark):
+    known = L.units(spark.createDataFrame([("mine", "Do as you like.\n\nBut be kind."), ("other", "words " * 50)], "licence string, text string"))
+    texts = [("a", "do as  you LIKE\n\n\nbut be kind!"), ("b", "x\nBut be kind.\nDo as you like"), ("c", "But be kind"), ("d", TEXT["MIT"])]
+    found = L.scan(spark.createDataFrame(texts, "name string, text string"), "name", known=known).collect()
+    assert sorted((r.name, r.whole, r.found) for r in found) == [("a", "mine", "mine"), ("b", None, "mine"), ("c", None, ""), ("d", None, "")]
