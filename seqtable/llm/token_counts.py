@@ -11,13 +11,14 @@ its ancestors at most one piece away; so a prefix common to many words is worked
 out once, and a word's count is read at its terminal node.
 
 Pre-tokens are runs without ASCII white space, opened by the mark of a word's
-begin; runs longer than SECTION characters are cut into sections that count
-separately. Results for odd input: null, empty and blank texts have no tokens;
+begin. Those longer than LONG characters share little; they are worked out one by
+one with the scores of the last positions only, to the same result. Results for odd input: null, empty and blank texts have no tokens;
 repeated rows, null ids and extra columns are left as they are; an empty table
 gives an empty one.
 """
 
 import functools
+import math
 import re
 
 import numpy as np
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame
 from seqtable.llm.tables import HashTable, mixed
 from seqtable.llm.texts import map_texts
 
-SECTION = 256
+#: Longer pre-tokens stay out of the trie.
+LONG = 256
 #: Pre-tokens a worker keeps the counts of.
 KNOWN = 150_000
 BEGIN = "▁"
@@ -49,6 +51,7 @@ class Trie:
         self.scores = -np.log(np.arange(1, len(pieces) + 1, dtype=np.float64))
         self.byte_score = -np.log(len(pieces) + 256.0)
         self.longest = max(map(len, pieces))
+        self.score_of = dict(zip(pieces, self.scores.tolist(), strict=True))
         keys = np.array([self._hash(p) for p in pieces], np.uint64)
         self.table = HashTable(mixed(keys), np.arange(len(pieces), dtype=np.int32))
 
@@ -100,6 +103,30 @@ class Trie:
         return out
 
 
+    def count_long(self, word: str) -> int:
+        """Tokens of one word; memory for the last `longest` positions besides the word."""
+        score_of, longest, byte_score = self.score_of.get, self.longest, float(self.byte_score)
+        best, least = [0.0], [0]  # of the last positions
+        for end in range(1, len(word) + 1):
+            score, count = -math.inf, 0
+            for length in range(1, len(best) + 1):
+                gain, tokens = score_of(word[end - length : end]), 1
+                if gain is None:
+                    if length > 1:
+                        continue
+                    code = ord(word[end - 1])
+                    tokens = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+                    gain = tokens * byte_score
+                there, used = best[-length] + gain, least[-length] + tokens
+                if there > score or there == score and used < count:
+                    score, count = there, used
+            best.append(score)
+            least.append(count)
+            if len(best) > longest:
+                del best[0], least[0]
+        return least[-1]
+
+
 def _powers(n: int) -> np.ndarray:
     power = np.ones(n + 1, np.uint64)
     power[1:] = np.multiply.accumulate(np.full(n, _BASE))
@@ -107,8 +134,8 @@ def _powers(n: int) -> np.ndarray:
 
 
 def sections(word: str) -> list[str]:
-    marked = BEGIN + word
-    return [marked[i : i + SECTION] for i in range(0, len(marked), SECTION)]
+    """Parts that count separately: the marked pre-token as a whole, whatever its length."""
+    return [BEGIN + word]
 
 
 class Counter:
@@ -123,11 +150,10 @@ class Counter:
         if len(self.known) > KNOWN:
             self.known = {}
         new = list(set().union(*split).difference(self.known))
-        parts = [sections(w) for w in new]
-        tokens = self.trie.counts([p for ps in parts for p in ps])
-        n = np.array([len(p) for p in parts], np.int64)
-        sums = np.add.reduceat(tokens, np.cumsum(n) - n) if len(new) else tokens
-        self.known.update(zip(new, sums.tolist(), strict=True))
+        short = [w for w in new if len(w) < LONG]
+        tokens = self.trie.counts([p for w in short for p in sections(w)])
+        self.known.update(zip(short, tokens.tolist(), strict=True))
+        self.known.update((w, sum(map(self.trie.count_long, sections(w)))) for w in new if len(w) >= LONG)
         known = self.known
         return np.array([sum([known[w] for w in ws]) for ws in split], np.int64), np.array([len(ws) for ws in split], np.int64)
 

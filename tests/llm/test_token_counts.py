@@ -65,3 +65,14 @@ def test_query(spark):
     found = {r.doc_id: r.n_tokens for r in queries.op5_token_counts(spark, folder).collect()}
     documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
     assert found == {d.doc_id: total(d.text, rank) for d in documents}
+
+
+def test_long_runs_are_not_cut():
+    pieces = T.vocabulary(PATH)
+    rank, draw = {p: i for i, p in enumerate(pieces)}, random.Random(1)
+    words = ["".join(draw.choice(letters) for _ in range(n)) for letters in ("abcdefghijABCDEF0123+/", "中文的是不了人我😀", "thenaing") for n in (254, 255, 256, 257, 700, 3000)]
+    words += ["international" * 100, "information" * 80]
+    want = [brute(T.BEGIN + w, rank) for w in words]
+    assert T.Counter(pieces)(words)[0].tolist() == want
+    cut = [sum(brute(m[i : i + 256], rank) for i in range(0, len(m), 256)) for m in (T.BEGIN + w for w in words)]
+    assert cut != want
