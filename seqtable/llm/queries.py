@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtable import session
-from seqtable.llm import byte_bpe, contamination, credentials, language, licences, near_dups, neighbours, quality, token_counts, token_files
+from seqtable.llm import (
+    alignment,
+    bitslices,
+    byte_bpe,
+    contamination,
+    conversations,
+    credentials,
+    language,
+    licences,
+    near_dups,
+    neighbours,
+    quality,
+    token_counts,
+    token_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,6 +164,31 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of all conversations after repeatable damage, their cheapest repair and a digest of the result."""
+    damaged = conversations.damage(table(spark, folder, "conversations"))
+    return conversations.audits(damaged)
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in all documents, weighed by how usual they are in the corpus."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    written = session.new_folder(spark, "aligned")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    sums = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_group_links", "groups_sha256"]
+    found = alignment.align(table(spark, folder, "documents"), *paths, ["doc_id"])
+    found.select("*", digest).drop("groups").write.parquet(f"{written}/documents")
+    aligned = spark.read.parquet(f"{written}/documents")
+    alignment.pair_counts(aligned).write.parquet(f"{written}/pairs")
+    weighed = alignment.weigh(aligned, spark.read.parquet(f"{written}/pairs"), sums)
+    return weighed.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")
+
+
+def op13_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The five highest integer inner products of each vector whose id is divisible by 50."""
+    return bitslices.search(table(spark, folder, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
@@ -161,6 +200,9 @@ QUERIES: dict[str, Query] = {
     "op8_near_dups": op8_near_dups,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_conversations": op11_conversations,
+    "op12_alignment": op12_alignment,
+    "op13_top_products": op13_top_products,
 }
 ORACLES: dict[str, str] = {
     "op7_contamination": OP7_SQL,
