@@ -51,19 +51,32 @@ def repair_selectors(actions: DataFrame) -> DataFrame:
 
 
 def repair_action_ids(actions: DataFrame) -> DataFrame:
-    """Later uses of an action id within a trajectory get a number behind it.
+    """Later uses of an action id within a trajectory get a number behind it; ids are unique afterwards.
 
-    Uses are counted with a running total over chunks, so an id that a long
-    trajectory repeats endlessly is spread over many tasks.
+    Numbers go on from the largest that an id of the trajectory already has behind the
+    same id (``a, a, a_2`` gives ``a, a_3, a_2``), so no new id is an old one; the part
+    before the last underscore and the number tell new ones apart. A null id counts
+    as an empty one. Uses are counted with a running total over chunks, so an id that
+    a long trajectory repeats endlessly is spread over many tasks.
     """
-    named = F.to_json(F.struct("trajectory_id", "action_id"), {"ignoreNullFields": "false"})
-    rows = actions.select("trajectory_id", "pos", "action_id", named.alias("_use"), F.lit(1).alias("_one"))
+    own = F.coalesce("action_id", F.lit(""))
+    use = lambda name: F.to_json(F.struct("trajectory_id", name.alias("id")), {"ignoreNullFields": "false"})
+    rows = actions.select("trajectory_id", "pos", "action_id", use(own).alias("_use"), F.lit(1).alias("_one"))
     rows = with_running_total(rows, "_use", "pos", "_one", "_nth")
+    # Only a number without leading zeros can look like a new one.
+    numbered = actions.select(
+        "trajectory_id",
+        F.regexp_extract(own, r"(?s)^(.*)_[1-9][0-9]{0,36}$", 1).alias("_base"),
+        F.regexp_extract(own, r"_([1-9][0-9]{0,36})$", 1).try_cast("decimal(38,0)").alias("_number"),
+    ).where("_number is not null")
+    largest = numbered.groupBy(use(F.col("_base")).alias("_use")).agg(F.max("_number").alias("_largest"))
+    rows = rows.join(largest, "_use", "left")
     again = F.col("_nth") > 1
+    number = F.greatest(F.coalesce("_largest", F.lit(1)), F.lit(1)) + F.col("_nth") - 1
     return rows.select(
         "trajectory_id",
         "pos",
-        F.when(again, F.concat(F.coalesce("action_id", F.lit("")), F.lit("_"), F.col("_nth"))).otherwise(F.col("action_id")).alias("action_id"),
+        F.when(again, F.concat(own, F.lit("_"), number.cast("decimal(38,0)").cast("string"))).otherwise(F.col("action_id")).alias("action_id"),
         again.alias("renamed"),
     )
 

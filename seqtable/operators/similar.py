@@ -1,11 +1,38 @@
-"""Near-duplicate trajectories: an exact set-similarity join by prefix filtering."""
+"""Near-duplicate trajectories: an exact set-similarity join, and the groups its links make.
 
-from pyspark.sql import DataFrame, Window
+Sets of tokens are compared by Jaccard similarity. Trajectories with equal sets are
+one class, named by its smallest id; classes are joined, members only listed:
+
+    membership(tokens)        (trajectory_id, class_id, n): every trajectory
+    linked_classes(tokens)    pairs of classes that are similar enough
+    groups(tokens)            (trajectory_id, group_id): what links connect
+    keep_one(actions, groups) one trajectory of each group
+
+The join goes by a common order of all tokens, rarest first. Two sets of sizes
+n <= m can only reach similarity t if t m <= n and they share one of the first
+n - ceil(t n) + 1 tokens of the one and m - ceil(t m) + 1 of the other; the place of the
+first shared one must leave enough tokens behind it, and the tokens of both must
+agree well enough on counts by hash (HISTOGRAM buckets). What is left is compared
+exactly. No window or task holds a whole trajectory: places within a long one come
+from counts of pieces, its tokens are compared in parts. A token that many
+first parts share is split by salt and by size.
+"""
+
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqtable.operators.components import components
 from seqtable.operators.ordered import with_running_total
+from seqtable.session import new_folder
 
 THRESHOLD_PERCENT = 90
+#: Sets up to this many tokens are compared as one array, larger ones in parts.
+ARRAY = 4096
+HISTOGRAM = 16
+#: Rows of one token and size that meet in one task, about, on the side that is split.
+SALTED = 10_000
 
 
 def token_sets(actions: DataFrame) -> DataFrame:
@@ -17,38 +44,146 @@ def token_sets(actions: DataFrame) -> DataFrame:
     return rows.select("trajectory_id", "workflow_type", F.xxhash64("_what", "_nth").alias("token"))
 
 
-def near_duplicates(actions: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """Pairs of classes of trajectories (equal token sets) whose Jaccard similarity is at least ``percent`` / 100.
-
-    A class is named by its smallest trajectory id. Two sets of sizes n and m can
-    only be that similar if they share one of the n - ceil(t n) + 1 rarest tokens
-    of each and t n <= m; the rest of the work is a count of shared tokens for the
-    pairs so found. Copies are one class, so groups of them make no pairs.
-    """
-    tokens = token_sets(actions)
-    sizes = tokens.groupBy("workflow_type", "trajectory_id").agg(
+def membership(tokens: DataFrame) -> DataFrame:
+    """(trajectory_id, workflow_type, class_id, n): every trajectory with its class and set size."""
+    sets = tokens.groupBy("workflow_type", "trajectory_id").agg(
         F.count("*").alias("n"), F.bit_xor("token").alias("_x"), F.sum(F.shiftrightunsigned("token", 20)).alias("_s")
     )
-    classes = sizes.groupBy("workflow_type", "n", "_x", "_s").agg(F.min("trajectory_id").alias("trajectory_id"), F.count("*").alias("members"))
-    classes = classes.select("workflow_type", "trajectory_id", "n", "members")
-    need = F.expr(f"cast(({percent} * n + 99) div 100 as bigint)")
+    content = ["workflow_type", "n", "_x", "_s"]
+    named = sets.groupBy(*content).agg(F.min("trajectory_id").alias("class_id"))
+    same = F.lit(True)
+    for c in content:
+        same &= F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}"))
+    return sets.alias("s").join(named.alias("c"), same).select("trajectory_id", "s.workflow_type", "class_id", "s.n")
+
+
+def _places(sets: DataFrame) -> DataFrame:
+    """Adds ``place`` (from 0): the token's place in its set by (level, token); level is the size of its use as a power of two."""
+    inside = Window.partitionBy("class_id").orderBy("level", "token")
+    short = sets.where(F.col("n") <= ARRAY).withColumn("place", F.row_number().over(inside) - 1)
+    long = sets.where(F.col("n") > ARRAY).withColumn("_piece", F.shiftrightunsigned(F.col("token").bitwiseXOR(F.lit(-(2**63))), 54))
+    counts = long.groupBy("class_id", "level", "_piece").agg(F.count("*").alias("_n"))  # 1024 pieces a level
+    before = Window.partitionBy("class_id").orderBy("level", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("class_id", "level", "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    piece = Window.partitionBy("class_id", "level", "_piece").orderBy("token")
+    long = long.join(counts, ["class_id", "level", "_piece"]).withColumn("place", F.row_number().over(piece) - 1 + F.col("_before"))
+    return short.unionByName(long.drop("_piece", "_before"))
+
+
+def _enough(percent: int, a: str, b: str) -> Column:
+    """Tokens that sets of sizes a and b must share: the least c with 100 c >= percent (a + b - c)."""
+    return F.expr(f"cast(({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent} as bigint)")
+
+
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, na, b, nb): pairs of classes that may be similar enough, each once; na <= nb."""
+    uses = sets.groupBy("workflow_type", "token").agg(F.count("*").alias("uses")).where("uses > 1")
+    known = F.col("s.workflow_type").eqNullSafe(F.col("u.workflow_type")) & (F.col("s.token") == F.col("u.token"))
+    ranked = sets.alias("s").join(uses.alias("u"), known, "left").select("s.*", F.coalesce("uses", F.lit(1)).alias("uses"))
+    ranked = _places(ranked.withColumn("level", F.length(F.bin("uses"))))
+    first = ranked.where(F.expr(f"place < n - cast(({percent} * n + 99) div 100 as bigint) + 1 and uses > 1"))
+    # Sizes that can be similar lie in one band or in two neighbouring ones.
+    band = F.floor(F.log("n") / math.log(100 / min(percent, 99)) + 1e-9).cast("int")
+    salts = F.ceil(F.col("uses") / SALTED).cast("int")
+    first = first.select("workflow_type", "token", "uses", "class_id", "n", "place", band.alias("band"), salts.alias("salts"))
+    left = first.select(
+        "workflow_type", "token", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
+        F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.pmod(F.xxhash64("class_id"), "salts").alias("salt"),
+    )
+    right = first.select(
+        F.col("workflow_type").alias("_w"), F.col("token").alias("_t"), F.col("band").alias("_band"),
+        F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("salts") - 1).cast("bigint"))).alias("_salt"),
+    )
+    met = (
+        F.col("workflow_type").eqNullSafe(F.col("_w"))
+        & (F.col("token") == F.col("_t"))
+        & (F.col("band") == F.col("_band"))
+        & (F.col("salt") == F.col("_salt"))
+        & F.expr(f"(na < nb or na = nb and a < b) and 100 * na >= {percent} * nb")
+        & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _enough(percent, "na", "nb"))
+    )
+    return left.join(right, met).select("a", "na", "b", "nb").distinct()
+
+
+def _histograms(sets: DataFrame) -> DataFrame:
+    """(class_id, histogram): tokens of each class by hash bucket."""
+    bucket = F.pmod("token", F.lit(HISTOGRAM))
+    return sets.groupBy("class_id").agg(F.array(*[F.count_if(bucket == i) for i in range(HISTOGRAM)]).alias("histogram"))
+
+
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with ``both``, the number of tokens they share."""
+    arrays = sets.where(F.col("n") <= ARRAY).groupBy("class_id").agg(F.collect_list("token").alias("tokens"))
+    mine = arrays.withColumnsRenamed({"class_id": "a", "tokens": "_mine"})
+    theirs = arrays.withColumnsRenamed({"class_id": "b", "tokens": "_theirs"})
+    both = F.size(F.array_intersect("_mine", "_theirs")).cast("bigint")
+    short = pairs.where(F.col("nb") <= ARRAY).join(mine, "a").join(theirs, "b").select("a", "na", "b", "nb", both.alias("both"))
+    # Long sets: parts of some ARRAY tokens by hash, as many for both of a pair.
+    parts = F.ceil(F.col("nb") / ARRAY).cast("int")
+    long = pairs.where(F.col("nb") > ARRAY).withColumn("parts", parts)
+    needed = long.select(F.explode(F.array(F.struct(F.col("a").alias("class_id"), "parts"), F.struct(F.col("b").alias("class_id"), "parts"))).alias("x")).select("x.*").distinct()
+    cut = sets.join(needed, "class_id").groupBy("class_id", "parts", F.pmod("token", F.col("parts")).alias("part")).agg(F.collect_list("token").alias("tokens"))
+    mine = cut.withColumnsRenamed({"class_id": "a", "tokens": "_mine"})
+    theirs = cut.withColumnsRenamed({"class_id": "b", "tokens": "_theirs"})
+    long = long.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("parts") - 1).cast("bigint"))))
+    long = long.join(mine, ["a", "parts", "part"]).join(theirs, ["b", "parts", "part"]).select("a", "na", "b", "nb", both.alias("both"))
+    return short.unionByName(long.groupBy("a", "na", "b", "nb").agg(F.sum("both").alias("both")))
+
+
+def linked_classes(tokens: DataFrame, members: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """(a, b, similarity), a < b: all pairs of classes of one workflow with similarity ``percent`` / 100 or more.
+
+    Both inputs are read several times, so they should be written tables.
+    """
+    named = members.where("trajectory_id = class_id").select("class_id", "n")
     # Where no other size can be similar enough, equal sets are one class already.
-    sets = tokens.join(classes.where(f"n * 100 >= (n + 1) * {percent} or (n - 1) * 100 >= n * {percent}"), ["workflow_type", "trajectory_id"])
-    common = sets.groupBy("workflow_type", "token").agg(F.count("*").alias("_uses")).where("_uses > 1")
-    rare = Window.partitionBy("trajectory_id").orderBy(F.col("_uses"), "token")
-    ranked = sets.join(common, ["workflow_type", "token"], "left").withColumn("_uses", F.coalesce("_uses", F.lit(1)))
-    prefix = ranked.withColumn("_rank", F.row_number().over(rare)).where(F.col("_rank") <= F.col("n") - need + 1).where("_uses > 1")
-    left = prefix.select("workflow_type", "token", F.col("trajectory_id").alias("a"), F.col("n").alias("na"))
-    right = prefix.select("workflow_type", "token", F.col("trajectory_id").alias("b"), F.col("n").alias("nb"))
-    pairs = left.join(right, ["workflow_type", "token"]).where(f"a < b and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    pairs = pairs.select("a", "b", "na", "nb").distinct()
-    mine = sets.select(F.col("trajectory_id").alias("a"), "token")
-    theirs = sets.select(F.col("trajectory_id").alias("b"), "token")
-    shared = pairs.join(mine, "a").join(theirs, ["b", "token"]).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("both"))
-    found = shared.where(f"100 * both >= {percent} * (na + nb - both)")
-    names = classes.select("trajectory_id", "members")
-    return (
-        found.join(names.withColumnsRenamed({"trajectory_id": "a", "members": "members_a"}), "a")
-        .join(names.withColumnsRenamed({"trajectory_id": "b", "members": "members_b"}), "b")
-        .select("a", "b", "members_a", "members_b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("similarity"))
+    named = named.where(f"n * 100 >= (n + 1) * {percent} or (n - 1) * 100 >= n * {percent}")
+    sets = tokens.withColumnRenamed("trajectory_id", "class_id").join(named, "class_id")
+    pairs = _candidates(sets, percent)
+    histograms = _histograms(sets)
+    mine, theirs = (histograms.withColumnsRenamed({"class_id": c, "histogram": f"_{c}"}) for c in ("a", "b"))
+    most = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    pairs = pairs.join(mine, "a").join(theirs, "b").where(most >= _enough(percent, "na", "nb")).drop("_a", "_b")
+    found = _shared(pairs, sets).where(f"100 * both >= {percent} * (na + nb - both)")
+    similarity = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), similarity.alias("similarity"))
+
+
+def _written(actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tokens and membership of all trajectories, written to the shared folder."""
+    spark, folder = actions.sparkSession, new_folder(actions.sparkSession, "similar")
+    token_sets(actions).write.parquet(f"{folder}/tokens")
+    tokens = spark.read.parquet(f"{folder}/tokens")
+    membership(tokens).write.parquet(f"{folder}/members")
+    return tokens, spark.read.parquet(f"{folder}/members")
+
+
+def near_duplicates(actions: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """(a, b, members_a, members_b, similarity): linked classes with the number of trajectories in each; see `near_groups`."""
+    tokens, members = _written(actions)
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("members"))
+    found = linked_classes(tokens, members, percent)
+    for c in ("a", "b"):
+        found = found.join(sizes.withColumnsRenamed({"class_id": c, "members": f"members_{c}"}), c)
+    return found.select("a", "b", "members_a", "members_b", "similarity")
+
+
+def near_groups(actions: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """(trajectory_id, class_id, group_id, links): every trajectory, its class, the smallest id that links connect it with,
+    and the number of classes its class is linked with.
+    """
+    tokens, members = _written(actions)
+    spark, folder = actions.sparkSession, new_folder(actions.sparkSession, "links")
+    linked_classes(tokens, members, percent).write.parquet(folder)
+    links = spark.read.parquet(folder)
+    ends = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    found = components(links, "a", "b").select(F.col("node").alias("class_id"), F.col("component").alias("group_id"))
+    return members.join(found, "class_id", "left").join(ends, "class_id", "left").select(
+        "trajectory_id", "class_id", F.coalesce("group_id", "class_id").alias("group_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links")
     )
+
+
+def keep_one(actions: DataFrame, groups: DataFrame) -> DataFrame:
+    """Action rows of the trajectories that give their group its name."""
+    return actions.join(groups.where("trajectory_id = group_id").select("trajectory_id"), "trajectory_id", "left_semi")

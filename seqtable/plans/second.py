@@ -124,7 +124,8 @@ _HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1))"
 @query(
     ACTIONS
     + f""", hosts AS (SELECT *, coalesce({_HOST}, '') AS host FROM fx),
-looked AS (SELECT *, lag(host) OVER (PARTITION BY trajectory_id ORDER BY pos) AS before FROM hosts),
+looked AS (
+  SELECT *, last_value(nullif(host, '') IGNORE NULLS) OVER (PARTITION BY trajectory_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM hosts),
 each AS (
   SELECT trajectory_id, min(CASE WHEN action_type = 'submit' THEN pos END) AS s, min(CASE WHEN action_type = 'type' THEN pos END) AS t,
     min(CASE WHEN user_intent = 'purchase' THEN pos END) AS late, min(CASE WHEN user_intent = 'view' THEN pos END) AS early,
@@ -174,31 +175,47 @@ def workflow_completeness(spark: SparkSession, folder: str) -> DataFrame:
 # --- privacy ------------------------------------------------------------------------
 
 
-def _redacted_sql(column: str) -> tuple[str, list[str]]:
-    text, counts = column, []
-    for kind, pattern in privacy.KINDS.items():
-        quoted = "'" + pattern.replace("'", "''") + "'"
-        counts.append(f"coalesce(len(regexp_extract_all({text}, {quoted})), 0)::BIGINT AS n_{kind}")
-        text = f"regexp_replace({text}, {quoted}, '[{kind}]', 'g')"
-    return text, counts
-
-
-_text, _counts = _redacted_sql("text")
-_value, _value_counts = _redacted_sql('"value"')
-
-
-@query(f"SELECT doc_id, {', '.join(_counts)}, sha256({_text}) AS redacted_sha256 FROM documents")
+_any = "'" + privacy.ANY_KIND.replace("'", "''") + "'"
+_of_kind = " ".join("WHEN regexp_full_match(f, '{}') THEN {}".format(
+    p.replace("'", "''"),
+    f"CASE WHEN {_sound} THEN '{k}' END" if (_sound := {
+        "card": "list_sum(list_transform(range(length(_digits)), lambda i: (CASE WHEN (length(_digits) - i) % 2 = 0 THEN 2 * _digits[i + 1]::INTEGER - "
+        "CASE WHEN _digits[i + 1]::INTEGER > 4 THEN 9 ELSE 0 END ELSE _digits[i + 1]::INTEGER END))) % 10 = 0",
+        "ip": "len(list_filter(string_split(f, '.'), lambda x: x::INTEGER > 255)) = 0",
+    }.get(k, "").replace("_digits", "regexp_replace(f, '[^0-9]', '', 'g')")) else f"'{k}'",
+) for k, p in privacy.KINDS.items())
+
+
+def _redacted_sql(source: str, column: str, keep: str) -> str:
+    """The finds of one scan, each looked at by itself, and the text put together again."""
+    counts = ", ".join(f"(count(*) FILTER (kind = '{k}'))::BIGINT AS n_{k}" for k in privacy.KINDS)
+    return f"""scanned AS (
+  SELECT {keep}, regexp_extract_all({column}, {_any}) AS finds, string_split_regex({column}, {_any}) AS rest FROM {source}),
+finds AS (SELECT {keep}, i, finds[i] AS f FROM (SELECT *, unnest(range(1, len(finds) + 1)) AS i FROM scanned)),
+kinds AS (SELECT {keep}, i, f, CASE {_of_kind} END AS kind FROM finds),
+told AS (
+  SELECT {keep}, list(coalesce('[' || kind || ']', f) ORDER BY i) AS shown, {counts} FROM kinds GROUP BY {keep}),
+whole AS (
+  SELECT {keep}, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in privacy.KINDS)}, CASE WHEN rest IS NULL THEN NULL WHEN shown IS NULL THEN rest[1]
+    ELSE rest[1] || array_to_string(list_transform(range(1, len(shown) + 1), lambda i: shown[i] || rest[i + 1]), '') END AS redacted
+  FROM scanned LEFT JOIN told USING ({keep}))"""
+
+
+@query(f"WITH {_redacted_sql('documents', 'text', 'doc_id')} SELECT * EXCLUDE (redacted), sha256(redacted) AS redacted_sha256 FROM whole")
 def redact_pii(spark: SparkSession, folder: str) -> DataFrame:
-    text, counts = privacy.redact(F.col("text"))
-    named = [c.alias(f"n_{k}") for k, c in counts.items()]
-    return views.table(spark, folder, "documents").select("doc_id", *named, F.sha2(text, 256).alias("redacted_sha256"))
+    found = privacy.redact(views.table(spark, folder, "documents").select("doc_id", "text"), "text", "redacted")
+    return found.select("doc_id", *[f"n_{k}" for k in privacy.KINDS], F.sha2("redacted", 256).alias("redacted_sha256"))
 
 
-@query(ACTIONS + f"SELECT trajectory_id, pos, {', '.join(_value_counts)}, {_value} AS \"value\" FROM fx WHERE \"value\" IS NOT NULL")
+@query(
+    ACTIONS
+    + f""", typed AS (SELECT * FROM fx WHERE "value" IS NOT NULL), {_redacted_sql('typed', '"value"', 'trajectory_id, pos')}
+SELECT * RENAME (redacted AS "value") FROM whole"""
+)
 def redact_values(spark: SparkSession, folder: str) -> DataFrame:
-    text, counts = privacy.redact(F.col("value"))
-    named = [c.alias(f"n_{k}") for k, c in counts.items()]
-    return views.actions(spark, folder).where(F.col("value").isNotNull()).select("trajectory_id", "pos", *named, text.alias("value"))
+    rows = views.actions(spark, folder).where(F.col("value").isNotNull()).select("trajectory_id", "pos", "value")
+    found = privacy.redact(rows, "value", "redacted")
+    return found.select("trajectory_id", "pos", *[f"n_{k}" for k in privacy.KINDS], F.col("redacted").alias("value"))
 
 
 # --- training data ------------------------------------------------------------------
