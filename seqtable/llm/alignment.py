@@ -25,16 +25,18 @@ columns don't matter. An empty table gives an empty one.
 
 import functools
 import os
+import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtable import session
+from seqtable.llm import byte_bpe
 from seqtable.llm.csr import Csr, product_sizes, products
 from seqtable.llm.texts import map_texts, slices
 
@@ -42,6 +44,8 @@ from seqtable.llm.texts import map_texts, slices
 HOT = 1 << 20
 #: Id pairs a task counts in memory before it hands them on.
 HELD = 1 << 20
+#: Pieces of text of which a worker keeps the ids, for each tokenizer.
+KNOWN = 60_000
 _PART = np.int64(1) << np.int64(32)
 
 
@@ -64,6 +68,12 @@ class Vocabularies:
         self.length_b = np.array([len(t) for t in self.bytes_b])
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << 31:
             raise ValueError("id pairs are packed in 64 bits")
+        # No piece of B has a blank behind another character, so blanks begin what can be encoded by itself.
+        within = any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.blank = [self.b.piece_to_id("▁")]
+        borders = byte_bpe.Encoder(None, public_tokenizers.PATTERN).pieces
+        self.cache_a = Pieces(borders, self._ids_a)
+        self.cache_b = Pieces((lambda t: [t] if t else []) if within else re.compile(" +[^ ]*").findall, self._ids_b)
         self.signed = [f"{i}{sign}".encode() for sign in (",", "|", ";") for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
 
     def _piece(self, i: int) -> bytes:
@@ -71,15 +81,49 @@ class Vocabularies:
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+    def _ids_a(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids (little-endian 32-bit) of pieces between borders; null where their bytes aren't the piece's."""
+        found = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [_packed(ids, self.bytes_a, p) for ids, p in zip(found, pieces, strict=True)]
+
+    def _ids_b(self, pieces: list[str]) -> list[bytes | None]:
+        """The same of blanks and what follows them; the tokenizer adds the first blank itself."""
+        found = self.b.encode([p[1:] for p in pieces], num_threads=1)
+        return [_packed(ids if p != " " else self.blank, self.bytes_b, p) for ids, p in zip(found, pieces, strict=True)]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of both for each text; both empty where the text has no tokens by the rule above."""
         spaced = [" " + t if t else "" for t in texts]
-        found = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+        sides = self.cache_a(spaced), self.cache_b(spaced)
+        return [(b"", b"") if a is None or b is None else (a, b) for a, b in zip(*sides, strict=True)]
+
+
+def _packed(ids: list[int], tokens: list[bytes], piece: str) -> bytes | None:
+    return np.array(ids, "<u4").tobytes() if b"".join(map(tokens.__getitem__, ids)) == piece.encode() else None
+
+
+class Pieces:
+    """Ids of texts put together from those of their pieces; a piece met lately isn't encoded again."""
+
+    def __init__(self, cut: Callable[[str], list[str]], learn: Callable[[list[str]], list[bytes | None]]):
+        self.cut, self.learn = cut, learn
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes | None]:
+        split = [self.cut(t) for t in texts]
+        if len(self.known) > KNOWN:
+            self.known, self.older = {}, self.known
+        new = set().union(*split).difference(self.known)
+        met = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in met)
+        new = list(new - met)
+        self.known.update(zip(new, self.learn(new), strict=True))
         out = []
-        for text, ids_a, ids_b in zip(spaced, [e.ids for e in found], self.b.encode([t or "" for t in texts], num_threads=1), strict=True):
-            whole = text.encode()
-            same = b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole == b"".join(map(self.bytes_b.__getitem__, ids_b))
-            out.append((ids_a, ids_b) if same else ([], []))
+        for text, pieces in zip(texts, split, strict=True):
+            ids = [self.known[p] for p in pieces]
+            whole = None not in ids and sum(map(len, pieces)) == len(text)
+            out.append(b"".join(ids) if whole else None)
         return out
 
 
@@ -123,15 +167,18 @@ class Slice(NamedTuple):
         return np.bincount(self.text_a[first], minlength=self.n)
 
 
-def matrices(own: Vocabularies, encoded: list[tuple[list[int], list[int]]]) -> Slice:
+def matrices(own: Vocabularies, encoded: list[tuple[bytes, bytes]]) -> Slice:
     sides = []
     for side, lengths in ((0, own.length_a), (1, own.length_b)):
-        sizes = np.array([len(e[side]) for e in encoded], np.int64)
-        ids = np.fromiter(chain.from_iterable([e[side] for e in encoded]), np.int64, int(sizes.sum()))
+        sizes = np.array([len(e[side]) // 4 for e in encoded], np.int64)
+        ids = np.frombuffer(b"".join([e[side] for e in encoded]), "<u4").astype(np.int64)
         sides.append((ids, np.repeat(np.arange(len(encoded)), sizes), np.cumsum(lengths[ids])))
     (ids_a, text_a, ends_a), (ids_b, text_b, ends_b) = sides
-    borders = np.intersect1d(ends_a, ends_b)
     size = int(ends_a[-1]) if len(ends_a) else 0
+    last = np.zeros((2, size), bool)  # bytes that end a token
+    last[0, ends_a - 1] = last[1, ends_b - 1] = True
+    group = np.cumsum(last[0] & last[1]) - (last[0] & last[1])  # of each byte
+    n_groups = int(group[-1]) + 1 if size else 0
     return Slice(
         ids_a,
         ids_b,
@@ -139,8 +186,8 @@ def matrices(own: Vocabularies, encoded: list[tuple[list[int], list[int]]]) -> S
         text_b,
         Csr.of_runs(own.length_a[ids_a], size),
         Csr.of_runs(own.length_b[ids_b], size),
-        Csr.of_single(np.searchsorted(borders, ends_a), len(borders)),
-        Csr.of_single(np.searchsorted(borders, ends_b), len(borders)),
+        Csr.of_single(group[ends_a - 1], n_groups),
+        Csr.of_single(group[ends_b - 1], n_groups),
         len(encoded),
     )
 
