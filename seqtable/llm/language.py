@@ -6,6 +6,8 @@ found with the forward algorithm. Piece probabilities are fitted by expectation
 and maximisation (expected counts from forward and backward sums) over the word
 counts of a bounded sample of labelled documents. A text's language has the
 largest product of prior and word probabilities; its score is the posterior.
+Words of any length are summed whole; long ones in logarithms, in memory for the
+last places alone (learning keeps a number for each of a word's places).
 
 Results for odd input: a text that is null or has no letter gets `und` and score
 0; without any labelled document so does every text. Rows with null labels are
@@ -31,8 +33,8 @@ UNKNOWN = "und"
 SAMPLE = 1000
 ROUNDS = 3
 SMOOTHING = 0.1
-#: Longer runs of letters are scored in sections of this length, so that products stay in the range of doubles.
-SECTION = 40
+#: Words of more letters are summed in logarithms, as their probabilities leave the range of doubles; and letters of such words at once.
+PLAIN, LETTERS_AT_ONCE = 40, 1 << 20
 #: Words a task keeps the scores of.
 KNOWN = 100_000
 BEGIN = "▁"
@@ -63,6 +65,8 @@ class Forward:
         self.longest = max(map(len, model.pieces))
         keys = [self._hash(np.array([list(map(ord, p))], np.uint64))[0] for p in model.pieces]
         self.table = HashTable(mixed(np.array(keys, np.uint64)), np.arange(len(keys), dtype=np.int32))
+        with np.errstate(divide="ignore"):
+            self.logs = np.log(np.concatenate([model.chances, np.zeros((1, model.chances.shape[1]))]))  # place -1: no piece
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -85,6 +89,42 @@ class Forward:
                 found[end].append((start, piece))
         return found
 
+    def ending(self, codes: np.ndarray):
+        """For each place of words of equal length: the pieces that end there, one letter first, the longest last (-1: none)."""
+        hashes = np.zeros((0, len(codes)), np.uint64)
+        for column in codes.T:
+            hashes = np.concatenate([np.zeros((1, len(codes)), np.uint64), hashes[: self.longest - 1]])
+            hashes = hashes * np.uint64(1000003) + column
+            piece = self.table.find(mixed(hashes.ravel())).reshape(hashes.shape)
+            piece[0, piece[0] < 0] = len(self.chances) - 1
+            yield piece
+
+    def _long_scores(self, codes: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums, from those of the last `longest` places; for words of any length."""
+        before = np.zeros((1, len(codes), self.chances.shape[1]))  # the last place first
+        for piece in self.ending(codes):
+            total = _log_sum(before[: len(piece)] + self.logs[piece])
+            before = np.concatenate([total[None], before[: self.longest - 1]])
+        return before[0]
+
+    def _long_expected(self, codes: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
+        n, rows = codes.shape[1], len(codes)
+        pieces = np.full((n, self.longest, rows), -1, np.int32)
+        ahead, back = np.zeros((n + 1, *weight.shape)), np.zeros((n + 1, *weight.shape))
+        for end, piece in enumerate(self.ending(codes), 1):
+            pieces[end - 1, : len(piece)] = piece
+            ahead[end] = _log_sum(ahead[end - len(piece) : end][::-1] + self.logs[piece])
+        for start in range(n - 1, -1, -1):
+            reach = np.arange(min(self.longest, n - start))
+            back[start] = _log_sum(back[start + 1 + reach] + self.logs[pieces[start + reach, reach]])
+        for end in range(1, n + 1):
+            for k in range(min(self.longest, end)):
+                piece = pieces[end - 1, k]
+                hit = np.flatnonzero(piece >= 0)
+                if len(hit):
+                    share = weight[hit] * np.exp(ahead[end - 1 - k, hit] + self.logs[piece[hit]] + back[end, hit] - ahead[n, hit])
+                    np.add.at(out, piece[hit], share)
+
     def _chance(self, piece: np.ndarray) -> np.ndarray:
         chance = self.chances[piece]
         chance[piece < 0] = 0
@@ -94,6 +134,9 @@ class Forward:
         """Logarithm of each word's probability, a column per language."""
         out = np.zeros((len(words), self.chances.shape[1]))
         for rows, codes in by_length(words):
+            if codes.shape[1] > PLAIN:
+                out[rows] = self._long_scores(codes)
+                continue
             sums = [np.ones((len(rows), out.shape[1]))]
             for end, cuts in enumerate(self.cuts(codes)[1:], 1):
                 total = np.zeros_like(sums[0])
@@ -111,6 +154,9 @@ class Forward:
         """Expected number of uses of each piece in each language; counts: words by languages."""
         out = np.zeros_like(self.chances)
         for rows, codes in by_length(words):
+            if codes.shape[1] > PLAIN:
+                self._long_expected(codes, counts[rows], out)
+                continue
             n, cuts, weight = codes.shape[1], self.cuts(codes), counts[rows]
             ahead = [np.ones_like(weight)] + [np.zeros_like(weight) for _ in range(n)]
             back = [np.zeros_like(weight) for _ in range(n)] + [np.ones_like(weight)]
@@ -129,14 +175,21 @@ class Forward:
         return out
 
 
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exp(terms) over the first axis; one term at least is finite."""
+    top = terms.max(axis=0)
+    return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
 def by_length(words: list[str], most: int = 1 << 16):
-    """(places, code points) of the words, each time of words of one length; `most` words at once."""
+    """(places, code points) of the words, each time of words of one length; `most` words at once, fewer of long ones."""
     lengths = np.array([len(w) for w in words], np.int64)
     order = np.argsort(lengths, kind="stable")
     ordered, start = lengths[order], 0
     while start < len(order):
         n = int(ordered[start])
-        stop = min(int(np.searchsorted(ordered, n, side="right")), start + most)
+        at_once = most if n <= PLAIN else max(1, LETTERS_AT_ONCE // n)
+        stop = min(int(np.searchsorted(ordered, n, side="right")), start + at_once)
         rows = order[start:stop]
         if n:
             raw = "".join([words[i] for i in rows]).encode("utf-32-le", "surrogatepass")
@@ -144,12 +197,11 @@ def by_length(words: list[str], most: int = 1 << 16):
         start = stop
 
 
-def sections(word: str) -> list[str]:
-    """The word's letters with the mark of its begin, in sections; empty if it has none."""
+def marked(word: str) -> str:
+    """The word's letters behind the mark of its begin; empty if it has none."""
     if not word.isalpha():
         word = "".join(filter(str.isalpha, word))
-    marked = BEGIN + word
-    return [marked[i : i + SECTION] for i in range(0, len(marked), SECTION)] if word else []
+    return BEGIN + word if word else ""
 
 
 def fit(
@@ -190,15 +242,9 @@ def _round(words: DataFrame, model: Model) -> np.ndarray:
         forward, total = Forward(model), np.zeros_like(model.chances)
         for batch in batches:
             labels, counts = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            parts, weights = [], []
-            for word, k, c in zip(batch.column(1).to_pylist(), labels, counts, strict=True):
-                for part in sections(word):
-                    parts.append(part)
-                    weights.append((k, c))
+            parts = [marked(word) for word in batch.column(1).to_pylist()]
             table = np.zeros((len(parts), n))
-            if weights:
-                k, c = np.array(weights).T
-                table[np.arange(len(parts)), k] = c
+            table[np.arange(len(parts)), labels] = counts
             total += forward.expected(parts, table)
         piece, k = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[piece, k])], ["piece", "k", "uses"])
@@ -223,11 +269,8 @@ class Guess:
         if len(self.known) > KNOWN:
             self.known, self.table = {}, self.table[:1]
         new = [w for w in words if w not in self.known]
-        parts = [sections(w) for w in new]
-        scores = self.forward.scores([p for ps in parts for p in ps])
-        owner = np.repeat(np.arange(len(new)), [len(p) for p in parts])
-        sums = np.zeros((len(new), scores.shape[1]))
-        np.add.at(sums, owner, scores)
+        parts = [marked(w) for w in new]
+        sums = self.forward.scores(parts)
         lettered = np.array([bool(p) for p in parts], bool)
         places = np.zeros(len(new), np.int64)  # row 0: no letters, adds nothing
         places[lettered] = len(self.table) + np.arange(lettered.sum())

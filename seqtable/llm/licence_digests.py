@@ -4,73 +4,69 @@ Fields: digest, licence, unit, parts, low, high.
 """
 
 DIGESTS: list[tuple[str, str, str, int, int, int]] = [
-    ("4d04375636578724ec12df7a8a96eb684f3e492efd392ab0d68500dbaaeb27b0", "Apache-2.0", "text", 34, 9684, 9778),
-    ("1fad080456cba08a2ac770d0e31c4bab208dcccafc33b5fb71dfe1e0e928d88c", "Apache-2.0", "part 0", 34, 60, 73),
-    ("93e3687e4f6d3361c07028c5c841dbe962c782ad1f86d4a2bd009e050751dc7b", "Apache-2.0", "part 1", 34, 58, 58),
-    ("5e8200d69042fa63eaa665929691dfcc31c9c429a69a9c5659fdb8c74ff25e15", "Apache-2.0", "part 2", 34, 13, 13),
-    ("c413f6566eac09deabd7dd17fbf82e6f44b7a8c3ad65fff893cda28143eaf113", "Apache-2.0", "part 3", 34, 133, 135),
-    ("f3f9045f0f0f2ef027291c9929835bf5203680f3eb86d5c0be9a7e1eae9e32db", "Apache-2.0", "part 4", 34, 112, 114),
-    ("a6977de03549cc3eadb7953b9f93f4d4d14d0e4318ae5a3bc83c3d735ce759ad", "Apache-2.0", "part 5", 34, 432, 432),
-    ("e763de90a530e9d38438df36422ae7c97e7fc230398fae521e54d5c2840964f7", "Apache-2.0", "part 6", 34, 99, 101),
-    ("47299056c1de372c0948bcf8b1876e5e3cd4d18f054127be4e121e23175f5545", "Apache-2.0", "part 7", 34, 161, 161),
-    ("e35324b03da62fb390c0ddb392a586e021d98e734e5c27f0ca086bfe37aa4863", "Apache-2.0", "part 8", 34, 215, 215),
-    ("fc6c77bebd78a9e4e91a685be8ee534a6c06809ed7bc278f7c62fa7b6b9d39b4", "Apache-2.0", "part 9", 34, 122, 124),
-    ("c2264c356cef73cec41a66b9cf33f52c95d18816db98352c288f176f55021abf", "Apache-2.0", "part 10", 34, 44, 44),
-    ("4f384465379f141148dd40eac0905ce2283d3f89252262fb85430bc15c6d422a", "Apache-2.0", "part 11", 34, 440, 442),
-    ("547aec9dbe988725a4cece221762e99098ddde5743fc3f57f9672d3faaff7b55", "Apache-2.0", "part 12", 34, 864, 864),
-    ("0a1c56a3563d82505bd2cfd57c89416ed3b026e34ad9f0ad2950a673d211e7df", "Apache-2.0", "part 13", 34, 175, 175),
-    ("4d91005c1543d73114f9cc9693e900b3bef07cc1f37c8dbf5e0aebeb95a70c6d", "Apache-2.0", "part 14", 34, 189, 193),
-    ("57d671fd3b253ce9b4e6f482625fa92d7d2a92f654d65f20af7853da2de6e722", "Apache-2.0", "part 15", 34, 119, 121),
-    ("6ea6bf31b17081124b32ce5cf361f415a9dad94406e097185cadb472c3d7a47b", "Apache-2.0", "part 16", 34, 920, 932),
-    ("b9536b1bb1f0c98d21b0be01436d2bd1e7bb1afb55a5843b3848b3c7ef3e09c5", "Apache-2.0", "part 17", 34, 217, 217),
-    ("d2de18edc2f38c477928df228259bb8ed4cc9cf6950d1bde89be1281e6e0bd81", "Apache-2.0", "part 18", 34, 95, 97),
-    ("21b8bd00368055c99e5135ab84dbe4fd8048879a8038bd7db7a96edf8b7f95ab", "Apache-2.0", "part 19", 34, 101, 101),
-    ("5d09230c0c4a8effa82df658d3ed98a9898b4300f205086a221993833c808069", "Apache-2.0", "part 20", 34, 191, 191),
-    ("c4ddcd6defb95e2ae3ae1b609ec8b017f2203efda6a4524b75ff438ae9fa5abd", "Apache-2.0", "part 21", 34, 929, 933),
-    ("3f979f4e84fa3ba7d5471217f328634d260ce7b0d04aaf8d60273a9f20f23c05", "Apache-2.0", "part 22", 34, 356, 360),
-    ("b6f8c70ae414c2b12d4f931b1a535c20f70c15e607538e347eee33d668b57093", "Apache-2.0", "part 23", 34, 432, 436),
-    ("0fb2aaba4582f3a0b1624d72291f29e14fff2b3b4d085eb89e102cad1b6c26be", "Apache-2.0", "part 24", 34, 268, 270),
-    ("cba549542a8ced7945d67edc026c26f67d45e82a7965c3c2b7a817e209b9e7b9", "Apache-2.0", "part 25", 34, 566, 568),
-    ("268ef0e7c99876c159301a7339e8692e0f159603764d91daa6266de008c919e3", "Apache-2.0", "part 26", 34, 682, 684),
-    ("56a893e2804985396346db1c6e1d8d0fe630553b6a83b70f42a5a10d53112d9a", "Apache-2.0", "part 27", 34, 628, 630),
-    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "Apache-2.0", "part 28", 34, 27, 27),
-    ("57851aab583fee18de798cfae7339cd508c6e83e421c6d2a20eda23263c32dcc", "Apache-2.0", "part 29", 34, 53, 55),
-    ("1a016522c548cfe68681f446c31c700f34446bdf18ba95fcc1543aef7a014b9f", "Apache-2.0", "part 30", 34, 459, 461),
-    ("05369519785beeae50e8b52537bf3155eda6b7459224dbfc24e32a66bd6cc6cc", "Apache-2.0", "part 31", 34, 154, 171),
-    ("a7e4f611f48214b5c7e85bcc2eeb0b2d805214e9b2b409990470c317c8b21036", "Apache-2.0", "part 32", 34, 39, 43),
-    ("25e4a6e9184ac4b7f8272e658fb49b47495396a75fa532e1ed0ec24555ec98b6", "Apache-2.0", "part 33", 34, 298, 304),
-    ("f7fec2048e2502b8b653a12ac095bcb0601f72bbd1d535b2e8adf8e097d2f915", "Artistic-1.0-Perl", "text", 31, 5646, 5657),
-    ("9fed8b0e06b2229a97a10906ed7a4e4608b849d85ed54da1ada55f2d05e8d9db", "Artistic-1.0-Perl", "part 0", 31, 20, 22),
-    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "Artistic-1.0-Perl", "part 1", 31, 8, 8),
-    ("0570358f9b20d0503bbcdba2c25a24f87b07958b2453053e5e0749b359045404", "Artistic-1.0-Perl", "part 2", 31, 368, 368),
-    ("02f086eb77504748cf5130e6b17cc467b8b16d52b4f86c6237325033d4726294", "Artistic-1.0-Perl", "part 3", 31, 11, 11),
-    ("4d265e93814cb3b2a9a20848b53005cb5b4041e494811dee3760b5f76ae8a0bf", "Artistic-1.0-Perl", "part 4", 31, 60, 60),
-    ("8d92cb96ba76a7d1f62381b09fa21bb552af39cd8cc24fcdd2e482133005b71f", "Artistic-1.0-Perl", "part 5", 31, 36, 36),
-    ("26a5036b90c50f37bc8880e7c9933b79ff67a271fbf6902b8d41c99157e87078", "Artistic-1.0-Perl", "part 6", 31, 163, 163),
-    ("365d8a0ba44740a62da1a4c4f19160e7f127d3a244288d27db45a732e0002aba", "Artistic-1.0-Perl", "part 7", 31, 26, 26),
-    ("935483456caf8461f64ec593942764fb3f7bb6ad61771c39d95355d0553c75ab", "Artistic-1.0-Perl", "part 8", 31, 72, 72),
-    ("80bed4fb565f2e7520f0afc33ecaf018706f6441bc9273fc4c851201609effe3", "Artistic-1.0-Perl", "part 9", 31, 177, 177),
-    ("783de6e0fc8f142e588d4dc606bd829df7d1787e69948b658b72ff3009000c56", "Artistic-1.0-Perl", "part 10", 31, 34, 34),
-    ("f0972b40700cb959d9156ed21a588afde1560077cb92020ce7a290c852e74d2b", "Artistic-1.0-Perl", "part 11", 31, 225, 225),
-    ("0c91fee77771917d70953c0c7ae021e6ef79ace44316779db84444a5a68ae984", "Artistic-1.0-Perl", "part 12", 31, 216, 216),
-    ("cc41408ae87eb3cf3a3fa2ba3d84bc806616c64096a7ce4f79e61794483f6232", "Artistic-1.0-Perl", "part 13", 31, 207, 207),
-    ("582b3c1d9c5b3e79b1e85ac3a61252db6de3c71541c32a14fd5da82936eebe03", "Artistic-1.0-Perl", "part 14", 31, 226, 226),
-    ("1d49793201788f397b5a36a79d65422d741ab6216ff625218d577b90b08ec61f", "Artistic-1.0-Perl", "part 15", 31, 338, 338),
-    ("0436fb927d3357b70bba24e62896a7ed5f4975d8466b895ca22ab9ef80425f6b", "Artistic-1.0-Perl", "part 16", 31, 71, 71),
-    ("b5b1adc2af5a40205acbfc45305c0e1e3ed291f16630602f28a187aefdb4fb39", "Artistic-1.0-Perl", "part 17", 31, 252, 252),
-    ("65a0d0e8ffba6ce692fb84fcc3fc39fbf206a3f8124146b0648a2ccf3973d0c6", "Artistic-1.0-Perl", "part 18", 31, 64, 64),
-    ("ef4728095fa172fd083c6e17d3a9983ab2889abb174ac439eb44ffe8c607ec3f", "Artistic-1.0-Perl", "part 19", 31, 134, 134),
-    ("1090ca30e4f915ac56c035c94a5d558bae6bcbaffdef40403462e37b6b1032bb", "Artistic-1.0-Perl", "part 20", 31, 165, 165),
-    ("d12e38e2e59a5f692ab2f22b23cf9f0aebacdf9f6cae5b7a6d5565e503f32188", "Artistic-1.0-Perl", "part 21", 31, 100, 100),
-    ("83b94dc94cd1c404db94084c1288adcfd2ba82c75756e52061381285a5819d6a", "Artistic-1.0-Perl", "part 22", 31, 181, 181),
-    ("65a0d0e8ffba6ce692fb84fcc3fc39fbf206a3f8124146b0648a2ccf3973d0c6", "Artistic-1.0-Perl", "part 23", 31, 64, 64),
-    ("cea9256897c4d377c32da8893506f8e0dd548cb00972f31c1212006bce104444", "Artistic-1.0-Perl", "part 24", 31, 631, 631),
-    ("9c1db0e3aefd5f6f4c3def481dbd25d5582dae24248299993a53df4b3daab3d6", "Artistic-1.0-Perl", "part 25", 31, 681, 681),
-    ("cbc8ba0d7705ff60d4174b264875b33660428b42509a420d2743e0a44ba06744", "Artistic-1.0-Perl", "part 26", 31, 426, 426),
-    ("00e575f715b4a22c0cbb4ccf69efb3684d9ca467d4d559428742315b09e3eed0", "Artistic-1.0-Perl", "part 27", 31, 323, 323),
-    ("4f85cbbd7a5ceb2a9b83a2b6ff1affb855ce45ad2e454e0f128a37ed76c1797e", "Artistic-1.0-Perl", "part 28", 31, 150, 150),
-    ("87118e56b15cdee9225bf55ddf517bc49a2685028ce0a549518059b9c9ae83d2", "Artistic-1.0-Perl", "part 29", 31, 187, 187),
-    ("92eb9cd081f0ec170823692b9af05567b358b15dc1be2bcf6130b6dc7cedcc28", "Artistic-1.0-Perl", "part 30", 31, 7, 7),
+    ("d33977dda82f80cb96313e370c5bf8ba496a39e48f6a6a861730aadf0ea5075a", "Apache-2.0", "text", 32, 9804, 9900),
+    ("1fad080456cba08a2ac770d0e31c4bab208dcccafc33b5fb71dfe1e0e928d88c", "Apache-2.0", "part 0", 32, 60, 73),
+    ("93e3687e4f6d3361c07028c5c841dbe962c782ad1f86d4a2bd009e050751dc7b", "Apache-2.0", "part 1", 32, 58, 58),
+    ("5e8200d69042fa63eaa665929691dfcc31c9c429a69a9c5659fdb8c74ff25e15", "Apache-2.0", "part 2", 32, 13, 13),
+    ("c413f6566eac09deabd7dd17fbf82e6f44b7a8c3ad65fff893cda28143eaf113", "Apache-2.0", "part 3", 32, 133, 135),
+    ("f3f9045f0f0f2ef027291c9929835bf5203680f3eb86d5c0be9a7e1eae9e32db", "Apache-2.0", "part 4", 32, 112, 114),
+    ("a6977de03549cc3eadb7953b9f93f4d4d14d0e4318ae5a3bc83c3d735ce759ad", "Apache-2.0", "part 5", 32, 432, 432),
+    ("e763de90a530e9d38438df36422ae7c97e7fc230398fae521e54d5c2840964f7", "Apache-2.0", "part 6", 32, 99, 101),
+    ("47299056c1de372c0948bcf8b1876e5e3cd4d18f054127be4e121e23175f5545", "Apache-2.0", "part 7", 32, 161, 161),
+    ("e35324b03da62fb390c0ddb392a586e021d98e734e5c27f0ca086bfe37aa4863", "Apache-2.0", "part 8", 32, 215, 215),
+    ("9232e8ee1be3c77443a31437cf83ddee0fad450f19f3c6cf35bc76ca8a172eea", "Apache-2.0", "part 9", 32, 228, 230),
+    ("4f384465379f141148dd40eac0905ce2283d3f89252262fb85430bc15c6d422a", "Apache-2.0", "part 10", 32, 440, 442),
+    ("547aec9dbe988725a4cece221762e99098ddde5743fc3f57f9672d3faaff7b55", "Apache-2.0", "part 11", 32, 864, 864),
+    ("0a1c56a3563d82505bd2cfd57c89416ed3b026e34ad9f0ad2950a673d211e7df", "Apache-2.0", "part 12", 32, 175, 175),
+    ("354108e897e1c228c8a8f40720a617c9c3e962d13c622eb8a61d526d09a75c81", "Apache-2.0", "part 13", 32, 368, 376),
+    ("6ea6bf31b17081124b32ce5cf361f415a9dad94406e097185cadb472c3d7a47b", "Apache-2.0", "part 14", 32, 920, 932),
+    ("b9536b1bb1f0c98d21b0be01436d2bd1e7bb1afb55a5843b3848b3c7ef3e09c5", "Apache-2.0", "part 15", 32, 217, 217),
+    ("d2de18edc2f38c477928df228259bb8ed4cc9cf6950d1bde89be1281e6e0bd81", "Apache-2.0", "part 16", 32, 95, 97),
+    ("21b8bd00368055c99e5135ab84dbe4fd8048879a8038bd7db7a96edf8b7f95ab", "Apache-2.0", "part 17", 32, 101, 101),
+    ("5d09230c0c4a8effa82df658d3ed98a9898b4300f205086a221993833c808069", "Apache-2.0", "part 18", 32, 191, 191),
+    ("c4ddcd6defb95e2ae3ae1b609ec8b017f2203efda6a4524b75ff438ae9fa5abd", "Apache-2.0", "part 19", 32, 929, 933),
+    ("3f979f4e84fa3ba7d5471217f328634d260ce7b0d04aaf8d60273a9f20f23c05", "Apache-2.0", "part 20", 32, 356, 360),
+    ("b6f8c70ae414c2b12d4f931b1a535c20f70c15e607538e347eee33d668b57093", "Apache-2.0", "part 21", 32, 432, 436),
+    ("0fb2aaba4582f3a0b1624d72291f29e14fff2b3b4d085eb89e102cad1b6c26be", "Apache-2.0", "part 22", 32, 268, 270),
+    ("cba549542a8ced7945d67edc026c26f67d45e82a7965c3c2b7a817e209b9e7b9", "Apache-2.0", "part 23", 32, 566, 568),
+    ("268ef0e7c99876c159301a7339e8692e0f159603764d91daa6266de008c919e3", "Apache-2.0", "part 24", 32, 682, 684),
+    ("56a893e2804985396346db1c6e1d8d0fe630553b6a83b70f42a5a10d53112d9a", "Apache-2.0", "part 25", 32, 628, 630),
+    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "Apache-2.0", "part 26", 32, 27, 27),
+    ("57851aab583fee18de798cfae7339cd508c6e83e421c6d2a20eda23263c32dcc", "Apache-2.0", "part 27", 32, 53, 55),
+    ("1a016522c548cfe68681f446c31c700f34446bdf18ba95fcc1543aef7a014b9f", "Apache-2.0", "part 28", 32, 459, 461),
+    ("05369519785beeae50e8b52537bf3155eda6b7459224dbfc24e32a66bd6cc6cc", "Apache-2.0", "part 29", 32, 154, 171),
+    ("a7e4f611f48214b5c7e85bcc2eeb0b2d805214e9b2b409990470c317c8b21036", "Apache-2.0", "part 30", 32, 39, 43),
+    ("25e4a6e9184ac4b7f8272e658fb49b47495396a75fa532e1ed0ec24555ec98b6", "Apache-2.0", "part 31", 32, 298, 304),
+    ("e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2", "Artistic-1.0-Perl", "text", 29, 5826, 5837),
+    ("9fed8b0e06b2229a97a10906ed7a4e4608b849d85ed54da1ada55f2d05e8d9db", "Artistic-1.0-Perl", "part 0", 29, 20, 22),
+    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "Artistic-1.0-Perl", "part 1", 29, 8, 8),
+    ("0570358f9b20d0503bbcdba2c25a24f87b07958b2453053e5e0749b359045404", "Artistic-1.0-Perl", "part 2", 29, 368, 368),
+    ("02f086eb77504748cf5130e6b17cc467b8b16d52b4f86c6237325033d4726294", "Artistic-1.0-Perl", "part 3", 29, 11, 11),
+    ("249694a0b8a56d24885d3322b12ea7d61ff0bc736b87e270befc9a7df91b611a", "Artistic-1.0-Perl", "part 4", 29, 158, 158),
+    ("26a5036b90c50f37bc8880e7c9933b79ff67a271fbf6902b8d41c99157e87078", "Artistic-1.0-Perl", "part 5", 29, 163, 163),
+    ("5eae68f403641ae971d576974b3dbdd6fa70a017adfdf101ceb5bff158a864f5", "Artistic-1.0-Perl", "part 6", 29, 83, 83),
+    ("935483456caf8461f64ec593942764fb3f7bb6ad61771c39d95355d0553c75ab", "Artistic-1.0-Perl", "part 7", 29, 72, 72),
+    ("6b1881cf0c56033efc24e3ac18611f0161bc978db46516115fd2c57eda464883", "Artistic-1.0-Perl", "part 8", 29, 274, 274),
+    ("f0972b40700cb959d9156ed21a588afde1560077cb92020ce7a290c852e74d2b", "Artistic-1.0-Perl", "part 9", 29, 225, 225),
+    ("0c91fee77771917d70953c0c7ae021e6ef79ace44316779db84444a5a68ae984", "Artistic-1.0-Perl", "part 10", 29, 216, 216),
+    ("cc41408ae87eb3cf3a3fa2ba3d84bc806616c64096a7ce4f79e61794483f6232", "Artistic-1.0-Perl", "part 11", 29, 207, 207),
+    ("582b3c1d9c5b3e79b1e85ac3a61252db6de3c71541c32a14fd5da82936eebe03", "Artistic-1.0-Perl", "part 12", 29, 226, 226),
+    ("1d49793201788f397b5a36a79d65422d741ab6216ff625218d577b90b08ec61f", "Artistic-1.0-Perl", "part 13", 29, 338, 338),
+    ("0436fb927d3357b70bba24e62896a7ed5f4975d8466b895ca22ab9ef80425f6b", "Artistic-1.0-Perl", "part 14", 29, 71, 71),
+    ("b5b1adc2af5a40205acbfc45305c0e1e3ed291f16630602f28a187aefdb4fb39", "Artistic-1.0-Perl", "part 15", 29, 252, 252),
+    ("65a0d0e8ffba6ce692fb84fcc3fc39fbf206a3f8124146b0648a2ccf3973d0c6", "Artistic-1.0-Perl", "part 16", 29, 64, 64),
+    ("ef4728095fa172fd083c6e17d3a9983ab2889abb174ac439eb44ffe8c607ec3f", "Artistic-1.0-Perl", "part 17", 29, 134, 134),
+    ("1090ca30e4f915ac56c035c94a5d558bae6bcbaffdef40403462e37b6b1032bb", "Artistic-1.0-Perl", "part 18", 29, 165, 165),
+    ("d12e38e2e59a5f692ab2f22b23cf9f0aebacdf9f6cae5b7a6d5565e503f32188", "Artistic-1.0-Perl", "part 19", 29, 100, 100),
+    ("83b94dc94cd1c404db94084c1288adcfd2ba82c75756e52061381285a5819d6a", "Artistic-1.0-Perl", "part 20", 29, 181, 181),
+    ("65a0d0e8ffba6ce692fb84fcc3fc39fbf206a3f8124146b0648a2ccf3973d0c6", "Artistic-1.0-Perl", "part 21", 29, 64, 64),
+    ("cea9256897c4d377c32da8893506f8e0dd548cb00972f31c1212006bce104444", "Artistic-1.0-Perl", "part 22", 29, 631, 631),
+    ("9c1db0e3aefd5f6f4c3def481dbd25d5582dae24248299993a53df4b3daab3d6", "Artistic-1.0-Perl", "part 23", 29, 681, 681),
+    ("cbc8ba0d7705ff60d4174b264875b33660428b42509a420d2743e0a44ba06744", "Artistic-1.0-Perl", "part 24", 29, 426, 426),
+    ("00e575f715b4a22c0cbb4ccf69efb3684d9ca467d4d559428742315b09e3eed0", "Artistic-1.0-Perl", "part 25", 29, 323, 323),
+    ("4f85cbbd7a5ceb2a9b83a2b6ff1affb855ce45ad2e454e0f128a37ed76c1797e", "Artistic-1.0-Perl", "part 26", 29, 150, 150),
+    ("87118e56b15cdee9225bf55ddf517bc49a2685028ce0a549518059b9c9ae83d2", "Artistic-1.0-Perl", "part 27", 29, 187, 187),
+    ("92eb9cd081f0ec170823692b9af05567b358b15dc1be2bcf6130b6dc7cedcc28", "Artistic-1.0-Perl", "part 28", 29, 7, 7),
     ("957c3854a3d72e069e7f5e48857ad9ab76135f14c70d60fa9ec6ef9a928d45dd", "BSD-2-Clause", "text", 5, 1213, 1213),
     ("986c3c3199a93b916c8f2e0aeed57819bcbdcb2cd9d99902dcc9d74b53f93a74", "BSD-2-Clause", "text", 4, 1193, 1193),
     ("a56fee4b2f66331ed54da4950ef9c9391453fd1490b4d8ea202bc29683bcbd30", "BSD-2-Clause", "text", 4, 1197, 1197),
@@ -123,136 +119,133 @@ DIGESTS: list[tuple[str, str, str, int, int, int]] = [
     ("4b66fb51100879ed9a82640e9bdaa244ea17509a3d66f8a6f50c54e575dab133", "CC0-1.0", "part 10", 13, 1425, 1437),
     ("b7e3dda976778c49eb8ec309249f763dcf441a5c6950d0cb5071e898fa64c055", "CC0-1.0", "part 11", 13, 29, 29),
     ("4ed62e34c78f973f9d6d5671c56910faa5a6032defec5f08726f85473ff0993a", "CC0-1.0", "part 12", 13, 1076, 1076),
-    ("6bc7ee160f94ba74bbdff701216d95ac5a93f2c7a00a653957eaaf606e487530", "GFDL-1.2", "text", 58, 19513, 19647),
-    ("8d2eae4d251844e9a73f0504efb40de0122c63022a833e6e0f5caafcd8f04324", "GFDL-1.2", "part 0", 58, 56, 58),
-    ("d093a38219ee3a62fe302fb63439ff75a2ca95cbb906cf96a4bd33341df9b267", "GFDL-1.2", "part 1", 58, 168, 170),
-    ("d5dd271421fb47626550b2490cff8c3bcf7b543096db366f8b90a23d49a230e7", "GFDL-1.2", "part 2", 58, 10, 10),
-    ("ffd9cbb86b506d4eaf39671a3ed1916dfa5c78395118648bc8fff9c317622776", "GFDL-1.2", "part 3", 58, 433, 437),
-    ("7235eb1fa53d96ab2e2bc3826a791715fc300317887fbdb81865b2e5e9ab3de0", "GFDL-1.2", "part 4", 58, 227, 233),
-    ("edac903f23b3d0b3518599eb5d1c1cb212c760f3e773fc67e7088486eaf2cbb8", "GFDL-1.2", "part 5", 58, 468, 474),
-    ("4a82b7db0c80378824dc5104fc104cfd1bcab98da53157518ce6459870b38ea1", "GFDL-1.2", "part 6", 58, 31, 31),
-    ("58f56917d10a4e256a0646fcd6950bf4725415978b5d8e1370de7152d87866f9", "GFDL-1.2", "part 7", 58, 537, 545),
-    ("239670a0259b716f258b4924b7af150d9c7ba50dcb10dd0bb456c7805a6a14d5", "GFDL-1.2", "part 8", 58, 177, 177),
-    ("6624bef9fb98ef780836b1db171a161889e037fa755daf13107cd0b4a55a2876", "GFDL-1.2", "part 9", 58, 594, 594),
-    ("5fa0dda07cb5184cf6a9100d492cb5d2cb9f04065ba24f3f594a73e0c255a6aa", "GFDL-1.2", "part 10", 58, 430, 432),
-    ("cbc68a20fa863fbf9443143b1f4ae910f95fdecca8699aaba9599806f46696c2", "GFDL-1.2", "part 11", 58, 268, 270),
-    ("e4a1e57f9f435965b9a55654cfe44e125b3c9e005632753d3534b44f0f4a206c", "GFDL-1.2", "part 12", 58, 788, 788),
-    ("967dc89b2ca094fa7064c23256ff50f8a129182610bd8a11e90e2808eb80c35d", "GFDL-1.2", "part 13", 58, 613, 613),
-    ("7dc48d09082c73e46bc0c56d4596a989b8b741d322e57087251484277b2d690a", "GFDL-1.2", "part 14", 58, 371, 373),
-    ("db6eb9a432fd54ed050cb271fec4a0879a2edc1fd610ee922aeeaf95a55929fa", "GFDL-1.2", "part 15", 58, 446, 446),
-    ("70b167b78b2b831bbfbf509341d2b4644142ade9baf9262a5c60411dad8cb836", "GFDL-1.2", "part 16", 58, 368, 374),
-    ("1e404ed2fd3ad96d2b7120de85fb631cb802220057214629aef1830251db7a3b", "GFDL-1.2", "part 17", 58, 18, 18),
-    ("bebe4d1df0850bd06ecf9bdab552cce4adb8c1bff51c698b9cb71eb6471376b1", "GFDL-1.2", "part 18", 58, 124, 126),
-    ("30cfb4395cb7d2c41e6818ab7765526a63a826984d7f40024581a2ecddcbc843", "GFDL-1.2", "part 19", 58, 401, 403),
-    ("00cc1e2bd0b26b1286ebedeb47865be95ea4135f0d6fb39597334f6a4f4123e6", "GFDL-1.2", "part 20", 58, 99, 99),
-    ("f37f33b63bd948d1531389fe60306922169a5d5cd0336a2b949ef2b28d1f1644", "GFDL-1.2", "part 21", 58, 21, 21),
-    ("e305540b82dc9c79a55d984d80b901ffac60539c8e68643ed5cdc96b74448971", "GFDL-1.2", "part 22", 58, 763, 765),
-    ("31b4d47ff2fe9e0cf056eacbafc87e4c84a57236cd4686f295ec637f31bfb567", "GFDL-1.2", "part 23", 58, 197, 197),
-    ("8348e7c372ee0b6e2dc40f98a56299c5d43c219ee756a0947b17a3f350bb85fb", "GFDL-1.2", "part 24", 58, 771, 771),
-    ("bd225944db54f562f7691e839b50014e5fd6dafbf9d5a7bc7fd22c6e1a1b4c84", "GFDL-1.2", "part 25", 58, 208, 208),
-    ("d7b0855a4af23bab8d44bc833ffadd66cffa1b01f379b1e21aa5f6d660d2ad50", "GFDL-1.2", "part 26", 58, 15, 15),
-    ("aa5b684158f44eac27ded9316d0b96d9882e1e8d803a97b8298254bb2c79fa11", "GFDL-1.2", "part 27", 58, 408, 410),
-    ("6706780d5092660e7a619a1ebf9ffac30ad01c77e1df10e494e6fa8b8de81de9", "GFDL-1.2", "part 28", 58, 2772, 2782),
-    ("9904d6725b29e567220643410be424837341f61915acc24fad80131bb017a58c", "GFDL-1.2", "part 29", 58, 395, 397),
-    ("0fa0e2cb0c6950d08cebf64249e44fc19fb3d970c7886574accc151c56767d4c", "GFDL-1.2", "part 30", 58, 271, 271),
-    ("b48a77bf944b0aaa311c9459ced8b5ed0e71e93c6863d3f8db46988ee0343140", "GFDL-1.2", "part 31", 58, 594, 594),
-    ("737156634ce6acd54b47100c3106aafe929040e4887b46155d93b84959061d8d", "GFDL-1.2", "part 32", 58, 178, 180),
-    ("f3b4b9f1ad6deec2ed4a8c93337b11658f94c115046d06f1e731b7e6653c70fa", "GFDL-1.2", "part 33", 58, 21, 21),
-    ("3c77bf4976824ca6eb0ea5b05f3cff79aa74ba778302393354a189db5e40f99d", "GFDL-1.2", "part 34", 58, 398, 402),
-    ("d60dc25808aeea040f50ad0bbdb482cbaaf2efaaa225586787abc1ddb39ae4ec", "GFDL-1.2", "part 35", 58, 523, 527),
-    ("976618724355880ea41bb152ca264f595dd75f4c333553199314690173ab8328", "GFDL-1.2", "part 36", 58, 281, 281),
-    ("0cbbd960f685cc48e5e093457ed8d458f4f214466044c6de4c9eb85d0290a93b", "GFDL-1.2", "part 37", 58, 26, 26),
-    ("1fb18fdc326175dbbc0cbd7b3691d15f53491f293c068063bb1cac47d5e3c089", "GFDL-1.2", "part 38", 58, 348, 354),
-    ("fd2655b934552b93a1ba5fd6d90b849e5d69daef4bc63ae41381a67e3801a854", "GFDL-1.2", "part 39", 58, 267, 273),
-    ("aa8976ff6775fc655b3a42397eb76184ac99b6c9b52ee3c4c86f737210cd0ab5", "GFDL-1.2", "part 40", 58, 36, 36),
-    ("24d6e1842e3832c2435e763e134dc70116cae6534784941dd006d848738298fb", "GFDL-1.2", "part 41", 58, 501, 503),
-    ("8066fbfc0c2250e93bf9da2c92d67a6e16d9963cc7518946ba51c03e70957b63", "GFDL-1.2", "part 42", 58, 408, 408),
-    ("0b81cb06867df6f75207433e8ad6794c02a14e422175ab23b15697981b3ce80e", "GFDL-1.2", "part 43", 58, 13, 13),
-    ("9d86589040c61bed27024f44402b3fe0da3138c8f0952d1c01a331b385400db5", "GFDL-1.2", "part 44", 58, 769, 777),
-    ("60f7c0363c8a6ab4d5eaa11f6c154d9b9460ad8e15f5496e4cb011fca3accad1", "GFDL-1.2", "part 45", 58, 187, 187),
-    ("5e3ba6934ac9c18789b6335974896c9fda5dd5f7984f22086113bb264d6c0435", "GFDL-1.2", "part 46", 58, 13, 13),
-    ("96d7c5afe1148112c1205466d9d5987d8feb4e7d761fd8848b03029ba4fd1f08", "GFDL-1.2", "part 47", 58, 424, 436),
-    ("0727f47bb2ef0ba94fc2e548e26b9a3069479758f55960c0777f554dfbd338f1", "GFDL-1.2", "part 48", 58, 35, 37),
-    ("d97a13d8315dec356f8f11a8c2b1ec7bdac1cea9e075224f9cceccdba252bb68", "GFDL-1.2", "part 49", 58, 275, 279),
-    ("86c5d5251aff2698dc183298c43116db2cdace0b472e8e96c1c9dbe444e53f2b", "GFDL-1.2", "part 50", 58, 521, 527),
-    ("8fdbf25ee440a6f48b6904fb9945d3c154bc1bdc212b6cdbf8a0204591e6bde0", "GFDL-1.2", "part 51", 58, 51, 53),
-    ("6fc07465c398129200dc382361153dd460dbe4de29396b250cbd7dbb2a1e191b", "GFDL-1.2", "part 52", 58, 174, 180),
-    ("b2676b371a3c66233a13c161e9279791ddbbb40940a9bfe4b212f1fb7acc59d2", "GFDL-1.2", "part 53", 58, 358, 364),
-    ("c746f66f38ddbac28c81c5f45e0bca5a732716dfc772d3f2b2abdd0e2c50f5e9", "GFDL-1.2", "part 54", 58, 107, 107),
-    ("967fa6e4b38f0fa30651100146851ad69c6648c96df83c192bda664969141d7d", "GFDL-1.2", "part 55", 58, 130, 130),
-    ("aa518b451569f5c907538bceffb83ffea839c5d7569c456103960cd0d2385019", "GFDL-1.2", "part 56", 58, 140, 140),
-    ("22036bf8d3f282ab5a8a166fa766b93be638e78efa9b4e851bfea7d74945e956", "GFDL-1.2", "part 57", 58, 230, 234),
-    ("b850ad9a1694a6322e81c0cac64fbd7371b2db132e70b122df4e6c9d2083fe6c", "GFDL-1.3", "text", 69, 21882, 22036),
-    ("f42b2e6807623175c74cf8ca228746283c01775b536214b79d00df84c9a65ffa", "GFDL-1.3", "part 0", 69, 58, 60),
-    ("a68db0e4a857e92e92026b5768fdefffb5e1958a892d0d2c250d935fe91141de", "GFDL-1.3", "part 1", 69, 130, 132),
-    ("d5dd271421fb47626550b2490cff8c3bcf7b543096db366f8b90a23d49a230e7", "GFDL-1.3", "part 2", 69, 10, 10),
-    ("ffd9cbb86b506d4eaf39671a3ed1916dfa5c78395118648bc8fff9c317622776", "GFDL-1.3", "part 3", 69, 433, 437),
-    ("7235eb1fa53d96ab2e2bc3826a791715fc300317887fbdb81865b2e5e9ab3de0", "GFDL-1.3", "part 4", 69, 227, 233),
-    ("edac903f23b3d0b3518599eb5d1c1cb212c760f3e773fc67e7088486eaf2cbb8", "GFDL-1.3", "part 5", 69, 468, 474),
-    ("4a82b7db0c80378824dc5104fc104cfd1bcab98da53157518ce6459870b38ea1", "GFDL-1.3", "part 6", 69, 31, 31),
-    ("58f56917d10a4e256a0646fcd6950bf4725415978b5d8e1370de7152d87866f9", "GFDL-1.3", "part 7", 69, 537, 545),
-    ("239670a0259b716f258b4924b7af150d9c7ba50dcb10dd0bb456c7805a6a14d5", "GFDL-1.3", "part 8", 69, 177, 177),
-    ("6624bef9fb98ef780836b1db171a161889e037fa755daf13107cd0b4a55a2876", "GFDL-1.3", "part 9", 69, 594, 594),
-    ("5fa0dda07cb5184cf6a9100d492cb5d2cb9f04065ba24f3f594a73e0c255a6aa", "GFDL-1.3", "part 10", 69, 430, 432),
-    ("cbc68a20fa863fbf9443143b1f4ae910f95fdecca8699aaba9599806f46696c2", "GFDL-1.3", "part 11", 69, 268, 270),
-    ("e4a1e57f9f435965b9a55654cfe44e125b3c9e005632753d3534b44f0f4a206c", "GFDL-1.3", "part 12", 69, 788, 788),
-    ("967dc89b2ca094fa7064c23256ff50f8a129182610bd8a11e90e2808eb80c35d", "GFDL-1.3", "part 13", 69, 613, 613),
-    ("7dc48d09082c73e46bc0c56d4596a989b8b741d322e57087251484277b2d690a", "GFDL-1.3", "part 14", 69, 371, 373),
-    ("24f308654a4530485716218bbce0db461ad3aea4f1bcb7a52df89bf3525dc70e", "GFDL-1.3", "part 15", 69, 94, 94),
-    ("db6eb9a432fd54ed050cb271fec4a0879a2edc1fd610ee922aeeaf95a55929fa", "GFDL-1.3", "part 16", 69, 446, 446),
-    ("70b167b78b2b831bbfbf509341d2b4644142ade9baf9262a5c60411dad8cb836", "GFDL-1.3", "part 17", 69, 368, 374),
-    ("1e404ed2fd3ad96d2b7120de85fb631cb802220057214629aef1830251db7a3b", "GFDL-1.3", "part 18", 69, 18, 18),
-    ("bebe4d1df0850bd06ecf9bdab552cce4adb8c1bff51c698b9cb71eb6471376b1", "GFDL-1.3", "part 19", 69, 124, 126),
-    ("30cfb4395cb7d2c41e6818ab7765526a63a826984d7f40024581a2ecddcbc843", "GFDL-1.3", "part 20", 69, 401, 403),
-    ("00cc1e2bd0b26b1286ebedeb47865be95ea4135f0d6fb39597334f6a4f4123e6", "GFDL-1.3", "part 21", 69, 99, 99),
-    ("f37f33b63bd948d1531389fe60306922169a5d5cd0336a2b949ef2b28d1f1644", "GFDL-1.3", "part 22", 69, 21, 21),
-    ("e305540b82dc9c79a55d984d80b901ffac60539c8e68643ed5cdc96b74448971", "GFDL-1.3", "part 23", 69, 763, 765),
-    ("31b4d47ff2fe9e0cf056eacbafc87e4c84a57236cd4686f295ec637f31bfb567", "GFDL-1.3", "part 24", 69, 197, 197),
-    ("8348e7c372ee0b6e2dc40f98a56299c5d43c219ee756a0947b17a3f350bb85fb", "GFDL-1.3", "part 25", 69, 771, 771),
-    ("bd225944db54f562f7691e839b50014e5fd6dafbf9d5a7bc7fd22c6e1a1b4c84", "GFDL-1.3", "part 26", 69, 208, 208),
-    ("d7b0855a4af23bab8d44bc833ffadd66cffa1b01f379b1e21aa5f6d660d2ad50", "GFDL-1.3", "part 27", 69, 15, 15),
-    ("aa5b684158f44eac27ded9316d0b96d9882e1e8d803a97b8298254bb2c79fa11", "GFDL-1.3", "part 28", 69, 408, 410),
-    ("6706780d5092660e7a619a1ebf9ffac30ad01c77e1df10e494e6fa8b8de81de9", "GFDL-1.3", "part 29", 69, 2772, 2782),
-    ("9904d6725b29e567220643410be424837341f61915acc24fad80131bb017a58c", "GFDL-1.3", "part 30", 69, 395, 397),
-    ("0fa0e2cb0c6950d08cebf64249e44fc19fb3d970c7886574accc151c56767d4c", "GFDL-1.3", "part 31", 69, 271, 271),
-    ("b48a77bf944b0aaa311c9459ced8b5ed0e71e93c6863d3f8db46988ee0343140", "GFDL-1.3", "part 32", 69, 594, 594),
-    ("737156634ce6acd54b47100c3106aafe929040e4887b46155d93b84959061d8d", "GFDL-1.3", "part 33", 69, 178, 180),
-    ("f3b4b9f1ad6deec2ed4a8c93337b11658f94c115046d06f1e731b7e6653c70fa", "GFDL-1.3", "part 34", 69, 21, 21),
-    ("3c77bf4976824ca6eb0ea5b05f3cff79aa74ba778302393354a189db5e40f99d", "GFDL-1.3", "part 35", 69, 398, 402),
-    ("d60dc25808aeea040f50ad0bbdb482cbaaf2efaaa225586787abc1ddb39ae4ec", "GFDL-1.3", "part 36", 69, 523, 527),
-    ("976618724355880ea41bb152ca264f595dd75f4c333553199314690173ab8328", "GFDL-1.3", "part 37", 69, 281, 281),
-    ("0cbbd960f685cc48e5e093457ed8d458f4f214466044c6de4c9eb85d0290a93b", "GFDL-1.3", "part 38", 69, 26, 26),
-    ("1fb18fdc326175dbbc0cbd7b3691d15f53491f293c068063bb1cac47d5e3c089", "GFDL-1.3", "part 39", 69, 348, 354),
-    ("fd2655b934552b93a1ba5fd6d90b849e5d69daef4bc63ae41381a67e3801a854", "GFDL-1.3", "part 40", 69, 267, 273),
-    ("aa8976ff6775fc655b3a42397eb76184ac99b6c9b52ee3c4c86f737210cd0ab5", "GFDL-1.3", "part 41", 69, 36, 36),
-    ("24d6e1842e3832c2435e763e134dc70116cae6534784941dd006d848738298fb", "GFDL-1.3", "part 42", 69, 501, 503),
-    ("8066fbfc0c2250e93bf9da2c92d67a6e16d9963cc7518946ba51c03e70957b63", "GFDL-1.3", "part 43", 69, 408, 408),
-    ("0b81cb06867df6f75207433e8ad6794c02a14e422175ab23b15697981b3ce80e", "GFDL-1.3", "part 44", 69, 13, 13),
-    ("9d86589040c61bed27024f44402b3fe0da3138c8f0952d1c01a331b385400db5", "GFDL-1.3", "part 45", 69, 769, 777),
-    ("60f7c0363c8a6ab4d5eaa11f6c154d9b9460ad8e15f5496e4cb011fca3accad1", "GFDL-1.3", "part 46", 69, 187, 187),
-    ("5e3ba6934ac9c18789b6335974896c9fda5dd5f7984f22086113bb264d6c0435", "GFDL-1.3", "part 47", 69, 13, 13),
-    ("74eb38dcc2fd424f33041e63f8e6198243045f4dc55b65455f7f74033e81a8cc", "GFDL-1.3", "part 48", 69, 246, 254),
-    ("e9809a959d6872db36eca125fc35dde5086eeafd9a19ffdc28e22bdecf922205", "GFDL-1.3", "part 49", 69, 359, 365),
-    ("378f042f9e938dcfda15d69cf4da25956923885a807f2a06f5fb30ea54b84dc3", "GFDL-1.3", "part 50", 69, 261, 265),
-    ("cba95e686692c94a303135e01a798494a172a3c675047959dd29d6f48573f4a8", "GFDL-1.3", "part 51", 69, 26, 26),
-    ("b431cce8555e68267cfab98477348bc40e07dcd98ec12e63b908339726bc2ebc", "GFDL-1.3", "part 52", 69, 310, 314),
-    ("0727f47bb2ef0ba94fc2e548e26b9a3069479758f55960c0777f554dfbd338f1", "GFDL-1.3", "part 53", 69, 35, 37),
-    ("d97a13d8315dec356f8f11a8c2b1ec7bdac1cea9e075224f9cceccdba252bb68", "GFDL-1.3", "part 54", 69, 275, 279),
-    ("e2e54aec5f73259da9813dbd149450ecea80593073fcb57f918c2a8d1e5138fc", "GFDL-1.3", "part 55", 69, 745, 753),
-    ("b5d1f416ebbcb311a6dd788aeea8e3eb8250a8195f194f579c9c903a55f10136", "GFDL-1.3", "part 56", 69, 14, 14),
-    ("4d1357dd6aa8c413532383bfd764530df28cab5118ef2eab946048be941540e2", "GFDL-1.3", "part 57", 69, 388, 388),
-    ("beeb7b93c5a18115a92a3dd5d5db78c2324359b14d4cdc71b2e84711fd396cde", "GFDL-1.3", "part 58", 69, 293, 297),
-    ("184a06ef656852f2daf2eab2f3546c20fa37a84af2f78e3c415efaf7104ff7ca", "GFDL-1.3", "part 59", 69, 100, 100),
-    ("506041ca9ad197f01996cc297c7822b36554b383916e4ffe3380c0daee676e73", "GFDL-1.3", "part 60", 69, 323, 327),
-    ("eb58cb6f044c60d90e782e735c588b22a5102178059e8ee0c98b6bc2ac2527aa", "GFDL-1.3", "part 61", 69, 180, 180),
-    ("8fdbf25ee440a6f48b6904fb9945d3c154bc1bdc212b6cdbf8a0204591e6bde0", "GFDL-1.3", "part 62", 69, 51, 53),
-    ("6fc07465c398129200dc382361153dd460dbe4de29396b250cbd7dbb2a1e191b", "GFDL-1.3", "part 63", 69, 174, 180),
-    ("2f621a218a1d890d14451649e7c17d7c39dc0ca94465d61bf5eb9d954b08445b", "GFDL-1.3", "part 64", 69, 358, 364),
-    ("c746f66f38ddbac28c81c5f45e0bca5a732716dfc772d3f2b2abdd0e2c50f5e9", "GFDL-1.3", "part 65", 69, 107, 107),
-    ("967fa6e4b38f0fa30651100146851ad69c6648c96df83c192bda664969141d7d", "GFDL-1.3", "part 66", 69, 130, 130),
-    ("aa518b451569f5c907538bceffb83ffea839c5d7569c456103960cd0d2385019", "GFDL-1.3", "part 67", 69, 140, 140),
-    ("22036bf8d3f282ab5a8a166fa766b93be638e78efa9b4e851bfea7d74945e956", "GFDL-1.3", "part 68", 69, 230, 234),
-    ("c59cc56a6b1a448875effa71002ad3fa2547d9f96f92cf16480f62530df5edf8", "GPL-1.0", "text", 50, 11701, 11761),
+    ("b74e613b97478ca0f7f30fc4b5b8861507027e89e90e2b327412ca7a1ec39494", "GFDL-1.2", "text", 57, 19582, 19720),
+    ("8d2eae4d251844e9a73f0504efb40de0122c63022a833e6e0f5caafcd8f04324", "GFDL-1.2", "part 0", 57, 56, 58),
+    ("d093a38219ee3a62fe302fb63439ff75a2ca95cbb906cf96a4bd33341df9b267", "GFDL-1.2", "part 1", 57, 168, 170),
+    ("d5dd271421fb47626550b2490cff8c3bcf7b543096db366f8b90a23d49a230e7", "GFDL-1.2", "part 2", 57, 10, 10),
+    ("ffd9cbb86b506d4eaf39671a3ed1916dfa5c78395118648bc8fff9c317622776", "GFDL-1.2", "part 3", 57, 433, 437),
+    ("7235eb1fa53d96ab2e2bc3826a791715fc300317887fbdb81865b2e5e9ab3de0", "GFDL-1.2", "part 4", 57, 227, 233),
+    ("edac903f23b3d0b3518599eb5d1c1cb212c760f3e773fc67e7088486eaf2cbb8", "GFDL-1.2", "part 5", 57, 468, 474),
+    ("4a82b7db0c80378824dc5104fc104cfd1bcab98da53157518ce6459870b38ea1", "GFDL-1.2", "part 6", 57, 31, 31),
+    ("58f56917d10a4e256a0646fcd6950bf4725415978b5d8e1370de7152d87866f9", "GFDL-1.2", "part 7", 57, 537, 545),
+    ("239670a0259b716f258b4924b7af150d9c7ba50dcb10dd0bb456c7805a6a14d5", "GFDL-1.2", "part 8", 57, 177, 177),
+    ("6624bef9fb98ef780836b1db171a161889e037fa755daf13107cd0b4a55a2876", "GFDL-1.2", "part 9", 57, 594, 594),
+    ("5fa0dda07cb5184cf6a9100d492cb5d2cb9f04065ba24f3f594a73e0c255a6aa", "GFDL-1.2", "part 10", 57, 430, 432),
+    ("cbc68a20fa863fbf9443143b1f4ae910f95fdecca8699aaba9599806f46696c2", "GFDL-1.2", "part 11", 57, 268, 270),
+    ("e4a1e57f9f435965b9a55654cfe44e125b3c9e005632753d3534b44f0f4a206c", "GFDL-1.2", "part 12", 57, 788, 788),
+    ("967dc89b2ca094fa7064c23256ff50f8a129182610bd8a11e90e2808eb80c35d", "GFDL-1.2", "part 13", 57, 613, 613),
+    ("7dc48d09082c73e46bc0c56d4596a989b8b741d322e57087251484277b2d690a", "GFDL-1.2", "part 14", 57, 371, 373),
+    ("db6eb9a432fd54ed050cb271fec4a0879a2edc1fd610ee922aeeaf95a55929fa", "GFDL-1.2", "part 15", 57, 446, 446),
+    ("70b167b78b2b831bbfbf509341d2b4644142ade9baf9262a5c60411dad8cb836", "GFDL-1.2", "part 16", 57, 368, 374),
+    ("1e404ed2fd3ad96d2b7120de85fb631cb802220057214629aef1830251db7a3b", "GFDL-1.2", "part 17", 57, 18, 18),
+    ("5a40bb13d15da31b207b9c286de2e77c57afd8b3eb05d9ee1ed483ec57aa2d0c", "GFDL-1.2", "part 18", 57, 595, 603),
+    ("00cc1e2bd0b26b1286ebedeb47865be95ea4135f0d6fb39597334f6a4f4123e6", "GFDL-1.2", "part 19", 57, 99, 99),
+    ("f37f33b63bd948d1531389fe60306922169a5d5cd0336a2b949ef2b28d1f1644", "GFDL-1.2", "part 20", 57, 21, 21),
+    ("e305540b82dc9c79a55d984d80b901ffac60539c8e68643ed5cdc96b74448971", "GFDL-1.2", "part 21", 57, 763, 765),
+    ("31b4d47ff2fe9e0cf056eacbafc87e4c84a57236cd4686f295ec637f31bfb567", "GFDL-1.2", "part 22", 57, 197, 197),
+    ("8348e7c372ee0b6e2dc40f98a56299c5d43c219ee756a0947b17a3f350bb85fb", "GFDL-1.2", "part 23", 57, 771, 771),
+    ("bd225944db54f562f7691e839b50014e5fd6dafbf9d5a7bc7fd22c6e1a1b4c84", "GFDL-1.2", "part 24", 57, 208, 208),
+    ("d7b0855a4af23bab8d44bc833ffadd66cffa1b01f379b1e21aa5f6d660d2ad50", "GFDL-1.2", "part 25", 57, 15, 15),
+    ("aa5b684158f44eac27ded9316d0b96d9882e1e8d803a97b8298254bb2c79fa11", "GFDL-1.2", "part 26", 57, 408, 410),
+    ("6706780d5092660e7a619a1ebf9ffac30ad01c77e1df10e494e6fa8b8de81de9", "GFDL-1.2", "part 27", 57, 2772, 2782),
+    ("9904d6725b29e567220643410be424837341f61915acc24fad80131bb017a58c", "GFDL-1.2", "part 28", 57, 395, 397),
+    ("0fa0e2cb0c6950d08cebf64249e44fc19fb3d970c7886574accc151c56767d4c", "GFDL-1.2", "part 29", 57, 271, 271),
+    ("b48a77bf944b0aaa311c9459ced8b5ed0e71e93c6863d3f8db46988ee0343140", "GFDL-1.2", "part 30", 57, 594, 594),
+    ("737156634ce6acd54b47100c3106aafe929040e4887b46155d93b84959061d8d", "GFDL-1.2", "part 31", 57, 178, 180),
+    ("f3b4b9f1ad6deec2ed4a8c93337b11658f94c115046d06f1e731b7e6653c70fa", "GFDL-1.2", "part 32", 57, 21, 21),
+    ("3c77bf4976824ca6eb0ea5b05f3cff79aa74ba778302393354a189db5e40f99d", "GFDL-1.2", "part 33", 57, 398, 402),
+    ("d60dc25808aeea040f50ad0bbdb482cbaaf2efaaa225586787abc1ddb39ae4ec", "GFDL-1.2", "part 34", 57, 523, 527),
+    ("976618724355880ea41bb152ca264f595dd75f4c333553199314690173ab8328", "GFDL-1.2", "part 35", 57, 281, 281),
+    ("0cbbd960f685cc48e5e093457ed8d458f4f214466044c6de4c9eb85d0290a93b", "GFDL-1.2", "part 36", 57, 26, 26),
+    ("1fb18fdc326175dbbc0cbd7b3691d15f53491f293c068063bb1cac47d5e3c089", "GFDL-1.2", "part 37", 57, 348, 354),
+    ("fd2655b934552b93a1ba5fd6d90b849e5d69daef4bc63ae41381a67e3801a854", "GFDL-1.2", "part 38", 57, 267, 273),
+    ("aa8976ff6775fc655b3a42397eb76184ac99b6c9b52ee3c4c86f737210cd0ab5", "GFDL-1.2", "part 39", 57, 36, 36),
+    ("24d6e1842e3832c2435e763e134dc70116cae6534784941dd006d848738298fb", "GFDL-1.2", "part 40", 57, 501, 503),
+    ("8066fbfc0c2250e93bf9da2c92d67a6e16d9963cc7518946ba51c03e70957b63", "GFDL-1.2", "part 41", 57, 408, 408),
+    ("0b81cb06867df6f75207433e8ad6794c02a14e422175ab23b15697981b3ce80e", "GFDL-1.2", "part 42", 57, 13, 13),
+    ("9d86589040c61bed27024f44402b3fe0da3138c8f0952d1c01a331b385400db5", "GFDL-1.2", "part 43", 57, 769, 777),
+    ("60f7c0363c8a6ab4d5eaa11f6c154d9b9460ad8e15f5496e4cb011fca3accad1", "GFDL-1.2", "part 44", 57, 187, 187),
+    ("5e3ba6934ac9c18789b6335974896c9fda5dd5f7984f22086113bb264d6c0435", "GFDL-1.2", "part 45", 57, 13, 13),
+    ("96d7c5afe1148112c1205466d9d5987d8feb4e7d761fd8848b03029ba4fd1f08", "GFDL-1.2", "part 46", 57, 424, 436),
+    ("0727f47bb2ef0ba94fc2e548e26b9a3069479758f55960c0777f554dfbd338f1", "GFDL-1.2", "part 47", 57, 35, 37),
+    ("d97a13d8315dec356f8f11a8c2b1ec7bdac1cea9e075224f9cceccdba252bb68", "GFDL-1.2", "part 48", 57, 275, 279),
+    ("86c5d5251aff2698dc183298c43116db2cdace0b472e8e96c1c9dbe444e53f2b", "GFDL-1.2", "part 49", 57, 521, 527),
+    ("8fdbf25ee440a6f48b6904fb9945d3c154bc1bdc212b6cdbf8a0204591e6bde0", "GFDL-1.2", "part 50", 57, 51, 53),
+    ("6fc07465c398129200dc382361153dd460dbe4de29396b250cbd7dbb2a1e191b", "GFDL-1.2", "part 51", 57, 174, 180),
+    ("b2676b371a3c66233a13c161e9279791ddbbb40940a9bfe4b212f1fb7acc59d2", "GFDL-1.2", "part 52", 57, 358, 364),
+    ("c746f66f38ddbac28c81c5f45e0bca5a732716dfc772d3f2b2abdd0e2c50f5e9", "GFDL-1.2", "part 53", 57, 107, 107),
+    ("967fa6e4b38f0fa30651100146851ad69c6648c96df83c192bda664969141d7d", "GFDL-1.2", "part 54", 57, 130, 130),
+    ("aa518b451569f5c907538bceffb83ffea839c5d7569c456103960cd0d2385019", "GFDL-1.2", "part 55", 57, 140, 140),
+    ("22036bf8d3f282ab5a8a166fa766b93be638e78efa9b4e851bfea7d74945e956", "GFDL-1.2", "part 56", 57, 230, 234),
+    ("ea05ef7a0bb68d576ca10190291850f3f6e8afc6f69011030606c6b91fde46b6", "GFDL-1.3", "text", 67, 22018, 22176),
+    ("f42b2e6807623175c74cf8ca228746283c01775b536214b79d00df84c9a65ffa", "GFDL-1.3", "part 0", 67, 58, 60),
+    ("a68db0e4a857e92e92026b5768fdefffb5e1958a892d0d2c250d935fe91141de", "GFDL-1.3", "part 1", 67, 130, 132),
+    ("d5dd271421fb47626550b2490cff8c3bcf7b543096db366f8b90a23d49a230e7", "GFDL-1.3", "part 2", 67, 10, 10),
+    ("ffd9cbb86b506d4eaf39671a3ed1916dfa5c78395118648bc8fff9c317622776", "GFDL-1.3", "part 3", 67, 433, 437),
+    ("7235eb1fa53d96ab2e2bc3826a791715fc300317887fbdb81865b2e5e9ab3de0", "GFDL-1.3", "part 4", 67, 227, 233),
+    ("edac903f23b3d0b3518599eb5d1c1cb212c760f3e773fc67e7088486eaf2cbb8", "GFDL-1.3", "part 5", 67, 468, 474),
+    ("4a82b7db0c80378824dc5104fc104cfd1bcab98da53157518ce6459870b38ea1", "GFDL-1.3", "part 6", 67, 31, 31),
+    ("58f56917d10a4e256a0646fcd6950bf4725415978b5d8e1370de7152d87866f9", "GFDL-1.3", "part 7", 67, 537, 545),
+    ("239670a0259b716f258b4924b7af150d9c7ba50dcb10dd0bb456c7805a6a14d5", "GFDL-1.3", "part 8", 67, 177, 177),
+    ("6624bef9fb98ef780836b1db171a161889e037fa755daf13107cd0b4a55a2876", "GFDL-1.3", "part 9", 67, 594, 594),
+    ("5fa0dda07cb5184cf6a9100d492cb5d2cb9f04065ba24f3f594a73e0c255a6aa", "GFDL-1.3", "part 10", 67, 430, 432),
+    ("cbc68a20fa863fbf9443143b1f4ae910f95fdecca8699aaba9599806f46696c2", "GFDL-1.3", "part 11", 67, 268, 270),
+    ("e4a1e57f9f435965b9a55654cfe44e125b3c9e005632753d3534b44f0f4a206c", "GFDL-1.3", "part 12", 67, 788, 788),
+    ("967dc89b2ca094fa7064c23256ff50f8a129182610bd8a11e90e2808eb80c35d", "GFDL-1.3", "part 13", 67, 613, 613),
+    ("7dc48d09082c73e46bc0c56d4596a989b8b741d322e57087251484277b2d690a", "GFDL-1.3", "part 14", 67, 371, 373),
+    ("24f308654a4530485716218bbce0db461ad3aea4f1bcb7a52df89bf3525dc70e", "GFDL-1.3", "part 15", 67, 94, 94),
+    ("db6eb9a432fd54ed050cb271fec4a0879a2edc1fd610ee922aeeaf95a55929fa", "GFDL-1.3", "part 16", 67, 446, 446),
+    ("70b167b78b2b831bbfbf509341d2b4644142ade9baf9262a5c60411dad8cb836", "GFDL-1.3", "part 17", 67, 368, 374),
+    ("1e404ed2fd3ad96d2b7120de85fb631cb802220057214629aef1830251db7a3b", "GFDL-1.3", "part 18", 67, 18, 18),
+    ("5a40bb13d15da31b207b9c286de2e77c57afd8b3eb05d9ee1ed483ec57aa2d0c", "GFDL-1.3", "part 19", 67, 595, 603),
+    ("00cc1e2bd0b26b1286ebedeb47865be95ea4135f0d6fb39597334f6a4f4123e6", "GFDL-1.3", "part 20", 67, 99, 99),
+    ("f37f33b63bd948d1531389fe60306922169a5d5cd0336a2b949ef2b28d1f1644", "GFDL-1.3", "part 21", 67, 21, 21),
+    ("e305540b82dc9c79a55d984d80b901ffac60539c8e68643ed5cdc96b74448971", "GFDL-1.3", "part 22", 67, 763, 765),
+    ("31b4d47ff2fe9e0cf056eacbafc87e4c84a57236cd4686f295ec637f31bfb567", "GFDL-1.3", "part 23", 67, 197, 197),
+    ("8348e7c372ee0b6e2dc40f98a56299c5d43c219ee756a0947b17a3f350bb85fb", "GFDL-1.3", "part 24", 67, 771, 771),
+    ("bd225944db54f562f7691e839b50014e5fd6dafbf9d5a7bc7fd22c6e1a1b4c84", "GFDL-1.3", "part 25", 67, 208, 208),
+    ("d7b0855a4af23bab8d44bc833ffadd66cffa1b01f379b1e21aa5f6d660d2ad50", "GFDL-1.3", "part 26", 67, 15, 15),
+    ("aa5b684158f44eac27ded9316d0b96d9882e1e8d803a97b8298254bb2c79fa11", "GFDL-1.3", "part 27", 67, 408, 410),
+    ("6706780d5092660e7a619a1ebf9ffac30ad01c77e1df10e494e6fa8b8de81de9", "GFDL-1.3", "part 28", 67, 2772, 2782),
+    ("9904d6725b29e567220643410be424837341f61915acc24fad80131bb017a58c", "GFDL-1.3", "part 29", 67, 395, 397),
+    ("0fa0e2cb0c6950d08cebf64249e44fc19fb3d970c7886574accc151c56767d4c", "GFDL-1.3", "part 30", 67, 271, 271),
+    ("b48a77bf944b0aaa311c9459ced8b5ed0e71e93c6863d3f8db46988ee0343140", "GFDL-1.3", "part 31", 67, 594, 594),
+    ("737156634ce6acd54b47100c3106aafe929040e4887b46155d93b84959061d8d", "GFDL-1.3", "part 32", 67, 178, 180),
+    ("f3b4b9f1ad6deec2ed4a8c93337b11658f94c115046d06f1e731b7e6653c70fa", "GFDL-1.3", "part 33", 67, 21, 21),
+    ("3c77bf4976824ca6eb0ea5b05f3cff79aa74ba778302393354a189db5e40f99d", "GFDL-1.3", "part 34", 67, 398, 402),
+    ("d60dc25808aeea040f50ad0bbdb482cbaaf2efaaa225586787abc1ddb39ae4ec", "GFDL-1.3", "part 35", 67, 523, 527),
+    ("976618724355880ea41bb152ca264f595dd75f4c333553199314690173ab8328", "GFDL-1.3", "part 36", 67, 281, 281),
+    ("0cbbd960f685cc48e5e093457ed8d458f4f214466044c6de4c9eb85d0290a93b", "GFDL-1.3", "part 37", 67, 26, 26),
+    ("1fb18fdc326175dbbc0cbd7b3691d15f53491f293c068063bb1cac47d5e3c089", "GFDL-1.3", "part 38", 67, 348, 354),
+    ("fd2655b934552b93a1ba5fd6d90b849e5d69daef4bc63ae41381a67e3801a854", "GFDL-1.3", "part 39", 67, 267, 273),
+    ("aa8976ff6775fc655b3a42397eb76184ac99b6c9b52ee3c4c86f737210cd0ab5", "GFDL-1.3", "part 40", 67, 36, 36),
+    ("24d6e1842e3832c2435e763e134dc70116cae6534784941dd006d848738298fb", "GFDL-1.3", "part 41", 67, 501, 503),
+    ("8066fbfc0c2250e93bf9da2c92d67a6e16d9963cc7518946ba51c03e70957b63", "GFDL-1.3", "part 42", 67, 408, 408),
+    ("0b81cb06867df6f75207433e8ad6794c02a14e422175ab23b15697981b3ce80e", "GFDL-1.3", "part 43", 67, 13, 13),
+    ("9d86589040c61bed27024f44402b3fe0da3138c8f0952d1c01a331b385400db5", "GFDL-1.3", "part 44", 67, 769, 777),
+    ("60f7c0363c8a6ab4d5eaa11f6c154d9b9460ad8e15f5496e4cb011fca3accad1", "GFDL-1.3", "part 45", 67, 187, 187),
+    ("5e3ba6934ac9c18789b6335974896c9fda5dd5f7984f22086113bb264d6c0435", "GFDL-1.3", "part 46", 67, 13, 13),
+    ("74eb38dcc2fd424f33041e63f8e6198243045f4dc55b65455f7f74033e81a8cc", "GFDL-1.3", "part 47", 67, 246, 254),
+    ("e9809a959d6872db36eca125fc35dde5086eeafd9a19ffdc28e22bdecf922205", "GFDL-1.3", "part 48", 67, 359, 365),
+    ("26d763024919e0b5e44b5f00fc11aede6a854c4d3b20b8010b5f50d5d56467b9", "GFDL-1.3", "part 49", 67, 355, 359),
+    ("b431cce8555e68267cfab98477348bc40e07dcd98ec12e63b908339726bc2ebc", "GFDL-1.3", "part 50", 67, 310, 314),
+    ("0727f47bb2ef0ba94fc2e548e26b9a3069479758f55960c0777f554dfbd338f1", "GFDL-1.3", "part 51", 67, 35, 37),
+    ("d97a13d8315dec356f8f11a8c2b1ec7bdac1cea9e075224f9cceccdba252bb68", "GFDL-1.3", "part 52", 67, 275, 279),
+    ("e2e54aec5f73259da9813dbd149450ecea80593073fcb57f918c2a8d1e5138fc", "GFDL-1.3", "part 53", 67, 745, 753),
+    ("b5d1f416ebbcb311a6dd788aeea8e3eb8250a8195f194f579c9c903a55f10136", "GFDL-1.3", "part 54", 67, 14, 14),
+    ("4d1357dd6aa8c413532383bfd764530df28cab5118ef2eab946048be941540e2", "GFDL-1.3", "part 55", 67, 388, 388),
+    ("beeb7b93c5a18115a92a3dd5d5db78c2324359b14d4cdc71b2e84711fd396cde", "GFDL-1.3", "part 56", 67, 293, 297),
+    ("184a06ef656852f2daf2eab2f3546c20fa37a84af2f78e3c415efaf7104ff7ca", "GFDL-1.3", "part 57", 67, 100, 100),
+    ("506041ca9ad197f01996cc297c7822b36554b383916e4ffe3380c0daee676e73", "GFDL-1.3", "part 58", 67, 323, 327),
+    ("eb58cb6f044c60d90e782e735c588b22a5102178059e8ee0c98b6bc2ac2527aa", "GFDL-1.3", "part 59", 67, 180, 180),
+    ("8fdbf25ee440a6f48b6904fb9945d3c154bc1bdc212b6cdbf8a0204591e6bde0", "GFDL-1.3", "part 60", 67, 51, 53),
+    ("6fc07465c398129200dc382361153dd460dbe4de29396b250cbd7dbb2a1e191b", "GFDL-1.3", "part 61", 67, 174, 180),
+    ("2f621a218a1d890d14451649e7c17d7c39dc0ca94465d61bf5eb9d954b08445b", "GFDL-1.3", "part 62", 67, 358, 364),
+    ("c746f66f38ddbac28c81c5f45e0bca5a732716dfc772d3f2b2abdd0e2c50f5e9", "GFDL-1.3", "part 63", 67, 107, 107),
+    ("967fa6e4b38f0fa30651100146851ad69c6648c96df83c192bda664969141d7d", "GFDL-1.3", "part 64", 67, 130, 130),
+    ("aa518b451569f5c907538bceffb83ffea839c5d7569c456103960cd0d2385019", "GFDL-1.3", "part 65", 67, 140, 140),
+    ("22036bf8d3f282ab5a8a166fa766b93be638e78efa9b4e851bfea7d74945e956", "GFDL-1.3", "part 66", 67, 230, 234),
+    ("4a30412e3dfe074a9b9d1065202be89812fc727145e77a2f13915adfee591e58", "GPL-1.0", "text", 50, 11764, 11824),
     ("82397a16c2231c372bdd0ef728bd88bf794e7b7858a5ee5e95a390556acb8081", "GPL-1.0", "part 0", 50, 50, 52),
     ("856c42764e52056205cc38c0f1803f6d6015fcc297dc33dcd2a99023b327adc3", "GPL-1.0", "part 1", 50, 51, 51),
     ("aaf9385eedc0e8797f25532c8f623c05bba02ebe7b124aefa1352367290a485a", "GPL-1.0", "part 2", 50, 116, 118),
@@ -290,7 +283,7 @@ DIGESTS: list[tuple[str, str, str, int, int, int]] = [
     ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "GPL-1.0", "part 34", 50, 27, 27),
     ("b33bf005fcddb6df38095f02a48955e90b93ea87b69146d02b35c396a0592c97", "GPL-1.0", "part 35", 50, 54, 54),
     ("849b89b04efd12b4d557318c03dd4ed2fd1e81040dc9ab201e5f2d038728d533", "GPL-1.0", "part 36", 50, 209, 209),
-    ("01131c0179b35dcee8087f7efbd6fc6f5a6c44587a6633bdf32c9285e9a2d6e8", "GPL-1.0", "part 37", 50, 205, 205),
+    ("3da8fe3ce0fa46667c9a4712bb7c634a6e0966d16fea7874e5d6698c058159af", "GPL-1.0", "part 37", 50, 268, 268),
     ("78be0ce2ec46e15d8907d83644caf6a98cbfca61e7e520613013f15755c286a3", "GPL-1.0", "part 38", 50, 68, 68),
     ("230eeee75b07fa71e4b1823e952c8e16292a543503bddcf2c8167da4b47a93d5", "GPL-1.0", "part 39", 50, 218, 220),
     ("3153b45862d1631a85b2cfb2be7d83ee1d7e88f4b08cbc833623e8d981d33b2b", "GPL-1.0", "part 40", 50, 228, 230),
@@ -303,366 +296,359 @@ DIGESTS: list[tuple[str, str, str, int, int, int]] = [
     ("9301061e12f773802062d734460204a72e5d73799358545b22b95b74de12f57e", "GPL-1.0", "part 47", 50, 162, 162),
     ("c0924fa00f68b8b4e2a4f48068b66a29c16b6fe34dd9b54a974725e75bb04551", "GPL-1.0", "part 48", 50, 59, 59),
     ("b3143badf03a3c8ec5637ec52198279304a61d088617f093f4d8e74eff48aad3", "GPL-1.0", "part 49", 50, 25, 25),
-    ("ffeeeeec0ba817beb3c1a768cef39d805b316f566ffdd8bec965656f204abbeb", "GPL-2.0", "text", 60, 17039, 17163),
-    ("897f56e784a169d4722a4110c9f1cc395c76163d1e32089ab263ff2afb8fdeb3", "GPL-2.0", "part 0", 60, 41, 52),
-    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "GPL-2.0", "part 1", 60, 172, 174),
-    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "GPL-2.0", "part 2", 60, 8, 8),
-    ("552466f80f2276d42525d00a5359c1574a272968f99f9c0ce3e70d8559b19dfa", "GPL-2.0", "part 3", 60, 546, 554),
-    ("0686d2a0745c5030fb0a8bdddc5f7fd5052db5e2d06a3fb518692b57fbd6b3c2", "GPL-2.0", "part 4", 60, 399, 401),
-    ("7ea3490cd136e23f34f4e5bc2d9148016b5c28de6067f6295412eeb3426d2198", "GPL-2.0", "part 5", 60, 259, 259),
-    ("0f2c9ea9e20fb47269d12c6e25c2fdd1982cd2d835a776b986a4b38992b7e9e5", "GPL-2.0", "part 6", 60, 269, 269),
-    ("18442fdb3a23bbb1a6623619cb6ee2d71ec47f05f1d4de10db4812d23a94dc0d", "GPL-2.0", "part 7", 60, 170, 172),
-    ("fd67f194410e043215cd5a4a333c7554828a31185aec0418c19882838fe48d56", "GPL-2.0", "part 8", 60, 365, 365),
-    ("5d7db4cbac8903882e1de9176e2abf855aaae74e0bae932569c80573cacfac87", "GPL-2.0", "part 9", 60, 334, 336),
-    ("b56a5e74095a5a82fe5abfc423bf152c935bb7105a5897be9f3faceaeb9ede35", "GPL-2.0", "part 10", 60, 81, 81),
-    ("babf4896388ec979a002db2fbc0d24076cecd03256f32b99565bcb76eab5e41c", "GPL-2.0", "part 11", 60, 89, 91),
-    ("719b3bfcf5bd10a41d53c8f1cb072a115c76f2359f86d2e1158670ab3394064c", "GPL-2.0", "part 12", 60, 591, 595),
-    ("bf0481752e479f66d03d738bcc0ae6bffdf66456a253dd38fe1091defd3bc1cb", "GPL-2.0", "part 13", 60, 379, 381),
-    ("5d28ba7f1580cf7725d707da283a84d4f807662c1f017e90cb719325e4f58d8c", "GPL-2.0", "part 14", 60, 192, 192),
-    ("dbeccd8fdb33b354f791e38c211e7631078f5f0c7f11ed056d896069d318bc98", "GPL-2.0", "part 15", 60, 160, 164),
-    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "GPL-2.0", "part 16", 60, 139, 139),
-    ("ccca24795f5ec24af309c27a8fb82171b52f5db8b64bcf50626f25b73187e061", "GPL-2.0", "part 17", 60, 251, 251),
-    ("c20ee2b91266866b6f20f2bbbe2a9f35a7f86461331092094dbfdb967335dd67", "GPL-2.0", "part 18", 60, 124, 124),
-    ("1d31b6060ac2bf08784c1f311fe96e88c5b4434d0c417bc6391967ef81042a94", "GPL-2.0", "part 19", 60, 233, 235),
-    ("00e71c0fd4099ba404628a4f53429fe46d5e59a6b5591a26545bd0f1265fe680", "GPL-2.0", "part 20", 60, 612, 614),
-    ("a0c65833a9a85f467d2bdc74073999de0d1ada98b8312696747552d4c89941ad", "GPL-2.0", "part 21", 60, 600, 604),
-    ("adc9258d0c598ca8cbcae2fe7a9ed4718e19124485e0338d3474c910b07b293a", "GPL-2.0", "part 22", 60, 238, 238),
-    ("854448fa7d3934cc22680226f4b30e4e3daedab5d549bc49d3c6afa7075c8503", "GPL-2.0", "part 23", 60, 232, 234),
-    ("b1e466c20b4614a3ac675e79f1e769950bdb052a72bb229f2c4c4d9dbc765dfb", "GPL-2.0", "part 24", 60, 202, 202),
-    ("b95bada32fe670852bac8e8059f0e69c629397ca051563b0ad1339355ea2cdf1", "GPL-2.0", "part 25", 60, 200, 200),
-    ("2d5954b33de95faf474e74d2c22aeca54785cc26e83f68b35eba0e90c9e27272", "GPL-2.0", "part 26", 60, 354, 354),
-    ("30718481a7d53d306a81ca6303ff3cc9dcf238876a61fe9ab6a099612bf634a9", "GPL-2.0", "part 27", 60, 292, 294),
-    ("ae447415c255f2a3936f7005c0e0b422e0f04e93c2bd8dffdaee9264b233f136", "GPL-2.0", "part 28", 60, 626, 626),
-    ("73b9d40c6b6c93a01e3ef46c7c4a93d3f96d4b4b61329f20fef0c4a635be5446", "GPL-2.0", "part 29", 60, 311, 311),
-    ("869b8d6ff2fc9f25d787f7f210536adf7462e597d9d2592a1e209144c3894261", "GPL-2.0", "part 30", 60, 424, 436),
-    ("9e7e4b1a40dd0f2b32bef2a3f62bb68e7371edcfdbec9b483c4aede5354aca7c", "GPL-2.0", "part 31", 60, 489, 495),
-    ("1f4bbc5844c13cb68799771048c3fe6de06a575e5a4f162b4cb7c3c9b1456971", "GPL-2.0", "part 32", 60, 408, 412),
-    ("d90515934d9469043e390910450718cbabbd46370cd4dfe790739b04aeb2cb17", "GPL-2.0", "part 33", 60, 788, 798),
-    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "GPL-2.0", "part 34", 60, 216, 216),
-    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "GPL-2.0", "part 35", 60, 612, 614),
-    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "GPL-2.0", "part 36", 60, 114, 116),
-    ("de976b4891cc7df3d25535dd9b6f5deba927b869a33c3048898bc97eed7fe700", "GPL-2.0", "part 37", 60, 459, 465),
-    ("98cbb7ed55bb5d0790479ae8bc8407746831f55a263c5863e232092f9fb2337e", "GPL-2.0", "part 38", 60, 246, 248),
-    ("b1ec7f09b7927665c6df7da358579b6e4101ea4a3f7040b8441f304e3e38cf76", "GPL-2.0", "part 39", 60, 439, 443),
-    ("482b6b93621af9bc784bdf36e10ed2020dfa6dea1688cdb85d86e73f5dca77b5", "GPL-2.0", "part 40", 60, 479, 479),
-    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "GPL-2.0", "part 41", 60, 11, 11),
-    ("134e8ecabacb867ede1aad018bd352565dbb720c6b48e0af40725938d3dcd07e", "GPL-2.0", "part 42", 60, 582, 582),
-    ("f916631d736b4a41c2879eaaeaf396aa17e70b9242f9f8dec250fe034c199c21", "GPL-2.0", "part 43", 60, 603, 603),
-    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "GPL-2.0", "part 44", 60, 27, 27),
-    ("cd9b66accd2db4a8bb1a8175473701ed3b31de8277dccac80f5991916a2d1640", "GPL-2.0", "part 45", 60, 45, 45),
-    ("77bfe530c2d8ed4d34e248a40690a793501dd86eef609b85774da8df404d8a08", "GPL-2.0", "part 46", 60, 211, 211),
-    ("3da8fe3ce0fa46667c9a4712bb7c634a6e0966d16fea7874e5d6698c058159af", "GPL-2.0", "part 47", 60, 268, 268),
-    ("78be0ce2ec46e15d8907d83644caf6a98cbfca61e7e520613013f15755c286a3", "GPL-2.0", "part 48", 60, 68, 68),
-    ("387a1baa3b6e943a46430ce6d4742372784971a5d94c54933cc4b02dacbea74d", "GPL-2.0", "part 49", 60, 228, 241),
-    ("3153b45862d1631a85b2cfb2be7d83ee1d7e88f4b08cbc833623e8d981d33b2b", "GPL-2.0", "part 50", 60, 228, 230),
-    ("2614cc0e65f191976e74405d3c928aaad4131e78803e42745d43fbe32716ed1a", "GPL-2.0", "part 51", 60, 194, 196),
-    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "GPL-2.0", "part 52", 60, 71, 71),
-    ("be346c0ff74cda7251963e0370ae4a19536bae9a7f5b4544e345faf5a497d9d8", "GPL-2.0", "part 53", 60, 107, 107),
-    ("858f7d3b623aa0aca7df9892295504e40d51f3233a532991f6be08da10ec8ae0", "GPL-2.0", "part 54", 60, 234, 234),
-    ("81b82df18e626ad4a8d2680cbae46cc9cfb35f5e7fb00ceff61e739930d31c77", "GPL-2.0", "part 55", 60, 265, 267),
-    ("5c6b7793629f6628caee0b5cacc1fa1ffa16904a70d5b611e974fe516fe0f7d9", "GPL-2.0", "part 56", 60, 176, 176),
-    ("6f4a99d92d5fa6c3f6346d246f998e86028b258924e372750cc72b7236346206", "GPL-2.0", "part 57", 60, 135, 135),
-    ("c0924fa00f68b8b4e2a4f48068b66a29c16b6fe34dd9b54a974725e75bb04551", "GPL-2.0", "part 58", 60, 59, 59),
-    ("e143425c621a291b79a91d5fc40a3f7027efbc9fd2683dce24355e834a2b3932", "GPL-2.0", "part 59", 60, 325, 331),
-    ("c6fa8c9a2237dbce242986478a32a4b725583c9be703d3930f7e5b43499a6046", "GPL-3.0", "text", 124, 33170, 33430),
-    ("10c3854c70c10808f2f455ff7ae311088ab9dd94c2c06693fb750f4c9e482943", "GPL-3.0", "part 0", 124, 42, 53),
-    ("aaf9385eedc0e8797f25532c8f623c05bba02ebe7b124aefa1352367290a485a", "GPL-3.0", "part 1", 124, 116, 118),
-    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "GPL-3.0", "part 2", 124, 8, 8),
-    ("b9bc58918452a1fb3a47d82e6b0ab789ecc90bb85624102450640619c372c2e7", "GPL-3.0", "part 3", 124, 95, 99),
-    ("eed5d0bf4ed70f3902521afa25e66ff7da68716b4053d5ae61d5ff58c0984f18", "GPL-3.0", "part 4", 124, 504, 510),
-    ("17e89e5ad872098301dba8a8f3c600c6fc53ebb3d0c86f8ca53f7fe89c4eb766", "GPL-3.0", "part 5", 124, 391, 393),
-    ("f77f6a478405269321651be66aba4f94e25cb99d4dea96713b975b6eae309ff7", "GPL-3.0", "part 6", 124, 271, 271),
-    ("f04c738485d21da8f8004139622fa7b5801d3fa95834d3479042d01b40a4dda1", "GPL-3.0", "part 7", 124, 282, 282),
-    ("136fd365f4de7a49aba9c93484456362b9cc57e273be6a6ca953cd97db0bde34", "GPL-3.0", "part 8", 124, 194, 196),
-    ("a734c82252487b89f0cf19b351250581bca3609bc4caee786ead0a7b97657b81", "GPL-3.0", "part 9", 124, 298, 298),
-    ("e1efdd7f3eb2b067be4a313b69e8d074423a7d09e3891bb1b3264bc7081f67e0", "GPL-3.0", "part 10", 124, 663, 663),
-    ("1fda13a050511ac96b46be3a1f281a7f20a324c577d29b7a98b58f9d7087a7aa", "GPL-3.0", "part 11", 124, 396, 396),
-    ("b56a5e74095a5a82fe5abfc423bf152c935bb7105a5897be9f3faceaeb9ede35", "GPL-3.0", "part 12", 124, 81, 81),
-    ("e918ed85b7fc2eeeaeef3c049261de28f0980e045930b0693c17bfed7e57cfff", "GPL-3.0", "part 13", 124, 20, 20),
-    ("275d388a3b0fc15b578b49625b2fc4b865dad97cdf4f9c29539f2d09d7dd04a8", "GPL-3.0", "part 14", 124, 13, 13),
-    ("48526048138c0bc995f14796a50672f1789be73d71f85d5d4d0acf2d6a663a0e", "GPL-3.0", "part 15", 124, 59, 72),
-    ("e7306aaa55f290f993284490bfcd1a3f502edfa0335c4b6c1c28b62c1fd4f6a7", "GPL-3.0", "part 16", 124, 33, 33),
-    ("5ede777885330378a4cedca4532dbf8298393125f34257b2966d1449b1a002d1", "GPL-3.0", "part 17", 124, 167, 169),
-    ("b793c33bbc9c0c88bc6e85db4ddeb7e5860da7d59e1f634026dca5d7e79d98d9", "GPL-3.0", "part 18", 124, 255, 255),
-    ("3fc11371b34c462bf0450d3b98bbaad1e71a668641c44f6fea5bccf8c87e0ff4", "GPL-3.0", "part 19", 124, 81, 81),
-    ("78d5ed94fb183f06a48a249ef677df53da0097e6e627f2f413fcddb8231fec56", "GPL-3.0", "part 20", 124, 377, 377),
-    ("b620aabcc5545563a9d488cd117d2c19acef2433c562326465c6f6e3aebfcd07", "GPL-3.0", "part 21", 124, 199, 199),
-    ("9e2e62c9027ff561f2b2de185149caa50f96f8f3a805a917f8aed88a313419de", "GPL-3.0", "part 22", 124, 517, 521),
-    ("8b5e816100afbd99e68e17b1380cddb518ffdbeb0d24a79e187f6d23b4beb698", "GPL-3.0", "part 23", 124, 13, 13),
-    ("3df6d95e0b8234cc89e18f7061a9c82f6b7a8c7f019dfceca16fdc9f7b8951ff", "GPL-3.0", "part 24", 124, 142, 142),
-    ("20acb9b739d7fabc9a502f647e8e015f6a3e477f42b5b31d6c965390491f684f", "GPL-3.0", "part 25", 124, 257, 257),
-    ("b73a5538d4f7abca25b508a9910d877de65880761c2dc76bf1f978b05bf16c49", "GPL-3.0", "part 26", 124, 644, 644),
-    ("5d2681324e10799f26af9a1582b6a54ea5faafd80ec201955d2e6aab40fac857", "GPL-3.0", "part 27", 124, 780, 780),
-    ("dcd3c6fcca231313b52d260ad9c871095347b38ec6b1accb5e1c4f93afec762f", "GPL-3.0", "part 28", 124, 135, 135),
-    ("52613b43b56eda263aecb37204038319879480bb85440a4efc5ba169c8a9455a", "GPL-3.0", "part 29", 124, 73, 73),
-    ("ff67fe18b0b1698e6315f1c4195b75047c965ff537c80d9f3ed813f1c786f3a3", "GPL-3.0", "part 30", 124, 19, 19),
-    ("32ffaf5a7ef4923e0625a330e5f94c88a579c3be3498dbef5c70f9575b9ff964", "GPL-3.0", "part 31", 124, 65, 67),
-    ("86dba41315a51d3f186408d16f482b1be6c98e3011bd623e2cf7669e6bf08164", "GPL-3.0", "part 32", 124, 335, 341),
-    ("6055e3311c73858c543bd371d79173e9a6a49130d8caabcd64c2cb58941f84fb", "GPL-3.0", "part 33", 124, 669, 673),
-    ("75b2a83776c2b4a0c79cc55aa46b4d1b3726489c53c94eb3364bd88802f9c263", "GPL-3.0", "part 34", 124, 153, 153),
-    ("2e959c6c86d7b151750f53828d501e04bc6c88e739d41856006a8bf55594611c", "GPL-3.0", "part 35", 124, 59, 59),
-    ("03816aac4adece42af2a31b8e2b9d64b52565ad209a3e9177ed41ddaad20314b", "GPL-3.0", "part 36", 124, 270, 270),
-    ("5ef37b771ae0f9036e1ddf2e3cf4401519a0b81ab79d1bb201c658ade8924fc4", "GPL-3.0", "part 37", 124, 436, 438),
-    ("650d5fd72926666d2d629b0d5976c62436c40df01b9db7922d278dca7ff1d84f", "GPL-3.0", "part 38", 124, 27, 27),
-    ("a942b4a658f4ba3d3d2a99533ee72849668ace15ed4e45d2aea800a71e171330", "GPL-3.0", "part 39", 124, 447, 451),
-    ("5007b9bb186ba0fc8885d25c6989b1873c0fa93f95184ce1bd4a0de81fb48624", "GPL-3.0", "part 40", 124, 125, 125),
-    ("83934d393d1c935f198ef3a815f795fd919a98de60f637f404ce40d920fb01cf", "GPL-3.0", "part 41", 124, 36, 36),
-    ("a8eebdf652d28341aa50ece8b556bc52d1fe208c63d94f48e03623bf08fa78e9", "GPL-3.0", "part 42", 124, 202, 202),
-    ("e2f4306c1ca460cee0ff228828abdea62b208c41d3beb146fe10ae126d49d267", "GPL-3.0", "part 43", 124, 95, 95),
-    ("6e67505a441cb5c08c6b031c47ac23058c5870c19bbe8162d118b1998462dd14", "GPL-3.0", "part 44", 124, 209, 211),
-    ("05f64e29bad26d6b43e04a0bac7175839112e5e8d1f595174a12e2bcdf844834", "GPL-3.0", "part 45", 124, 424, 434),
-    ("e0bf7038393e1b5d2c3fa162791b74ac42e5211e59420a452a194411282265d7", "GPL-3.0", "part 46", 124, 220, 220),
-    ("cf4e80eb3932af36efb81482fe5bc3d3765be975d254b35250dd49ed81c01dda", "GPL-3.0", "part 47", 124, 559, 561),
-    ("87eaf715ae5abb2d7139624b290edaf12975178a1142b339a345f21a7a116657", "GPL-3.0", "part 48", 124, 28, 28),
-    ("425dca8dae1f1181a73885cf809888f69652e7e83f890a8dd7db7a867e53bdfd", "GPL-3.0", "part 49", 124, 210, 212),
-    ("2aa625a9d7c8d410d09b9257ee458e9de4b1a412b1f31f1d3b8d1d83265f1d05", "GPL-3.0", "part 50", 124, 219, 219),
-    ("16bb8dc9fdb62fa67e975eab3f9ccb3564c9c96bc3abd7dad172470326a50c12", "GPL-3.0", "part 51", 124, 658, 660),
-    ("11a117bba57869bde15075b61f81946599a230d8556694225fd4ec965e365f2d", "GPL-3.0", "part 52", 124, 269, 269),
-    ("38c710ce967ceb8f18bc15ea39b3cf61d8de3e30b20021f7225a034fa40b64e1", "GPL-3.0", "part 53", 124, 756, 756),
-    ("f2f329f3fb35a25bd1ffa629f1a847c821962d9f87d833504361c5728f71c2bf", "GPL-3.0", "part 54", 124, 220, 220),
-    ("2b168657ca31a74aae1a0396ad25fb083e85711017173748e264e2d423f3af21", "GPL-3.0", "part 55", 124, 173, 173),
-    ("7d51c00299f5e4bd54f6674c88cc31b5a7b924dcebdfbad529e887cb232958c7", "GPL-3.0", "part 56", 124, 805, 807),
-    ("7e069d3a37eb66682e5c057cce22325ad5469678ead13882aa6207e3e8bd3fa0", "GPL-3.0", "part 57", 124, 436, 436),
-    ("ef0b400f97b30948eb078a7c643e8ae92b6c27639745709c17d02608aa5cad21", "GPL-3.0", "part 58", 124, 628, 628),
-    ("7bcc74a18ac967a95547d1198591cc6da8dbac4f56a0068c354eefd66fac221d", "GPL-3.0", "part 59", 124, 470, 470),
-    ("958afff48b9e0e489c2081ead755577611c793db5e6897a67a04606b7deb7c67", "GPL-3.0", "part 60", 124, 291, 291),
-    ("3d02334bbdaa31b36e6a4dfb85ddcf5be4cd8dfd3f8a21f9c4a1d7e20f9dc22c", "GPL-3.0", "part 61", 124, 18, 18),
-    ("fe5917ab958d08d28c26152331e789eb9dae40ff64dc1b8992fdb35abaf39af7", "GPL-3.0", "part 62", 124, 530, 536),
-    ("7f49f94647264c581c2f3ebd85c267cc2f26b7e009dfed3c8506aa5eb813603e", "GPL-3.0", "part 63", 124, 388, 388),
-    ("328c8bc1e86822cc6c32fade1f40c0c0a934b3f86c0dbf5da98c5cda387f0adb", "GPL-3.0", "part 64", 124, 202, 206),
-    ("9aa2eeabf1930117299d2143e29b2cba52db448fdfb35e8dff43d78fb60aee7e", "GPL-3.0", "part 65", 124, 112, 114),
-    ("04baf379f745729f744d0e3f4a74570328082f8e91e146941a3ed7c858d01d0b", "GPL-3.0", "part 66", 124, 174, 174),
-    ("05098ff75cb75429b5e0a86e3a8ecd9bab840fee31ee7f352381ef9414e2b2b1", "GPL-3.0", "part 67", 124, 186, 186),
-    ("268c4a0109d675d6b4276fbf70d27085968159d98e503e1d960dc7164764479e", "GPL-3.0", "part 68", 124, 93, 93),
-    ("4889ac662be541e72c741c99e6fae51bfe03583e12f88988bbc110330cdeed38", "GPL-3.0", "part 69", 124, 106, 106),
-    ("35c5f7f8a5ed6586bd8f26c554c2f614265b2577652036deb811c775e8652ac5", "GPL-3.0", "part 70", 124, 290, 290),
-    ("ea7b4aa09d092b428515e34bdd49c637a24f0792f56b1cf24c4e7efe9ff1fecc", "GPL-3.0", "part 71", 124, 577, 585),
-    ("4036053d1f41aee34f670d952b69217c8ab7846884a890b1e83d51a7ebec0252", "GPL-3.0", "part 72", 124, 226, 226),
-    ("9723136bed1b37e9a70c1198188006161d3135dec634ea6050cd22085aa1042f", "GPL-3.0", "part 73", 124, 167, 169),
-    ("4e7f296565343f18ec0333d65b71e75a26b3e5cc834457d076f7b57ecb24929a", "GPL-3.0", "part 74", 124, 13, 13),
-    ("c06a19695e870c5e43ebfaf323d459adae09fd5a02c310f154e178fd63ba1e7b", "GPL-3.0", "part 75", 124, 291, 297),
-    ("e9809a959d6872db36eca125fc35dde5086eeafd9a19ffdc28e22bdecf922205", "GPL-3.0", "part 76", 124, 359, 365),
-    ("378f042f9e938dcfda15d69cf4da25956923885a807f2a06f5fb30ea54b84dc3", "GPL-3.0", "part 77", 124, 261, 265),
-    ("cba95e686692c94a303135e01a798494a172a3c675047959dd29d6f48573f4a8", "GPL-3.0", "part 78", 124, 26, 26),
-    ("cee074225b64c8f7311e8ef36c5b85f3860c09bcc4ada44621dcda8efa83c5d0", "GPL-3.0", "part 79", 124, 298, 304),
-    ("90ad9ebc76c2db25829ebe2497fb8c6554b4c1b11ada63e852b3feca381fb455", "GPL-3.0", "part 80", 124, 43, 43),
-    ("505a392545b156c448cd9013c6fb7af0ef74617126540cd7244e2d50ee140aee", "GPL-3.0", "part 81", 124, 532, 540),
-    ("c58a22e2ba402d9f5bcfa085cbb74775b1402b86797110852adb6e1adb8e54f0", "GPL-3.0", "part 82", 124, 47, 47),
-    ("d40279e18ca6d3e72e624ecf2d92dd9453c5d5e99809755267a18f74bb16fbc8", "GPL-3.0", "part 83", 124, 256, 262),
-    ("ea3defe9384bba4257196c94c83abef336a7fc046d15eeb0312e30dc145ef5fd", "GPL-3.0", "part 84", 124, 590, 592),
-    ("b596e61fb1ef384b55daf6cb7585d18884b51706da444ecc08aeb0c19ad08c22", "GPL-3.0", "part 85", 124, 452, 458),
-    ("4a99542560e420d134b33fa4b71c26a91a9e31f4fe1713641933c6b10be6a14f", "GPL-3.0", "part 86", 124, 10, 10),
-    ("bffbad0d5473219cd6e7d6b03cf23cc687bb4ea7494e1498323f6be1f95e3931", "GPL-3.0", "part 87", 124, 199, 201),
-    ("5d90cf132c255b45e7f079eab55a7ce0a9be3d0bd5d47a3e10f72a44444d16bd", "GPL-3.0", "part 88", 124, 534, 538),
-    ("24f2ebd7aab34e19e65156a09a2d8b194f7cd114e47f9419cfc2043f8ef6b8ea", "GPL-3.0", "part 89", 124, 247, 249),
-    ("acc29d84983737aef6193e2bc0f272ec338a1b41e7f453df209ff078db177e3d", "GPL-3.0", "part 90", 124, 361, 365),
-    ("3179fc4f9f6caa46fdec72b3f1f352185d81431c8caa473d281c2d8f4fbfd935", "GPL-3.0", "part 91", 124, 858, 870),
-    ("327623fbd06861cddd9500866807e31a4effe57f5b64934383adab3157ba4ea5", "GPL-3.0", "part 92", 124, 422, 426),
-    ("98921254b087152778bb3e8fb1c865bb0093dce5e9d2548c42c99cb6d1581acb", "GPL-3.0", "part 93", 124, 917, 925),
-    ("a700c02424bcafa0a463f2b2648495dd5afc1737d8f23ec8c7f41a1b51f9ac69", "GPL-3.0", "part 94", 124, 188, 192),
-    ("57ada9bd1ce567e4590340e08e5f81d9c492b64be2c3b23c8922409a92b16ad1", "GPL-3.0", "part 95", 124, 33, 33),
-    ("4c3f0c3855f9e83b9cebb8776564f0d802c315219ba4f77f1101834cbcb3b75c", "GPL-3.0", "part 96", 124, 633, 641),
-    ("23aac8385ddb1ddc96ae93ea8dc9ee93897249316e1e078aed43593d4b17fd8b", "GPL-3.0", "part 97", 124, 49, 51),
-    ("8358608fea225d03e3edb1fcd2f5de37c4d8b93a09168cbccbc327c6e4b54b2c", "GPL-3.0", "part 98", 124, 486, 503),
-    ("3c94d1e6a1aff484c9e9188091bf518b84e81a853c4882a640eca833e2ecdede", "GPL-3.0", "part 99", 124, 35, 37),
-    ("89f1c89236bcfd32904d6b4e9e1b9cf3a0957e7cb30d7f422ec176d5d17374e1", "GPL-3.0", "part 100", 124, 248, 250),
-    ("e14afa7c47e95e34bef07df2a41a22b33459e6967d976e200fca2ef25d06d58d", "GPL-3.0", "part 101", 124, 492, 496),
-    ("a525092d6bd6c2616341cce7abed301b5937656589faf0fa1fb7257cb481b09f", "GPL-3.0", "part 102", 124, 239, 241),
-    ("4ac5e4bab22b1ba9d60e9f4d09884f164b378ccfa98e3ba6de4ff42f8533b826", "GPL-3.0", "part 103", 124, 206, 208),
-    ("65c1fffd77ea5abbd2b27b25a13c12b1ade3c0b6a249c57d58356b0a11664e62", "GPL-3.0", "part 104", 124, 25, 25),
-    ("8752831a938e02c9e8442a6e38d1d4b057fa17fe0a90280c1521f0caa58fe702", "GPL-3.0", "part 105", 124, 532, 532),
-    ("dcd6702a4efd4e4e1ad18a9f2ae89bdd684d515187d5480ec735e9b97657647e", "GPL-3.0", "part 106", 124, 26, 26),
-    ("d1f8376f7d463f69530e9d10acab26d359dad8ec074a88096d26ccb341f1a3ab", "GPL-3.0", "part 107", 124, 593, 593),
-    ("7baa0d94368b20b13b26d5159c473eb06ff6015c576af0be117eddbda1f9b3a5", "GPL-3.0", "part 108", 124, 39, 39),
-    ("48a4d882922a119974529b7dd8d65586761edd96ab35666139086d0c7802222f", "GPL-3.0", "part 109", 124, 374, 374),
-    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "GPL-3.0", "part 110", 124, 27, 27),
-    ("cd9b66accd2db4a8bb1a8175473701ed3b31de8277dccac80f5991916a2d1640", "GPL-3.0", "part 111", 124, 45, 45),
-    ("77bfe530c2d8ed4d34e248a40690a793501dd86eef609b85774da8df404d8a08", "GPL-3.0", "part 112", 124, 211, 211),
-    ("64b56fcb218f246b22c89f7af91e0adfa4e0b24009b2ec6128c1f826999208ea", "GPL-3.0", "part 113", 124, 267, 267),
-    ("78be0ce2ec46e15d8907d83644caf6a98cbfca61e7e520613013f15755c286a3", "GPL-3.0", "part 114", 124, 68, 68),
-    ("66237b20dfaa335f5c003a3da64555538643deb65ca015c0d5fa588527312c4e", "GPL-3.0", "part 115", 124, 226, 239),
-    ("3153b45862d1631a85b2cfb2be7d83ee1d7e88f4b08cbc833623e8d981d33b2b", "GPL-3.0", "part 116", 124, 228, 230),
-    ("838ae99f77267d6120419c41bcf7cc587437a7a206059601b3f884e1b285076e", "GPL-3.0", "part 117", 124, 126, 130),
-    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "GPL-3.0", "part 118", 124, 71, 71),
-    ("b38fdc5dc347039540894835af6e4c1d9005589fa53f64bf67d960b3773ff285", "GPL-3.0", "part 119", 124, 118, 118),
-    ("872bf1b550640b58b456218d500c2e6f99f010b151b140431719f281fca7091c", "GPL-3.0", "part 120", 124, 220, 220),
-    ("19c7090173e00468e6264eedeed216853b752762d547992815f9ac267365fa26", "GPL-3.0", "part 121", 124, 207, 209),
-    ("d34036b771b52ec74f3b487de31651f5759e9f693b5963c55f93f9928b131453", "GPL-3.0", "part 122", 124, 237, 239),
-    ("be2552893245d3524a08b427df867fdeef5d7b1c8df5b735f39acdcdcda9c1e3", "GPL-3.0", "part 123", 124, 394, 402),
-    ("c1914e22d53ce4609a6fe5512918d27443b5df10e5e74f185f0695192bcdb8c4", "LGPL-2.0", "text", 85, 23906, 24097),
-    ("076fc1e47eff354c2ce49d1f010c893afcaafa3026f25420a27b0e5e3fbf3ce4", "LGPL-2.0", "part 0", 85, 49, 60),
-    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "LGPL-2.0", "part 1", 85, 172, 174),
-    ("78501438964d70ac45a8024f66acea4bbec86da3d15426ebb6c4226774d9736a", "LGPL-2.0", "part 2", 85, 116, 125),
-    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "LGPL-2.0", "part 3", 85, 8, 8),
-    ("23857df8361c40c99bc6bba9939a7df01dbd657ab3bc81748823826c02061310", "LGPL-2.0", "part 4", 85, 259, 263),
-    ("9b39b37569698508f1b75b1cc814dfaa3d53c1639825ff41e6b88db7b955a1e1", "LGPL-2.0", "part 5", 85, 214, 218),
-    ("0686d2a0745c5030fb0a8bdddc5f7fd5052db5e2d06a3fb518692b57fbd6b3c2", "LGPL-2.0", "part 6", 85, 399, 401),
-    ("f380dfc6d56253d8f37154d7bbdec47a91320231e5baacc011b6d9fc42b36858", "LGPL-2.0", "part 7", 85, 258, 258),
-    ("c8aed4b5af7a476fbde24c8ba252b26c28979b848cce9afdc14aacbfe196356f", "LGPL-2.0", "part 8", 85, 466, 466),
-    ("5fb582937f208d3373418a27660a7466d289b0b212a111a3b3f00fb103eb261c", "LGPL-2.0", "part 9", 85, 181, 183),
-    ("db4b01ffe10ceb82a8afc89f16bccd73bf73e63da6d15476b8b79bad6840c934", "LGPL-2.0", "part 10", 85, 367, 367),
-    ("2d39bd08f3acf8809a19c1319ae1e094d9926fc08eaaf3a91e467eb4534924c7", "LGPL-2.0", "part 11", 85, 363, 365),
-    ("e759780161ddf548d63870a1f89ee13af9df306d16c99726488207f7222f368d", "LGPL-2.0", "part 12", 85, 385, 395),
-    ("0ba96305040a353cfa8cd8249d1a82954ea31410db1513c298041000fd3fd169", "LGPL-2.0", "part 13", 85, 520, 524),
-    ("df16be5d61be8f045d92a8c072a4cfe6634d2b3cacbce9b4d0c2fdab3ef6e219", "LGPL-2.0", "part 14", 85, 251, 253),
-    ("55737b258225fbb1e0f2ba2e60ebca5a39572aa0a1599b742b6e853b3bba4f3c", "LGPL-2.0", "part 15", 85, 609, 611),
-    ("5016ac9e798f8c8272bfadc3ee63355a6b37c98dc22f35b7078c408834efc78e", "LGPL-2.0", "part 16", 85, 292, 292),
-    ("435145b7fdae75a97d683378d346fb0f5f9d963c5516a32d5b94d5ec352992c5", "LGPL-2.0", "part 17", 85, 123, 125),
-    ("39dd2def86ea2f92cd1532950d330dcc9ebf7817c7fbd075ad524bbbaf237361", "LGPL-2.0", "part 18", 85, 97, 99),
-    ("713062b3fc3139b29143c5bb514e2b05857751a1e0336ca18e74a44a3c945ca2", "LGPL-2.0", "part 19", 85, 280, 286),
-    ("29f2f9b62d6cc8352e229aec3418286b9b62d499de9407eeca7387b4f427e2fa", "LGPL-2.0", "part 20", 85, 192, 192),
-    ("e09f86ec4e546c647098da9905152472728548e63cdbc46d2865b591291e3cf7", "LGPL-2.0", "part 21", 85, 188, 188),
-    ("8643ecf249fa678c18108f28c13141adcff85fda4552e7ba399fdf22ca258c02", "LGPL-2.0", "part 22", 85, 189, 189),
-    ("ed241ee0e0a4a48ce0019b131432c3808f219ac018f3fc5a88d4d97fe7a4b720", "LGPL-2.0", "part 23", 85, 303, 303),
-    ("7e4654534613475d4541194d423bdc16cd9734bab3b7baa6c30cacf0ef7b5192", "LGPL-2.0", "part 24", 85, 450, 452),
-    ("edd027ab1f7834469723ed514d28479143858d9a59e522aa50d96ac885740d20", "LGPL-2.0", "part 25", 85, 396, 400),
-    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "LGPL-2.0", "part 26", 85, 139, 139),
-    ("09aaa6cb05fc5cde8bc82e138e0db1f34486e9ad25b544eed6dfd34b4e5b8814", "LGPL-2.0", "part 27", 85, 251, 251),
-    ("b5a03743c4f8d89041c689663b43bc06caaf7a6441f8d3480cb51bbbe371b6d2", "LGPL-2.0", "part 28", 85, 53, 53),
-    ("270f41e760b986fdaa9dda5f5a87a621bd30667aa18787e226d76caf1e017c15", "LGPL-2.0", "part 29", 85, 124, 124),
-    ("a5c6969f1877bc0c9e2d202c3441c67e8a5976bf2921608bd53e7d7882ed37ed", "LGPL-2.0", "part 30", 85, 119, 121),
-    ("3d9c0010d97d625575975859099ecdc8369504364611936bc34311370053f975", "LGPL-2.0", "part 31", 85, 415, 415),
-    ("aedf03c14e2d23b5d6f207b285a1cfee484fab9a21ffd05cf2ff19e65a409c4a", "LGPL-2.0", "part 32", 85, 349, 349),
-    ("57de73381522a9cf977efb4950642f78321e6d8babacdd549a73d75babc1c403", "LGPL-2.0", "part 33", 85, 600, 604),
-    ("e36386486386b0d275e5f55e30ff616a69f9de92225994c1837f1675e813c032", "LGPL-2.0", "part 34", 85, 238, 238),
-    ("5e21974f98c720ee61fff375ddc15692c97771549ae6e3476a8d054e4b25109f", "LGPL-2.0", "part 35", 85, 232, 234),
-    ("b0a5398f9c2c75eaf4334ade06278e7f752bb65f933896e5995e1fca29ce065d", "LGPL-2.0", "part 36", 85, 478, 508),
-    ("57ab0f497a9d1fcb7b8882d65bf2f96bf2d340d033a7bb4cac7594d8b6ae751d", "LGPL-2.0", "part 37", 85, 190, 192),
-    ("485cf69b3d75a28b990d081d08f5d1be7215e6140d96a3d5984f3c610288c10d", "LGPL-2.0", "part 38", 85, 112, 112),
-    ("645dc1834f709bbfeaa1c99b4e5178e2899909c53c2eba0fb4696ecd40409fb2", "LGPL-2.0", "part 39", 85, 380, 380),
-    ("2f6d11746fe6b257bf7a7c4d4904ad8da998121e93084de031f42c78d8b4e8c9", "LGPL-2.0", "part 40", 85, 311, 311),
-    ("8cffc61b738700f82d9ad41f961b214089fe08ce917a6cd5c39f4db847c5f142", "LGPL-2.0", "part 41", 85, 304, 306),
-    ("434bff3d80b2ae2ef03f12a6b0f4436007de8847985004a89fc11b89ca6c201e", "LGPL-2.0", "part 42", 85, 316, 318),
-    ("636d1a98fee11fadbee9a0746e8d8aa6361c3bb3853c75e4d971934e25c16d27", "LGPL-2.0", "part 43", 85, 392, 392),
-    ("05bccf7dd5fab15282fe249465cbb73549ba86b3efe7faf7143393a815b0a3cd", "LGPL-2.0", "part 44", 85, 365, 365),
-    ("2c968c2ad5141382dae36a987d855e69e385973722c27d3daef10322bef2759d", "LGPL-2.0", "part 45", 85, 256, 256),
-    ("831f8304f03b197a9fc751225dd9f6098c1cc436dc6639e3d4ff454bf2b9b20a", "LGPL-2.0", "part 46", 85, 359, 359),
-    ("1c8b9854be8290b7dd7cc5d93b70878bcacfd7a3364056665e68102d77972d94", "LGPL-2.0", "part 47", 85, 265, 269),
-    ("ee2854ba7da1502519600e25df0386d8b9d46724b3d2839843f55aa58d943ec3", "LGPL-2.0", "part 48", 85, 83, 85),
-    ("bd7a2f804d6df8bc47ae3500e1d12d668674707f30d002e111d88b446bebc1e4", "LGPL-2.0", "part 49", 85, 657, 657),
-    ("b4e6605c47c8158ea2418acdbf85afd81b96b000002cacc78673243f1868945f", "LGPL-2.0", "part 50", 85, 208, 208),
-    ("ce1af8e971cccca29fd0ee6c85d4affc97b6e81fabbc30a18810caa5ce69a391", "LGPL-2.0", "part 51", 85, 170, 170),
-    ("64ae52a6226f186d6a9dab73ed728e9df76d1dcd1509f6aebcedfae4119151d8", "LGPL-2.0", "part 52", 85, 116, 116),
-    ("12a2e33e6fad236c255ca7b5a4011808fac825b5be344bcc040965747b12e457", "LGPL-2.0", "part 53", 85, 465, 465),
-    ("91986c51411ac1c46cd5e1de92216542e2f7fefb401e4eebff372c11a83b5791", "LGPL-2.0", "part 54", 85, 269, 271),
-    ("676f40ff34199fd74e972e9b0943d3afdcc168be109a0d0f8028770198858553", "LGPL-2.0", "part 55", 85, 384, 386),
-    ("4387b3a84b6b6f7915c6ee30a0f02a13b5134c389422aee554b4f3a51738b783", "LGPL-2.0", "part 56", 85, 190, 190),
-    ("886f2a656c203fe8e0e9aeaf780390ea37969fdf023e27ad495e3120d1d319ac", "LGPL-2.0", "part 57", 85, 187, 187),
-    ("44ad0d26ecdbd4f9810c862bc751769781acc92d0023441f7136ca0612a7d044", "LGPL-2.0", "part 58", 85, 444, 456),
-    ("25850e381f9e944ef892eb4bd0bf67ee75e2a1759452107e03436feaf759afce", "LGPL-2.0", "part 59", 85, 489, 495),
-    ("84709cd6c5f1718746a3d57d35f3db31666df920b56b42036710a3a868eb632f", "LGPL-2.0", "part 60", 85, 419, 423),
-    ("b5ba0baad0e2eb1daf6ef7021d0955d10d9a6ba785620fe3fd0aa693f1da05ae", "LGPL-2.0", "part 61", 85, 789, 799),
-    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "LGPL-2.0", "part 62", 85, 216, 216),
-    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "LGPL-2.0", "part 63", 85, 612, 614),
-    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "LGPL-2.0", "part 64", 85, 114, 116),
-    ("72363341dba43e00cef645cf13f0ad007ada49c47d691c8c9b94d041569e3753", "LGPL-2.0", "part 65", 85, 460, 466),
-    ("9a4157c8c233704cdf90de004c19df98bec1fb7115b28e28c09c0a3063454879", "LGPL-2.0", "part 66", 85, 255, 257),
-    ("ff71cb100cc18ec647c56f0aae11136ef8e31fa2baac63ead1012499733101fe", "LGPL-2.0", "part 67", 85, 431, 435),
-    ("a18454e7545be7331be87940283fccbf822e59c5fade6f01341537e988913a47", "LGPL-2.0", "part 68", 85, 493, 493),
-    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "LGPL-2.0", "part 69", 85, 11, 11),
-    ("bca0cb858ea41e06f7b2fbcd8f2986dcd4aa7d27c4309103538885b8ac9bead2", "LGPL-2.0", "part 70", 85, 582, 582),
-    ("5b40378b7726b95842868dc342c3b30eb6d283aa106d2ec38bb3fb89745a0af0", "LGPL-2.0", "part 71", 85, 603, 603),
-    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "LGPL-2.0", "part 72", 85, 27, 27),
-    ("8a0fc1e79caf5ca913776439f8c6da9dcd59ceb1641138fd848bd5c037c39115", "LGPL-2.0", "part 73", 85, 46, 46),
-    ("e7bc631f142e338a1bca3480599d079932cd389ba0f8d16d4f9b695fcbbe5732", "LGPL-2.0", "part 74", 85, 305, 307),
-    ("b9709f9d4efbb789c45de05246b176c31e026e112bca21d848b0a39df96d9c6b", "LGPL-2.0", "part 75", 85, 217, 217),
-    ("711e6b8bdcaaa926cfa3b6125f6b42a8f6f6798981a26358f13d915cbb0302dc", "LGPL-2.0", "part 76", 85, 68, 68),
-    ("9cec1b5064269664846e29e00f59928e9236c7f27a3b1d8128b0efb63b7a41bf", "LGPL-2.0", "part 77", 85, 236, 249),
-    ("6e76c4058edf07dc20283d6c13273f94c297d2f5acf6bd00d1cea99f486793af", "LGPL-2.0", "part 78", 85, 236, 238),
-    ("0668cd4435e307af7fea5dd3833e3052fedaeb549b9afb1a54b0778015bc63ac", "LGPL-2.0", "part 79", 85, 202, 204),
-    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "LGPL-2.0", "part 80", 85, 71, 71),
-    ("95cef4f7d3c9c92dbd670ba7dd68c0df8b544ff47cec466cd23df760131c96bc", "LGPL-2.0", "part 81", 85, 176, 176),
-    ("93e69e44fa77c3153cafc539b81d7459da9351f881654b42ebcab835a8b63eb8", "LGPL-2.0", "part 82", 85, 132, 132),
-    ("6cf6fa34c8113bce9c9a5a9afc16d4cd4b5dee2699aa9277e89b2719aa72e1c2", "LGPL-2.0", "part 83", 85, 59, 59),
-    ("b3143badf03a3c8ec5637ec52198279304a61d088617f093f4d8e74eff48aad3", "LGPL-2.0", "part 84", 85, 25, 25),
-    ("cf709a660420797b81cf35550acef8e8c264210f616fc3d4d9f5ef4838924589", "LGPL-2.1", "text", 87, 24994, 25203),
-    ("212d6a9a5fa30e3bfc84bc5e9bdd6ddb29dd8f3dca9d321d0c114cdafa4c11e4", "LGPL-2.1", "part 0", 87, 54, 65),
-    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "LGPL-2.1", "part 1", 87, 172, 174),
-    ("a66ae9ad8b3148d401ed52decaeb84ac6bacd551f5a6e6552222e8be4ca4c540", "LGPL-2.1", "part 2", 87, 152, 163),
-    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "LGPL-2.1", "part 3", 87, 8, 8),
-    ("23857df8361c40c99bc6bba9939a7df01dbd657ab3bc81748823826c02061310", "LGPL-2.1", "part 4", 87, 259, 263),
-    ("e2b6a347383794e027cd6ee487bb9b1cc4fc4fb33a944cba5e1c2abb1589c7ad", "LGPL-2.1", "part 5", 87, 403, 411),
-    ("63212aef93ffcc7b6f001fa59a5d5354ebfcac89d8f64f04c17e9b722e1a8880", "LGPL-2.1", "part 6", 87, 420, 422),
-    ("a559932796881da4666d7030dd550de2972876b224acc8afc020f85e7e748514", "LGPL-2.1", "part 7", 87, 266, 266),
-    ("bda22e706978307f738378f38e0728550bfaff0faaaa32ed0e5de5a0e9acc638", "LGPL-2.1", "part 8", 87, 467, 467),
-    ("a1aefb8e0be41ba72d69fafa019e96d29f7edd8331c6933e205bdaa0fcd65e23", "LGPL-2.1", "part 9", 87, 182, 184),
-    ("70378b4f70a5d005b122f42d38649920e0f1bd17435fb3289e3775cfb7874c9d", "LGPL-2.1", "part 10", 87, 350, 350),
-    ("4d21c5a872aa63a2c1e4541de30afea5d5e04de935c8a6039f2e9af76d92f953", "LGPL-2.1", "part 11", 87, 388, 394),
-    ("b8b7599e59c002ba34efd8fea1754374cd08882067ef1a5be1b4cd5ca746fb2f", "LGPL-2.1", "part 12", 87, 359, 369),
-    ("abf5ce0ff69a649d7a792cb26abe2ea49fc3821e23e7fe8e964646ffed239840", "LGPL-2.1", "part 13", 87, 411, 415),
-    ("fb3e47ab94769a573a340606a5634d895b05b74481766d9821761e547f10b217", "LGPL-2.1", "part 14", 87, 425, 435),
-    ("9cc6e831f13a49d10c33f90031f1dee7722f0c674f73c2a8551dba17c1453997", "LGPL-2.1", "part 15", 87, 451, 453),
-    ("3402351ace442e104b3ac5fdccbc2eeea9eeaf71b369e8cd9005a3c4111c26de", "LGPL-2.1", "part 16", 87, 332, 332),
-    ("5259ec0f1ad2d2572d948abce72ee301345af39d41e5705c8205333434ed6ece", "LGPL-2.1", "part 17", 87, 252, 254),
-    ("0c21029ef774f22ada839400cceae6fd10074d5f2eb601caf7e3318c926b8dd9", "LGPL-2.1", "part 18", 87, 307, 307),
-    ("40499a7b1b07cadc5ac95536a7911a04753e19e23e697b84769bce3f93ab7a7d", "LGPL-2.1", "part 19", 87, 96, 98),
-    ("b0ab9b33fee6ee7855917f9a7fe2ccca7aceed01b27c3fc4bb84483feab445d7", "LGPL-2.1", "part 20", 87, 296, 302),
-    ("29f2f9b62d6cc8352e229aec3418286b9b62d499de9407eeca7387b4f427e2fa", "LGPL-2.1", "part 21", 87, 192, 192),
-    ("e09f86ec4e546c647098da9905152472728548e63cdbc46d2865b591291e3cf7", "LGPL-2.1", "part 22", 87, 188, 188),
-    ("8643ecf249fa678c18108f28c13141adcff85fda4552e7ba399fdf22ca258c02", "LGPL-2.1", "part 23", 87, 189, 189),
-    ("ed241ee0e0a4a48ce0019b131432c3808f219ac018f3fc5a88d4d97fe7a4b720", "LGPL-2.1", "part 24", 87, 303, 303),
-    ("7e4654534613475d4541194d423bdc16cd9734bab3b7baa6c30cacf0ef7b5192", "LGPL-2.1", "part 25", 87, 450, 452),
-    ("edd027ab1f7834469723ed514d28479143858d9a59e522aa50d96ac885740d20", "LGPL-2.1", "part 26", 87, 396, 400),
-    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "LGPL-2.1", "part 27", 87, 139, 139),
-    ("09aaa6cb05fc5cde8bc82e138e0db1f34486e9ad25b544eed6dfd34b4e5b8814", "LGPL-2.1", "part 28", 87, 251, 251),
-    ("b5a03743c4f8d89041c689663b43bc06caaf7a6441f8d3480cb51bbbe371b6d2", "LGPL-2.1", "part 29", 87, 53, 53),
-    ("270f41e760b986fdaa9dda5f5a87a621bd30667aa18787e226d76caf1e017c15", "LGPL-2.1", "part 30", 87, 124, 124),
-    ("a5c6969f1877bc0c9e2d202c3441c67e8a5976bf2921608bd53e7d7882ed37ed", "LGPL-2.1", "part 31", 87, 119, 121),
-    ("3d9c0010d97d625575975859099ecdc8369504364611936bc34311370053f975", "LGPL-2.1", "part 32", 87, 415, 415),
-    ("aedf03c14e2d23b5d6f207b285a1cfee484fab9a21ffd05cf2ff19e65a409c4a", "LGPL-2.1", "part 33", 87, 349, 349),
-    ("57de73381522a9cf977efb4950642f78321e6d8babacdd549a73d75babc1c403", "LGPL-2.1", "part 34", 87, 600, 604),
-    ("e36386486386b0d275e5f55e30ff616a69f9de92225994c1837f1675e813c032", "LGPL-2.1", "part 35", 87, 238, 238),
-    ("5e21974f98c720ee61fff375ddc15692c97771549ae6e3476a8d054e4b25109f", "LGPL-2.1", "part 36", 87, 232, 234),
-    ("b0a5398f9c2c75eaf4334ade06278e7f752bb65f933896e5995e1fca29ce065d", "LGPL-2.1", "part 37", 87, 478, 508),
-    ("57ab0f497a9d1fcb7b8882d65bf2f96bf2d340d033a7bb4cac7594d8b6ae751d", "LGPL-2.1", "part 38", 87, 190, 192),
-    ("485cf69b3d75a28b990d081d08f5d1be7215e6140d96a3d5984f3c610288c10d", "LGPL-2.1", "part 39", 87, 112, 112),
-    ("645dc1834f709bbfeaa1c99b4e5178e2899909c53c2eba0fb4696ecd40409fb2", "LGPL-2.1", "part 40", 87, 380, 380),
-    ("2f6d11746fe6b257bf7a7c4d4904ad8da998121e93084de031f42c78d8b4e8c9", "LGPL-2.1", "part 41", 87, 311, 311),
-    ("8cffc61b738700f82d9ad41f961b214089fe08ce917a6cd5c39f4db847c5f142", "LGPL-2.1", "part 42", 87, 304, 306),
-    ("434bff3d80b2ae2ef03f12a6b0f4436007de8847985004a89fc11b89ca6c201e", "LGPL-2.1", "part 43", 87, 316, 318),
-    ("636d1a98fee11fadbee9a0746e8d8aa6361c3bb3853c75e4d971934e25c16d27", "LGPL-2.1", "part 44", 87, 392, 392),
-    ("05bccf7dd5fab15282fe249465cbb73549ba86b3efe7faf7143393a815b0a3cd", "LGPL-2.1", "part 45", 87, 365, 365),
-    ("2c968c2ad5141382dae36a987d855e69e385973722c27d3daef10322bef2759d", "LGPL-2.1", "part 46", 87, 256, 256),
-    ("f0f621274247d6f399a4c4d307312cf57e81756e729492da85b45c9c2759c045", "LGPL-2.1", "part 47", 87, 359, 359),
-    ("1c8b9854be8290b7dd7cc5d93b70878bcacfd7a3364056665e68102d77972d94", "LGPL-2.1", "part 48", 87, 265, 269),
-    ("ee2854ba7da1502519600e25df0386d8b9d46724b3d2839843f55aa58d943ec3", "LGPL-2.1", "part 49", 87, 83, 85),
-    ("bd7a2f804d6df8bc47ae3500e1d12d668674707f30d002e111d88b446bebc1e4", "LGPL-2.1", "part 50", 87, 657, 657),
-    ("6353fefe0c7afa8073fb252b896ffcfa6f39b3a04d54495698d927b85b861e4f", "LGPL-2.1", "part 51", 87, 441, 441),
-    ("3d57786e94c9a5b344660c6aebdcbbaa362bd7003ea1980918872662c8e8f9be", "LGPL-2.1", "part 52", 87, 208, 208),
-    ("6be95ca584d5f3c9443e6e6db8d9a636c3dea4d2336ffc5b433b61f2b679172e", "LGPL-2.1", "part 53", 87, 170, 170),
-    ("17a697a5488dd693519513bc0beb535087567fd215e5b0c088ee0744ce336f06", "LGPL-2.1", "part 54", 87, 116, 116),
-    ("ac8bbba8588aae299285c60cbbafe02f64c772c44cdac2a6346b5e0dae025ab1", "LGPL-2.1", "part 55", 87, 469, 469),
-    ("91986c51411ac1c46cd5e1de92216542e2f7fefb401e4eebff372c11a83b5791", "LGPL-2.1", "part 56", 87, 269, 271),
-    ("676f40ff34199fd74e972e9b0943d3afdcc168be109a0d0f8028770198858553", "LGPL-2.1", "part 57", 87, 384, 386),
-    ("4387b3a84b6b6f7915c6ee30a0f02a13b5134c389422aee554b4f3a51738b783", "LGPL-2.1", "part 58", 87, 190, 190),
-    ("886f2a656c203fe8e0e9aeaf780390ea37969fdf023e27ad495e3120d1d319ac", "LGPL-2.1", "part 59", 87, 187, 187),
-    ("44ad0d26ecdbd4f9810c862bc751769781acc92d0023441f7136ca0612a7d044", "LGPL-2.1", "part 60", 87, 444, 456),
-    ("25850e381f9e944ef892eb4bd0bf67ee75e2a1759452107e03436feaf759afce", "LGPL-2.1", "part 61", 87, 489, 495),
-    ("0ab2aee6698ffe3a0f4a9d42105bcfb70ab4a5811d7887014fd44d2c21f65f35", "LGPL-2.1", "part 62", 87, 421, 425),
-    ("b5ba0baad0e2eb1daf6ef7021d0955d10d9a6ba785620fe3fd0aa693f1da05ae", "LGPL-2.1", "part 63", 87, 789, 799),
-    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "LGPL-2.1", "part 64", 87, 216, 216),
-    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "LGPL-2.1", "part 65", 87, 612, 614),
-    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "LGPL-2.1", "part 66", 87, 114, 116),
-    ("72363341dba43e00cef645cf13f0ad007ada49c47d691c8c9b94d041569e3753", "LGPL-2.1", "part 67", 87, 460, 466),
-    ("efe254f491203d3833b3070f8eab776b4b3e757ad0f71f00bfbc11567be40d7f", "LGPL-2.1", "part 68", 87, 254, 256),
-    ("ff71cb100cc18ec647c56f0aae11136ef8e31fa2baac63ead1012499733101fe", "LGPL-2.1", "part 69", 87, 431, 435),
-    ("a18454e7545be7331be87940283fccbf822e59c5fade6f01341537e988913a47", "LGPL-2.1", "part 70", 87, 493, 493),
-    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "LGPL-2.1", "part 71", 87, 11, 11),
-    ("bca0cb858ea41e06f7b2fbcd8f2986dcd4aa7d27c4309103538885b8ac9bead2", "LGPL-2.1", "part 72", 87, 582, 582),
-    ("5b40378b7726b95842868dc342c3b30eb6d283aa106d2ec38bb3fb89745a0af0", "LGPL-2.1", "part 73", 87, 603, 603),
-    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "LGPL-2.1", "part 74", 87, 27, 27),
-    ("8a0fc1e79caf5ca913776439f8c6da9dcd59ceb1641138fd848bd5c037c39115", "LGPL-2.1", "part 75", 87, 46, 46),
-    ("e7bc631f142e338a1bca3480599d079932cd389ba0f8d16d4f9b695fcbbe5732", "LGPL-2.1", "part 76", 87, 305, 307),
-    ("b9709f9d4efbb789c45de05246b176c31e026e112bca21d848b0a39df96d9c6b", "LGPL-2.1", "part 77", 87, 217, 217),
-    ("711e6b8bdcaaa926cfa3b6125f6b42a8f6f6798981a26358f13d915cbb0302dc", "LGPL-2.1", "part 78", 87, 68, 68),
-    ("75b628aa9feebdcf605d36b772d64aa9bc4dc3e51668fd99e7df9478719f9aff", "LGPL-2.1", "part 79", 87, 237, 250),
-    ("29ec30bf0b22bee9f2d303fb72e06a9824c52353301e2bdd31ab8de1b90fcba6", "LGPL-2.1", "part 80", 87, 235, 237),
-    ("4b5c9dc7aa76f30d2caa3ff63d7731f5b1b91612a20d0fbe63dd847d7839de1b", "LGPL-2.1", "part 81", 87, 201, 203),
-    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "LGPL-2.1", "part 82", 87, 71, 71),
-    ("95cef4f7d3c9c92dbd670ba7dd68c0df8b544ff47cec466cd23df760131c96bc", "LGPL-2.1", "part 83", 87, 176, 176),
-    ("93e69e44fa77c3153cafc539b81d7459da9351f881654b42ebcab835a8b63eb8", "LGPL-2.1", "part 84", 87, 132, 132),
-    ("6cf6fa34c8113bce9c9a5a9afc16d4cd4b5dee2699aa9277e89b2719aa72e1c2", "LGPL-2.1", "part 85", 87, 59, 59),
-    ("b3143badf03a3c8ec5637ec52198279304a61d088617f093f4d8e74eff48aad3", "LGPL-2.1", "part 86", 87, 25, 25),
+    ("7ea08d28d1753b4b04fe32ed91317fb0c926dc6fb735caa559250aef85e61479", "GPL-2.0", "text", 59, 17103, 17227),
+    ("897f56e784a169d4722a4110c9f1cc395c76163d1e32089ab263ff2afb8fdeb3", "GPL-2.0", "part 0", 59, 41, 52),
+    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "GPL-2.0", "part 1", 59, 172, 174),
+    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "GPL-2.0", "part 2", 59, 8, 8),
+    ("552466f80f2276d42525d00a5359c1574a272968f99f9c0ce3e70d8559b19dfa", "GPL-2.0", "part 3", 59, 546, 554),
+    ("0686d2a0745c5030fb0a8bdddc5f7fd5052db5e2d06a3fb518692b57fbd6b3c2", "GPL-2.0", "part 4", 59, 399, 401),
+    ("7ea3490cd136e23f34f4e5bc2d9148016b5c28de6067f6295412eeb3426d2198", "GPL-2.0", "part 5", 59, 259, 259),
+    ("0f2c9ea9e20fb47269d12c6e25c2fdd1982cd2d835a776b986a4b38992b7e9e5", "GPL-2.0", "part 6", 59, 269, 269),
+    ("18442fdb3a23bbb1a6623619cb6ee2d71ec47f05f1d4de10db4812d23a94dc0d", "GPL-2.0", "part 7", 59, 170, 172),
+    ("fd67f194410e043215cd5a4a333c7554828a31185aec0418c19882838fe48d56", "GPL-2.0", "part 8", 59, 365, 365),
+    ("5d7db4cbac8903882e1de9176e2abf855aaae74e0bae932569c80573cacfac87", "GPL-2.0", "part 9", 59, 334, 336),
+    ("b56a5e74095a5a82fe5abfc423bf152c935bb7105a5897be9f3faceaeb9ede35", "GPL-2.0", "part 10", 59, 81, 81),
+    ("babf4896388ec979a002db2fbc0d24076cecd03256f32b99565bcb76eab5e41c", "GPL-2.0", "part 11", 59, 89, 91),
+    ("719b3bfcf5bd10a41d53c8f1cb072a115c76f2359f86d2e1158670ab3394064c", "GPL-2.0", "part 12", 59, 591, 595),
+    ("bf0481752e479f66d03d738bcc0ae6bffdf66456a253dd38fe1091defd3bc1cb", "GPL-2.0", "part 13", 59, 379, 381),
+    ("b9a93b1760d2019a160cb72015383dd27082686c56aaa7e77ad1b68dabd3d605", "GPL-2.0", "part 14", 59, 417, 421),
+    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "GPL-2.0", "part 15", 59, 139, 139),
+    ("ccca24795f5ec24af309c27a8fb82171b52f5db8b64bcf50626f25b73187e061", "GPL-2.0", "part 16", 59, 251, 251),
+    ("c20ee2b91266866b6f20f2bbbe2a9f35a7f86461331092094dbfdb967335dd67", "GPL-2.0", "part 17", 59, 124, 124),
+    ("1d31b6060ac2bf08784c1f311fe96e88c5b4434d0c417bc6391967ef81042a94", "GPL-2.0", "part 18", 59, 233, 235),
+    ("00e71c0fd4099ba404628a4f53429fe46d5e59a6b5591a26545bd0f1265fe680", "GPL-2.0", "part 19", 59, 612, 614),
+    ("a0c65833a9a85f467d2bdc74073999de0d1ada98b8312696747552d4c89941ad", "GPL-2.0", "part 20", 59, 600, 604),
+    ("adc9258d0c598ca8cbcae2fe7a9ed4718e19124485e0338d3474c910b07b293a", "GPL-2.0", "part 21", 59, 238, 238),
+    ("854448fa7d3934cc22680226f4b30e4e3daedab5d549bc49d3c6afa7075c8503", "GPL-2.0", "part 22", 59, 232, 234),
+    ("b1e466c20b4614a3ac675e79f1e769950bdb052a72bb229f2c4c4d9dbc765dfb", "GPL-2.0", "part 23", 59, 202, 202),
+    ("b95bada32fe670852bac8e8059f0e69c629397ca051563b0ad1339355ea2cdf1", "GPL-2.0", "part 24", 59, 200, 200),
+    ("2d5954b33de95faf474e74d2c22aeca54785cc26e83f68b35eba0e90c9e27272", "GPL-2.0", "part 25", 59, 354, 354),
+    ("30718481a7d53d306a81ca6303ff3cc9dcf238876a61fe9ab6a099612bf634a9", "GPL-2.0", "part 26", 59, 292, 294),
+    ("ae447415c255f2a3936f7005c0e0b422e0f04e93c2bd8dffdaee9264b233f136", "GPL-2.0", "part 27", 59, 626, 626),
+    ("73b9d40c6b6c93a01e3ef46c7c4a93d3f96d4b4b61329f20fef0c4a635be5446", "GPL-2.0", "part 28", 59, 311, 311),
+    ("869b8d6ff2fc9f25d787f7f210536adf7462e597d9d2592a1e209144c3894261", "GPL-2.0", "part 29", 59, 424, 436),
+    ("9e7e4b1a40dd0f2b32bef2a3f62bb68e7371edcfdbec9b483c4aede5354aca7c", "GPL-2.0", "part 30", 59, 489, 495),
+    ("1f4bbc5844c13cb68799771048c3fe6de06a575e5a4f162b4cb7c3c9b1456971", "GPL-2.0", "part 31", 59, 408, 412),
+    ("d90515934d9469043e390910450718cbabbd46370cd4dfe790739b04aeb2cb17", "GPL-2.0", "part 32", 59, 788, 798),
+    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "GPL-2.0", "part 33", 59, 216, 216),
+    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "GPL-2.0", "part 34", 59, 612, 614),
+    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "GPL-2.0", "part 35", 59, 114, 116),
+    ("de976b4891cc7df3d25535dd9b6f5deba927b869a33c3048898bc97eed7fe700", "GPL-2.0", "part 36", 59, 459, 465),
+    ("98cbb7ed55bb5d0790479ae8bc8407746831f55a263c5863e232092f9fb2337e", "GPL-2.0", "part 37", 59, 246, 248),
+    ("b1ec7f09b7927665c6df7da358579b6e4101ea4a3f7040b8441f304e3e38cf76", "GPL-2.0", "part 38", 59, 439, 443),
+    ("482b6b93621af9bc784bdf36e10ed2020dfa6dea1688cdb85d86e73f5dca77b5", "GPL-2.0", "part 39", 59, 479, 479),
+    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "GPL-2.0", "part 40", 59, 11, 11),
+    ("134e8ecabacb867ede1aad018bd352565dbb720c6b48e0af40725938d3dcd07e", "GPL-2.0", "part 41", 59, 582, 582),
+    ("f916631d736b4a41c2879eaaeaf396aa17e70b9242f9f8dec250fe034c199c21", "GPL-2.0", "part 42", 59, 603, 603),
+    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "GPL-2.0", "part 43", 59, 27, 27),
+    ("cd9b66accd2db4a8bb1a8175473701ed3b31de8277dccac80f5991916a2d1640", "GPL-2.0", "part 44", 59, 45, 45),
+    ("77bfe530c2d8ed4d34e248a40690a793501dd86eef609b85774da8df404d8a08", "GPL-2.0", "part 45", 59, 211, 211),
+    ("3da8fe3ce0fa46667c9a4712bb7c634a6e0966d16fea7874e5d6698c058159af", "GPL-2.0", "part 46", 59, 268, 268),
+    ("78be0ce2ec46e15d8907d83644caf6a98cbfca61e7e520613013f15755c286a3", "GPL-2.0", "part 47", 59, 68, 68),
+    ("387a1baa3b6e943a46430ce6d4742372784971a5d94c54933cc4b02dacbea74d", "GPL-2.0", "part 48", 59, 228, 241),
+    ("3153b45862d1631a85b2cfb2be7d83ee1d7e88f4b08cbc833623e8d981d33b2b", "GPL-2.0", "part 49", 59, 228, 230),
+    ("2614cc0e65f191976e74405d3c928aaad4131e78803e42745d43fbe32716ed1a", "GPL-2.0", "part 50", 59, 194, 196),
+    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "GPL-2.0", "part 51", 59, 71, 71),
+    ("be346c0ff74cda7251963e0370ae4a19536bae9a7f5b4544e345faf5a497d9d8", "GPL-2.0", "part 52", 59, 107, 107),
+    ("858f7d3b623aa0aca7df9892295504e40d51f3233a532991f6be08da10ec8ae0", "GPL-2.0", "part 53", 59, 234, 234),
+    ("81b82df18e626ad4a8d2680cbae46cc9cfb35f5e7fb00ceff61e739930d31c77", "GPL-2.0", "part 54", 59, 265, 267),
+    ("5c6b7793629f6628caee0b5cacc1fa1ffa16904a70d5b611e974fe516fe0f7d9", "GPL-2.0", "part 55", 59, 176, 176),
+    ("6f4a99d92d5fa6c3f6346d246f998e86028b258924e372750cc72b7236346206", "GPL-2.0", "part 56", 59, 135, 135),
+    ("c0924fa00f68b8b4e2a4f48068b66a29c16b6fe34dd9b54a974725e75bb04551", "GPL-2.0", "part 57", 59, 59, 59),
+    ("e143425c621a291b79a91d5fc40a3f7027efbc9fd2683dce24355e834a2b3932", "GPL-2.0", "part 58", 59, 325, 331),
+    ("a133babfef5090d60db16f5e603e9cec6206aa2375613d06f2bac87eef0a30ba", "GPL-3.0", "text", 122, 33372, 33632),
+    ("10c3854c70c10808f2f455ff7ae311088ab9dd94c2c06693fb750f4c9e482943", "GPL-3.0", "part 0", 122, 42, 53),
+    ("aaf9385eedc0e8797f25532c8f623c05bba02ebe7b124aefa1352367290a485a", "GPL-3.0", "part 1", 122, 116, 118),
+    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "GPL-3.0", "part 2", 122, 8, 8),
+    ("b9bc58918452a1fb3a47d82e6b0ab789ecc90bb85624102450640619c372c2e7", "GPL-3.0", "part 3", 122, 95, 99),
+    ("eed5d0bf4ed70f3902521afa25e66ff7da68716b4053d5ae61d5ff58c0984f18", "GPL-3.0", "part 4", 122, 504, 510),
+    ("17e89e5ad872098301dba8a8f3c600c6fc53ebb3d0c86f8ca53f7fe89c4eb766", "GPL-3.0", "part 5", 122, 391, 393),
+    ("f77f6a478405269321651be66aba4f94e25cb99d4dea96713b975b6eae309ff7", "GPL-3.0", "part 6", 122, 271, 271),
+    ("f04c738485d21da8f8004139622fa7b5801d3fa95834d3479042d01b40a4dda1", "GPL-3.0", "part 7", 122, 282, 282),
+    ("136fd365f4de7a49aba9c93484456362b9cc57e273be6a6ca953cd97db0bde34", "GPL-3.0", "part 8", 122, 194, 196),
+    ("a734c82252487b89f0cf19b351250581bca3609bc4caee786ead0a7b97657b81", "GPL-3.0", "part 9", 122, 298, 298),
+    ("e1efdd7f3eb2b067be4a313b69e8d074423a7d09e3891bb1b3264bc7081f67e0", "GPL-3.0", "part 10", 122, 663, 663),
+    ("1fda13a050511ac96b46be3a1f281a7f20a324c577d29b7a98b58f9d7087a7aa", "GPL-3.0", "part 11", 122, 396, 396),
+    ("b56a5e74095a5a82fe5abfc423bf152c935bb7105a5897be9f3faceaeb9ede35", "GPL-3.0", "part 12", 122, 81, 81),
+    ("e918ed85b7fc2eeeaeef3c049261de28f0980e045930b0693c17bfed7e57cfff", "GPL-3.0", "part 13", 122, 20, 20),
+    ("275d388a3b0fc15b578b49625b2fc4b865dad97cdf4f9c29539f2d09d7dd04a8", "GPL-3.0", "part 14", 122, 13, 13),
+    ("48526048138c0bc995f14796a50672f1789be73d71f85d5d4d0acf2d6a663a0e", "GPL-3.0", "part 15", 122, 59, 72),
+    ("34e0d5d5682dcf814f203ff33c9fe4e5bc2cab1b44e98ec51f411cbf718a195f", "GPL-3.0", "part 16", 122, 103, 103),
+    ("5ede777885330378a4cedca4532dbf8298393125f34257b2966d1449b1a002d1", "GPL-3.0", "part 17", 122, 167, 169),
+    ("b793c33bbc9c0c88bc6e85db4ddeb7e5860da7d59e1f634026dca5d7e79d98d9", "GPL-3.0", "part 18", 122, 255, 255),
+    ("3fc11371b34c462bf0450d3b98bbaad1e71a668641c44f6fea5bccf8c87e0ff4", "GPL-3.0", "part 19", 122, 81, 81),
+    ("78d5ed94fb183f06a48a249ef677df53da0097e6e627f2f413fcddb8231fec56", "GPL-3.0", "part 20", 122, 377, 377),
+    ("b620aabcc5545563a9d488cd117d2c19acef2433c562326465c6f6e3aebfcd07", "GPL-3.0", "part 21", 122, 199, 199),
+    ("9e2e62c9027ff561f2b2de185149caa50f96f8f3a805a917f8aed88a313419de", "GPL-3.0", "part 22", 122, 517, 521),
+    ("8b5e816100afbd99e68e17b1380cddb518ffdbeb0d24a79e187f6d23b4beb698", "GPL-3.0", "part 23", 122, 13, 13),
+    ("3df6d95e0b8234cc89e18f7061a9c82f6b7a8c7f019dfceca16fdc9f7b8951ff", "GPL-3.0", "part 24", 122, 142, 142),
+    ("20acb9b739d7fabc9a502f647e8e015f6a3e477f42b5b31d6c965390491f684f", "GPL-3.0", "part 25", 122, 257, 257),
+    ("b73a5538d4f7abca25b508a9910d877de65880761c2dc76bf1f978b05bf16c49", "GPL-3.0", "part 26", 122, 644, 644),
+    ("5d2681324e10799f26af9a1582b6a54ea5faafd80ec201955d2e6aab40fac857", "GPL-3.0", "part 27", 122, 780, 780),
+    ("dcd3c6fcca231313b52d260ad9c871095347b38ec6b1accb5e1c4f93afec762f", "GPL-3.0", "part 28", 122, 135, 135),
+    ("52613b43b56eda263aecb37204038319879480bb85440a4efc5ba169c8a9455a", "GPL-3.0", "part 29", 122, 73, 73),
+    ("ff67fe18b0b1698e6315f1c4195b75047c965ff537c80d9f3ed813f1c786f3a3", "GPL-3.0", "part 30", 122, 19, 19),
+    ("c007e65ee8951f271708bb1267371328f72c5729c7b3cf4f02cf3d81eb454639", "GPL-3.0", "part 31", 122, 466, 474),
+    ("6055e3311c73858c543bd371d79173e9a6a49130d8caabcd64c2cb58941f84fb", "GPL-3.0", "part 32", 122, 669, 673),
+    ("75b2a83776c2b4a0c79cc55aa46b4d1b3726489c53c94eb3364bd88802f9c263", "GPL-3.0", "part 33", 122, 153, 153),
+    ("2e959c6c86d7b151750f53828d501e04bc6c88e739d41856006a8bf55594611c", "GPL-3.0", "part 34", 122, 59, 59),
+    ("03816aac4adece42af2a31b8e2b9d64b52565ad209a3e9177ed41ddaad20314b", "GPL-3.0", "part 35", 122, 270, 270),
+    ("5ef37b771ae0f9036e1ddf2e3cf4401519a0b81ab79d1bb201c658ade8924fc4", "GPL-3.0", "part 36", 122, 436, 438),
+    ("650d5fd72926666d2d629b0d5976c62436c40df01b9db7922d278dca7ff1d84f", "GPL-3.0", "part 37", 122, 27, 27),
+    ("a942b4a658f4ba3d3d2a99533ee72849668ace15ed4e45d2aea800a71e171330", "GPL-3.0", "part 38", 122, 447, 451),
+    ("5007b9bb186ba0fc8885d25c6989b1873c0fa93f95184ce1bd4a0de81fb48624", "GPL-3.0", "part 39", 122, 125, 125),
+    ("83934d393d1c935f198ef3a815f795fd919a98de60f637f404ce40d920fb01cf", "GPL-3.0", "part 40", 122, 36, 36),
+    ("a8eebdf652d28341aa50ece8b556bc52d1fe208c63d94f48e03623bf08fa78e9", "GPL-3.0", "part 41", 122, 202, 202),
+    ("e2f4306c1ca460cee0ff228828abdea62b208c41d3beb146fe10ae126d49d267", "GPL-3.0", "part 42", 122, 95, 95),
+    ("6e67505a441cb5c08c6b031c47ac23058c5870c19bbe8162d118b1998462dd14", "GPL-3.0", "part 43", 122, 209, 211),
+    ("05f64e29bad26d6b43e04a0bac7175839112e5e8d1f595174a12e2bcdf844834", "GPL-3.0", "part 44", 122, 424, 434),
+    ("e0bf7038393e1b5d2c3fa162791b74ac42e5211e59420a452a194411282265d7", "GPL-3.0", "part 45", 122, 220, 220),
+    ("cf4e80eb3932af36efb81482fe5bc3d3765be975d254b35250dd49ed81c01dda", "GPL-3.0", "part 46", 122, 559, 561),
+    ("87eaf715ae5abb2d7139624b290edaf12975178a1142b339a345f21a7a116657", "GPL-3.0", "part 47", 122, 28, 28),
+    ("425dca8dae1f1181a73885cf809888f69652e7e83f890a8dd7db7a867e53bdfd", "GPL-3.0", "part 48", 122, 210, 212),
+    ("2aa625a9d7c8d410d09b9257ee458e9de4b1a412b1f31f1d3b8d1d83265f1d05", "GPL-3.0", "part 49", 122, 219, 219),
+    ("16bb8dc9fdb62fa67e975eab3f9ccb3564c9c96bc3abd7dad172470326a50c12", "GPL-3.0", "part 50", 122, 658, 660),
+    ("11a117bba57869bde15075b61f81946599a230d8556694225fd4ec965e365f2d", "GPL-3.0", "part 51", 122, 269, 269),
+    ("38c710ce967ceb8f18bc15ea39b3cf61d8de3e30b20021f7225a034fa40b64e1", "GPL-3.0", "part 52", 122, 756, 756),
+    ("f2f329f3fb35a25bd1ffa629f1a847c821962d9f87d833504361c5728f71c2bf", "GPL-3.0", "part 53", 122, 220, 220),
+    ("2b168657ca31a74aae1a0396ad25fb083e85711017173748e264e2d423f3af21", "GPL-3.0", "part 54", 122, 173, 173),
+    ("7d51c00299f5e4bd54f6674c88cc31b5a7b924dcebdfbad529e887cb232958c7", "GPL-3.0", "part 55", 122, 805, 807),
+    ("7e069d3a37eb66682e5c057cce22325ad5469678ead13882aa6207e3e8bd3fa0", "GPL-3.0", "part 56", 122, 436, 436),
+    ("ef0b400f97b30948eb078a7c643e8ae92b6c27639745709c17d02608aa5cad21", "GPL-3.0", "part 57", 122, 628, 628),
+    ("7bcc74a18ac967a95547d1198591cc6da8dbac4f56a0068c354eefd66fac221d", "GPL-3.0", "part 58", 122, 470, 470),
+    ("958afff48b9e0e489c2081ead755577611c793db5e6897a67a04606b7deb7c67", "GPL-3.0", "part 59", 122, 291, 291),
+    ("3d02334bbdaa31b36e6a4dfb85ddcf5be4cd8dfd3f8a21f9c4a1d7e20f9dc22c", "GPL-3.0", "part 60", 122, 18, 18),
+    ("fe5917ab958d08d28c26152331e789eb9dae40ff64dc1b8992fdb35abaf39af7", "GPL-3.0", "part 61", 122, 530, 536),
+    ("7f49f94647264c581c2f3ebd85c267cc2f26b7e009dfed3c8506aa5eb813603e", "GPL-3.0", "part 62", 122, 388, 388),
+    ("328c8bc1e86822cc6c32fade1f40c0c0a934b3f86c0dbf5da98c5cda387f0adb", "GPL-3.0", "part 63", 122, 202, 206),
+    ("9aa2eeabf1930117299d2143e29b2cba52db448fdfb35e8dff43d78fb60aee7e", "GPL-3.0", "part 64", 122, 112, 114),
+    ("04baf379f745729f744d0e3f4a74570328082f8e91e146941a3ed7c858d01d0b", "GPL-3.0", "part 65", 122, 174, 174),
+    ("05098ff75cb75429b5e0a86e3a8ecd9bab840fee31ee7f352381ef9414e2b2b1", "GPL-3.0", "part 66", 122, 186, 186),
+    ("268c4a0109d675d6b4276fbf70d27085968159d98e503e1d960dc7164764479e", "GPL-3.0", "part 67", 122, 93, 93),
+    ("4889ac662be541e72c741c99e6fae51bfe03583e12f88988bbc110330cdeed38", "GPL-3.0", "part 68", 122, 106, 106),
+    ("35c5f7f8a5ed6586bd8f26c554c2f614265b2577652036deb811c775e8652ac5", "GPL-3.0", "part 69", 122, 290, 290),
+    ("ea7b4aa09d092b428515e34bdd49c637a24f0792f56b1cf24c4e7efe9ff1fecc", "GPL-3.0", "part 70", 122, 577, 585),
+    ("4036053d1f41aee34f670d952b69217c8ab7846884a890b1e83d51a7ebec0252", "GPL-3.0", "part 71", 122, 226, 226),
+    ("9723136bed1b37e9a70c1198188006161d3135dec634ea6050cd22085aa1042f", "GPL-3.0", "part 72", 122, 167, 169),
+    ("4e7f296565343f18ec0333d65b71e75a26b3e5cc834457d076f7b57ecb24929a", "GPL-3.0", "part 73", 122, 13, 13),
+    ("c06a19695e870c5e43ebfaf323d459adae09fd5a02c310f154e178fd63ba1e7b", "GPL-3.0", "part 74", 122, 291, 297),
+    ("e9809a959d6872db36eca125fc35dde5086eeafd9a19ffdc28e22bdecf922205", "GPL-3.0", "part 75", 122, 359, 365),
+    ("26d763024919e0b5e44b5f00fc11aede6a854c4d3b20b8010b5f50d5d56467b9", "GPL-3.0", "part 76", 122, 355, 359),
+    ("cee074225b64c8f7311e8ef36c5b85f3860c09bcc4ada44621dcda8efa83c5d0", "GPL-3.0", "part 77", 122, 298, 304),
+    ("90ad9ebc76c2db25829ebe2497fb8c6554b4c1b11ada63e852b3feca381fb455", "GPL-3.0", "part 78", 122, 43, 43),
+    ("505a392545b156c448cd9013c6fb7af0ef74617126540cd7244e2d50ee140aee", "GPL-3.0", "part 79", 122, 532, 540),
+    ("c58a22e2ba402d9f5bcfa085cbb74775b1402b86797110852adb6e1adb8e54f0", "GPL-3.0", "part 80", 122, 47, 47),
+    ("d40279e18ca6d3e72e624ecf2d92dd9453c5d5e99809755267a18f74bb16fbc8", "GPL-3.0", "part 81", 122, 256, 262),
+    ("ea3defe9384bba4257196c94c83abef336a7fc046d15eeb0312e30dc145ef5fd", "GPL-3.0", "part 82", 122, 590, 592),
+    ("b596e61fb1ef384b55daf6cb7585d18884b51706da444ecc08aeb0c19ad08c22", "GPL-3.0", "part 83", 122, 452, 458),
+    ("4a99542560e420d134b33fa4b71c26a91a9e31f4fe1713641933c6b10be6a14f", "GPL-3.0", "part 84", 122, 10, 10),
+    ("bffbad0d5473219cd6e7d6b03cf23cc687bb4ea7494e1498323f6be1f95e3931", "GPL-3.0", "part 85", 122, 199, 201),
+    ("5d90cf132c255b45e7f079eab55a7ce0a9be3d0bd5d47a3e10f72a44444d16bd", "GPL-3.0", "part 86", 122, 534, 538),
+    ("24f2ebd7aab34e19e65156a09a2d8b194f7cd114e47f9419cfc2043f8ef6b8ea", "GPL-3.0", "part 87", 122, 247, 249),
+    ("acc29d84983737aef6193e2bc0f272ec338a1b41e7f453df209ff078db177e3d", "GPL-3.0", "part 88", 122, 361, 365),
+    ("3179fc4f9f6caa46fdec72b3f1f352185d81431c8caa473d281c2d8f4fbfd935", "GPL-3.0", "part 89", 122, 858, 870),
+    ("327623fbd06861cddd9500866807e31a4effe57f5b64934383adab3157ba4ea5", "GPL-3.0", "part 90", 122, 422, 426),
+    ("98921254b087152778bb3e8fb1c865bb0093dce5e9d2548c42c99cb6d1581acb", "GPL-3.0", "part 91", 122, 917, 925),
+    ("a700c02424bcafa0a463f2b2648495dd5afc1737d8f23ec8c7f41a1b51f9ac69", "GPL-3.0", "part 92", 122, 188, 192),
+    ("57ada9bd1ce567e4590340e08e5f81d9c492b64be2c3b23c8922409a92b16ad1", "GPL-3.0", "part 93", 122, 33, 33),
+    ("4c3f0c3855f9e83b9cebb8776564f0d802c315219ba4f77f1101834cbcb3b75c", "GPL-3.0", "part 94", 122, 633, 641),
+    ("23aac8385ddb1ddc96ae93ea8dc9ee93897249316e1e078aed43593d4b17fd8b", "GPL-3.0", "part 95", 122, 49, 51),
+    ("8358608fea225d03e3edb1fcd2f5de37c4d8b93a09168cbccbc327c6e4b54b2c", "GPL-3.0", "part 96", 122, 486, 503),
+    ("3c94d1e6a1aff484c9e9188091bf518b84e81a853c4882a640eca833e2ecdede", "GPL-3.0", "part 97", 122, 35, 37),
+    ("89f1c89236bcfd32904d6b4e9e1b9cf3a0957e7cb30d7f422ec176d5d17374e1", "GPL-3.0", "part 98", 122, 248, 250),
+    ("e14afa7c47e95e34bef07df2a41a22b33459e6967d976e200fca2ef25d06d58d", "GPL-3.0", "part 99", 122, 492, 496),
+    ("a525092d6bd6c2616341cce7abed301b5937656589faf0fa1fb7257cb481b09f", "GPL-3.0", "part 100", 122, 239, 241),
+    ("4ac5e4bab22b1ba9d60e9f4d09884f164b378ccfa98e3ba6de4ff42f8533b826", "GPL-3.0", "part 101", 122, 206, 208),
+    ("65c1fffd77ea5abbd2b27b25a13c12b1ade3c0b6a249c57d58356b0a11664e62", "GPL-3.0", "part 102", 122, 25, 25),
+    ("8752831a938e02c9e8442a6e38d1d4b057fa17fe0a90280c1521f0caa58fe702", "GPL-3.0", "part 103", 122, 532, 532),
+    ("dcd6702a4efd4e4e1ad18a9f2ae89bdd684d515187d5480ec735e9b97657647e", "GPL-3.0", "part 104", 122, 26, 26),
+    ("d1f8376f7d463f69530e9d10acab26d359dad8ec074a88096d26ccb341f1a3ab", "GPL-3.0", "part 105", 122, 593, 593),
+    ("7baa0d94368b20b13b26d5159c473eb06ff6015c576af0be117eddbda1f9b3a5", "GPL-3.0", "part 106", 122, 39, 39),
+    ("48a4d882922a119974529b7dd8d65586761edd96ab35666139086d0c7802222f", "GPL-3.0", "part 107", 122, 374, 374),
+    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "GPL-3.0", "part 108", 122, 27, 27),
+    ("cd9b66accd2db4a8bb1a8175473701ed3b31de8277dccac80f5991916a2d1640", "GPL-3.0", "part 109", 122, 45, 45),
+    ("77bfe530c2d8ed4d34e248a40690a793501dd86eef609b85774da8df404d8a08", "GPL-3.0", "part 110", 122, 211, 211),
+    ("64b56fcb218f246b22c89f7af91e0adfa4e0b24009b2ec6128c1f826999208ea", "GPL-3.0", "part 111", 122, 267, 267),
+    ("78be0ce2ec46e15d8907d83644caf6a98cbfca61e7e520613013f15755c286a3", "GPL-3.0", "part 112", 122, 68, 68),
+    ("66237b20dfaa335f5c003a3da64555538643deb65ca015c0d5fa588527312c4e", "GPL-3.0", "part 113", 122, 226, 239),
+    ("3153b45862d1631a85b2cfb2be7d83ee1d7e88f4b08cbc833623e8d981d33b2b", "GPL-3.0", "part 114", 122, 228, 230),
+    ("838ae99f77267d6120419c41bcf7cc587437a7a206059601b3f884e1b285076e", "GPL-3.0", "part 115", 122, 126, 130),
+    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "GPL-3.0", "part 116", 122, 71, 71),
+    ("b38fdc5dc347039540894835af6e4c1d9005589fa53f64bf67d960b3773ff285", "GPL-3.0", "part 117", 122, 118, 118),
+    ("872bf1b550640b58b456218d500c2e6f99f010b151b140431719f281fca7091c", "GPL-3.0", "part 118", 122, 220, 220),
+    ("19c7090173e00468e6264eedeed216853b752762d547992815f9ac267365fa26", "GPL-3.0", "part 119", 122, 207, 209),
+    ("d34036b771b52ec74f3b487de31651f5759e9f693b5963c55f93f9928b131453", "GPL-3.0", "part 120", 122, 237, 239),
+    ("be2552893245d3524a08b427df867fdeef5d7b1c8df5b735f39acdcdcda9c1e3", "GPL-3.0", "part 121", 122, 394, 402),
+    ("395177956b39c3edac318083bde57ff4fc22914806ca5f1953b1323953583e75", "LGPL-2.0", "text", 83, 24100, 24291),
+    ("076fc1e47eff354c2ce49d1f010c893afcaafa3026f25420a27b0e5e3fbf3ce4", "LGPL-2.0", "part 0", 83, 49, 60),
+    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "LGPL-2.0", "part 1", 83, 172, 174),
+    ("78501438964d70ac45a8024f66acea4bbec86da3d15426ebb6c4226774d9736a", "LGPL-2.0", "part 2", 83, 116, 125),
+    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "LGPL-2.0", "part 3", 83, 8, 8),
+    ("23857df8361c40c99bc6bba9939a7df01dbd657ab3bc81748823826c02061310", "LGPL-2.0", "part 4", 83, 259, 263),
+    ("9b39b37569698508f1b75b1cc814dfaa3d53c1639825ff41e6b88db7b955a1e1", "LGPL-2.0", "part 5", 83, 214, 218),
+    ("0686d2a0745c5030fb0a8bdddc5f7fd5052db5e2d06a3fb518692b57fbd6b3c2", "LGPL-2.0", "part 6", 83, 399, 401),
+    ("f380dfc6d56253d8f37154d7bbdec47a91320231e5baacc011b6d9fc42b36858", "LGPL-2.0", "part 7", 83, 258, 258),
+    ("c8aed4b5af7a476fbde24c8ba252b26c28979b848cce9afdc14aacbfe196356f", "LGPL-2.0", "part 8", 83, 466, 466),
+    ("5fb582937f208d3373418a27660a7466d289b0b212a111a3b3f00fb103eb261c", "LGPL-2.0", "part 9", 83, 181, 183),
+    ("db4b01ffe10ceb82a8afc89f16bccd73bf73e63da6d15476b8b79bad6840c934", "LGPL-2.0", "part 10", 83, 367, 367),
+    ("2d39bd08f3acf8809a19c1319ae1e094d9926fc08eaaf3a91e467eb4534924c7", "LGPL-2.0", "part 11", 83, 363, 365),
+    ("e759780161ddf548d63870a1f89ee13af9df306d16c99726488207f7222f368d", "LGPL-2.0", "part 12", 83, 385, 395),
+    ("0ba96305040a353cfa8cd8249d1a82954ea31410db1513c298041000fd3fd169", "LGPL-2.0", "part 13", 83, 520, 524),
+    ("df16be5d61be8f045d92a8c072a4cfe6634d2b3cacbce9b4d0c2fdab3ef6e219", "LGPL-2.0", "part 14", 83, 251, 253),
+    ("55737b258225fbb1e0f2ba2e60ebca5a39572aa0a1599b742b6e853b3bba4f3c", "LGPL-2.0", "part 15", 83, 609, 611),
+    ("5016ac9e798f8c8272bfadc3ee63355a6b37c98dc22f35b7078c408834efc78e", "LGPL-2.0", "part 16", 83, 292, 292),
+    ("435145b7fdae75a97d683378d346fb0f5f9d963c5516a32d5b94d5ec352992c5", "LGPL-2.0", "part 17", 83, 123, 125),
+    ("39dd2def86ea2f92cd1532950d330dcc9ebf7817c7fbd075ad524bbbaf237361", "LGPL-2.0", "part 18", 83, 97, 99),
+    ("713062b3fc3139b29143c5bb514e2b05857751a1e0336ca18e74a44a3c945ca2", "LGPL-2.0", "part 19", 83, 280, 286),
+    ("29f2f9b62d6cc8352e229aec3418286b9b62d499de9407eeca7387b4f427e2fa", "LGPL-2.0", "part 20", 83, 192, 192),
+    ("25baaffe5a280702cbb446f7ee889b2524059a268f91a7e9fce67619875016c3", "LGPL-2.0", "part 21", 83, 442, 442),
+    ("ed241ee0e0a4a48ce0019b131432c3808f219ac018f3fc5a88d4d97fe7a4b720", "LGPL-2.0", "part 22", 83, 303, 303),
+    ("7e4654534613475d4541194d423bdc16cd9734bab3b7baa6c30cacf0ef7b5192", "LGPL-2.0", "part 23", 83, 450, 452),
+    ("edd027ab1f7834469723ed514d28479143858d9a59e522aa50d96ac885740d20", "LGPL-2.0", "part 24", 83, 396, 400),
+    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "LGPL-2.0", "part 25", 83, 139, 139),
+    ("09aaa6cb05fc5cde8bc82e138e0db1f34486e9ad25b544eed6dfd34b4e5b8814", "LGPL-2.0", "part 26", 83, 251, 251),
+    ("b5a03743c4f8d89041c689663b43bc06caaf7a6441f8d3480cb51bbbe371b6d2", "LGPL-2.0", "part 27", 83, 53, 53),
+    ("270f41e760b986fdaa9dda5f5a87a621bd30667aa18787e226d76caf1e017c15", "LGPL-2.0", "part 28", 83, 124, 124),
+    ("a5c6969f1877bc0c9e2d202c3441c67e8a5976bf2921608bd53e7d7882ed37ed", "LGPL-2.0", "part 29", 83, 119, 121),
+    ("3d9c0010d97d625575975859099ecdc8369504364611936bc34311370053f975", "LGPL-2.0", "part 30", 83, 415, 415),
+    ("aedf03c14e2d23b5d6f207b285a1cfee484fab9a21ffd05cf2ff19e65a409c4a", "LGPL-2.0", "part 31", 83, 349, 349),
+    ("57de73381522a9cf977efb4950642f78321e6d8babacdd549a73d75babc1c403", "LGPL-2.0", "part 32", 83, 600, 604),
+    ("e36386486386b0d275e5f55e30ff616a69f9de92225994c1837f1675e813c032", "LGPL-2.0", "part 33", 83, 238, 238),
+    ("5e21974f98c720ee61fff375ddc15692c97771549ae6e3476a8d054e4b25109f", "LGPL-2.0", "part 34", 83, 232, 234),
+    ("b0a5398f9c2c75eaf4334ade06278e7f752bb65f933896e5995e1fca29ce065d", "LGPL-2.0", "part 35", 83, 478, 508),
+    ("57ab0f497a9d1fcb7b8882d65bf2f96bf2d340d033a7bb4cac7594d8b6ae751d", "LGPL-2.0", "part 36", 83, 190, 192),
+    ("485cf69b3d75a28b990d081d08f5d1be7215e6140d96a3d5984f3c610288c10d", "LGPL-2.0", "part 37", 83, 112, 112),
+    ("645dc1834f709bbfeaa1c99b4e5178e2899909c53c2eba0fb4696ecd40409fb2", "LGPL-2.0", "part 38", 83, 380, 380),
+    ("2f6d11746fe6b257bf7a7c4d4904ad8da998121e93084de031f42c78d8b4e8c9", "LGPL-2.0", "part 39", 83, 311, 311),
+    ("8cffc61b738700f82d9ad41f961b214089fe08ce917a6cd5c39f4db847c5f142", "LGPL-2.0", "part 40", 83, 304, 306),
+    ("434bff3d80b2ae2ef03f12a6b0f4436007de8847985004a89fc11b89ca6c201e", "LGPL-2.0", "part 41", 83, 316, 318),
+    ("636d1a98fee11fadbee9a0746e8d8aa6361c3bb3853c75e4d971934e25c16d27", "LGPL-2.0", "part 42", 83, 392, 392),
+    ("05bccf7dd5fab15282fe249465cbb73549ba86b3efe7faf7143393a815b0a3cd", "LGPL-2.0", "part 43", 83, 365, 365),
+    ("2c968c2ad5141382dae36a987d855e69e385973722c27d3daef10322bef2759d", "LGPL-2.0", "part 44", 83, 256, 256),
+    ("831f8304f03b197a9fc751225dd9f6098c1cc436dc6639e3d4ff454bf2b9b20a", "LGPL-2.0", "part 45", 83, 359, 359),
+    ("fd6777d87952b926b8b3682f432726519120ed4dcd8c8f3a7ff2af422a76e835", "LGPL-2.0", "part 46", 83, 416, 422),
+    ("bd7a2f804d6df8bc47ae3500e1d12d668674707f30d002e111d88b446bebc1e4", "LGPL-2.0", "part 47", 83, 657, 657),
+    ("b4e6605c47c8158ea2418acdbf85afd81b96b000002cacc78673243f1868945f", "LGPL-2.0", "part 48", 83, 208, 208),
+    ("ce1af8e971cccca29fd0ee6c85d4affc97b6e81fabbc30a18810caa5ce69a391", "LGPL-2.0", "part 49", 83, 170, 170),
+    ("64ae52a6226f186d6a9dab73ed728e9df76d1dcd1509f6aebcedfae4119151d8", "LGPL-2.0", "part 50", 83, 116, 116),
+    ("12a2e33e6fad236c255ca7b5a4011808fac825b5be344bcc040965747b12e457", "LGPL-2.0", "part 51", 83, 465, 465),
+    ("91986c51411ac1c46cd5e1de92216542e2f7fefb401e4eebff372c11a83b5791", "LGPL-2.0", "part 52", 83, 269, 271),
+    ("676f40ff34199fd74e972e9b0943d3afdcc168be109a0d0f8028770198858553", "LGPL-2.0", "part 53", 83, 384, 386),
+    ("4387b3a84b6b6f7915c6ee30a0f02a13b5134c389422aee554b4f3a51738b783", "LGPL-2.0", "part 54", 83, 190, 190),
+    ("886f2a656c203fe8e0e9aeaf780390ea37969fdf023e27ad495e3120d1d319ac", "LGPL-2.0", "part 55", 83, 187, 187),
+    ("44ad0d26ecdbd4f9810c862bc751769781acc92d0023441f7136ca0612a7d044", "LGPL-2.0", "part 56", 83, 444, 456),
+    ("25850e381f9e944ef892eb4bd0bf67ee75e2a1759452107e03436feaf759afce", "LGPL-2.0", "part 57", 83, 489, 495),
+    ("84709cd6c5f1718746a3d57d35f3db31666df920b56b42036710a3a868eb632f", "LGPL-2.0", "part 58", 83, 419, 423),
+    ("b5ba0baad0e2eb1daf6ef7021d0955d10d9a6ba785620fe3fd0aa693f1da05ae", "LGPL-2.0", "part 59", 83, 789, 799),
+    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "LGPL-2.0", "part 60", 83, 216, 216),
+    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "LGPL-2.0", "part 61", 83, 612, 614),
+    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "LGPL-2.0", "part 62", 83, 114, 116),
+    ("72363341dba43e00cef645cf13f0ad007ada49c47d691c8c9b94d041569e3753", "LGPL-2.0", "part 63", 83, 460, 466),
+    ("9a4157c8c233704cdf90de004c19df98bec1fb7115b28e28c09c0a3063454879", "LGPL-2.0", "part 64", 83, 255, 257),
+    ("ff71cb100cc18ec647c56f0aae11136ef8e31fa2baac63ead1012499733101fe", "LGPL-2.0", "part 65", 83, 431, 435),
+    ("a18454e7545be7331be87940283fccbf822e59c5fade6f01341537e988913a47", "LGPL-2.0", "part 66", 83, 493, 493),
+    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "LGPL-2.0", "part 67", 83, 11, 11),
+    ("bca0cb858ea41e06f7b2fbcd8f2986dcd4aa7d27c4309103538885b8ac9bead2", "LGPL-2.0", "part 68", 83, 582, 582),
+    ("5b40378b7726b95842868dc342c3b30eb6d283aa106d2ec38bb3fb89745a0af0", "LGPL-2.0", "part 69", 83, 603, 603),
+    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "LGPL-2.0", "part 70", 83, 27, 27),
+    ("8a0fc1e79caf5ca913776439f8c6da9dcd59ceb1641138fd848bd5c037c39115", "LGPL-2.0", "part 71", 83, 46, 46),
+    ("e7bc631f142e338a1bca3480599d079932cd389ba0f8d16d4f9b695fcbbe5732", "LGPL-2.0", "part 72", 83, 305, 307),
+    ("38a9150239b9197c78e7c73b5a7a791ebe181a9af90a2dfa7e8e52ed85e28dbc", "LGPL-2.0", "part 73", 83, 280, 280),
+    ("711e6b8bdcaaa926cfa3b6125f6b42a8f6f6798981a26358f13d915cbb0302dc", "LGPL-2.0", "part 74", 83, 68, 68),
+    ("9cec1b5064269664846e29e00f59928e9236c7f27a3b1d8128b0efb63b7a41bf", "LGPL-2.0", "part 75", 83, 236, 249),
+    ("6e76c4058edf07dc20283d6c13273f94c297d2f5acf6bd00d1cea99f486793af", "LGPL-2.0", "part 76", 83, 236, 238),
+    ("0668cd4435e307af7fea5dd3833e3052fedaeb549b9afb1a54b0778015bc63ac", "LGPL-2.0", "part 77", 83, 202, 204),
+    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "LGPL-2.0", "part 78", 83, 71, 71),
+    ("95cef4f7d3c9c92dbd670ba7dd68c0df8b544ff47cec466cd23df760131c96bc", "LGPL-2.0", "part 79", 83, 176, 176),
+    ("93e69e44fa77c3153cafc539b81d7459da9351f881654b42ebcab835a8b63eb8", "LGPL-2.0", "part 80", 83, 132, 132),
+    ("6cf6fa34c8113bce9c9a5a9afc16d4cd4b5dee2699aa9277e89b2719aa72e1c2", "LGPL-2.0", "part 81", 83, 59, 59),
+    ("b3143badf03a3c8ec5637ec52198279304a61d088617f093f4d8e74eff48aad3", "LGPL-2.0", "part 82", 83, 25, 25),
+    ("b8528f33f7684ea4c6a3968e541a726e8495898371d048f2adc73f4befee7eb2", "LGPL-2.1", "text", 85, 25188, 25397),
+    ("212d6a9a5fa30e3bfc84bc5e9bdd6ddb29dd8f3dca9d321d0c114cdafa4c11e4", "LGPL-2.1", "part 0", 85, 54, 65),
+    ("d096b5b4197a10a6073389fa1f08a8ee1e0ce8ac1ba4b34a698d58a2d75e62ae", "LGPL-2.1", "part 1", 85, 172, 174),
+    ("a66ae9ad8b3148d401ed52decaeb84ac6bacd551f5a6e6552222e8be4ca4c540", "LGPL-2.1", "part 2", 85, 152, 163),
+    ("9a9b9a1c3f54a244a0f9fe66967769d25f166dcd6209e2c205ef50915e683bdc", "LGPL-2.1", "part 3", 85, 8, 8),
+    ("23857df8361c40c99bc6bba9939a7df01dbd657ab3bc81748823826c02061310", "LGPL-2.1", "part 4", 85, 259, 263),
+    ("e2b6a347383794e027cd6ee487bb9b1cc4fc4fb33a944cba5e1c2abb1589c7ad", "LGPL-2.1", "part 5", 85, 403, 411),
+    ("63212aef93ffcc7b6f001fa59a5d5354ebfcac89d8f64f04c17e9b722e1a8880", "LGPL-2.1", "part 6", 85, 420, 422),
+    ("a559932796881da4666d7030dd550de2972876b224acc8afc020f85e7e748514", "LGPL-2.1", "part 7", 85, 266, 266),
+    ("bda22e706978307f738378f38e0728550bfaff0faaaa32ed0e5de5a0e9acc638", "LGPL-2.1", "part 8", 85, 467, 467),
+    ("a1aefb8e0be41ba72d69fafa019e96d29f7edd8331c6933e205bdaa0fcd65e23", "LGPL-2.1", "part 9", 85, 182, 184),
+    ("70378b4f70a5d005b122f42d38649920e0f1bd17435fb3289e3775cfb7874c9d", "LGPL-2.1", "part 10", 85, 350, 350),
+    ("4d21c5a872aa63a2c1e4541de30afea5d5e04de935c8a6039f2e9af76d92f953", "LGPL-2.1", "part 11", 85, 388, 394),
+    ("b8b7599e59c002ba34efd8fea1754374cd08882067ef1a5be1b4cd5ca746fb2f", "LGPL-2.1", "part 12", 85, 359, 369),
+    ("abf5ce0ff69a649d7a792cb26abe2ea49fc3821e23e7fe8e964646ffed239840", "LGPL-2.1", "part 13", 85, 411, 415),
+    ("fb3e47ab94769a573a340606a5634d895b05b74481766d9821761e547f10b217", "LGPL-2.1", "part 14", 85, 425, 435),
+    ("9cc6e831f13a49d10c33f90031f1dee7722f0c674f73c2a8551dba17c1453997", "LGPL-2.1", "part 15", 85, 451, 453),
+    ("3402351ace442e104b3ac5fdccbc2eeea9eeaf71b369e8cd9005a3c4111c26de", "LGPL-2.1", "part 16", 85, 332, 332),
+    ("5259ec0f1ad2d2572d948abce72ee301345af39d41e5705c8205333434ed6ece", "LGPL-2.1", "part 17", 85, 252, 254),
+    ("0c21029ef774f22ada839400cceae6fd10074d5f2eb601caf7e3318c926b8dd9", "LGPL-2.1", "part 18", 85, 307, 307),
+    ("40499a7b1b07cadc5ac95536a7911a04753e19e23e697b84769bce3f93ab7a7d", "LGPL-2.1", "part 19", 85, 96, 98),
+    ("b0ab9b33fee6ee7855917f9a7fe2ccca7aceed01b27c3fc4bb84483feab445d7", "LGPL-2.1", "part 20", 85, 296, 302),
+    ("29f2f9b62d6cc8352e229aec3418286b9b62d499de9407eeca7387b4f427e2fa", "LGPL-2.1", "part 21", 85, 192, 192),
+    ("25baaffe5a280702cbb446f7ee889b2524059a268f91a7e9fce67619875016c3", "LGPL-2.1", "part 22", 85, 442, 442),
+    ("ed241ee0e0a4a48ce0019b131432c3808f219ac018f3fc5a88d4d97fe7a4b720", "LGPL-2.1", "part 23", 85, 303, 303),
+    ("7e4654534613475d4541194d423bdc16cd9734bab3b7baa6c30cacf0ef7b5192", "LGPL-2.1", "part 24", 85, 450, 452),
+    ("edd027ab1f7834469723ed514d28479143858d9a59e522aa50d96ac885740d20", "LGPL-2.1", "part 25", 85, 396, 400),
+    ("412f56d60a5b82134efb7d5998f8efef7cc134d9ac9f51ce7927b16f1a205808", "LGPL-2.1", "part 26", 85, 139, 139),
+    ("09aaa6cb05fc5cde8bc82e138e0db1f34486e9ad25b544eed6dfd34b4e5b8814", "LGPL-2.1", "part 27", 85, 251, 251),
+    ("b5a03743c4f8d89041c689663b43bc06caaf7a6441f8d3480cb51bbbe371b6d2", "LGPL-2.1", "part 28", 85, 53, 53),
+    ("270f41e760b986fdaa9dda5f5a87a621bd30667aa18787e226d76caf1e017c15", "LGPL-2.1", "part 29", 85, 124, 124),
+    ("a5c6969f1877bc0c9e2d202c3441c67e8a5976bf2921608bd53e7d7882ed37ed", "LGPL-2.1", "part 30", 85, 119, 121),
+    ("3d9c0010d97d625575975859099ecdc8369504364611936bc34311370053f975", "LGPL-2.1", "part 31", 85, 415, 415),
+    ("aedf03c14e2d23b5d6f207b285a1cfee484fab9a21ffd05cf2ff19e65a409c4a", "LGPL-2.1", "part 32", 85, 349, 349),
+    ("57de73381522a9cf977efb4950642f78321e6d8babacdd549a73d75babc1c403", "LGPL-2.1", "part 33", 85, 600, 604),
+    ("e36386486386b0d275e5f55e30ff616a69f9de92225994c1837f1675e813c032", "LGPL-2.1", "part 34", 85, 238, 238),
+    ("5e21974f98c720ee61fff375ddc15692c97771549ae6e3476a8d054e4b25109f", "LGPL-2.1", "part 35", 85, 232, 234),
+    ("b0a5398f9c2c75eaf4334ade06278e7f752bb65f933896e5995e1fca29ce065d", "LGPL-2.1", "part 36", 85, 478, 508),
+    ("57ab0f497a9d1fcb7b8882d65bf2f96bf2d340d033a7bb4cac7594d8b6ae751d", "LGPL-2.1", "part 37", 85, 190, 192),
+    ("485cf69b3d75a28b990d081d08f5d1be7215e6140d96a3d5984f3c610288c10d", "LGPL-2.1", "part 38", 85, 112, 112),
+    ("645dc1834f709bbfeaa1c99b4e5178e2899909c53c2eba0fb4696ecd40409fb2", "LGPL-2.1", "part 39", 85, 380, 380),
+    ("2f6d11746fe6b257bf7a7c4d4904ad8da998121e93084de031f42c78d8b4e8c9", "LGPL-2.1", "part 40", 85, 311, 311),
+    ("8cffc61b738700f82d9ad41f961b214089fe08ce917a6cd5c39f4db847c5f142", "LGPL-2.1", "part 41", 85, 304, 306),
+    ("434bff3d80b2ae2ef03f12a6b0f4436007de8847985004a89fc11b89ca6c201e", "LGPL-2.1", "part 42", 85, 316, 318),
+    ("636d1a98fee11fadbee9a0746e8d8aa6361c3bb3853c75e4d971934e25c16d27", "LGPL-2.1", "part 43", 85, 392, 392),
+    ("05bccf7dd5fab15282fe249465cbb73549ba86b3efe7faf7143393a815b0a3cd", "LGPL-2.1", "part 44", 85, 365, 365),
+    ("2c968c2ad5141382dae36a987d855e69e385973722c27d3daef10322bef2759d", "LGPL-2.1", "part 45", 85, 256, 256),
+    ("f0f621274247d6f399a4c4d307312cf57e81756e729492da85b45c9c2759c045", "LGPL-2.1", "part 46", 85, 359, 359),
+    ("fd6777d87952b926b8b3682f432726519120ed4dcd8c8f3a7ff2af422a76e835", "LGPL-2.1", "part 47", 85, 416, 422),
+    ("bd7a2f804d6df8bc47ae3500e1d12d668674707f30d002e111d88b446bebc1e4", "LGPL-2.1", "part 48", 85, 657, 657),
+    ("6353fefe0c7afa8073fb252b896ffcfa6f39b3a04d54495698d927b85b861e4f", "LGPL-2.1", "part 49", 85, 441, 441),
+    ("3d57786e94c9a5b344660c6aebdcbbaa362bd7003ea1980918872662c8e8f9be", "LGPL-2.1", "part 50", 85, 208, 208),
+    ("6be95ca584d5f3c9443e6e6db8d9a636c3dea4d2336ffc5b433b61f2b679172e", "LGPL-2.1", "part 51", 85, 170, 170),
+    ("17a697a5488dd693519513bc0beb535087567fd215e5b0c088ee0744ce336f06", "LGPL-2.1", "part 52", 85, 116, 116),
+    ("ac8bbba8588aae299285c60cbbafe02f64c772c44cdac2a6346b5e0dae025ab1", "LGPL-2.1", "part 53", 85, 469, 469),
+    ("91986c51411ac1c46cd5e1de92216542e2f7fefb401e4eebff372c11a83b5791", "LGPL-2.1", "part 54", 85, 269, 271),
+    ("676f40ff34199fd74e972e9b0943d3afdcc168be109a0d0f8028770198858553", "LGPL-2.1", "part 55", 85, 384, 386),
+    ("4387b3a84b6b6f7915c6ee30a0f02a13b5134c389422aee554b4f3a51738b783", "LGPL-2.1", "part 56", 85, 190, 190),
+    ("886f2a656c203fe8e0e9aeaf780390ea37969fdf023e27ad495e3120d1d319ac", "LGPL-2.1", "part 57", 85, 187, 187),
+    ("44ad0d26ecdbd4f9810c862bc751769781acc92d0023441f7136ca0612a7d044", "LGPL-2.1", "part 58", 85, 444, 456),
+    ("25850e381f9e944ef892eb4bd0bf67ee75e2a1759452107e03436feaf759afce", "LGPL-2.1", "part 59", 85, 489, 495),
+    ("0ab2aee6698ffe3a0f4a9d42105bcfb70ab4a5811d7887014fd44d2c21f65f35", "LGPL-2.1", "part 60", 85, 421, 425),
+    ("b5ba0baad0e2eb1daf6ef7021d0955d10d9a6ba785620fe3fd0aa693f1da05ae", "LGPL-2.1", "part 61", 85, 789, 799),
+    ("f3207b47b487e853abfca43d83ae4fe7af09efddab0dbfc566c547d2f05715ae", "LGPL-2.1", "part 62", 85, 216, 216),
+    ("b37d69ead60104eb364fbf3e98df6b55fe5a7811155828427afc1dbd37c59961", "LGPL-2.1", "part 63", 85, 612, 614),
+    ("1c7df6a7b7b0ab7404c8c4f6ee23d7da62c92f2a1fa87892bea27ce3263b4c8f", "LGPL-2.1", "part 64", 85, 114, 116),
+    ("72363341dba43e00cef645cf13f0ad007ada49c47d691c8c9b94d041569e3753", "LGPL-2.1", "part 65", 85, 460, 466),
+    ("efe254f491203d3833b3070f8eab776b4b3e757ad0f71f00bfbc11567be40d7f", "LGPL-2.1", "part 66", 85, 254, 256),
+    ("ff71cb100cc18ec647c56f0aae11136ef8e31fa2baac63ead1012499733101fe", "LGPL-2.1", "part 67", 85, 431, 435),
+    ("a18454e7545be7331be87940283fccbf822e59c5fade6f01341537e988913a47", "LGPL-2.1", "part 68", 85, 493, 493),
+    ("5f948da1f3aee4c914e38c63bdd865e42ed584c41591abafc94b4cca5add969a", "LGPL-2.1", "part 69", 85, 11, 11),
+    ("bca0cb858ea41e06f7b2fbcd8f2986dcd4aa7d27c4309103538885b8ac9bead2", "LGPL-2.1", "part 70", 85, 582, 582),
+    ("5b40378b7726b95842868dc342c3b30eb6d283aa106d2ec38bb3fb89745a0af0", "LGPL-2.1", "part 71", 85, 603, 603),
+    ("9f4a72c489c21471cc17ea0070937c5763a53121bbf0718a5749b8ef05435557", "LGPL-2.1", "part 72", 85, 27, 27),
+    ("8a0fc1e79caf5ca913776439f8c6da9dcd59ceb1641138fd848bd5c037c39115", "LGPL-2.1", "part 73", 85, 46, 46),
+    ("e7bc631f142e338a1bca3480599d079932cd389ba0f8d16d4f9b695fcbbe5732", "LGPL-2.1", "part 74", 85, 305, 307),
+    ("38a9150239b9197c78e7c73b5a7a791ebe181a9af90a2dfa7e8e52ed85e28dbc", "LGPL-2.1", "part 75", 85, 280, 280),
+    ("711e6b8bdcaaa926cfa3b6125f6b42a8f6f6798981a26358f13d915cbb0302dc", "LGPL-2.1", "part 76", 85, 68, 68),
+    ("75b628aa9feebdcf605d36b772d64aa9bc4dc3e51668fd99e7df9478719f9aff", "LGPL-2.1", "part 77", 85, 237, 250),
+    ("29ec30bf0b22bee9f2d303fb72e06a9824c52353301e2bdd31ab8de1b90fcba6", "LGPL-2.1", "part 78", 85, 235, 237),
+    ("4b5c9dc7aa76f30d2caa3ff63d7731f5b1b91612a20d0fbe63dd847d7839de1b", "LGPL-2.1", "part 79", 85, 201, 203),
+    ("08d075679ff0963d137622c6ec2e74bd9935d52fb8321c26b972d108f21a834e", "LGPL-2.1", "part 80", 85, 71, 71),
+    ("95cef4f7d3c9c92dbd670ba7dd68c0df8b544ff47cec466cd23df760131c96bc", "LGPL-2.1", "part 81", 85, 176, 176),
+    ("93e69e44fa77c3153cafc539b81d7459da9351f881654b42ebcab835a8b63eb8", "LGPL-2.1", "part 82", 85, 132, 132),
+    ("6cf6fa34c8113bce9c9a5a9afc16d4cd4b5dee2699aa9277e89b2719aa72e1c2", "LGPL-2.1", "part 83", 85, 59, 59),
+    ("b3143badf03a3c8ec5637ec52198279304a61d088617f093f4d8e74eff48aad3", "LGPL-2.1", "part 84", 85, 25, 25),
     ("aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", "LGPL-3.0", "text", 37, 7076, 7162),
     ("b1dddaf7ef2e30067896bb2f11cf3c9defcf11564304f448a9257f49502a9e85", "LGPL-3.0", "part 0", 37, 49, 60),
     ("aaf9385eedc0e8797f25532c8f623c05bba02ebe7b124aefa1352367290a485a", "LGPL-3.0", "part 1", 37, 116, 118),

@@ -69,7 +69,9 @@ SPELLINGS: list[tuple[str, str]] = [
 ]
 #: Ranges of lengths that a unit is tried for.
 SPANS = 32
-COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(copyright\b|©|\(c\))[^\n]*$"
+#: A copyright line begins with a sign, or with the word and a sign or a year (or a place for one) next to it; other lines that
+#: begin with the word are text that happened to be wrapped there.
+COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n©]*(?:©|\(c\)|copyright\b[^\n]{0,12}?(?:©|\(c\)|\b(?:19|20)[0-9]{2}\b|\byyyy\b|\byear\b))[^\n]*$"
 #: Words kept in SPELLINGS that others of more letters become, and those that come from fewer: "v3" has 7 fewer than "version 3", "version 2" 2 fewer than "version 2 0", "version 3 0" 2 more than "version 3".
 LONGER, SHORTER = r"(?:license|noncommercial|sublicense|favor|honor)", r"version (?:2 0|3)"
 
@@ -134,7 +136,7 @@ def scan(documents: DataFrame, keep: str, text: str = "text", known: DataFrame |
     own, once = known is None, F.row_number().over(Window.partitionBy("digest").orderBy("licence", "unit")) == 1
     known = known_units(documents.sparkSession) if own else known
     spans: list[list[int]] = []
-    for low, high in sorted({(r.low, r.high) for r in known.select("low", "high").collect()}):  # different lengths
+    for low, high in sorted(tuple(r) for r in known.select("low", "high").distinct().collect()):  # different lengths
         if spans and low <= spans[-1][1] + 1:
             spans[-1][1] = max(spans[-1][1], high)
         else:

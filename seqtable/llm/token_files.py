@@ -47,7 +47,8 @@ class Tokens:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("files hold ids below 65,536")
         # White space and these borders separate words under every tokenizer that splits letters from marks.
-        latin, mark = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+        # İ (U+0130) is no such letter: in lower case it ends with a combining dot, which is a mark itself.
+        latin, mark = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-&(-/:-@\[-`{-~"
         self.pieces = re.compile(rf"[{latin}]+(?=[\n\r {mark}]|\Z)|[{mark}]+(?=[\n\r A-Za-z0-9]|\Z)|[^ \t\n\r]+").findall
         closes = [str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(self.tokenizer.get_vocab_size())]
         self.closes = np.array(closes) if any(closes) else None
@@ -120,7 +121,8 @@ def unpacked(blocks: list[dict], name: str) -> np.ndarray:
 def write(documents: DataFrame, folder: str, tokenizer_path: str, end: int, key: str = "doc_id", text: str = "text") -> None:
     """Write the ids of all documents, each closed by the id `end`, to files in a new folder."""
     rows = documents.select(documents[key].cast("bigint").alias("key"), documents[text].alias("text"))
-    rows = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # Rows with one key are split by the beginnings of their texts.
+    rows = rows.repartitionByRange("key", F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spell, part = tokens(tokenizer_path), TaskContext.get().partitionId()

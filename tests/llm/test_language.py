@@ -1,6 +1,7 @@
 """Sums over segmentations against enumeration; accuracy on held-out documents; odd input."""
 
 import itertools
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +25,9 @@ def small():
     return L.Model(["x", "y"], np.log([0.5, 0.5]), pieces, chances / chances.sum(axis=0))
 
 
-def test_scores_and_expected_counts_by_enumeration(small):
+@pytest.mark.parametrize("plain", [L.PLAIN, 0])
+def test_scores_and_expected_counts_by_enumeration(small, monkeypatch, plain):
+    monkeypatch.setattr(L, "PLAIN", plain)  # 0: all words take the way of long ones
     words = ["▁abba", "▁", "▁aéb", "▁zab", "bab"]
     place = {p: i for i, p in enumerate(small.pieces)}
 
@@ -47,6 +50,68 @@ def test_scores_and_expected_counts_by_enumeration(small):
     assert np.allclose(forward.expected(words, counts), want)
 
 
+def plain_score(model, word):
+    """Logarithms of the sums over all segmentations, one letter after the other."""
+    place = {p: i for i, p in enumerate(model.pieces)}
+    logs, longest = np.log(model.chances), max(map(len, model.pieces))
+    sums = [np.zeros(logs.shape[1])]
+    for end in range(1, len(word) + 1):
+        terms = []
+        for start in range(max(0, end - longest), end):
+            piece = place.get(word[start:end], len(place) if start == end - 1 else None)
+            if piece is not None:
+                terms.append(sums[start] + logs[piece])
+        sums.append(np.logaddexp.reduce(terms))
+    return sums[-1]
+
+
+@pytest.mark.parametrize("n", [38, 39, 40, 41, 80, 10_000])
+def test_long_words_are_summed_whole(small, n):
+    draw = np.random.default_rng(n)
+    words = ["▁" + "".join(draw.choice(list("abéz"), n)), "▁" + "ab" * (n // 2), "▁" + "a" * n]
+    got = L.Forward(small).scores(words)
+    assert np.allclose(got, [plain_score(small, w) for w in words], rtol=1e-10)
+
+
+def test_expected_counts_of_long_words(small):
+    """The two ways agree where both can be taken, and the counts of a very long word spell it."""
+    words = ["▁" + "abba" * 9, "▁" + "zéab" * 9]
+    counts = np.array([[2.0, 0.0], [1.0, 3.0]])
+    forward = L.Forward(small)
+    plain, out = forward.expected(words, counts), np.zeros_like(small.chances)
+    for k, w in enumerate(words):
+        forward._long_expected(np.array([list(map(ord, w))], np.uint64), counts[k : k + 1], out)
+    assert np.allclose(plain, out)
+    word = "▁" + "abzé" * 600
+    uses = forward.expected([word], np.array([[1.0, 1.0]]))
+    lengths = np.array([*map(len, small.pieces), 1])
+    assert np.allclose(lengths @ uses, len(word))
+
+
+def test_query_against_a_plain_version(spark, monkeypatch):
+    from seqtable.llm import queries
+
+    models = []
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda *a, **k: models.append(fit(*a, **k)) or models[-1])
+    folder = "/root/testdata/sf0.001"
+    found = {r.doc_id: r for r in queries.op6_language(spark, folder).collect()}
+    known: dict[str, np.ndarray] = {}
+    for d in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        words = ["▁" + "".join(filter(str.isalpha, w)) for w in L.LETTERS.findall((d.text or "").lower())]
+        words = [w for w in words if w != "▁"]
+        for w in set(words) - known.keys():
+            known[w] = plain_score(models[0], w)
+        got = found[d.doc_id]
+        assert got.held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+        if not words:
+            assert (got.lang_pred, got.score) == ("und", 0)
+            continue
+        sums = models[0].priors + sum(known[w] for w in words)
+        assert got.lang_pred == models[0].languages[int(sums.argmax())]
+        assert np.isclose(got.score, 1 / np.exp(sums - sums.max()).sum())
+
+
 def test_hash_of_pieces_is_unique():
     pieces = L.vocabulary(PATH)
     keys = [L.Forward._hash(np.array([list(map(ord, p))], np.uint64))[0] for p in pieces]

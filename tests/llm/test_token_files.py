@@ -27,6 +27,35 @@ def test_same_ids_as_the_tokenizer():
         assert np.frombuffer(raw, "<u2").tolist() == own(text)[:-1], repr(text)
 
 
+def test_every_character_beside_every_border():
+    borders = [" ", "\n", ".", ",", "!", "?", ")", "(", "-", "'", '"', "a", "7"]
+    letters = [chr(c) for c in [*range(1, 0x3100), *range(0xA640, 0xABFF), *range(0xF900, 0x10000)] if not 0xD800 <= c < 0xE000]
+    texts = [f"x{c}{b}{b}{c} a{c}b{b}" for c in letters for b in borders]
+    found = T.Tokens(PATH)
+    for start in range(0, len(texts), 20_000):
+        some = texts[start : start + 20_000]
+        want = found.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        for text, raw, ids in zip(some, found(some), want, strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == ids.ids, repr(text)
+
+
+def test_dotted_capital_i_through_the_files(spark):
+    rows = [(1, "KİTABİ, x", 0), (2, "nowİ?", 0), (3, "y", 0)]
+    found = sorted(T.read(spark, files(spark, rows), T.all_ids, "ids binary").collect())
+    start = 0
+    for r, (k, t, _) in zip(found, rows, strict=True):
+        assert (r.key, r.start, np.frombuffer(r.ids, "<u4").tolist()) == (k, start, own(t))
+        start += r.n_tokens
+
+
+def test_many_rows_of_one_key_stay_in_order_and_split(spark):
+    rows = [(None, f"text {k % 700:03}", 0) for k in range(3000)] + [(7, "x", 0)]
+    folder = files(spark, rows)
+    found = sorted(T.read(spark, folder, T.all_ids, "ids binary").collect(), key=lambda r: r.start)
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in found] == [own(t) for _, t, _ in sorted(rows, key=lambda r: (r[0] is not None, r[1]))]
+    assert spark.read.parquet(folder).select("part").distinct().count() > 1
+
+
 @pytest.mark.parametrize("kind", ["same", "random", "large", "ramp", "words"])
 def test_blocks_round_trip(kind):
     draw = np.random.default_rng(2)
