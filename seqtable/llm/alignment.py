@@ -24,7 +24,8 @@ columns don't matter. An empty table gives an empty one.
 """
 
 import functools
-import os
+import itertools
+import json
 import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from seqtable import session
 from seqtable.llm import byte_bpe
 from seqtable.llm.csr import Csr, product_sizes, products
+from seqtable.llm.tables import HashTable
 from seqtable.llm.texts import map_texts, slices
 
 #: Id pairs sent to the tasks at most (16 bytes each).
@@ -49,30 +51,47 @@ KNOWN = 60_000
 _PART = np.int64(1) << np.int64(32)
 
 
+class JsonRanks(byte_bpe.Ranks):
+    """The ranks of a byte-level vocabulary kept as JSON: merges in order, each of which made the next id."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as lines:
+            held = json.load(lines)
+        model, letters = held["model"], _byte_letters()
+        own = {t["id"] for t in held["added_tokens"]}
+        spell = lambda t: bytes(letters[c] for c in t)
+        self.ids = {spell(t): i for t, i in model["vocab"].items() if i not in own}
+        self.tokens = [b""] * (max(self.ids.values()) + 1)
+        for token, i in self.ids.items():
+            self.tokens[i] = token
+        self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        left, right = ([self.ids[spell(p[side])] for p in pairs] for side in (0, 1))
+        whole = [self.ids[spell(a + b)] for a, b in pairs]
+        if any(y <= x for x, y in itertools.pairwise(whole)):
+            raise ValueError("ids of merged tokens must ascend with their merges")
+        # Any two tokens that make a third merge at its rank, as the heap of long words has it.
+        table = {(self.ids.get(t[:cut]), self.ids.get(t[cut:])): i for t, i in self.ids.items() for cut in range(1, len(t))}
+        table = {pair: i for pair, i in table.items() if None not in pair} | dict(zip(zip(left, right, strict=True), whole, strict=True))
+        left, right = np.array(list(table), np.int64).T
+        self.table = HashTable(byte_bpe._pair(left, right), np.array(list(table.values()), np.int32))
+
+
 class Vocabularies:
     """The two tokenizers, the bytes of their tokens, and decimal ids with the sign that follows them."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        ranks = JsonRanks(path_a)
+        self.a = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters = _byte_letters()
-        spelled = [self.a.id_to_token(i) for i in range(self.a.get_vocab_size())]
-        self.bytes_a = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in spelled]
-        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_a, self.bytes_b = ranks.tokens, [self._piece(i) for i in range(self.b.get_piece_size())]
         self.length_a = np.array([len(t) for t in self.bytes_a])
         self.length_b = np.array([len(t) for t in self.bytes_b])
-        if max(len(self.bytes_a), len(self.bytes_b)) > 1 << 31:
-            raise ValueError("id pairs are packed in 64 bits")
         # No piece of B has a blank behind another character, so blanks begin what can be encoded by itself.
         within = any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.blank = [self.b.piece_to_id("▁")]
-        borders = byte_bpe.Encoder(None, public_tokenizers.PATTERN).pieces
-        self.cache_a = Pieces(borders, self._ids_a)
         self.cache_b = Pieces((lambda t: [t] if t else []) if within else re.compile(" +[^ ]*").findall, self._ids_b)
         self.signed = [f"{i}{sign}".encode() for sign in (",", "|", ";") for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
 
@@ -81,21 +100,16 @@ class Vocabularies:
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def _ids_a(self, pieces: list[str]) -> list[bytes | None]:
-        """Ids (little-endian 32-bit) of pieces between borders; null where their bytes aren't the piece's."""
-        found = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        return [_packed(ids, self.bytes_a, p) for ids, p in zip(found, pieces, strict=True)]
-
     def _ids_b(self, pieces: list[str]) -> list[bytes | None]:
-        """The same of blanks and what follows them; the tokenizer adds the first blank itself."""
+        """Ids (little-endian 32-bit) of blanks and what follows them; null where their bytes aren't the piece's. The tokenizer adds the first blank itself."""
         found = self.b.encode([p[1:] for p in pieces], num_threads=1)
         return [_packed(ids if p != " " else self.blank, self.bytes_b, p) for ids, p in zip(found, pieces, strict=True)]
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of both for each text; both empty where the text has no tokens by the rule above."""
         spaced = [" " + t if t else "" for t in texts]
-        sides = self.cache_a(spaced), self.cache_b(spaced)
-        return [(b"", b"") if a is None or b is None else (a, b) for a, b in zip(*sides, strict=True)]
+        sides = self.a.encode(spaced), self.cache_b(spaced)
+        return [(b"", b"") if b is None else (a, b) for a, b in zip(*sides, strict=True)]
 
 
 def _packed(ids: list[int], tokens: list[bytes], piece: str) -> bytes | None:
