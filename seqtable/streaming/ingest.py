@@ -66,10 +66,10 @@ def unique_records(planned: DataFrame, within: str) -> DataFrame:
     that don't convert are told apart by their id. On a table the watermark has no
     effect, and one copy of all remains.
     """
-    content = content_of(F.col("kept"), "record_id")
-    mark = dedup.fingerprint_in_row(content, F.col("workflow_type"), F.col("goal"))
-    marked = planned.withColumn("fingerprint", F.when(F.col("reject_reason").isNull(), mark).otherwise(F.concat(F.lit("record:"), "record_id")))
-    marked = computed_once(marked, "fingerprint").withColumn("at", F.timestamp_millis("base_ms"))
+    marked = computed_once(planned.withColumn("_content", content_of(F.col("kept"), "record_id")), "_content")
+    mark = dedup.fingerprint_in_row(F.col("_content"), F.col("workflow_type"), F.col("goal"))
+    marked = marked.withColumn("fingerprint", F.when(F.col("reject_reason").isNull(), mark).otherwise(F.concat(F.lit("record:"), "record_id")))
+    marked = computed_once(marked, "fingerprint").drop("_content").withColumn("at", F.timestamp_millis("base_ms"))
     if not planned.isStreaming:
         return marked.dropDuplicates(["fingerprint"])
     return marked.withWatermark("at", within).dropDuplicatesWithinWatermark(["fingerprint"])
