@@ -3,17 +3,17 @@
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtable.operators import dedup, repair, rules, shape, similar
+from seqtable.operators import checks, dedup, records, repair, rules, shape, similar
 from seqtable.plans import views
-from seqtable.plans.oracles import ACTIONS, EVENTS, GOOD, RAW, _content, _WEB
+from seqtable.plans.oracles import ACTIONS, EVENTS, GOOD, RAW, VERDICTS, _content, _WEB
 from seqtable.plans.oracles import ORACLES as FIRST
 from seqtable.plans.registry import Query, _valid_actions
 from seqtable.plans.second import _HOST
 from seqtable.session import new_folder
-from seqtable.sources import jsonl, sinks
+from seqtable.sources import jsonl, raw
 from seqtable.streaming import ingest
 from seqtable.streaming import sessions as streamed
 
@@ -265,3 +265,72 @@ def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
     late = spark.read.parquet(base + "/late").groupBy("user_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end"), F.count("*").alias("n"))
     both = spark.read.parquet(base + "/sessions").withColumn("kind", F.lit("session")).unionByName(late.withColumn("kind", F.lit("late")))
     return both.select("kind", "user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
+# --- rules that the derived tables don't break ----------------------------------------
+
+_PLANTED = ACTIONS + """, planted AS (SELECT * REPLACE (
+    CASE k WHEN 11 THEN -5.0::DOUBLE WHEN 12 THEN NULL WHEN 13 THEN "timestamp" - 864000000.0::DOUBLE ELSE "timestamp" END AS "timestamp",
+    CASE WHEN k = 14 THEN '' ELSE action_type END AS action_type, CASE k WHEN 15 THEN '' WHEN 16 THEN NULL ELSE url END AS url,
+    CASE WHEN k IN (21, 31) THEN NULL WHEN k = 41 THEN 0 ELSE x END AS x, CASE k WHEN 21 THEN NULL WHEN 31 THEN 1 WHEN 41 THEN -1 ELSE y END AS y)
+  FROM fx)"""
+_LOOKED = (
+    VERDICTS.removeprefix(ACTIONS)
+    .replace("FROM fx)", "FROM planted)", 1)
+    .replace("WHEN min(ts_us) >= max(ts_us)", "WHEN any_value(user_id) % 19 = 0")
+    .replace("WHEN max(ts_us) < min(ts_us)", "WHEN any_value(user_id) % 17 = 0")
+)
+
+
+@query(_PLANTED + _LOOKED + "SELECT trajectory_id, action_count, reasons FROM verdicts")
+def validate_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Actions with faults that the derived table lacks: times, types, URLs, coordinates, stored bounds."""
+    k, user = F.col("k"), F.col("user_id")
+    spot = lambda x, y: F.struct(F.lit(x).cast("int").alias("x"), F.lit(y).cast("int").alias("y"))
+    rows = views.actions(spark, folder).withColumns(
+        {
+            "timestamp": F.when(k == 11, -5.0).when(k == 12, None).when(k == 13, F.col("timestamp") - 864_000_000.0).otherwise(F.col("timestamp")),
+            "action_type": F.when(k == 14, "").otherwise(F.col("action_type")),
+            "url": F.when(k == 15, "").when(k == 16, None).otherwise(F.col("url")),
+            "coordinates": F.when(k == 21, None).when(k == 31, spot(None, 1)).when(k == 41, spot(0, -1)).otherwise(F.col("coordinates")),
+            "start_time": F.lit(1.0),
+            "end_time": F.when(user % 19 == 0, 1.0).otherwise(2.0),
+            "duration": F.when(user % 17 == 0, -1.0).otherwise(1.0),
+        }
+    )
+    found = checks.validate(rows)
+    return found.select("trajectory_id", "action_count", F.array_join("reasons", ",").alias("reasons"))
+
+
+_ACTION = '{"action_type":"click","url":"https://a.com/","page_title":"P","element_type":"button","context":"c"}'
+_SCROLL = '{"action_type":"scroll","url":"https://a.com/","coordinates":%s}'
+# Text of a record, its errors, those left after the fix, outcome, and the domain that conversion sees.
+STRUCTURES: list[tuple[str, str, str, str, str | None]] = [
+    ("[1, 2]", "Trajectory structure must be a dictionary", "Trajectory structure must be a dictionary", "failed", None),
+    ('{"goal":"x"}', "Missing required field: 'actions'", "'actions' list cannot be empty", "not_improved", None),
+    ('{"domain":7,"actions":[%s]}' % _ACTION, "'domain' must be a string", "", "fixed", "7"),
+    ('{"domain":"shop","actions":[%s]}' % _ACTION, "", "", "clean", "shop"),
+    ('{"actions":5}', "'actions' must be a list", "'actions' list cannot be empty", "not_improved", None),
+    ('{"actions":[]}', "'actions' list cannot be empty", "'actions' list cannot be empty", "not_improved", None),
+    ('{"actions":[3,%s]}' % _ACTION, "Action[0]: Action must be a dictionary", "Action[0]: Action must be a dictionary", "failed", None),
+    ('{"actions":[%s]}' % _ACTION.replace('"P"', "3").replace('"c"', "[4]"), "Action[0]: 'page_title' must be a string\nAction[0]: 'context' must be a string", "", "fixed", None),
+    ('{"actions":[%s]}' % _ACTION.replace('"button"', "false"), "Action[0]: 'element_type' must be a string", "", "fixed", None),
+    ('{"actions":[%s]}' % (_SCROLL % 5), "Action[0]: 'scroll' action 'coordinates' must be a dictionary", "Action[0]: 'scroll' action 'coordinates' must be a dictionary", "not_improved", None),
+    ('{"domain":1.5,"actions":[%s]}' % (_SCROLL % '{"x":1}'), "'domain' must be a string\nAction[0]: 'scroll' action 'coordinates' must have 'x' and 'y'",
+     "Action[0]: 'scroll' action 'coordinates' must have 'x' and 'y'", "improved", "1.5"),
+]
+_quoted = lambda v: "NULL::VARCHAR" if v is None else "'" + v.replace("'", "''") + "'"
+_cases = ", ".join(f"({i}, {', '.join(_quoted(v) for v in row[1:])})" for i, row in enumerate(STRUCTURES))
+
+
+@query(
+    f"""SELECT event_id, errors_before, errors_after, fix_outcome, domain
+FROM events JOIN (VALUES {_cases}) c(i, errors_before, errors_after, fix_outcome, domain) ON i = event_id % {len(STRUCTURES)}"""
+)
+def structure_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """A record for each event, with one of the structural faults that the derived responses lack."""
+    texts = F.array(*[F.lit(row[0]) for row in STRUCTURES])
+    rows = views.events(spark, folder).select("event_id", F.element_at(texts, (F.col("event_id") % len(STRUCTURES) + 1).cast("int")).alias("raw_text"))
+    checked = records.check_and_fix(records.outline(raw.parse_responses(rows)))
+    errors = [F.array_join(c, "\n").alias(c) for c in ("errors_before", "errors_after")]
+    return checked.select("event_id", *errors, "fix_outcome", F.col("effective.domain.text").alias("domain"))

@@ -82,3 +82,11 @@ def test_partition_count_does_not_matter(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
+
+
+def test_every_rule_of_validation_is_broken_somewhere(spark):
+    found = set()
+    for name in ("validate_trajectories", "validate_planted"):
+        rows = entry_points.queries()[name](spark, FOLDER).select("reasons").distinct().collect()
+        found |= {code for r in rows for code in r.reasons.split(",") if code}
+    assert found == {*checks.TRAJECTORY_RULES, *checks.ACTION_RULES}
