@@ -1,5 +1,7 @@
 """Gradients against differences, chunks that cover every byte, and held-out accuracy."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -72,3 +74,38 @@ def test_odd_rows(spark):
     assert Q.score(documents.limit(0), network, ["doc_id"]).count() == 0
     blank = Q.fit(documents, labels.filter("quality = 1"))
     assert {r.score for r in Q.score(documents, blank, ["doc_id"]).collect()} == {0.5}
+
+
+def plain_score(net, text):
+    """One window after the other, in double precision."""
+    data = (text or "").encode()
+    vectors = net.vectors.astype(float)
+    vectors[0] = 0
+    features, start = [], 0
+    while True:
+        chunk = data[start : start + 512]
+        padded = chunk + b"\0" * (512 - len(chunk))
+        seen = [vectors[b] for b in padded]
+        top = np.max([np.concatenate(seen[p : p + 8]) @ net.filters for p in range(0, 512 - 8 + 1, 2)], axis=0)
+        given = np.append(np.maximum(top + net.bias, 0), sum(b != 0 for b in chunk) / 512)
+        features.append(np.maximum(given @ net.hidden + net.hidden_bias, 0))
+        if start + 512 >= len(data):
+            break
+        start += 512 - 64
+    joined = np.concatenate([np.mean(features, axis=0), np.max(features, axis=0)])
+    return 1 / (1 + np.exp(-(joined @ net.last[:-1] + net.last[-1])))
+
+
+def test_query_against_a_plain_forward_pass(spark, monkeypatch):
+    from seqtable.llm import queries
+
+    networks, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda *a, **k: networks.append(fit(*a, **k)) or networks[-1])
+    folder = "/root/testdata/sf0.001"
+    found = {r.doc_id: r for r in queries.op3_quality(spark, folder).collect()}
+    documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert len(found) == len(documents)
+    for d in sorted(documents, key=lambda d: len(d.text or ""))[:150]:
+        got = found[d.doc_id]
+        assert abs(got.score - plain_score(networks[0], d.text)) < 1e-4
+        assert got.held_out == (zlib.crc32(str(d.doc_id).encode()) % 3 == 1) and got.predicted == (got.score >= 0.5)
