@@ -2,8 +2,10 @@
 
 import json
 import random
+import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,49 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, percent, array):
     tokens.unpersist(), members.unpersist()
 
 
+@pytest.mark.parametrize(("short", "array"), [(4, 4096), (6, 8)])
+def test_links_of_short_and_long_sets(spark, monkeypatch, short, array):
+    for name, value in (("SHORT", short), ("ARRAY", array), ("SALTED", 3)):
+        monkeypatch.setattr(similar, name, value)
+    sets = drawn_sets(short)
+    classes, want = plain_links(sets, 60)
+    tokens = frame_of(spark, sets)
+    members = similar.membership(tokens)
+    found = similar.linked_classes(tokens, members, 60).collect()
+    assert len(found) == len(want) and {(r.a, r.b) for r in found} == want
+    sizes = {min(names): len(names) for names in classes.values()}
+    assert all((r.members_a, r.members_b) == (sizes[r.a], sizes[r.b]) for r in found)
+
+
+def test_candidates_of_short_sets_are_not_shuffled(spark):
+    """The join is the last exchange of the short sets: no distinct or join of pairs comes after it."""
+    sets = frame_of(spark, drawn_sets(1)).withColumnRenamed("trajectory_id", "class_id").withColumns({"n": F.lit(1).cast("bigint"), "members": F.lit(1).cast("bigint")})
+    plan = similar._short_links(sets, 60)._jdf.queryExecution().executedPlan().toString()
+    before = re.split(r"(?:SortMerge|ShuffledHash|BroadcastHash|BroadcastNestedLoop)Join", plan)[0]
+    assert "Exchange" not in before
+
+
+def test_trees_keep_what_links_connect(monkeypatch):
+    monkeypatch.setattr(similar, "TOGETHER", 40)
+    monkeypatch.setattr(similar, "KEPT", 10)
+    draw = random.Random(5)
+    links = [(draw.randrange(150), 150 + draw.randrange(150)) for _ in range(200)]
+    batches = [pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links[i : i + 25]]) for i in range(0, 200, 25)]
+    rows = [r for out in similar._tied(iter(batches)) for r in out.to_pylist()]
+
+    def groups(pairs):
+        label = {x: x for p in pairs for x in p}
+        while any(label[a] != label[b] for a, b in pairs):
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    trees = [(r["node"], r["other"]) for r in rows if r["node"] != r["other"]]
+    assert groups(trees) == groups(links)
+    for x in groups(links):
+        assert sum(r["links"] for r in rows if r["node"] == x) == sum(x in p for p in links)
+
+
 def test_a_giant_and_a_token_in_a_third_of_all_sets(spark, tmp_path):
     """The giant has a near copy; the common token is all that many sets share."""
     ids = spark.range(50_000)
