@@ -48,7 +48,10 @@ HOT = 1 << 20
 HELD = 1 << 20
 #: Pieces of text of which a worker keeps the ids, for each tokenizer.
 KNOWN = 60_000
+#: Pieces that the second tokenizer encodes as one line.
+LINE = 256
 _PART = np.int64(1) << np.int64(32)
+_BLANKED = re.compile(" +[^ ]*").findall
 
 
 class JsonRanks(byte_bpe.Ranks):
@@ -91,9 +94,11 @@ class Vocabularies:
         self.length_b = np.array([len(t) for t in self.bytes_b])
         # No piece of B has a blank behind another character, so blanks begin what can be encoded by itself.
         within = any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.lined = not within
         self.blank = [self.b.piece_to_id("▁")]
-        self.cache_b = Pieces((lambda t: [t] if t else []) if within else re.compile(" +[^ ]*").findall, self._ids_b)
-        self.signed = [f"{i}{sign}".encode() for sign in (",", "|", ";") for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.cache_b = Pieces(_unblanked if self.lined else lambda t: [t[1:]] if t else [], self._ids_b)
+        self.most = max(len(self.bytes_a), len(self.bytes_b))
+        self.signed = pa.array([f"{i}{sign}".encode() for sign in (",", "|", ";") for i in range(self.most)], pa.large_binary())
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -101,9 +106,27 @@ class Vocabularies:
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
     def _ids_b(self, pieces: list[str]) -> list[bytes | None]:
-        """Ids (little-endian 32-bit) of blanks and what follows them; null where their bytes aren't the piece's. The tokenizer adds the first blank itself."""
-        found = self.b.encode([p[1:] for p in pieces], num_threads=1)
-        return [_packed(ids if p != " " else self.blank, self.bytes_b, p) for ids, p in zip(found, pieces, strict=True)]
+        """Ids (little-endian 32-bit) of a blank and each piece; null where their bytes aren't those. The tokenizer adds the first blank itself."""
+        ids = self._of_lines([p for p in pieces if p.strip(" ")]) if self.lined else {}
+        left = [p for p in pieces if p not in ids]
+        for piece, found in zip(left, self.b.encode(left, num_threads=1), strict=True):
+            ids[piece] = _packed(found if piece else self.blank, self.bytes_b, " " + piece)
+        return [ids[p] for p in pieces]
+
+    def _of_lines(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that stand in one line as they would alone; without those of a line whose bytes differ."""
+        out = {}
+        lines = [pieces[i : i + LINE] for i in range(0, len(pieces), LINE)]
+        for line, ids in zip(lines, self.b.encode([" ".join(line) for line in lines], num_threads=1), strict=True):
+            raw = [p.encode() for p in line]
+            spelled = b"".join(map(self.bytes_b.__getitem__, ids))
+            ends = np.cumsum(self.length_b[ids])
+            wanted = np.cumsum(np.array([len(r) for r in raw]) + 1)
+            stops = np.searchsorted(ends, wanted)
+            if spelled == b" " + b" ".join(raw) and (ends[stops] == wanted).all():
+                packed, stops = np.array(ids, "<u4").tobytes(), (4 * stops + 4).tolist()
+                out.update((p, packed[start:stop]) for p, start, stop in zip(line, [0, *stops], stops, strict=False))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of both for each text; both empty where the text has no tokens by the rule above."""
@@ -116,6 +139,13 @@ def _packed(ids: list[int], tokens: list[bytes], piece: str) -> bytes | None:
     return np.array(ids, "<u4").tobytes() if b"".join(map(tokens.__getitem__, ids)) == piece.encode() else None
 
 
+def _unblanked(text: str) -> list[str]:
+    """Blanks and what follows them in a text that begins with one, each without its first blank."""
+    if "  " in text or text.endswith(" "):
+        return [p[1:] for p in _BLANKED(text)]
+    return text[1:].split(" ") if text else []
+
+
 class Pieces:
     """Ids of texts put together from those of their pieces; a piece met lately isn't encoded again."""
 
@@ -134,10 +164,9 @@ class Pieces:
         new = list(new - met)
         self.known.update(zip(new, self.learn(new), strict=True))
         out = []
-        for text, pieces in zip(texts, split, strict=True):
+        for pieces in split:
             ids = [self.known[p] for p in pieces]
-            whole = None not in ids and sum(map(len, pieces)) == len(text)
-            out.append(b"".join(ids) if whole else None)
+            out.append(None if None in ids else b"".join(ids))
         return out
 
 
@@ -208,32 +237,34 @@ def matrices(own: Vocabularies, encoded: list[tuple[bytes, bytes]]) -> Slice:
 
 def _pairs(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, id pair) in order, with the links of each."""
-    texts, codes, times = [], [], []
-    for a, b, _ in part.overlaps():
-        codes.append(part.ids_a[a] * _PART + part.ids_b[b])
-        texts.append(part.text_a[a])
-    code = np.concatenate([np.zeros(0, np.int64), *codes])
-    text = np.concatenate([np.zeros(0, np.int64), *texts])
-    order = np.lexsort((code, text))
-    code, text = code[order], text[order]
-    new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (text[1:] != text[:-1])])) if len(code) else np.zeros(0, np.int64)
-    times = np.diff(new, append=len(code))
-    return text[new], code[new], times
+    bits_b, bits = (int(ids.max(initial=0)).bit_length() for ids in (part.ids_b, part.ids_a))
+    bits += bits_b
+    if bits + part.n.bit_length() > 63:  # no slice has so many texts with vocabularies of some 100,000 ids
+        raise ValueError("texts and ids of a slice don't fit 63 bits")
+    keys = [part.text_a[a] << bits | part.ids_a[a] << bits_b | part.ids_b[b] for a, b, _ in part.overlaps()]
+    key = np.sort(np.concatenate([np.zeros(0, np.int64), *keys]))
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    pair = key[new] & ((1 << bits) - 1)
+    return key[new] >> bits, (pair >> bits_b) * _PART + (pair & ((1 << bits_b) - 1)), np.diff(new, append=len(key))
 
 
 def _written(own: Vocabularies, part: Slice) -> list[bytes]:
     """Groups of each text as `a1,a2|b1;a3|b2,b3`."""
-    group_a, group_b, most = part.by_group_a.columns, part.by_group_b.columns, len(own.signed) // 3
+    group_a, group_b = part.by_group_a.columns, part.by_group_b.columns
     count_a, count_b = (np.bincount(g, minlength=part.by_group_a.width) for g in (group_a, group_b))
     before_a, before_b = np.cumsum(count_a), np.cumsum(count_b)
     signed = np.empty(len(group_a) + len(group_b), np.int64)
     last_a = np.diff(group_a, append=-1) != 0
     last_b = np.diff(group_b, append=-1) != 0
-    signed[np.arange(len(group_a)) + (before_b - count_b)[group_a]] = part.ids_a + most * last_a
-    signed[np.arange(len(group_b)) + before_a[group_b]] = part.ids_b + 2 * most * last_b
-    ends = np.cumsum(np.bincount(part.text_a, minlength=part.n) + np.bincount(part.text_b, minlength=part.n)).tolist()
-    parts, spelled = signed.tolist(), own.signed.__getitem__
-    return [b"".join(map(spelled, parts[start:end]))[:-1] for start, end in zip([0, *ends], ends, strict=False)]
+    signed[np.arange(len(group_a)) + (before_b - count_b)[group_a]] = part.ids_a + own.most * last_a
+    signed[np.arange(len(group_b)) + before_a[group_b]] = part.ids_b + 2 * own.most * last_b
+    ends = np.cumsum(np.bincount(part.text_a, minlength=part.n) + np.bincount(part.text_b, minlength=part.n))
+    # Arrow lays the strings it takes one after the other, which is the text.
+    spelled = own.signed.take(pa.array(signed))
+    _, offsets, data = spelled.buffers()
+    stops = np.frombuffer(offsets, np.int64, len(signed) + 1)[ends].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[start : max(start, stop - 1)] for start, stop in zip([0, *stops], stops, strict=False)]
 
 
 def align(documents: DataFrame, path_a: str, path_b: str, keep: list[str], text: str = "text") -> DataFrame:

@@ -140,6 +140,26 @@ def test_any_number_of_hot_pairs_gives_the_same(spark, hot):
     aligned.unpersist()
 
 
+def test_new_pieces_are_encoded_by_the_line():
+    own, handed = A.Vocabularies(*PATHS), []
+    plain = own.b
+
+    class Counted:
+        def encode(self, texts, **options):
+            handed.extend(texts)
+            return plain.encode(texts, **options)
+
+    own.b = Counted()
+    words = [f"w{k}," for k in range(4000)]
+    words[7], words[300], words[2000] = "", "\u2581x", "\u4e2d\n\u00e9"
+    for drop in ("", "\u2581x"):
+        text = " ".join(w for w in words if w != drop or not drop)
+        (a, b), want = own.encode([text])[0], Plain().spans(text)
+        assert [np.frombuffer(x, "<u4").tolist() for x in (a, b)] == [[i for i, _, _ in side] for side in want]
+        assert bool(b) == bool(drop)
+    assert len(handed) < 2 * A.LINE
+
+
 def test_listed_links(spark):
     rows = [(k, t) for k, t in enumerate(texts()[:80])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
