@@ -19,12 +19,26 @@ KINDS: dict[str, str] = {
 ANY_KIND = "|".join(f"({p})" for p in KINDS.values())
 
 
+_PART = "[A-Za-z0-9._%+-]"
+#: Stands around finds while a text is cut; and a run for which an email's first part may begin in its middle.
+_SIGN, _LONG_RUN = "\x01", f"(?<!{_PART}){_PART}{{65}}"
+
+
 def _for_java(pattern: str) -> str:
     """The same finds in Java's syntax: ASCII borders, and no second try of an email's first part without its @."""
     pattern = pattern.replace(r"\b[", "(?<![A-Za-z0-9_])[").replace(r"\b", "(?![A-Za-z0-9_])")
     return pattern.replace("{1,64}@", "{1,64}+@")
 
 
+def _for_short_runs() -> str:
+    """The finds of `ANY_KIND` in texts without a long run, where most places are passed after a look at one letter.
+
+    There the first email begins where its run does, or where the find before it ended.
+    """
+    email, secret, *numbers = (f"({_for_java(p)})" for p in KINDS.values())
+    return rf"(?:(?<!{_PART})|\G){email}|(?=[Aapst]){secret}|(?=[0-9+(])(?:{'|'.join(numbers)})"
+
+
 def luhn(digits: Column) -> Column:
     """Whether the check digit of a number, given as digits, is right."""
     each = F.split(digits, "")
@@ -45,19 +59,42 @@ def _kind(find: Column) -> Column:
     return kind
 
 
-def redact(rows: DataFrame, column: str, redacted: str) -> DataFrame:
+def _pieces(text: Column) -> Column:
+    """The text cut at its finds in one scan: what is before, the first find, what is between, and so on; null for texts that need two."""
+    odd = F.contains(text, F.lit(_SIGN)) | (F.contains(text, F.lit("@")) & text.rlike(_LONG_RUN))
+    return F.when(~odd, F.split(F.regexp_replace(text, _for_short_runs(), f"{_SIGN}$0{_SIGN}"), _SIGN, -1))
+
+
+def _cut(text: Column, pieces: Column) -> tuple[Column, Column]:
+    """The finds, and what is before, between and behind them."""
+    pattern, cut = _for_java(ANY_KIND), pieces.isNotNull()
+    finds = F.when(cut, F.filter(pieces, lambda _, i: i % 2 == 1)).otherwise(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return finds, F.when(cut, F.filter(pieces, lambda _, i: i % 2 == 0)).otherwise(F.split(text, pattern, -1))
+
+
+def _results(text: Column, finds: Column, rest: Column, kinds: Column) -> tuple[Column, dict[str, Column]]:
+    """The redacted text, and n_<kind>."""
+    shown = F.zip_with(finds, kinds, lambda find, kind: F.coalesce(F.concat(F.lit("["), kind, F.lit("]")), find))
+    pieces = F.zip_with(shown, F.slice(rest, F.lit(2), F.size(finds)), lambda find, rest: F.concat(find, rest))
+    of_kind = lambda kind: F.size(F.filter(kinds, lambda x: x == kind))
+    named = {f"n_{k}": F.when(text.isNull(), 0).otherwise(of_kind(k)).cast("bigint") for k in KINDS}
+    return F.concat(F.element_at(rest, 1), F.array_join(pieces, "")), named
+
+
+def redact(rows: DataFrame | Column, column: str | None = None, redacted: str | None = None) -> DataFrame | tuple[Column, dict[str, Column]]:
     """The rows with the column's text redacted as ``redacted``, and n_<kind>: the finds of each kind.
 
     A find is replaced by its kind in brackets; one that fails its check stays as it
     is. The text is cut at the finds once, and only the finds are looked at again.
+    Of a text column alone: the redacted text and the counts, as columns.
     """
-    pattern = _for_java(ANY_KIND)
-    rows = rows.withColumns({"_finds": F.regexp_extract_all(column, F.lit(pattern), F.lit(0)), "_rest": F.split(F.col(column), pattern, -1)})
-    rows = computed_once(rows, "_finds", "_rest")
+    if isinstance(rows, Column):
+        finds, rest = _cut(rows, _pieces(rows))
+        return _results(rows, finds, rest, F.transform(finds, _kind))
+    text = F.col(column)
+    rows = computed_once(rows.withColumn("_pieces", _pieces(text)), "_pieces")
+    finds, rest = _cut(text, F.col("_pieces"))
+    rows = computed_once(rows.withColumns({"_finds": finds, "_rest": rest}), "_finds", "_rest").drop("_pieces")
     rows = computed_once(rows.withColumn("_kinds", F.transform("_finds", _kind)), "_kinds")
-    shown = F.zip_with("_finds", "_kinds", lambda find, kind: F.coalesce(F.concat(F.lit("["), kind, F.lit("]")), find))
-    pieces = F.zip_with(shown, F.slice("_rest", F.lit(2), F.size("_finds")), lambda find, rest: F.concat(find, rest))
-    text = F.concat(F.element_at("_rest", 1), F.array_join(pieces, ""))
-    of_kind = lambda kind: F.size(F.filter("_kinds", lambda x: x == kind))
-    named = {f"n_{k}": F.when(F.col(column).isNull(), 0).otherwise(of_kind(k)).cast("bigint") for k in KINDS}
-    return rows.withColumns({**named, redacted: text}).drop("_finds", "_rest", "_kinds")
+    found, named = _results(text, F.col("_finds"), F.col("_rest"), F.col("_kinds"))
+    return rows.withColumns({**named, redacted: found}).drop("_finds", "_rest", "_kinds")
