@@ -89,7 +89,9 @@ def save_dataset(
         rows = shape.flatten(read_trajectories(spark, paths["main"], fail_fast=True))
     else:
         raise ValueError(f"unknown output format {file_format!r}")
-    measures = shape.measure(rows, [*PROFILE_COLUMNS, "goal_achieved"])
+    measured = new_folder(spark, "measures")
+    shape.measure(rows, [*PROFILE_COLUMNS, "goal_achieved"]).write.parquet(measured)
+    measures = spark.read.parquet(measured)
     paths["metadata"] = f"{base}/metadata"
     metadata(measures, config or {}).coalesce(1).write.json(paths["metadata"])
     paths["statistics"] = f"{base}/statistics"

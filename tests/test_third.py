@@ -297,3 +297,35 @@ def test_one_scan_finds_what_two_find(spark):
 
     seconds(own()), seconds(plain())
     assert min(seconds(own()) for _ in range(3)) < 0.7 * min(seconds(plain()) for _ in range(3))
+
+
+def tables(spark, folder):
+    """A folder with 600 events of 12 users and 30 pages."""
+    kinds = F.array(*[F.lit(k) for k in ("view", "click", "signup", "purchase", "error")])
+    i = F.col("id")
+    spark.range(600).select(
+        i.alias("event_id"), F.timestamp_seconds(i * 60 + F.floor(i / 60) * 86_400 + 1_700_000_000).cast("timestamp_ntz").alias("ts"), (i % 12).alias("user_id"),
+        F.element_at(kinds, (i * 7 % 5 + 1).cast("int")).alias("event_type"), F.lit(1.0).alias("value"), F.format_string('{"k": %d}', i * 37 % 100).alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    spark.range(30).select(i.alias("page_id"), F.format_string("https://a.com/%d", i).alias("url"), F.lit("").alias("html")).write.parquet(f"{folder}/pages.parquet")
+    return str(folder)
+
+
+def test_two_runs_evaluate_the_valid_actions_once(spark, monkeypatch, tmp_path):
+    from seqtable.plans import registry
+
+    seen, valid = spark.sparkContext.accumulator(0), registry._valid_actions
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counting(*where):
+        rows = valid(*where)
+        return rows.mapInArrow(counted, rows.schema)
+
+    monkeypatch.setattr(registry, "_valid_actions", counting)
+    folder = tables(spark, tmp_path)
+    registry._two_runs(spark, folder)
+    assert seen.value == valid(spark, folder).count() > 0
