@@ -329,3 +329,12 @@ def test_two_runs_evaluate_the_valid_actions_once(spark, monkeypatch, tmp_path):
     folder = tables(spark, tmp_path)
     registry._two_runs(spark, folder)
     assert seen.value == valid(spark, folder).count() > 0
+
+
+def test_conversion_leaves_the_second_check_out(spark, tmp_path):
+    from seqtable.plans import registry
+
+    folder, columns = tables(spark, tmp_path), ["record_id", "effective", "errors_before"]
+    once, twice = (registry._checked(spark, folder, again) for again in (False, True))
+    assert "errors_after" not in registry._planned(spark, folder).columns
+    assert once.select(columns).exceptAll(twice.select(columns)).count() == 0 and once.count() == twice.count()
