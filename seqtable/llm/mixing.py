@@ -1,191 +1,205 @@
-"""Adaptive coding of token ids: mixed predictions of orders 0 to 2 drive a range coder.
+"""Adaptive coding of token ids: distributions of orders 0 to 2, mixed with adaptive weights, drive a range coder.
 
-Ids are cut into blocks that start afresh. All blocks of a batch advance together,
+Ids are cut into blocks that start afresh. Blocks of a batch advance together,
 one lane each, so every step is a few numpy calls for all of them.
 
-Order 2 and order 1 each predict one id (the one that followed this context last)
-with a confidence; order 0 predicts by adaptive counts, in four steps of four bits.
-A first step chooses between the three by counts kept for each pair of
-confidences, which is where their probabilities mix; only if neither prediction
-holds do the four steps of order 0 follow.
+Order 0 gives every id its share of a table of SLOTS, by its counts in a container
+of blocks (all ids alike, if no table is given). Order 2 and order 1 each put all on
+one id, the one that followed this hashed context last, and tell how often it held.
+The probability of an id is the sum of what the three give it, each by its weight:
+guesses that agree add up. Weights are kept for each pair of confidences and moved
+towards what held after every id. In the range, ids lie in ascending order and what
+the guesses add to an id comes first, so the sum is inverted without a search.
 
 All numbers are integers, so every machine decodes what any machine encoded.
 """
 
 import numpy as np
 
-#: Tokens in a block, and bits of a context's place in the tables of predictions.
-BLOCK, CONTEXTS = 2048, 11
-#: Counts are halved when one reaches MOST.
-MOST, STEP = 255, 24
-_FIRST = np.array([0, 1, 17, 273])  # where the counts of the four steps begin
-_TOP, _LOW, _WORD = np.uint64(1 << 32), np.uint64(1 << 16), np.uint64(32)
-_UPPER = np.triu(np.ones((16, 16), np.float32))
-_ORDER2, _ORDER1, _ORDER0 = 0, 1, 2
-
-
-def sums(counts: np.ndarray) -> np.ndarray:
-    """Running sums of rows of small counts; exact, as they stay far below 2 ** 24."""
-    return (counts.astype(np.float32) @ _UPPER[: counts.shape[1], : counts.shape[1]]).astype(np.uint16)
-
-
-class Range:
-    """64-bit range coders, one for each lane, with 32-bit words."""
+#: Ids in a block, bits of a context's place in the tables of guesses, and blocks that advance together.
+BLOCK, CONTEXTS, LANES = 2048, 9, 2048
+IDS = 1 << 16
+#: Bits of the slots of order 0, of a weight, and of both, the unit of all probabilities.
+_SLOT, _WEIGHT = 18, 8
+_UNIT = _SLOT + _WEIGHT
+SLOTS = 1 << _SLOT
+#: Weights have eight more bits while they are kept; a step moves them by a sixteenth.
+_ALL, _TOP, _SUM, _RATE = np.int32((1 << 16) - 1), np.int32(0xFF00), np.int32(1 << _WEIGHT), 4
+#: Weights of orders 2 and 1 at first, by confidence; the largest two stay below _ALL.
+_FIRST = np.array([[0, 20_000, 30_000, 40_000], [0, 6_000, 12_000, 20_000]])
+#: Contexts are hashed by products with this odd number (2654435761, modulo 2 ** 32).
+_HASH, _PLACE = np.int32(-1_640_531_535), np.int32((1 << CONTEXTS) - 1)
+_WORD, _ONE = 1 << 32, np.uint64(1)
+
+
+def shares(ids: np.ndarray) -> np.ndarray:
+    """Slots of all ids by their counts; at least one for each id that occurs."""
+    counts = np.bincount(ids, minlength=IDS)
+    some = np.count_nonzero(counts)
+    slots = (counts > 0) + counts * (SLOTS - some) // max(len(ids), 1)
+    slots[counts.argmax()] += SLOTS - slots.sum()
+    return slots
+
+
+class Writer:
+    """64-bit range coders, one for each lane, with 32-bit words; carries beyond a word are added up at the end."""
 
     def __init__(self, lanes: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-
-    def narrow(self, at: np.ndarray, first: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
-        """Take the part [first, first + size) of these lanes' ranges, in units, and move words on while they are settled."""
-        low, width = self.low.take(at) + first.astype(np.uint64) * unit, unit * size.astype(np.uint64)
-        left = np.flatnonzero(((low ^ (low + width)) < _TOP) | (width < _LOW))
-        while len(left):
-            a, b = low[left], width[left]
-            small = ((a ^ (a + b)) >= _TOP) & (b < _LOW)
-            b[small] = (~a[small] + np.uint64(1)) & (_LOW - np.uint64(1))
-            self.word(at[left], a >> _WORD)
-            a <<= _WORD
-            b <<= _WORD
-            low[left], width[left] = a, b
-            left = left[((a ^ (a + b)) < _TOP) | (b < _LOW)]
-        self.low[at], self.range[at] = low, width
-
-    def word(self, at: np.ndarray, words: np.ndarray) -> None:
-        raise NotImplementedError
-
-
-class Writer(Range):
-    def __init__(self, lanes: int):
-        super().__init__(lanes)
-        self.out, self.used, self.most = np.zeros((lanes, 256), np.uint32), np.zeros(lanes, np.int64), 0
-
-    def word(self, at: np.ndarray, words: np.ndarray) -> None:
-        if self.most + 1 >= self.out.shape[1]:  # a bound that is seldom made exact
-            self.most = int(self.used.max(initial=0))
-            if self.most + 256 >= self.out.shape[1]:
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        place = self.used.take(at)
-        self.out[at, place] = words
-        self.used[at] = place + 1
-        self.most += 1
-
-    def step(self, at: np.ndarray, counts: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        ends = sums(counts)
-        place = np.arange(len(at)) * counts.shape[1] + symbol
-        size = counts.ravel().take(place)
-        self.narrow(at, ends.ravel().take(place) - size, size, self.range.take(at) // ends[:, -1].astype(np.uint64))
-        return symbol
+        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
+        # Words in the order they are settled, with their lanes; a step moves on one word of a lane at most.
+        self.words, self.lanes, self.used = np.zeros(lanes * 8, np.uint64), np.zeros(lanes * 8, np.uint16), 0
+        self.place = np.zeros(lanes, np.int64)
+
+    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
+        """Take the part [start, start + size) of the first lanes' ranges."""
+        m = len(start)
+        unit, low = self.range[:m] >> _UNIT, self.low[:m]
+        more, width = start.astype(np.uint64) * unit, size.astype(np.uint64) * unit
+        low += more
+        over = np.flatnonzero(low < more)
+        self.words[self.place.take(over)] += _ONE
+        at = np.flatnonzero(width < _WORD)
+        settled = low.take(at)
+        self.add(at, settled >> 32)
+        low[at] = settled << 32
+        width[at] <<= 32
+        self.range[:m] = width
+
+    def add(self, at: np.ndarray, words: np.ndarray) -> None:
+        end = self.used + len(at)
+        if end > len(self.words):
+            self.words, self.lanes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.words, self.lanes))
+        self.words[self.used : end], self.lanes[self.used : end] = words, at
+        self.place[at] = np.arange(self.used, end)
+        self.used = end
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.low))
-        for part in (self.low >> _WORD, self.low & np.uint64(0xFFFFFFFF)):
-            self.word(every, part)
-        words = self.out.astype("<u4")
-        return [words[k, :n].tobytes() for k, n in enumerate(self.used.tolist())]
+        for part in (self.low >> 32, self.low & (_WORD - 1)):
+            self.add(every, part)
+        lanes = self.lanes[: self.used]
+        words = self.words[: self.used].take(np.argsort(lanes, kind="stable"))
+        while len(over := np.flatnonzero(words >= _WORD)):  # never the first word of a lane
+            words[over] -= np.uint64(_WORD)
+            words[over - 1] += _ONE
+        raw, ends = words.astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(lanes, minlength=len(every)))
+        return [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
 
+class Reader:
+    """The other side of `Writer`: what is left of the range below a lane's code."""
 
-class Reader(Range):
     def __init__(self, payloads: list[bytes]):
-        super().__init__(len(payloads))
-        self.data = np.zeros((len(payloads), max(map(len, payloads), default=0) // 4 + 2), np.uint32)
+        wide = max(map(len, payloads), default=0) // 4 + 2
+        data = np.zeros((len(payloads), wide), np.uint32)
         for k, raw in enumerate(payloads):
-            self.data[k, : len(raw) // 4] = np.frombuffer(raw, "<u4")
-        self.code = (self.data[:, 0].astype(np.uint64) << _WORD) | self.data[:, 1]
-        self.used = np.full(len(payloads), 2)
-
-    def word(self, at: np.ndarray, words: np.ndarray) -> None:
-        used = self.used.take(at)
-        place = np.minimum(used, self.data.shape[1] - 1)  # damaged data may end early; the checksum tells
-        self.code[at] = (self.code.take(at) << _WORD) | self.data[at, place]
-        self.used[at] = used + 1
-
-    def step(self, at: np.ndarray, counts: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
-        ends = sums(counts)
-        unit = self.range.take(at) // ends[:, -1].astype(np.uint64)
-        value = (self.code.take(at) - self.low.take(at)) // np.maximum(unit, np.uint64(1))
-        value = np.minimum(value, (ends[:, -1] - 1).astype(np.uint64)).astype(np.uint16)
-        symbol = (ends > value[:, None]).argmax(axis=1)  # the last end is greater
-        place = np.arange(len(at)) * counts.shape[1] + symbol
-        size = counts.ravel().take(place)
-        self.narrow(at, ends.ravel().take(place) - size, size, unit)
-        return symbol
+            data[k, : len(raw) // 4] = np.frombuffer(raw[: len(raw) // 4 * 4], "<u4")
+        self.code = (data[:, 0].astype(np.uint64) << 32) | data[:, 1]
+        self.range = np.full(len(payloads), (1 << 64) - 1, np.uint64)
+        self.words, self.last = data.reshape(-1), (np.arange(len(payloads)) + 1) * wide - 1
+        self.place = np.arange(len(payloads)) * wide + 2
+
+    def value(self, m: int) -> np.ndarray:
+        """Where the first lanes' codes lie in their ranges."""
+        self.unit = self.range[:m] >> _UNIT
+        return (self.code[:m] // self.unit).astype(np.int32)
+
+    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
+        m = len(start)
+        code, width = self.code[:m], size.astype(np.uint64) * self.unit
+        code -= start.astype(np.uint64) * self.unit
+        at = np.flatnonzero(width < _WORD)
+        place = np.minimum(self.place.take(at), self.last.take(at))  # damaged data may end early; the checksum tells
+        code[at] = (code.take(at) << 32) | self.words.take(place)
+        self.place[at] = place + 1
+        width[at] <<= 32
+        self.range[:m] = width
 
 
 class Model:
-    """Predictions and counts of all lanes, each table flat over lanes."""
-
-    def __init__(self, lanes: int):
-        self.counts = np.ones((lanes * (273 + 4096), 16), np.uint8)
-        self.choice = np.tile(np.array([1, 1, 2], np.uint8), (lanes * 25, 1))
-        self.guess = np.zeros((2, lanes << CONTEXTS), np.uint16)
-        self.trust = np.zeros((2, lanes << CONTEXTS), np.uint8)
-        self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    @staticmethod
-    def _raise(counts: np.ndarray, slot: np.ndarray, symbol: np.ndarray, row: np.ndarray) -> None:
-        """Count the symbols; rows that grow too large are halved, and no count falls to zero."""
-        grown = row.ravel().take(np.arange(len(slot)) * row.shape[1] + symbol)
-        full = np.flatnonzero(grown > MOST - STEP)
-        if len(full):
-            half = (row[full] >> 1) | 1
-            counts[slot[full]] = half
-            grown[full] = half[np.arange(len(full)), symbol[full]]
-        counts.reshape(-1)[slot * row.shape[1] + symbol] = grown + np.uint8(STEP)
-
-    def token(self, coder: Writer | Reader, live: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Code one id in each live lane; returns the ids."""
-        last, before = self.last.take(live), self.before.take(live)
-        mask, lane = (1 << CONTEXTS) - 1, live << CONTEXTS
-        slots = [lane + (((before * 40503 + last) * 2654435761 >> 15) & mask), lane + ((last * 2654435761 >> 13) & mask)]
-        guess = [self.guess[k].take(slots[k]).astype(np.int64) for k in (0, 1)]
-        trust = [self.trust[k].take(slots[k]) for k in (0, 1)]
-        context = live * 25 + trust[0] * 5 + trust[1]
-        row = self.choice.take(context, axis=0)
-        choice = None
-        if ids is not None:
-            choice = np.where(ids == guess[0], _ORDER2, np.where(ids == guess[1], _ORDER1, _ORDER0))
-        choice = coder.step(live, row, choice)
-        self._raise(self.choice, context, choice, row)
-        out = np.where(choice == _ORDER2, guess[0], guess[1])
-        missed = np.flatnonzero(choice == _ORDER0)
-        if len(missed):
-            at, prefix = live.take(missed), np.zeros(len(missed), np.int64)
-            base, coded = at * (273 + 4096), None if ids is None else ids.take(missed)
-            for k in range(4):
-                slot = base + _FIRST[k] + prefix
-                row = self.counts.take(slot, axis=0)
-                symbol = coder.step(at, row, None if coded is None else (coded >> (12 - 4 * k)) & 15)
-                self._raise(self.counts, slot, symbol, row)
-                prefix = prefix * 16 + symbol
-            out[missed] = prefix
-        for k in (0, 1):
-            held = guess[k] == out
-            new = trust[k] == 0
-            self.guess[k][slots[k]] = np.where(new, out, guess[k])
-            self.trust[k][slots[k]] = np.where(held, np.minimum(trust[k] + 1, 4), np.where(new, 1, trust[k] - np.uint8(1)))
-        self.before[live], self.last[live] = last, out
-        return out
-
-
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payloads of blocks of ids below 65,536."""
-    n = np.array([len(b) for b in blocks], np.int64)
-    ids = np.zeros((int(n.max(initial=0)), len(blocks)), np.int64)
-    for k, block in enumerate(blocks):
-        ids[: len(block), k] = block
-    model, coder = Model(len(blocks)), Writer(len(blocks))
-    for place, row in enumerate(ids):
-        live = np.flatnonzero(n > place)
-        model.token(coder, live, row[live])
-    return coder.finish()
-
-
-def decode_blocks(payloads: list[bytes], n: np.ndarray) -> list[np.ndarray]:
-    """The ids of blocks with these numbers of ids."""
-    out = np.zeros((int(n.max(initial=0)), len(payloads)), np.uint16)
-    model, coder = Model(len(payloads)), Reader(payloads)
-    for place in range(len(out)):
-        live = np.flatnonzero(n > place)
-        out[place, live] = model.token(coder, live, None)
-    return [out[:m, k] for k, m in enumerate(n.tolist())]
+    """Guesses and weights of all lanes, each table flat over orders and lanes."""
+
+    def __init__(self, lanes: int, slots: np.ndarray | None):
+        slots = np.full(IDS, SLOTS // IDS) if slots is None else slots
+        self.width, self.begin = slots.astype(np.int32), (np.cumsum(slots) - slots).astype(np.int32)
+        self.owner = np.repeat(np.arange(IDS, dtype=np.uint16), slots)
+        self.guesses = np.zeros(2 * lanes << CONTEXTS, np.int32)
+        self.tables = (np.arange(2 * lanes) << CONTEXTS).reshape(lanes, 2).T.copy()  # a lane's two lie together
+        first = np.stack([np.repeat(_FIRST[0], 4), np.tile(_FIRST[1], 4)])
+        self.weights = np.tile(first[:, None], (1, lanes, 1)).astype(np.int32).reshape(-1)
+        self.pairs = (np.arange(2 * lanes) * 16).reshape(2, lanes)
+        self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+
+    def token(self, coder: Writer | Reader, m: int, ids: np.ndarray | None) -> np.ndarray:
+        """Code one id in each of the first m lanes; returns the ids."""
+        last, before = self.last[:m], self.before[:m]  # both hashed
+        places = self.tables[:, :m].copy()
+        places[0] += (last + before) >> (32 - CONTEXTS) & _PLACE
+        places[1] += last >> (32 - CONTEXTS) & _PLACE
+        held = self.guesses.take(places)
+        guess, trust = held >> 2, held & 3
+        pairs = self.pairs[:, :m] + ((trust[0] << 2) + trust[1])
+        weights = self.weights.take(pairs)
+        mass = (weights & _TOP) << (_SLOT - 8)
+        rest = _SUM - ((mass[0] + mass[1]) >> _SLOT)
+        if ids is None:
+            past = self.begin.take(guess) * rest
+            order = (guess[0] - guess[1]) >> 31  # all bits, if the guess of order 2 is the smaller id
+            past[0] += mass[1] & ~order
+            past[1] += mass[0] & order
+            value = coder.value(m)
+            np.subtract(value, past, out=past)
+            np.minimum(np.maximum(past, 0, out=past), mass, out=past)
+            value -= past[0]
+            value -= past[1]
+            ids = self.owner.take((value / rest).astype(np.int64), mode="clip").astype(np.int32)
+        holds = guess == ids
+        held_now = holds.astype(np.int32)
+        own = mass * held_now
+        below = mass & ((guess - ids) >> 31)
+        coder.narrow(self.begin.take(ids) * rest + (below[0] + below[1]), self.width.take(ids) * rest + (own[0] + own[1]))
+        self.guesses[places] = np.where(holds, np.minimum(held + 1, held | 3), (ids << 2) + 1)
+        held_now[1] -= held_now[0] & held_now[1]
+        weights += (held_now * _ALL - weights) >> _RATE
+        self.weights[pairs] = weights
+        self.before[:m] = last >> 3
+        self.last[:m] = ids * _HASH
+        return ids
+
+
+def _groups(n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Blocks that advance together, longest first, and how many of them have an id at each step."""
+    order = np.argsort(-n, kind="stable")
+    groups = [order[i : i + LANES] for i in range(0, len(order), LANES)]
+    return [(g, len(g) - np.searchsorted(n[g][::-1], np.arange(int(n[g].max())), side="right")) for g in groups]
+
+
+def encode_blocks(blocks: list[np.ndarray], slots: np.ndarray | None = None) -> list[bytes]:
+    """Payloads of blocks of ids below 65,536, all of which have slots."""
+    if slots is not None and any((slots.take(b) == 0).any() for b in blocks):
+        raise ValueError("ids without a slot")
+    out = [b""] * len(blocks)
+    for group, live in _groups(np.array([len(b) for b in blocks], np.int64)):
+        ids = np.zeros((len(group), len(live)), np.uint16)
+        for k, block in enumerate(group.tolist()):
+            ids[k, : len(blocks[block])] = blocks[block]
+        model, coder = Model(len(group), slots), Writer(len(group))
+        for row, m in zip(np.ascontiguousarray(ids.T), live.tolist(), strict=True):
+            model.token(coder, m, row[:m].astype(np.int32))
+        for block, raw in zip(group.tolist(), coder.finish(), strict=True):
+            out[block] = raw
+    return out
+
+
+def decode_blocks(payloads: list[bytes], n: np.ndarray, slots: np.ndarray | None = None) -> list[np.ndarray]:
+    """The ids of blocks with these numbers of ids, by the slots they were encoded with."""
+    out = [np.zeros(0, np.uint16)] * len(payloads)
+    for group, live in _groups(n):
+        ids = np.zeros((len(live), len(group)), np.uint16)
+        model, coder = Model(len(group), slots), Reader([payloads[k] for k in group.tolist()])
+        for row, m in zip(ids, live.tolist(), strict=True):
+            row[:m] = model.token(coder, m, None)
+        ids = np.ascontiguousarray(ids.T)
+        for k, block in enumerate(group.tolist()):
+            out[block] = ids[k, : n[block]]
+    return out

@@ -79,6 +79,55 @@ def test_blocks_round_trip(kind):
     assert mixing.encode_blocks([]) == [] and mixing.decode_blocks([], np.zeros(0, np.int64)) == []
 
 
+@pytest.mark.parametrize("lanes", [3, mixing.LANES])
+def test_blocks_by_the_counts_of_their_container(monkeypatch, lanes):
+    monkeypatch.setattr(mixing, "LANES", lanes)
+    draw = np.random.default_rng(3)
+    ids = np.minimum(draw.zipf(1.2, 16_000), 40_000).astype(np.uint16)  # no id tells of the next
+    part = np.unique(ids, return_counts=True)[1] / len(ids)
+    blocks = [ids[i : i + 2000] for i in range(0, len(ids), 2000)]
+    slots = mixing.shares(ids)
+    assert slots.sum() == mixing.SLOTS and (slots[ids] > 0).all()
+    coded = mixing.encode_blocks(blocks, slots)
+    assert 8 * sum(map(len, coded)) < 1.05 * len(ids) * -(part * np.log2(part)).sum()
+    found = mixing.decode_blocks(coded, np.full(8, 2000), slots)
+    assert all((a == b).all() for a, b in zip(blocks, found, strict=True))
+    alone = mixing.decode_blocks(coded[5:6], np.array([2000]), slots)
+    assert (alone[0] == blocks[5]).all()
+    with pytest.raises(ValueError, match="without a slot"):
+        mixing.encode_blocks([np.array([65_000])], slots)
+
+
+def test_guesses_that_agree_add_up():
+    pattern = np.tile(np.arange(500, dtype=np.uint16), 4)  # both contexts tell the next id after the first 500
+    ids = np.random.default_rng(5).integers(0, 500, 2000).astype(np.uint16)
+    slots = mixing.shares(np.concatenate([pattern, ids]))
+    known, drawn = mixing.encode_blocks([pattern, ids], slots)
+    assert len(known) < 0.45 * len(drawn)
+
+
+def test_pieces_alike_in_their_first_bytes(monkeypatch):
+    monkeypatch.setattr(T, "KNOWN", 20)  # forgets between calls
+    found = T.Tokens(PATH)
+    texts = ["a\0 a a\0\0 \0", *("x" * n + " " + "xy" * n for n in range(40)), "中" * 30 + "1 " + "中" * 30 + "2", None, ""]
+    for _ in range(2):
+        for text, raw in zip(texts, found(texts), strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == own(text)[:-1], repr(text)
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    def crowded(data, begins, lengths):
+        keys = hashed(data, begins, lengths)
+        keys[-1] = 7
+        return keys
+
+    hashed = T.words
+    monkeypatch.setattr(T, "words", crowded)
+    texts = ["one two three, four", "four three five!"]
+    for text, raw in zip(texts, T.Tokens(PATH)(texts), strict=True):
+        assert np.frombuffer(raw, "<u2").tolist() == own(text)[:-1]
+
+
 def files(spark, rows):
     folder = session.new_folder(spark, "test-tokens")
     frame = spark.createDataFrame(rows, "doc_id long, text string, start int")
