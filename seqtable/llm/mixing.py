@@ -28,7 +28,8 @@ _ALL, _TOP, _SUM, _RATE = np.int32((1 << 16) - 1), np.int32(0xFF00), np.int32(1
 #: Weights of orders 2 and 1 at first, by confidence; the largest two stay below _ALL.
 _FIRST = np.array([[0, 20_000, 30_000, 40_000], [0, 6_000, 12_000, 20_000]])
 #: Contexts are hashed by products with this odd number (2654435761, modulo 2 ** 32).
-_HASH, _PLACE = np.int32(-1_640_531_535), np.int32((1 << CONTEXTS) - 1)
+#: Eight guesses of order 2 and eight of order 1 lie side by side, for the same hashed last ids.
+_HASH, _PLACE, _EIGHT = np.int32(-1_640_531_535), np.int32((1 << CONTEXTS) - 1), np.int32(7)
 _WORD, _ONE = 1 << 32, np.uint64(1)
 
 
@@ -123,8 +124,10 @@ class Model:
         slots = np.full(IDS, SLOTS // IDS) if slots is None else slots
         self.width, self.begin = slots.astype(np.int32), (np.cumsum(slots) - slots).astype(np.int32)
         self.owner = np.repeat(np.arange(IDS, dtype=np.uint16), slots)
-        self.guesses = np.zeros(2 * lanes << CONTEXTS, np.int32)
-        self.tables = (np.arange(2 * lanes) << CONTEXTS).reshape(lanes, 2).T.copy()  # a lane's two lie together
+        room = np.zeros((2 * lanes << CONTEXTS) + 16, np.int32)
+        # From a border of 64 bytes on, so that guesses that lie side by side come to the processor together.
+        self.guesses = room[-room.ctypes.data % 64 // 4 :][: 2 * lanes << CONTEXTS]
+        self.tables = (np.arange(lanes) << CONTEXTS + 1) + np.array([[0], [8]])
         first = np.stack([np.repeat(_FIRST[0], 4), np.tile(_FIRST[1], 4)])
         self.weights = np.tile(first[:, None], (1, lanes, 1)).astype(np.int32).reshape(-1)
         self.pairs = (np.arange(2 * lanes) * 16).reshape(2, lanes)
@@ -134,8 +137,10 @@ class Model:
         """Code one id in each of the first m lanes; returns the ids."""
         last, before = self.last[:m], self.before[:m]  # both hashed
         places = self.tables[:, :m].copy()
-        places[0] += (last + before) >> (32 - CONTEXTS) & _PLACE
-        places[1] += last >> (32 - CONTEXTS) & _PLACE
+        near = last >> (32 - CONTEXTS) & _PLACE
+        line = (near & ~_EIGHT) << 1
+        places[0] += line + ((last + before) >> 29 & _EIGHT)
+        places[1] += line + (near & _EIGHT)
         held = self.guesses.take(places)
         guess, trust = held >> 2, held & 3
         pairs = self.pairs[:, :m] + ((trust[0] << 2) + trust[1])
@@ -162,7 +167,7 @@ class Model:
         held_now[1] -= held_now[0] & held_now[1]
         weights += (held_now * _ALL - weights) >> _RATE
         self.weights[pairs] = weights
-        self.before[:m] = last >> 3
+        self.before[:m] = last
         self.last[:m] = ids * _HASH
         return ids
 
