@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqtable import constants as K
-from seqtable.functions import draw, text
+from seqtable.functions import draw, fields, text
 from seqtable.operators import analysis, assign, shape, statistics, timeline
 from seqtable.plans import views
 from seqtable.sources import jsonl, sinks
@@ -82,6 +82,13 @@ def test_rounding_of_the_report():
     assert report["action_type_distribution"] == {"click": 3}
 
 
+def test_fields_keep_their_names_beside_a_generator(spark):
+    rows = spark.createDataFrame([('{"a": null, "b": [1, 2]}',)], "t string").select(F.parse_json("t").alias("r"))
+    items = F.posexplode_outer(F.try_variant_get("r", "$.b", "array<variant>"))
+    found = rows.select(fields.truthy(fields.field(F.col("r"), "a")), fields.is_missing(fields.field(F.col("r"), "c")), items.alias("pos", "b"))
+    assert [tuple(r)[:3] for r in found.collect()] == [(False, True, 0), (False, True, 1)]
+
+
 def test_reading_lines(spark, tmp_path):
     lines = [
         {"trajectory_id": "gone", "goal": "g", "actions": [{"action_id": "a", "action_type": "click"}]},
