@@ -162,6 +162,17 @@ def test_lines_with_one_id_stay_apart(spark, tmp_path):
     assert sorted(r.action_count for r in found) == [3, 4]
 
 
+def test_lists_of_stored_lines_with_one_id(spark, tmp_path):
+    flags = ('"goal_achieved": null, ', '"goal_achieved": true, ', "")  # missing counts as reached
+    actions = ['{"action_id": "a", "action_type": "click"}', '{"action_id": "b", "action_type": "wait", "element_clickable": false}']
+    lines = [f'{{"trajectory_id": "same", "goal": "g", {flag}"actions": [{", ".join(actions[: n + 1])}]}}' for n, flag in enumerate(flags)]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    rows = jsonl.read_for_analysis(spark, str(tmp_path / "a.json"))
+    assert [(r.trajectory_id, r.action_count, r.last_action_type) for r in analysis.failed_goals(rows).collect()] == [("same", 1, "click")]
+    assert [(r.trajectory_id, r.actions) for r in analysis.skipped_steps(rows).collect()] == [("same", "click -> wait")] * 2
+    assert [(r.trajectory_id, r.error_count) for r in analysis.error_trajectories(rows).collect()] == [("same", 1)] * 2
+
+
 def test_lines_of_white_space_are_skipped(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"trajectory_id": "x", "actions": []}\n\t \n\n')
     assert jsonl.read_for_analysis(spark, str(tmp_path / "a.json")).count() == 1
