@@ -104,6 +104,34 @@ def test_a_batch_that_failed_half_way_is_replaced(spark, tmp_path, responses, ba
     assert outcome(spark, base) == batch_outcome
 
 
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_only_responses_go_to_the_state(spark, tmp_path):
+    planned = ingest.planned_records(ingest.read_response_stream(spark, str(tmp_path)))
+    found = ingest.unique_records(planned, "1 day")
+    state, = (n for n in _nodes(found._jdf.queryExecution().analyzed()) if n.nodeName() == "DeduplicateWithinWatermark")
+    names = {state.output().apply(i).name() for i in range(state.output().size())}
+    assert names == {c.split()[0] for c in ingest.RESPONSES.split(", ")} | {"fingerprint", "at"}
+    assert found.columns == [*planned.columns, "fingerprint", "at"]
+
+
+def test_a_batch_leaves_no_shuffle_files_of_its_outputs(spark, tmp_path, responses):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before, setting = files(), spark.conf.get(ingest.SHUFFLE_CLEANUP)
+    put(responses, str(tmp_path))
+    run(spark, str(tmp_path))
+    ids = {n.split("_")[1] for n in files() - before if n.startswith("shuffle_")}
+    assert len(ids) <= 2  # the state steps of the batch and of the one that moves the watermark
+    assert spark.conf.get(ingest.SHUFFLE_CLEANUP) == setting
+
+
 # --- sessions -----------------------------------------------------------------------
 
 EVENTS = "user long, ts timestamp"
